@@ -1,16 +1,45 @@
 """One thin query for each operator: its whole table in, its whole result out."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from annalist.llm import bpe, token_counts
-from annalist.llm.common import read
+from annalist.llm import bpe, fingerprints, token_counts, url_filters, warc
+from annalist.llm.common import partitions, read, scratch
 
 SQL: dict[str, str] = {}
 
+RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"), 2 * partitions(spark))
+
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    return url_filters.judge(read(spark, sf_dir, "pages"), labels, RULES)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write(warc.resolve(warc.capture(read(spark, sf_dir, "pages"))), path)
+    found = warc.read(spark, path, payloads=False)
+    return found.select(F.col("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+SQL["op9_warc"] = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT payload_digest, min(page_id) AS original FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id <> o.original THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id <> o.original THEN o.original END AS refers_to
+FROM p LEFT JOIN o ON p.payload_digest = o.payload_digest AND p.payload_bytes >= 100
+"""
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False).drop("text")
