@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import bpe, fingerprints, lines, token_counts, toxicity, url_filters, warc
+from annalist.llm import bpe, fingerprints, jaccard, lines, token_counts, toxicity, url_filters, warc
 from annalist.llm.common import partitions, read, scratch
 
 SQL: dict[str, str] = {}
@@ -11,6 +11,10 @@ SQL: dict[str, str] = {}
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"), 3, (9, 10))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

@@ -121,8 +121,9 @@ def shingles(h: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray,
 def distinct(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of each text, and their bounds."""
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = np.lexsort((values, owner))
-    values, owner = values[order], owner[order]
+    values = values.copy()
+    for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        values[a:z].sort()
     keep = np.ones(len(values), bool)
     keep[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     values, owner = values[keep], owner[keep]
