@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import bpe, fingerprints, jaccard, lines, token_counts, toxicity, url_filters, warc
+from annalist.llm import bpe, conversations, decontamination, fingerprints, jaccard, lines, token_counts, toxicity, url_filters, warc
 from annalist.llm.common import partitions, read, scratch
 
 SQL: dict[str, str] = {}
@@ -15,6 +15,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"), 3, (9, 10))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.link_quotes(read(spark, sf_dir, "conversations"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -39,6 +43,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "neighbours")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_leaks(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.item_id", "x.cosine", "x.share")
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"), 2 * partitions(spark))
 

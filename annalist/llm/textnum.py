@@ -50,8 +50,8 @@ def _places(n: int) -> np.ndarray:
     return _PLACE
 
 
-def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes with A-Z lower-cased, and the bounds of each text; a null is an empty text."""
+def buffers(texts: pa.Array, latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes with A-Z (and the accented Latin-1 letters, if latin) lower-cased, and the bounds of each text; a null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_binary()).fill_null(b"")
@@ -60,12 +60,17 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     data = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
-    return _LOWER[data], bounds - bounds[0]
+    data = _LOWER[data]
+    if latin and len(data):
+        lead = np.flatnonzero(data[:-1] == 0xC3) + 1
+        upper = lead[(data[lead] >= 0x80) & (data[lead] <= 0x9E) & (data[lead] != 0x97)]
+        data[upper] += 0x20
+    return data, bounds - bounds[0]
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, latin: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, bytes, bounds) of runs of whole texts of about CHUNK bytes."""
-    data, bounds = buffers(texts)
+    data, bounds = buffers(texts, latin)
     at, n = 0, len(bounds) - 1
     while at < n:
         end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK, "right")) - 1)

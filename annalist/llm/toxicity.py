@@ -168,7 +168,7 @@ def held_out(id_col: str = "doc_id"):
 
 
 def _arrays(batch: pa.RecordBatch):
-    for at, end, data, bounds in tn.chunks(batch.column("text")):
+    for at, end, data, bounds in tn.chunks(batch.column("text"), latin=True):
         yield batch.slice(at, end - at), data, bounds
 
 
