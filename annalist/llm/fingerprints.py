@@ -90,7 +90,7 @@ def with_next(docs: DataFrame, columns: list[str], pieces: int, id_col: str = "d
     firsts = {r["_range"]: r["top"] for r in docs.groupBy("_range").agg(F.max("_at").alias("top")).collect()}
     order = sorted(firsts, reverse=True)
     guests = [(firsts[later], order[k - 1]) for k, later in enumerate(order)]  # order[-1] for the first of all
-    guest_of = F.create_map(*[F.lit(x) for top, at in guests for x in (top, at)]) if guests else F.create_map().cast(T.MapType(T.LongType(), T.IntegerType()))
+    guest_of = F.create_map(*[x for top, at in guests for x in (F.lit(top).cast("long"), F.lit(at))]) if guests else F.create_map().cast(T.MapType(T.LongType(), T.IntegerType()))
     own = F.struct(F.col("_range").alias("range"), F.lit(0).alias("guest"))
     other = F.struct(guest_of[F.col("_at")].alias("range"), F.lit(1).alias("guest"))
     placed = docs.withColumn("_place", F.explode(F.when(guest_of[F.col("_at")].isNotNull(), F.array(own, other)).otherwise(F.array(own))))
