@@ -64,6 +64,7 @@ def near_copies(seed, groups=12, most=12):
 @pytest.mark.parametrize(("width", "similarity", "group", "leaf"), [(3, (9, 10), 1000, 256), (5, (8, 10), 5, 4), (1, (1, 2), 4, 4)])
 def test_jaccard_join(spark, monkeypatch, width, similarity, group, leaf):
     monkeypatch.setattr(jaccard, "GROUP", group)
+    monkeypatch.setattr(jaccard, "CLUSTER", group)
     monkeypatch.setattr(jaccard, "LEAF", leaf)
     texts = near_copies(width)
     rows = [*enumerate(texts), (900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (None, texts[0]), (7, texts[7]), (7, texts[9]), (905, "w " * 3000)]
