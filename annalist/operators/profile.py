@@ -75,3 +75,47 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     """(n_duplicates): rows beyond the first of each."""
     n = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
     return n.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
+
+
+def existing_categories(df: DataFrame, keys: list[str], category: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("existing"))
+
+
+def missing_categories(df: DataFrame, group: list[str], cohort: str, category: str) -> DataFrame:
+    """Categories that a group has in some cohort, for its cohorts that lack them."""
+    expected = df.select(*group, cohort).distinct().join(df.select(*group, category).distinct(), group)
+    return expected.join(df.select(*group, cohort, category).distinct(), [*group, cohort, category], "left_anti")
+
+
+def coverage_report(df: DataFrame, group: list[str], cohort: str, category: str) -> DataFrame:
+    keys = [*group, cohort]
+    have = df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("existing"), F.count_distinct(category).alias("n_existing"))
+    lack = missing_categories(df, group, cohort, category).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("missing"))
+    return have.join(lack, keys, "left")
+
+
+def pair_counts(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """(from_col, to_col, n_from, n_to): how many values each side of a mapping has."""
+    wide = df.agg(*[F.count(c).alias(f"n_{c}") for c in sorted({*mapping, *mapping.values()})])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(a).alias("from_col"), F.lit(b).alias("to_col"), F.col(f"n_{a}").alias("n_from"), F.col(f"n_{b}").alias("n_to")) for a, b in mapping.items()])).alias("x")).select("x.*")
+
+
+def _bounds(df: DataFrame, columns: list[str]):
+    return df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
+
+
+def scale_percents(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Percent columns as numbers; those whose values are all shares (0 to 1) times 100. One aggregate decides for all."""
+    from annalist.functions.coerce import percent_text
+
+    df = df.withColumns({c: percent_text(F.col(c)) for c in columns})
+    b = _bounds(df, columns)
+    shares = [c for c in columns if b[f"lo_{c}"] is not None and b[f"lo_{c}"] >= 0 and b[f"hi_{c}"] <= 1]
+    return df.withColumns({c: F.round(F.col(c) * 100, 2) for c in shares}) if shares else df
+
+
+def scale_rates(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rate columns that go over 1 divided by 100."""
+    b = _bounds(df, columns)
+    high = [c for c in columns if (b[f"hi_{c}"] or 0) > 1]
+    return df.withColumns({c: F.round(F.col(c) / 100, 2) for c in high}) if high else df

@@ -16,9 +16,15 @@ def query(sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    from annalist.plans import cleaning, history, labels, relations  # noqa: F401  they register themselves
+
+
 def queries() -> dict:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
