@@ -6,7 +6,7 @@ from pyspark.sql.window import Window
 
 
 def _clean(values: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.transform(values, F.trim), lambda v: v.isNotNull() & (v != ""))))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v.isNotNull() & (v != ""))))
 
 
 def cumulative(df: DataFrame, id_col: str, order: list[str], list_col: str, prefix: str) -> DataFrame:

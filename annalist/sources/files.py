@@ -1,5 +1,7 @@
 """Tables in files: Parquet, CSV and, where a reader is installed, workbooks."""
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,17 +32,13 @@ def resolve(spark: SparkSession, df: DataFrame | None = None, path: str | None =
 
 def load_columns(spark: SparkSession, path: str, mapping: dict[str, str]) -> DataFrame:
     """The mapped columns of a CSV (raw name -> name), with the header in the first line or, if that has none of them, in the second."""
-    for skip in (0, 1):
-        lines = spark.read.text(path).limit(skip + 1).collect()  # the header
-        if len(lines) <= skip:
-            break
-        header = spark.read.csv(spark.sparkContext.parallelize([lines[skip][0]]), header=False).first()
-        names = [str(x) for x in header] if header else []
+    lines = [r[0] for r in spark.read.text(path).limit(2).collect()]  # a title and the header
+    for skip, line in enumerate(lines):
+        names = next(csv.reader([line]), [])
         if found := [n for n in names if n in mapping]:
-            df = spark.read.csv(path, header=False).toDF(*[f"_{i}" for i in range(len(names))])
-            keep = df.select(*[F.col(f"_{names.index(n)}").alias(mapping[n]) for n in found])
-            first = names.index(found[0])
-            return keep.where(~F.coalesce(df[f"_{first}"] == found[0], F.lit(False))) if not skip else keep.where(F.coalesce(F.col(mapping[found[0]]) != found[0], F.lit(True)))
+            rows = spark.read.text(path).where(~F.col("value").isin(lines[: skip + 1]))
+            kind = ", ".join(f"_{i} string" for i in range(len(names)))
+            return rows.select(F.from_csv("value", kind).alias("x")).select(*[F.col(f"x._{names.index(n)}").alias(mapping[n]) for n in found])
     raise ValueError(f"{path} has none of the columns")
 
 
