@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
@@ -182,3 +182,12 @@ def resolve_column(names: list[str] | str, columns: list[str], prefixes: list[st
             if candidate in columns:
                 return candidate
     return None
+
+
+def lookup_texts(names: DataFrame, sources: dict[str, DataFrame], key: str, value: str) -> DataFrame:
+    """names with the value of each source (its last row of a key), `text` if all that have one agree, else all of them, and `agrees`."""
+    for source, df in sources.items():
+        last = df.groupBy(key).agg(F.max_by(value, "row").alias(f"_{source}")) if "row" in df.columns else df.groupBy(key).agg(F.last(value).alias(f"_{source}"))
+        names = names.join(last, key, "left")
+    texts = F.array_distinct(F.array_compact(F.array(*[f"_{s}" for s in sources])))
+    return names.withColumns({"text": F.array_join(texts, " / "), "agrees": F.size(texts) <= 1}).drop(*[f"_{s}" for s in sources])

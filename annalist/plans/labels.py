@@ -153,17 +153,14 @@ def column_profile_long(spark, d):
 
 
 @query("""
-WITH a AS (SELECT n_name, n_regionkey FROM nation), s AS (SELECT s_nationkey, max(s_suppkey) AS k FROM supplier GROUP BY s_nationkey)
 SELECT n.n_nationkey, CASE WHEN n.n_nationkey % 2 = 0 THEN 'same' ELSE 'a' || n.n_nationkey || ' / b' || n.n_nationkey END AS description, n.n_nationkey % 2 = 0 AS collapsed FROM nation n
 """)
 def multi_source_lookup_collapse(spark, d):
     n = table(spark, d, "nation").select("n_nationkey")
     even = F.col("n_nationkey") % 2 == 0
-    a = n.withColumn("from_a", F.when(even, "same").otherwise(F.concat(F.lit("a"), "n_nationkey")))
-    b = n.withColumn("from_b", F.when(even, "same").otherwise(F.concat(F.lit("b"), "n_nationkey")))
-    both = n.join(a, "n_nationkey", "left").join(b, "n_nationkey", "left")
-    distinct = F.array_distinct(F.array_compact(F.array("from_a", "from_b")))
-    return both.select("n_nationkey", F.array_join(distinct, " / ").alias("description"), (F.size(distinct) == 1).alias("collapsed"))
+    source = lambda x: n.select("n_nationkey", F.when(even, "same").otherwise(F.concat(F.lit(x), "n_nationkey")).alias("told"), F.lit(1).alias("row"))
+    found = labels.lookup_texts(n, {"a": source("a"), "b": source("b")}, "n_nationkey", "told")
+    return found.select("n_nationkey", F.col("text").alias("description"), F.col("agrees").alias("collapsed"))
 
 
 @query("SELECT unnest(['flag', 'name', 'word']) AS column_name, unnest([TRUE, FALSE, TRUE]) AS is_boolean")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annalist.catalog import SchemaCatalog
-from annalist.functions import classify, coerce, labels
+from annalist.functions import classify, codes, coerce, labels
 
 
 def apply(spark, f, values, kind="string"):
@@ -83,3 +83,11 @@ def test_catalog(spark):
     assert cat.type_of("ks2_score") == "Int64" and cat.type_of("nothing") is None
     with pytest.raises(ValueError):
         SchemaCatalog({"a": {"b": "matrix"}})
+
+
+def test_codes(spark):
+    assert apply(spark, codes.activity_level, [210, 540, 550, 530, 381, 211, None], "int") == ["Education", "NEET", "Employment", "Re-engagement activites", "Employment", None, None]
+    assert apply(spark, lambda c: codes.label(c, codes.SCHOOL_TYPE), [57, 1], "int") == ["Free School - UTC", None]
+    assert codes.as_table(spark, codes.GENDER).count() == 2
+    groups = codes.background_columns(["census_gender", "ks2_idaci", "sen_provision_x", "other"])
+    assert groups["demographics"] == ["census_gender"] and groups["socioeconomic"] == ["ks2_idaci", "sen_provision_x"] and len(groups["all"]) == 3
