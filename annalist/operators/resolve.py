@@ -5,12 +5,13 @@ others pass by. Each resolver is one window or one aggregate on the group's keys
 """
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from annalist.operators.aggregate import conflict_counts, conflict_ids, filled, sum_and_percent
+from annalist.operators.aggregate import conflict_counts, filled, sum_and_percent
 from annalist.operators.frames import first_per_group
 from annalist.operators.history import first_known
 from annalist.operators.joins import left_joins
@@ -48,7 +49,7 @@ def summed(df: DataFrame, keys: list[str], counts: list[str], possible: str, tie
     rest = [c for c in df.columns if c not in sums.columns]
     if not rest:
         return sums
-    last = first_per_group(df.select(*keys, *rest, *[F.col(c) for c in []]), keys, tie)
+    last = first_per_group(df.select(*keys, *rest), keys, tie)
     return left_joins(sums, [last], keys).select(*[c for c in df.columns if c in sums.columns or c in rest], *[c for c in sums.columns if c not in df.columns])
 
 
@@ -62,11 +63,22 @@ class Rule:
     options: dict = field(default_factory=dict)
 
 
+def flag_conflicted(df: DataFrame, keys: list[str], columns: list[str], id_col: str, flag: str = "_conflicted") -> DataFrame:
+    """Distinct rows with any value, and whether their entity has a conflict in any of its groups (with known keys).
+
+    The rows are dealt once, by entity; distinct, the groups' windows and the entity's window all use that.
+    """
+    rows = df.select(*keys, *columns).repartition(id_col).distinct().where(filled(columns) > 0)
+    group, entity = Window.partitionBy(*keys), Window.partitionBy(id_col)
+    differs = reduce(lambda a, b: a | b, [F.coalesce(F.min(c).over(group) < F.max(c).over(group), F.lit(False)) for c in columns])
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return rows.withColumn("_differs", differs & known).withColumn(flag, F.max("_differs").over(entity)).drop("_differs")
+
+
 def split_conflicted(df: DataFrame, keys: list[str], columns: list[str], id_col: str) -> tuple[DataFrame, DataFrame]:
     """Distinct rows with any value: those of entities without a conflict, and all those of entities with one."""
-    rows = df.select(*keys, *columns).distinct().where(filled(columns) > 0)
-    ids = conflict_ids(df, keys, columns, id_col)
-    return rows.join(ids, id_col, "left_anti"), rows.join(ids, id_col, "left_semi")
+    rows = flag_conflicted(df, keys, columns, id_col)
+    return rows.where("NOT _conflicted").drop("_conflicted"), rows.where("_conflicted").drop("_conflicted")
 
 
 def _apply(rows: DataFrame, keys: list[str], rule: Rule) -> DataFrame:
