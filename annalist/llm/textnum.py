@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time; a longer text is a chunk of its own.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _U = np.uint64
 
 
