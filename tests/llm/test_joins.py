@@ -65,6 +65,8 @@ def near_copies(seed, groups=12, most=12):
 def test_jaccard_join(spark, monkeypatch, width, similarity, group, leaf):
     monkeypatch.setattr(jaccard, "GROUP", group)
     monkeypatch.setattr(jaccard, "CLUSTER", group)
+    monkeypatch.setattr(jaccard, "WIDE_PIVOTS", 3)
+    monkeypatch.setattr(jaccard, "LEVELS", 2)
     monkeypatch.setattr(jaccard, "LEAF", leaf)
     texts = near_copies(width)
     rows = [*enumerate(texts), (900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (None, texts[0]), (7, texts[7]), (7, texts[9]), (905, "w " * 3000)]
@@ -287,3 +289,20 @@ def test_pipeline_against_brute_force(spark):
         kept.append(len(rows))
         docs = after
     assert sorted(r["doc_id"] for r in cp.run(spark, d).collect()) == sorted(rows)
+
+
+def test_pivot_regions_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "WIDE_PIVOTS", 4)
+    monkeypatch.setattr(jaccard, "GROUP", 20)
+    rows = [(i, t) for i, t in enumerate(near_copies(21, 25, 10)) if t]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = jaccard.set_table(docs, 2).select("doc_id", "shingles").cache()
+    met = sets.select(F.lit(1).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(len(rows)).cast("long").alias("n"), F.col("doc_id").alias("rep"), F.col("doc_id").alias("comp"), F.length("shingles").cast("long").alias("bytes"))
+    parts = {}
+    for r in jaccard.voronoi(met, sets, 0, (8, 10)).collect():
+        parts.setdefault(r["rep"], set()).add((r["k1"], r["k2"]))
+    plain = sets_of(rows, 2)
+    flat = [(i, s) for i, ss in plain.items() for s in ss]
+    linked = [(i, j) for x, (i, a) in enumerate(flat) for j, b in flat[:x] if 10 * len(a & b) >= 8 * len(a | b)]
+    assert linked and all(parts[i] & parts[j] for i, j in linked)
+    assert len({p for ps in parts.values() for p in ps}) > 2
