@@ -22,8 +22,10 @@ from annalist.llm.common import small_batches
 VOCABULARY = "byte_bpe_50k.json"
 #: The published pattern of byte-level BPE with this vocabulary (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pre-tokens remembered by a worker; it forgets all of them beyond that, which costs time only.
-REMEMBERED = 200_000
+#: Pre-tokens of a generation; a worker remembers two of them, and forgets the older when the younger is full, which costs time only.
+REMEMBERED = 100_000
+#: Pre-tokens of more bytes have a tree each.
+LONG = 512
 #: Cells of one matrix of trees.
 CELLS = 1 << 18
 _NEVER = np.int64(1) << np.int64(62)
@@ -60,6 +62,7 @@ class Vocabulary:
         made = np.array([ids[a + b] for a, b in merges], np.int64)
         # of a pair that is listed again, the last place counts, as in a map
         ranks = dict(zip(keys.tolist(), range(len(keys)), strict=True))
+        self.pair_ranks = ranks
         self.keys = np.array(sorted(ranks), np.int64)
         self.ranks = np.array([ranks[k] for k in self.keys.tolist()], np.int64)
         self.made = made
@@ -89,6 +92,10 @@ class Vocabulary:
         sizes = np.maximum(2, 1 << np.ceil(np.log2(np.maximum(lens, 1))).astype(np.int64))
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
+            if size >= LONG:
+                for row in rows:
+                    out[row] = self._merge_long(tokens[row])
+                continue
             step = max(1, CELLS // int(size))
             for k in range(0, len(rows), step):
                 some = rows[k : k + step]
@@ -139,6 +146,45 @@ class Vocabulary:
         flat = symbol[:, :size][live]
         return np.split(flat, np.cumsum(live.sum(1))[:-1])
 
+    def _merge_long(self, token: bytes) -> np.ndarray:
+        """The same for one long pre-token, without matrices."""
+        n, never = len(token), int(_NEVER)
+        size = 1 << (n - 1).bit_length()
+        symbol, made, ranks = self.first[np.frombuffer(token, np.uint8)].tolist(), self.made, self.pair_ranks
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        tree = [never] * (2 * size)
+
+        def value(left: int, right: int) -> int:
+            rank = ranks.get(symbol[left] << 32 | symbol[right])
+            return never if rank is None else rank * size + left
+
+        def put(leaf: int, v: int) -> None:
+            at = leaf + size
+            tree[at] = v
+            while at > 1:
+                at >>= 1
+                least = min(tree[2 * at], tree[2 * at + 1])
+                if tree[at] == least:
+                    return
+                tree[at] = least
+
+        for i in range(n - 1):
+            tree[size + i] = value(i, i + 1)
+        for i in range(size - 1, 0, -1):
+            tree[i] = min(tree[2 * i], tree[2 * i + 1])
+        while tree[1] < never:
+            rank, at = divmod(tree[1], size)
+            right = after[at]
+            symbol[at], symbol[right] = int(made[rank]), -1
+            beyond = after[at] = after[right]
+            put(right, never)
+            if beyond < n:
+                before[beyond] = at
+            put(at, value(at, beyond) if beyond < n else never)
+            if (left := before[at]) >= 0:
+                put(left, value(left, at))
+        return np.array([x for x in symbol if x >= 0], np.int64)
+
     @staticmethod
     def _set(tree: np.ndarray, size: int, rows: np.ndarray, leaf: np.ndarray, value: np.ndarray) -> None:
         at = leaf + size
@@ -154,26 +200,37 @@ def vocabulary(path: str | None = None) -> Vocabulary:
     return Vocabulary(vocabulary_path(path))
 
 
+class Memory:
+    """What was computed for pre-tokens, in two generations of bounded size."""
+
+    def __init__(self, make):
+        self.make, self.known, self.old = make, {}, {}
+
+    def learn(self, pieces: Iterable[list[str]]) -> dict:
+        """A dictionary with all pieces."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.old = {}, self.known
+        new = set().union(*pieces).difference(self.known)
+        found = new & self.old.keys()
+        self.known.update((t, self.old[t]) for t in found)
+        if new := [*(new - found)]:
+            self.known.update(zip(new, self.make(new), strict=True))
+        return self.known
+
+
 class Encoder:
     """Ids of whole texts, with a bounded memory of pre-tokens."""
 
     def __init__(self, path: str | None = None):
-        self.v, self.known = vocabulary(path), {}
-
-    def learn(self, pieces: Iterable[list[str]]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = [*set().union(*pieces).difference(self.known)]
-        if new:
-            found = self.v.merge([t.encode() for t in new])
-            self.known.update(zip(new, (ids.astype("<u4").tobytes() for ids in found), strict=True))
+        self.v = vocabulary(path)
+        self.memory = Memory(lambda new: (ids.astype("<u4").tobytes() for ids in self.v.merge([t.encode() for t in new])))
 
     def encode_batch(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [[*self.v.pieces(t)] for t in texts]
-        self.learn([p for parts in split for _, p in parts])
+        known = self.memory.learn([p for parts in split for _, p in parts])
         for parts in split:
-            yield b"".join(np.uint32(i).astype("<u4").tobytes() if i is not None else b"".join(map(self.known.__getitem__, p)) for i, p in parts)
+            yield b"".join(np.uint32(i).astype("<u4").tobytes() if i is not None else b"".join(map(known.__getitem__, p)) for i, p in parts)
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.v.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -184,7 +241,7 @@ def encoder(path: str | None = None) -> Encoder:
     return Encoder(path)
 
 
-def some_texts(batch: pa.RecordBatch, name: str = "text", most: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
+def some_texts(batch: pa.RecordBatch, name: str = "text", most: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
     """Runs of whole texts (nulls as empty) of about most bytes."""
     texts = [t or "" for t in batch.column(name).to_pylist()]
     at, size = 0, 0

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from annalist.llm.bpe import REMEMBERED, some_texts, vocabulary
+from annalist.llm.bpe import Memory, some_texts, vocabulary
 from annalist.llm.common import small_batches
 
 TOKEN_LIMIT = 1024
@@ -34,19 +34,22 @@ def proved_whole(path: str | None = None) -> frozenset[str]:
 
 
 class Counter:
-    """Counts tokens; remembers a bounded number of merged pre-tokens."""
+    """Counts tokens; remembers a bounded number of pre-tokens."""
 
     def __init__(self, path: str | None = None):
-        self.v, self.whole = vocabulary(path), dict.fromkeys(proved_whole(path), 1)
-        self.known = dict(self.whole)
+        self.v, self.whole = vocabulary(path), proved_whole(path)
+        self.memory = Memory(self.count)
+
+    def count(self, tokens: list[str]) -> list[int]:
+        """1 for what is proved whole; the rest is merged."""
+        rest = [t for t in tokens if t not in self.whole]
+        merged = dict(zip(rest, map(len, self.v.merge([t.encode() for t in rest])), strict=True))
+        return [merged.get(t, 1) for t in tokens]
 
     def count_batch(self, texts: list[str]) -> list[int]:
         split = [[*self.v.pieces(t)] for t in texts]
-        if len(self.known) > len(self.whole) + REMEMBERED:
-            self.known = dict(self.whole)
-        rest = [*set().union(*(p for parts in split for _, p in parts)).difference(self.known)]
-        self.known.update(zip(rest, map(len, self.v.merge([t.encode() for t in rest])), strict=True))
-        return [sum(1 if i is not None else sum(map(self.known.__getitem__, p)) for i, p in parts) for parts in split]
+        known = self.memory.learn([p for parts in split for _, p in parts])
+        return [sum(1 if i is not None else sum(map(known.__getitem__, p)) for i, p in parts) for parts in split]
 
 
 @lru_cache(2)
