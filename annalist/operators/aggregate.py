@@ -23,12 +23,13 @@ def agree_or_null(df: DataFrame, keys: list[str], columns: list[str], out: str)
 
 def typed_duplicates(df: DataFrame, keys: list[str], means: list[str], sums: list[str], texts: list[str], order: list[str]) -> DataFrame:
     """One row per key. Numbers are averaged or summed and texts listed, but only where a group has more than one value; else the first row's value (may be null)."""
-    first = lambda c: F.min_by(F.struct(F.col(c).alias("v")), F.struct(*order))["v"]
-    many = lambda c: F.min(c) < F.max(c)
-    aggs = [F.when(many(c), F.avg(c)).otherwise(first(c)).alias(c) for c in means]
-    aggs += [F.when(many(c), F.sum(c)).otherwise(first(c)).alias(c) for c in sums]
-    aggs += [F.when(many(c), F.array_join(F.array_sort(F.collect_set(c)), ", ")).otherwise(first(c)).alias(c) for c in texts]
-    return df.groupBy(*keys).agg(*aggs)
+    # one least row for all columns, its fields being the order and then the values
+    values = [*means, *sums, *texts]
+    least = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(values)]))
+    parts = [f(c).alias(f"{n}_{c}") for c in values for n, f in (("_lo", F.min), ("_hi", F.max))]
+    many = [*[F.avg(c).alias(f"_many_{c}") for c in means], *[F.sum(c).alias(f"_many_{c}") for c in sums], *[F.array_join(F.array_sort(F.collect_set(c)), ", ").alias(f"_many_{c}") for c in texts]]
+    out = df.groupBy(*keys).agg(least.alias("_first"), *parts, *many)
+    return out.select(*keys, *[F.when(F.col(f"_lo_{c}") < F.col(f"_hi_{c}"), F.col(f"_many_{c}")).otherwise(F.col(f"_first._v{i}")).alias(c) for i, c in enumerate(values)])
 
 
 def similarity_report(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
