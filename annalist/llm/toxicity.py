@@ -1,15 +1,17 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled documents is indexed; its documents, terms and
-blocks are bounded too, so the index travels to all tasks. Document frequencies
-are those of all documents. The terms are words and word beginnings that go with
-the label in the sample. The index keeps, for each term and block of examples,
-the largest weight: blocks are taken by falling upper bound, until no block can
-reach the k-th best, so the neighbours found are the exact ones. Their
+A bounded sample of labelled documents is indexed, so the index travels to all
+tasks. Document frequencies are those of all documents. The terms are all words
+of the sample, and the word beginnings that go with the label in it; terms that
+go with the label weigh LEAN times their TF-IDF, and no other term is left out of
+a vector or its norm. The index keeps, for each term and block of examples, the
+largest weight: blocks are taken by falling upper bound, until no block can reach
+the k-th best, so the neighbours found are the exact ones. Their
 similarity-weighted votes are calibrated by isotonic regression on leave-one-out
 votes of the examples.
 """
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,29 +23,35 @@ from pyspark.sql import functions as F
 from annalist.llm import textnum as tn
 from annalist.llm.common import small_batches
 
-#: At most so many examples of each label, and so many terms.
+#: At most so many examples of each label, and so many terms that go with the label.
 POSITIVES, NEGATIVES, TERMS = 3000, 6000, 2048
 #: Lengths of word beginnings, in bytes.
 BEGINNINGS = (4, 5, 6)
-#: A term is in so many positive examples at least, so many times as often as in negative ones, with such a chi-square.
+#: A term goes with the label if it is in so many positive examples at least, so many times as often as in negative ones, with such a chi-square.
 SUPPORT, RATIO, CHI2 = 4, 4.0, 15.0
+#: The weight of these terms is so many times their TF-IDF.
+LEAN = 8.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: A term in more than one of so many examples is frequent.
+OFTEN = 32
+#: Texts whose frequent terms are multiplied at once.
+PRODUCT = 128
 LIMIT = 0.3
 
 
-def terms_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and word beginnings, and the text of each."""
+def terms_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of all words and then word beginnings, the text of each, and how many are words."""
     starts, ends, _ = tn.words(data, bounds, tn.PUNCT)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
     owner = np.searchsorted(bounds, starts, "right") - 1
     out, owners = [tn.hashes(data, starts, ends)], [owner]
     for n in BEGINNINGS:
         long = ends - starts > n
         out.append(tn.hashes(data, starts[long], starts[long] + n) ^ np.uint64(n))
         owners.append(owner[long])
-    return np.concatenate(out), np.concatenate(owners)
+    return np.concatenate(out), np.concatenate(owners), len(starts)
 
 
 class Lookup:
@@ -64,9 +72,16 @@ class Lookup:
         return some[hit], at[hit]
 
 
-def vectors(data: np.ndarray, bounds: np.ndarray, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def kept(data: np.ndarray, bounds: np.ndarray, leaning: Lookup) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and of the leaning word beginnings, and the text of each."""
+    h, owner, n = terms_of(data, bounds)
+    which = n + leaning.find(h[n:])[0]
+    return np.concatenate([h[:n], h[which]]), np.concatenate([owner[:n], owner[which]])
+
+
+def vectors(data: np.ndarray, bounds: np.ndarray, lookup: Lookup, leaning: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term, times) of the known terms of each text, sorted by text and term."""
-    h, owner = terms_of(data, bounds)
+    h, owner = kept(data, bounds, leaning)
     which, term = lookup.find(h)
     pair, times = np.unique(owner[which] * np.int64(len(lookup.keys) + 1) + term, return_counts=True)
     return pair // (len(lookup.keys) + 1), pair % (len(lookup.keys) + 1), times
@@ -78,50 +93,83 @@ def weights(term: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return w / n if n else w
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each range of n numbers."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
 class BlockMaxIndex:
     """Exact k nearest examples by the dot product of unit vectors."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], terms: int):
         # alike examples share blocks: ordered by their heaviest term
         self.order = np.array(sorted(range(len(rows)), key=lambda r: (int(rows[r][0][np.argmax(rows[r][1])]), r)), np.int64)
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for place, r in enumerate(self.order):
-            for t, w in zip(*rows[r], strict=True):
-                postings.setdefault(int(t), []).append((place, float(w)))
         self.n, self.blocks = len(rows), -(-len(rows) // BLOCK)
-        self.best = np.zeros((terms, self.blocks), np.float32)
-        self.postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for t, found in postings.items():
-            place, w = np.array([p for p, _ in found], np.int64), np.array([x for _, x in found])
-            np.maximum.at(self.best[t], place // BLOCK, (w * (1 + 1e-6)).astype(np.float32))
-            self.postings[t] = place, w, np.searchsorted(place, np.arange(self.blocks + 1) * BLOCK)
-
-    def nearest(self, term: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        place = np.repeat(np.arange(self.n), [len(rows[r][0]) for r in self.order]) if rows else np.zeros(0, np.int64)
+        term = np.concatenate([np.zeros(0, np.int64), *[rows[r][0] for r in self.order]])
+        weight = np.concatenate([np.zeros(0), *[rows[r][1] for r in self.order]])
+        # postings of frequent terms are kept as a matrix, the others as lists
+        often = np.flatnonzero(np.bincount(term, minlength=terms) * OFTEN > self.n)
+        self.row = np.full(terms, -1, np.int64)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.blocks * BLOCK))
+        row = self.row[term]
+        at = row >= 0
+        self.dense[row[at], place[at]] = weight[at]
+        term, place, weight = term[~at], place[~at], weight[~at]
+        by = np.argsort(term, kind="stable")
+        term, self.place, self.weight = term[by], place[by].astype(np.int32), weight[by]
+        # a cell is the postings of a term in a block
+        cell = term * np.int64(self.blocks + 1) + self.place // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])[: len(cell)])
+        self.cells = np.append(first, len(cell))
+        self.block = self.place[first] // BLOCK
+        self.best = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.edges = np.searchsorted(term[first], np.arange(terms + 1))
+
+    def frequent(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What frequent terms add to the similarity of each text to each example."""
+        x = np.zeros((len(texts), len(self.dense)))
+        for i, (term, w) in enumerate(texts):
+            row = self.row[term]
+            x[i, row[row >= 0]] = w[row >= 0]
+        return x @ self.dense
+
+    def all_nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, apart: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """nearest() of each text; with apart the texts are the examples, and none is its own neighbour."""
+        for at in range(0, len(texts), PRODUCT):
+            part = texts[at : at + PRODUCT]
+            for i, (text, base) in enumerate(zip(part, self.frequent(part), strict=True)):
+                yield self.nearest(*text, k, at + i if apart else -1, base)
+
+    def nearest(self, term: np.ndarray, w: np.ndarray, k: int, without: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(examples, similarities) of the k nearest that share a term, nearest first, ties by example."""
-        upper = w.astype(np.float32) @ self.best[term] * np.float32(1 + 1e-5)
+        base = self.frequent([(term, w)])[0] if base is None else base
+        rare = self.row[term] < 0
+        term, w = term[rare], w[rare]
+        n = self.edges[term + 1] - self.edges[term]
+        cells, x = _ranges(self.edges[term], n), np.repeat(w, n)
+        block = self.block[cells]
+        # more than rounding can make of a similarity
+        upper = (np.bincount(block, x * self.best[cells], self.blocks) + base.reshape(-1, BLOCK).max(1)) * (1 + 1e-6)
         some = np.flatnonzero(upper > 0)
         some = some[np.argsort(-upper[some], kind="stable")]
-        found, sims, floor = [], [], 0.0
-        for at in range(0, len(some), 4):
-            if sims and upper[some[at]] < floor:
-                break
-            for b in some[at : at + 4]:
-                total = np.zeros(BLOCK)
-                for t, x in zip(term.tolist(), w.tolist(), strict=True):
-                    if t in self.postings:
-                        place, weight, edges = self.postings[t]
-                        a, z = edges[b], edges[b + 1]
-                        if z > a:
-                            total[place[a:z] - b * BLOCK] += x * weight[a:z]
-                hit = np.flatnonzero(total > 0)
-                found.append(self.order[hit + b * BLOCK])
-                sims.append(total[hit])
-            s = np.concatenate(sims)
+        f, s, floor, at, size = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 4
+        while at < len(some) and upper[some[at]] >= floor:
+            group = some[at : at + size]
+            group = group[upper[group] >= floor]
+            at, size = at + size, size * 4
+            taken = np.zeros(self.blocks, bool)
+            taken[group] = True
+            here = taken[block]
+            first, m = self.cells[cells[here]], self.cells[cells[here] + 1] - self.cells[cells[here]]
+            posting = _ranges(first, m)
+            total = np.bincount(self.place[posting], np.repeat(x[here], m) * self.weight[posting], len(base)) + np.where(np.repeat(taken, BLOCK), base, 0.0)
+            total = total.round(12)
+            hit = np.flatnonzero(total > 0)
+            f, s = np.concatenate([f, self.order[hit]]), np.concatenate([s, total[hit]])
+            f, s = f[f != without], s[f != without]
             floor = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else 0.0
-        if not sims:
-            return np.zeros(0, np.int64), np.zeros(0)
-        f, s = np.concatenate(found), np.concatenate(sims)
-        f, s = f[f != without], s[f != without]
         best = np.lexsort((f, -s))[:k]
         return f[best], s[best]
 
@@ -146,6 +194,7 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 @dataclass
 class Model:
     lookup: Lookup
+    leaning: Lookup
     idf: np.ndarray
     index: BlockMaxIndex
     ids: np.ndarray
@@ -186,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in _arrays(batch):
-                h, owner = terms_of(data, bounds)
+                h, owner, _ = terms_of(data, bounds)
                 order = np.lexsort((h, owner))
                 h, owner = h[order], owner[order]
                 new = np.ones(len(h), bool)
@@ -203,44 +252,52 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     a, b = p + n, F.lit(float(max(n1 + n0, 1)))
     chi2 = b * (p * (n0 - n) - n * (n1 - p)) ** 2 / F.greatest(a * (b - a) * n1 * n0, F.lit(1.0))
     chosen = stats.withColumn("chi2", chi2).where(((p + 0.5) / (n1 + 1) >= RATIO * (n + 0.5) / (n0 + 1)) & (F.col("chi2") >= CHI2)).orderBy(F.desc("chi2"), "h").limit(terms).collect()
-    lookup = Lookup(np.array([r["h"] for r in chosen], np.int64).astype(np.uint64))
+    leaning = Lookup(np.array([r["h"] for r in chosen], np.int64).astype(np.uint64))
+
+    def represent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, bounds in _arrays(batch):
+                h, owner = kept(data, bounds, leaning)
+                key, which = np.unique(h, return_inverse=True)
+                pair, times = np.unique(owner * np.int64(len(key) + 1) + which, return_counts=True)
+                edges = np.searchsorted(pair // (len(key) + 1), np.arange(len(bounds)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), tn.list_array(key[pair % (len(key) + 1)].astype(np.int64), edges, pa.int64()), tn.list_array(times.astype(np.int32), edges, pa.int32())], names=["doc_id", "label", "h", "times"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # as many rows as the sample has, as Arrow
+    found = examples.select("doc_id", "label", "text").mapInArrow(represent, f"doc_id {kind}, label int, h array<bigint>, times array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    hashed, times = (np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in found.column(name).chunks]]) for name in ("h", "times"))
+    lookup = Lookup(np.unique(hashed.astype(np.uint64)))
     m = len(lookup.keys)
+    at = np.searchsorted(lookup.keys, hashed.astype(np.uint64))
+    ends = np.cumsum([0, *found.column("h").combine_chunks().value_lengths().to_pylist()]) if found.num_rows else np.zeros(1, np.int64)
+    rows = [{"doc_id": i, "label": label, "term": at[a:z], "times": times[a:z]} for i, label, a, z in zip(found.column("doc_id").to_pylist(), found.column("label").to_pylist(), ends[:-1], ends[1:], strict=True)]
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rows = np.zeros(m, np.int64), 0
         for batch in batches:
             for part, data, bounds in _arrays(batch):
-                df += np.bincount(vectors(data, bounds, lookup)[1], minlength=m)
+                df += np.bincount(vectors(data, bounds, lookup, leaning)[1], minlength=m)
                 rows += part.num_rows
         hit = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *hit.tolist()], pa.int64()), pa.array([rows, *df[hit].tolist()], pa.int64())], names=["t", "df"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, hit)), pa.array(np.append(rows, df[hit]))], names=["t", "df"])
 
-    df, total = np.zeros(m), 0
-    for r in docs.mapInArrow(frequencies, "t bigint, df bigint").groupBy("t").agg(F.sum("df").alias("df")).collect():  # m + 1 rows at most
-        if r["t"] < 0:
-            total = r["df"]
-        else:
-            df[r["t"]] = r["df"]
+    counts = docs.mapInArrow(frequencies, "t bigint, df bigint").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # m + 1 rows at most
+    t, n = counts.column("t").to_numpy(), counts.column("df").to_numpy()
+    df, total = np.zeros(m), int(n[t < 0].sum())
+    df[t[t >= 0]] = n[t >= 0]
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
+    idf[np.isin(lookup.keys, leaning.keys)] *= LEAN
 
-    def represent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, bounds in _arrays(batch):
-                text, term, times = vectors(data, bounds, lookup)
-                edges = np.searchsorted(text, np.arange(len(bounds)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), tn.list_array(term.astype(np.int32), edges, pa.int32()), tn.list_array(times.astype(np.int32), edges, pa.int32())], names=["doc_id", "label", "term", "times"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = sorted(examples.select("doc_id", "label", "text").mapInArrow(represent, f"doc_id {kind}, label int, term array<int>, times array<int>").collect(), key=lambda r: r["doc_id"])
-    some = [r for r in rows if r["term"]]
-    unit = [(np.array(r["term"], np.int64), weights(np.array(r["term"]), np.array(r["times"]), idf)) for r in some]
+    some = [r for r in rows if len(r["term"])]
+    unit = [(r["term"], weights(r["term"], r["times"], idf)) for r in some]
     index = BlockMaxIndex(unit, m)
     labelled = np.array([r["label"] for r in some], np.float64)
     scale = {k: sizes.get(k, 0) / max(1, min(sizes.get(k, 0), taken[k])) for k in (0, 1)}
     share = np.array([scale[r["label"]] for r in some])
-    bare = {k: scale[k] * sum(1 for r in rows if not r["term"] and r["label"] == k) for k in (0, 1)}
-    model = Model(lookup, idf, index, np.array([r["doc_id"] for r in some]), labelled, share, (np.zeros(0), np.zeros(0)), (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
-    votes = np.array([model.vote(*index.nearest(t, w, NEIGHBOURS, without=i)) for i, (t, w) in enumerate(unit)])
+    bare = {k: scale[k] * sum(1 for r in rows if not len(r["term"]) and r["label"] == k) for k in (0, 1)}
+    model = Model(lookup, leaning, idf, index, np.array([r["doc_id"] for r in some]), labelled, share, (np.zeros(0), np.zeros(0)), (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
+    votes = np.array([model.vote(found, sims) for found, sims in index.all_nearest(unit, NEIGHBOURS, apart=True)])
     model.steps = isotonic(votes, labelled, share) if len(votes) else model.steps
     return model
 
@@ -248,8 +305,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
 def score(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
     """docs with `score` (0 to 1), `predicted` (1 from the limit on) and `neighbours`, the ids of the examples that voted.
 
-    A text without any known term, as a null or empty one, gets the rate of
-    examples without any. Texts are scored whole, rows as often as they come;
+    A text without any word of the examples, as a null or empty one, gets the rate
+    of examples without any word. Texts are scored whole, rows as often as they come;
     columns named as the new ones are replaced.
     """
     small_batches(docs.sparkSession)
@@ -263,17 +320,21 @@ def score(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
         known: dict[bytes, tuple[float, list[int]]] = {}
         for batch in batches:
             for part, data, bounds in _arrays(batch):
-                text, term, times = vectors(data, bounds, m.lookup)
+                text, term, times = vectors(data, bounds, m.lookup, m.leaning)
                 edges = np.searchsorted(text, np.arange(len(bounds)))
                 scores, near = [m.bare] * part.num_rows, [[]] * part.num_rows
+                keys: dict[int, bytes] = {}
+                fresh: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+                if len(known) > 50_000:
+                    known.clear()
                 for i in np.flatnonzero(np.diff(edges)):
                     t, n = term[edges[i] : edges[i + 1]], times[edges[i] : edges[i + 1]]
-                    key = t.tobytes() + n.tobytes()
-                    if key not in known:
-                        found, sims = m.index.nearest(t, weights(t, n, m.idf), NEIGHBOURS)
-                        if len(known) > 50_000:
-                            known.clear()
-                        known[key] = m.calibrated(m.vote(found, sims)) if len(found) else m.bare, m.ids[found].tolist()
+                    keys[i] = hashlib.blake2b(t.tobytes() + n.tobytes(), digest_size=16).digest()
+                    if keys[i] not in known:
+                        fresh.setdefault(keys[i], (t, weights(t, n, m.idf)))
+                for key, (found, sims) in zip(fresh, m.index.all_nearest(list(fresh.values()), NEIGHBOURS), strict=True):
+                    known[key] = m.calibrated(m.vote(found, sims)) if len(found) else m.bare, m.ids[found].tolist()
+                for i, key in keys.items():
                     scores[i], near[i] = known[key]
                 s = np.clip(np.array(scores, np.float64), 0, 1)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s), pa.array((s >= limit).astype(np.int32)), pa.array(near, pa.list_(pa.int64()))], names=[*part.schema.names, *new])

@@ -229,3 +229,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs, model).count() == 903
     empty = toxicity.fit(docs.limit(0), marks)
     assert {r["score"] for r in toxicity.score(docs, empty).collect()} == {empty.bare}
+
+
+def test_toxicity_vectors_hold_all_words(spark):
+    """Against cosines over all words: each text is searched, and no word of the examples is left out of a norm."""
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(1, 60)) + ["vile"] * (i % 4 == 0))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs.where("doc_id < 150"), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(150)], "doc_id bigint, label int"))
+    df = {w: sum(w in t.split() for _, t in rows[:150]) for w in {*words, "vile"}}
+
+    def vector(text):
+        n = {w: text.split().count(w) for w in set(text.split()) if df[w]}
+        v = {w: (1 + np.log(k)) * (np.log(151 / (1 + df[w])) + 1) * (toxicity.LEAN if w == "vile" else 1) for w, k in n.items()}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        return {w: x / norm for w, x in v.items()}
+
+    unit = [vector(t) for _, t in rows]
+    got = {r["doc_id"]: r["neighbours"] for r in toxicity.score(docs, model).collect()}
+    for i in range(150, 200):
+        sims = np.array([sum(x * v.get(w, 0) for w, x in unit[i].items()) for v in unit[:150]])
+        assert len(got[i]) == min(15, (sims > 0).sum())
+        assert np.allclose(sims[got[i]], np.sort(sims)[::-1][: len(got[i])])
