@@ -158,6 +158,34 @@ def test_leaks(spark):
     assert decontamination.find_leaks(frame.limit(0), bench).count() == 0
 
 
+def test_paraphrases_that_keep_the_common_words(spark):
+    """Shares of 0.6 to 0.8 and the answer: rarer words are replaced, so few known terms are left."""
+    rng = random.Random(12)
+    new = lambda k: ["".join(rng.choices("abcdefghij", k=6)) for _ in range(k)]
+    common, other = new(10), new(3000)
+    docs, items, want = [], [], set()
+    for k in range(6):
+        item = new(30)
+        for at, word in enumerate(common):
+            item.insert(3 * at, word)
+        items.append(item)
+    for i in range(240):
+        w = rng.choices(other, k=rng.randint(60, 200)) + rng.sample(common, 10)
+        rng.shuffle(w)
+        if i % 4 == 0:
+            k = i // 4 % len(items)
+            rare = [at for at in range(30) if items[k][at] not in common]
+            gone = set(rng.sample(rare, rng.choice([10, 14, 16])))
+            at = rng.randint(0, len(w))
+            w[at:at] = [rng.choice(other) if j in gone else x for j, x in enumerate(items[k])]
+            want.add((i, k))
+        docs.append((i, " ".join(w)))
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id bigint, text string")
+    found = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), bench)
+    got = {(r["doc_id"], x["item_id"]) for r in found.collect() for x in r["leaks"]}
+    assert len(want & got) >= 0.97 * len(want) and not got - want
+
+
 def test_leaks_in_the_table(spark):
     """Recall against all documents that hold an item word for word."""
     d = "/root/testdata/sf0.01"
