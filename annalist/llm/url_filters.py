@@ -1,10 +1,10 @@
 """URL filters by a path-template tree, with built-in functions only.
 
 Paths are first reduced to shapes (digits and long hex runs become `#`). Per host
-the shapes form a tree. Level by level, rare segments of a parent with many
-children become the wildcard `*`, and children whose labelled rate does not
-differ from their siblings' as a whole are merged into it too; what is left of
-them keeps its name. A template is rejected if its labelled share of bad pages,
+the shapes form a tree. Level by level, children whose labelled rate does not
+differ from their siblings' as a whole are merged into the wildcard `*`; rare
+segments of a parent with many children must differ by more than chance among
+all of these. What is left of them keeps its name. A template is rejected if its labelled share of bad pages,
 smoothed towards the share of all, reaches a limit. Explicit rules come first.
 """
 
@@ -19,7 +19,7 @@ from annalist.llm.common import cut
 Rule = tuple[str, str, str]
 #: Segments of a path that the tree looks at; what follows is one tail `**`.
 DEPTH = 4
-#: A parent with more children has its rare ones turned into wildcards.
+#: A parent with more children has its rare ones held to a stricter test.
 CHILDREN = 20
 #: A child with a smaller share of its parent's pages is rare.
 RARE = 0.02
@@ -68,7 +68,12 @@ def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN, r
         z = F.abs(F.col("bad") - F.col("labelled") * rate) / F.sqrt(F.greatest(F.col("labelled"), F.lit(1)) * rate * (1 - rate))
         alike = (F.col("labelled") == 0) | (z < apart)
         few = (F.col("p_children") > children) & (F.col("n") < rare * F.col("p_n"))
-        kept = nodes.join(parents, ["host", "_prefix"]).where(~(few | alike)).select("host", "_prefix", "_seg", F.lit(True).alias("_own"))
+        # of many small branches some differ by chance: the tail of the binomial, bounded by its divergence, must be small for all of them
+        good, far = F.col("labelled") - F.col("bad"), F.lit(0.0)
+        for count, share in ((F.col("bad"), rate), (good, 1 - rate)):
+            far = far + F.when(count > 0, count * F.log(count / (F.col("labelled") * share))).otherwise(0.0)
+        alike = F.when(few, (F.col("labelled") == 0) | (far < apart**2 / 2 + F.log("p_children"))).otherwise(alike)
+        kept = nodes.join(parents, ["host", "_prefix"]).where(~alike).select("host", "_prefix", "_seg", F.lit(True).alias("_own"))
         kept = cut(kept, f"kept-{level}")
         # a segment of digits alone stays a class of its own
         named = F.when(F.col("_own") | (F.col("_seg") == "#") | (F.col("_seg") == ""), F.col("_seg")).otherwise("*")

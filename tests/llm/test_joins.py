@@ -233,6 +233,22 @@ def test_url_templates(spark):
         assert abs(by[ids[0]]["bad_share"] - (sum(known) + 10 * 0.5) / (len(known) + 10)) < 1e-9
 
 
+def verdicts(spark, rows, labels):
+    frames = spark.createDataFrame(rows, "page_id bigint, url string"), spark.createDataFrame(labels, "page_id bigint, bad int")
+    return {r["page_id"]: r for r in url_filters.judge(*frames, []).collect()}
+
+
+def test_url_rare_branch_that_differs(spark):
+    names = [f"shop{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(100)]
+    rows = [(i, f"http://hot.com/{names[i % 100]}/p{i}") for i in range(4000)] + [(5000 + i, f"http://hot.com/spam/p{i}") for i in range(40)]
+    got = verdicts(spark, rows, [(i, int(i >= 5000 or i == 3)) for i, _ in rows])
+    assert all(got[i]["verdict"] == ("block" if i >= 5000 else "allow") for i, _ in rows)
+    assert got[5000]["template"].startswith("/spam/")
+    # one bad page is no branch of its own
+    assert got[3]["template"] == got[4]["template"]
+
+
+
 def test_warc_round_trip(spark):
     big = "<p>" + "é\r\n\r\nWARC/1.1\r\n" * 30
     pages = [(i, f"http://x/{i}", h) for i, h in enumerate([big, None, "", "small", "small", big, big + "!", "x" * 300_000, big, "y" * 99, "y" * 99, "z" * 100, "z" * 100])] + [(5, "http://again", big), (None, None, big), (20, "http://a\r\nb", "q" * 200)]
