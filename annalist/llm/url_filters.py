@@ -17,8 +17,6 @@ from annalist.llm.common import cut
 
 #: (host, path prefix, verdict)
 Rule = tuple[str, str, str]
-#: Segments of a path that the tree looks at; what follows is one tail `**`.
-DEPTH = 4
 #: A parent with more children has its rare ones held to a stricter test.
 CHILDREN = 20
 #: A child with a smaller share of its parent's pages is rare.
@@ -55,11 +53,12 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, "[0-9A-Fa-f]{16,}", "#"), "[0-9]+", "#")
 
 
-def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN, rare: float = RARE, apart: float = APART) -> DataFrame:
+def templates(shapes: DataFrame, children: int = CHILDREN, rare: float = RARE, apart: float = APART) -> DataFrame:
     """shapes (host, shape, n, labelled, bad; a row for each host and shape) with `template`."""
     parts = F.split(F.regexp_replace("shape", "^/", ""), "/")
     tree = shapes.withColumn("_parts", F.when(F.col("shape") == "", F.array().cast("array<string>")).otherwise(parts)).withColumn("_prefix", F.lit(""))
-    for level in range(1, depth + 1):
+    depth = tree.agg(F.max(F.size("_parts"))).first()[0] or 0
+    for level in range(1, depth + 1):  # until no path has more segments
         tree = cut(tree.withColumn("_seg", F.when(F.size("_parts") >= level, F.get("_parts", F.lit(level - 1)))), f"templates-{level}")
         sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
         nodes = tree.where("_seg IS NOT NULL").groupBy("host", "_prefix", "_seg").agg(*sums)
@@ -78,11 +77,10 @@ def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN, r
         # a segment of digits alone stays a class of its own
         named = F.when(F.col("_own") | (F.col("_seg") == "#") | (F.col("_seg") == ""), F.col("_seg")).otherwise("*")
         tree = tree.join(kept, ["host", "_prefix", "_seg"], "left").withColumn("_prefix", F.when(F.col("_seg").isNull(), F.col("_prefix")).otherwise(F.concat("_prefix", F.lit("/"), named))).drop("_own", "_seg")
-    tail = F.when(F.size("_parts") > depth, F.concat("_prefix", F.lit("/**"))).otherwise(F.col("_prefix"))
-    return tree.withColumn("template", tail).drop("_parts", "_prefix")
+    return tree.withColumn("template", F.col("_prefix")).drop("_parts", "_prefix")
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], depth: int = DEPTH, prior: float = PRIOR, reject: float = REJECT, **tree) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], prior: float = PRIOR, reject: float = REJECT, **tree) -> DataFrame:
     """page_id, host, path, rule, verdict, template and bad_share of each page; labels: page_id, bad (0 or 1).
 
     Without a rule, `block` if the template's smoothed share of bad pages is at
@@ -95,7 +93,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], depth: int = D
     pages = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("shape", shape(F.col("path")))
     marks = labels.where("bad IS NOT NULL AND page_id IS NOT NULL").groupBy("page_id").agg(F.max(F.col("bad").cast("long")).alias("bad"))
     counted = pages.select("page_id", "host", "shape").join(marks, "page_id", "left").groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    tree = cut(templates(cut(counted, "shapes"), depth, **tree), "tree")
+    tree = cut(templates(cut(counted, "shapes"), **tree), "tree")
     told = tree.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).first()
     overall = (told["bad"] or 0) / (told["labelled"] or 1)
     purity = tree.groupBy("host", "template").agg(((F.sum("bad") + F.lit(prior * overall)) / (F.sum("labelled") + F.lit(prior))).alias("bad_share"))

@@ -248,6 +248,12 @@ def test_url_rare_branch_that_differs(spark):
     assert got[3]["template"] == got[4]["template"]
 
 
+def test_url_branches_below_many_segments(spark):
+    rows = [(i, f"http://x.com/a/b/c/d/e/{'spam' if i % 3 == 0 else 'shop'}/p{i}") for i in range(300)]
+    got = verdicts(spark, rows, [(i, int(i % 3 == 0)) for i in range(0, 300, 2)])
+    assert all(got[i]["verdict"] == ("allow" if i % 3 else "block") for i, _ in rows)
+
+
 
 def test_warc_round_trip(spark):
     big = "<p>" + "é\r\n\r\nWARC/1.1\r\n" * 30
