@@ -14,8 +14,6 @@ from pyspark.sql.window import Window
 from annalist.llm.fingerprints import let
 
 _MARKS = r"^(?:[ \t]*>)+[ \t]?"
-#: Normalised lines of fewer code points are too common to link by.
-LEAST_CHARS = 8
 
 
 def parse_lines(text: Column) -> Column:
@@ -51,7 +49,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     plain = F.filter("lines", lambda x: x["level"] == 0)
     content = F.regexp_replace(F.array_join(F.transform(plain, lambda x: x["body"]), "\n"), r"^(?:[ \t]*\n)+|(?:\n[ \t]*)+$", "")
     parsed = rows.select("conv_id", "turn", "role", content.alias("content"), F.size(quoted).cast("long").alias("n_quoted"), F.coalesce(F.array_max(F.transform("lines", lambda x: x["level"])), F.lit(0)).cast("long").alias("max_level"))
-    lines = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("lines").alias("x")).select("conv_id", "turn", "x.level", normalised(F.col("x.body")).alias("key")).where(F.char_length("key") >= LEAST_CHARS)
+    lines = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("lines").alias("x")).select("conv_id", "turn", "x.level", normalised(F.col("x.body")).alias("key")).where("key <> ''")
     lines = lines.select("conv_id", "turn", "level", F.sha2("key", 256).alias("h"))
     quotes = lines.where("level > 0").groupBy("conv_id", "h", "turn").agg(F.min("level").alias("level"), F.count("*").alias("n"))
     wanted = quotes.select("conv_id", "h").distinct()

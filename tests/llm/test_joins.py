@@ -304,6 +304,16 @@ def test_quotes(spark):
     assert conversations.link_quotes(frame).count() == len(rows) and conversations.link_quotes(frame.limit(0)).count() == 0
 
 
+def reply_to(spark, *texts):
+    frame = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, role string, text string")
+    return [(r["reply_to"], r["linked"]) for r in sorted(conversations.link_quotes(frame).collect(), key=lambda r: r["turn"])]
+
+
+def test_short_quotes(spark):
+    assert reply_to(spark, "Yes", "42 km", "\u597d\u7684", "Other words.", "> Yes\na", "> 42 km\nb", "> \u597d\u7684\nc", "> !\nd")[4:] == [(0, True), (1, True), (2, True), (6, False)]
+
+
+
 def test_pipeline_against_brute_force(spark):
     """Each stage on its own input, by plain Python."""
     import corpus_pipeline as cp
