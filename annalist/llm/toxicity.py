@@ -108,6 +108,19 @@ class BlockMaxIndex:
         place = np.repeat(np.arange(self.n), [len(rows[r][0]) for r in self.order]) if rows else np.zeros(0, np.int64)
         term = np.concatenate([np.zeros(0, np.int64), *[rows[r][0] for r in self.order]])
         weight = np.concatenate([np.zeros(0), *[rows[r][1] for r in self.order]])
+        self._arrange(place.astype(np.int32), term.astype(np.int32), weight, terms)
+
+    def __getstate__(self):
+        # only the postings travel; each worker arranges them
+        return self.order, self.given
+
+    def __setstate__(self, state):
+        self.order, given = state
+        self.n, self.blocks = len(self.order), -(-len(self.order) // BLOCK)
+        self._arrange(*given)
+
+    def _arrange(self, place: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int) -> None:
+        self.given = place, term, weight, terms
         # postings of frequent terms are kept as a matrix, the others as lists
         often = np.flatnonzero(np.bincount(term, minlength=terms) * OFTEN > self.n)
         self.row = np.full(terms, -1, np.int64)
@@ -118,6 +131,7 @@ class BlockMaxIndex:
         self.dense[row[at], place[at]] = weight[at]
         term, place, weight = term[~at], place[~at], weight[~at]
         by = np.argsort(term, kind="stable")
+        term = term.astype(np.int64)
         term, self.place, self.weight = term[by], place[by].astype(np.int32), weight[by]
         # a cell is the postings of a term in a block
         cell = term * np.int64(self.blocks + 1) + self.place // BLOCK
