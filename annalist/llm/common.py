@@ -2,6 +2,8 @@
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,28 +23,72 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or one under the working directory where it is unset."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir. Only a local session may do without, and gets one under the working directory."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = f"file://{os.path.abspath('spark-warehouse')}/shared"
-    return found
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"file://{os.path.abspath('spark-warehouse')}/shared"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/annalist-{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back: later stages depend on files, not on executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: For each open block of tables(), the paths that go when it ends, and those that are kept.
+_open: list[tuple[list[str], list[str]]] = []
+
+
+def _at(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    at, fs = _at(spark, path)
+    fs.delete(at, True)
+
+
+def owned(spark: SparkSession, path: str, keep: bool = False) -> str:
+    """path, a written folder that goes with the innermost block of tables(), or when the session's JVM ends."""
+    at, fs = _at(spark, path)
+    fs.deleteOnExit(at)
+    if _open:
+        _open[-1][keep].append(path)
+    return path
+
+
+@contextmanager
+def tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are cut within are removed when the block ends, but for those cut with keep, which then belong to the block around it."""
+    _open.append(([], []))
+    try:
+        yield
+    finally:
+        gone, kept = _open.pop()
+        if _open:
+            _open[-1][0].extend(kept)
+        for path in gone:
+            drop_path(spark, path)
+
+
+def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """df written to the shared folder and read back: later stages depend on files, not on executors."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    owned(spark, path, keep)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def partitions(spark: SparkSession) -> int:

@@ -1,19 +1,22 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 A bounded sample of labelled documents is indexed, so the index travels to all
-tasks. Document frequencies are those of all documents. The terms are all words
-of the sample, and the word beginnings that go with the label in it; terms that
-go with the label weigh LEAN times their TF-IDF, and no other term is left out of
-a vector or its norm. The index keeps, for each term and block of examples, the
-largest weight: blocks are taken by falling upper bound, until no block can reach
-the k-th best, so the neighbours found are the exact ones. Their
+tasks. A vector has all words of the text that any example has. A word weighs its
+TF-IDF, with document frequencies of all documents, times its relevance frequency
+(Lan et al., "Supervised and Traditional Term Weighting Methods", 2009): a smooth
+function of how much oftener it is in examples of label 1 than of label 0. No word
+is chosen or left out by it. The index keeps, for each term and block of examples,
+the largest weight: blocks are taken by falling upper bound, until no block can
+reach the k-th best, so the neighbours found are the exact ones. Their
 similarity-weighted votes are calibrated by isotonic regression on leave-one-out
 votes of the examples.
 """
 
 import hashlib
+import pickle
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -21,17 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist.llm import textnum as tn
-from annalist.llm.common import small_batches
-
-#: At most so many examples of each label, and so many terms that go with the label.
-POSITIVES, NEGATIVES, TERMS = 3000, 6000, 2048
-#: Lengths of word beginnings, in bytes.
-BEGINNINGS = (4, 5, 6)
-#: A term goes with the label if it is in so many positive examples at least, so many times as often as in negative ones, with such a chi-square.
-SUPPORT, RATIO, CHI2 = 4, 4.0, 15.0
-#: The weight of these terms is so many times their TF-IDF.
-LEAN = 8.0
+from annalist.llm.common import cut, small_batches
+
+#: At most so many examples of each label.
+POSITIVES, NEGATIVES = 3000, 6000
 NEIGHBOURS = 15
+#: Power of the relevance frequency in a weight.
+SHARP = 2
 BLOCK = 64
 #: A term in more than one of so many examples is frequent.
 OFTEN = 32
@@ -40,20 +39,6 @@ PRODUCT = 128
 LIMIT = 0.3
 
 
-def terms_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes of all words and then word beginnings, the text of each, and how many are words."""
-    starts, ends, _ = tn.words(data, bounds, tn.PUNCT)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-    owner = np.searchsorted(bounds, starts, "right") - 1
-    out, owners = [tn.hashes(data, starts, ends)], [owner]
-    for n in BEGINNINGS:
-        long = ends - starts > n
-        out.append(tn.hashes(data, starts[long], starts[long] + n) ^ np.uint64(n))
-        owners.append(owner[long])
-    return np.concatenate(out), np.concatenate(owners), len(starts)
-
-
 class Lookup:
     """Places of hashes in a sorted array; a small table of bits turns most others away."""
 
@@ -72,27 +57,35 @@ class Lookup:
         return some[hit], at[hit]
 
 
-def kept(data: np.ndarray, bounds: np.ndarray, leaning: Lookup) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and of the leaning word beginnings, and the text of each."""
-    h, owner, n = terms_of(data, bounds)
-    which = n + leaning.find(h[n:])[0]
-    return np.concatenate([h[:n], h[which]]), np.concatenate([owner[:n], owner[which]])
+def hashed_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the text of each."""
+    starts, ends, _ = tn.words(data, bounds, tn.PUNCT)
+    return tn.hashes(data, starts, ends), np.searchsorted(bounds, starts, "right") - 1
 
 
-def vectors(data: np.ndarray, bounds: np.ndarray, lookup: Lookup, leaning: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term, times) of the known terms of each text, sorted by text and term."""
-    h, owner = kept(data, bounds, leaning)
+def vectors(data: np.ndarray, bounds: np.ndarray, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, times) of the known words of each text, sorted by text and term."""
+    h, owner = hashed_words(data, bounds)
     which, term = lookup.find(h)
     pair, times = np.unique(owner[which] * np.int64(len(lookup.keys) + 1) + term, return_counts=True)
     return pair // (len(lookup.keys) + 1), pair % (len(lookup.keys) + 1), times
 
 
-def weights(term: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    w = (1 + np.log(times)) * idf[term]
+def weights(term: np.ndarray, times: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """The unit vector of a text; worth is what a term weighs besides its frequency in the text."""
+    w = (1 + np.log(times)) * worth[term]
     n = np.sqrt((w * w).sum())
     return w / n if n else w
 
 
+def relevance(term: np.ndarray, edges: np.ndarray, labels: np.ndarray, terms: int) -> np.ndarray:
+    """log2(1 + max(1, p / max(1, n))) ** SHARP of each term: p of the examples of label 1 have it, and n of those of label 0, scaled as if the labels had equally many. 1 for a word that is not oftener in label 1."""
+    bad = np.repeat(labels == 1, np.diff(edges))
+    n1, n0 = max(1, int((labels == 1).sum())), max(1, int((labels == 0).sum()))
+    p, n = (np.bincount(term[which], minlength=terms) for which in (bad, ~bad))
+    return np.log2(1 + np.maximum(1, p / np.maximum(1, n * (n1 / n0)))) ** SHARP
+
+
 def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     """first, first + 1, ... of each range of n numbers."""
     return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
@@ -110,17 +103,7 @@ class BlockMaxIndex:
         weight = np.concatenate([np.zeros(0), *[rows[r][1] for r in self.order]])
         self._arrange(place.astype(np.int32), term.astype(np.int32), weight, terms)
 
-    def __getstate__(self):
-        # only the postings travel; each worker arranges them
-        return self.order, self.given
-
-    def __setstate__(self, state):
-        self.order, given = state
-        self.n, self.blocks = len(self.order), -(-len(self.order) // BLOCK)
-        self._arrange(*given)
-
     def _arrange(self, place: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int) -> None:
-        self.given = place, term, weight, terms
         # postings of frequent terms are kept as a matrix, the others as lists
         often = np.flatnonzero(np.bincount(term, minlength=terms) * OFTEN > self.n)
         self.row = np.full(terms, -1, np.int64)
@@ -205,17 +188,43 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([p[0] for p in pools]), np.array([(p[1] + 0.1) / (p[2] + 0.5) for p in pools])
 
 
+def _packed(a: np.ndarray) -> np.ndarray:
+    """a in the smallest unsigned type that holds it."""
+    return a.astype(np.min_scalar_type(int(a.max(initial=0))))
+
+
 @dataclass
 class Model:
-    lookup: Lookup
-    leaning: Lookup
-    idf: np.ndarray
-    index: BlockMaxIndex
-    ids: np.ndarray
+    """Examples as term counts; the lookup and the index are made from them, on each worker anew."""
+
+    keys: np.ndarray
+    worth: np.ndarray
+    #: The counted terms of example i are places edges[i] to edges[i + 1] of term and times.
+    edges: np.ndarray
+    term: np.ndarray
+    times: np.ndarray
+    ids: list
     labels: np.ndarray
     share: np.ndarray
-    steps: tuple[np.ndarray, np.ndarray]
     bare: float
+    steps: tuple[np.ndarray, np.ndarray] = (np.zeros(0), np.zeros(0))
+    lookup: Lookup = field(init=False)
+    index: BlockMaxIndex = field(init=False)
+
+    def __post_init__(self):
+        self.lookup, self.index = Lookup(self.keys), BlockMaxIndex(self.unit(), len(self.keys))
+
+    def __getstate__(self):
+        told = self.keys, self.worth, _packed(self.edges), _packed(self.term), _packed(self.times), self.ids, self.labels, self.share, self.bare, self.steps
+        return zlib.compress(pickle.dumps(told), 1)
+
+    def __setstate__(self, state: bytes):
+        keys, worth, edges, term, times, *rest = pickle.loads(zlib.decompress(state))
+        self.__init__(keys, worth, *(a.astype(np.int64) for a in (edges, term, times)), *rest)
+
+    def unit(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Terms and weights of each example."""
+        return [(self.term[a:z], weights(self.term[a:z], self.times[a:z], self.worth)) for a, z in zip(self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True)]
 
     def vote(self, found: np.ndarray, sims: np.ndarray) -> float:
         w = sims**2 * self.share[found]
@@ -235,43 +244,28 @@ def _arrays(batch: pa.RecordBatch):
         yield batch.slice(at, end - at), data, bounds
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES, terms: int = TERMS) -> Model:
-    """A model from labels (doc_id, label 0 or 1) of docs. Null labels and ids don't count; of a document labelled twice the larger label does."""
+def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> Model:
+    """A model from labels (doc_id, label 0 or 1) of docs.
+
+    Null labels and ids, and labels of documents that aren't here, don't count; of
+    a document labelled twice the larger label does, of rows that repeat a doc_id
+    the least text. The examples are the first of each label by a hash of the id,
+    `positives` and `negatives` of them at most.
+    """
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     told = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
+    told = cut(told.join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
     sizes = {r["label"]: r["count"] for r in told.groupBy("label").count().collect()}
     taken = {1: positives, 0: negatives}
-    # the sample is the first of each label by a hash of the id: bounded, so it may be broadcast
+    # bounded, so it may be broadcast
     sample = told.where("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives).unionByName(told.where("label = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(negatives))
-    examples = docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, bounds in _arrays(batch):
-                h, owner, _ = terms_of(data, bounds)
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-                label = part.column("label").to_numpy()[owner[new]].astype(np.int64)
-                key, which = np.unique(h[new], return_inverse=True)
-                pos = np.bincount(which, label, len(key)).astype(np.int64)
-                both = np.bincount(which, minlength=len(key))
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(pos), pa.array(both - pos)], names=["h", "p", "n"])
-
-    n1, n0 = (min(sizes.get(k, 0), taken[k]) for k in (1, 0))
-    stats = examples.mapInArrow(features, "h bigint, p bigint, n bigint").groupBy("h").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).where(F.col("p") >= SUPPORT)
-    p, n = F.col("p").cast("double"), F.col("n").cast("double")
-    a, b = p + n, F.lit(float(max(n1 + n0, 1)))
-    chi2 = b * (p * (n0 - n) - n * (n1 - p)) ** 2 / F.greatest(a * (b - a) * n1 * n0, F.lit(1.0))
-    chosen = stats.withColumn("chi2", chi2).where(((p + 0.5) / (n1 + 1) >= RATIO * (n + 0.5) / (n0 + 1)) & (F.col("chi2") >= CHI2)).orderBy(F.desc("chi2"), "h").limit(terms).collect()
-    leaning = Lookup(np.array([r["h"] for r in chosen], np.int64).astype(np.uint64))
+    examples = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def represent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in _arrays(batch):
-                h, owner = kept(data, bounds, leaning)
+                h, owner = hashed_words(data, bounds)
                 key, which = np.unique(h, return_inverse=True)
                 pair, times = np.unique(owner * np.int64(len(key) + 1) + which, return_counts=True)
                 edges = np.searchsorted(pair // (len(key) + 1), np.arange(len(bounds)))
@@ -281,37 +275,34 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     # as many rows as the sample has, as Arrow
     found = examples.select("doc_id", "label", "text").mapInArrow(represent, f"doc_id {kind}, label int, h array<bigint>, times array<int>").toArrow().sort_by("doc_id").combine_chunks()
     hashed, times = (np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in found.column(name).chunks]]) for name in ("h", "times"))
-    lookup = Lookup(np.unique(hashed.astype(np.uint64)))
-    m = len(lookup.keys)
-    at = np.searchsorted(lookup.keys, hashed.astype(np.uint64))
-    ends = np.cumsum([0, *found.column("h").combine_chunks().value_lengths().to_pylist()]) if found.num_rows else np.zeros(1, np.int64)
-    rows = [{"doc_id": i, "label": label, "term": at[a:z], "times": times[a:z]} for i, label, a, z in zip(found.column("doc_id").to_pylist(), found.column("label").to_pylist(), ends[:-1], ends[1:], strict=True)]
+    keys = np.unique(hashed.astype(np.uint64))
+    lookup, m = Lookup(keys), len(keys)
+    term = np.searchsorted(keys, hashed.astype(np.uint64))
+    lengths = np.array([n for c in found.column("h").chunks for n in c.value_lengths().to_pylist()], np.int64)
+    marks = found.column("label").to_numpy().astype(np.int64)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rows = np.zeros(m, np.int64), 0
         for batch in batches:
             for part, data, bounds in _arrays(batch):
-                df += np.bincount(vectors(data, bounds, lookup, leaning)[1], minlength=m)
+                df += np.bincount(vectors(data, bounds, lookup)[1], minlength=m)
                 rows += part.num_rows
         hit = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, hit)), pa.array(np.append(rows, df[hit]))], names=["t", "df"])
 
-    counts = docs.mapInArrow(frequencies, "t bigint, df bigint").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # m + 1 rows at most
+    counts = docs.select("text").mapInArrow(frequencies, "t bigint, df bigint").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # m + 1 rows at most
     t, n = counts.column("t").to_numpy(), counts.column("df").to_numpy()
     df, total = np.zeros(m), int(n[t < 0].sum())
     df[t[t >= 0]] = n[t >= 0]
-    idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
-    idf[np.isin(lookup.keys, leaning.keys)] *= LEAN
-
-    some = [r for r in rows if len(r["term"])]
-    unit = [(r["term"], weights(r["term"], r["times"], idf)) for r in some]
-    index = BlockMaxIndex(unit, m)
-    labelled = np.array([r["label"] for r in some], np.float64)
     scale = {k: sizes.get(k, 0) / max(1, min(sizes.get(k, 0), taken[k])) for k in (0, 1)}
-    share = np.array([scale[r["label"]] for r in some])
-    bare = {k: scale[k] * sum(1 for r in rows if not len(r["term"]) and r["label"] == k) for k in (0, 1)}
-    model = Model(lookup, leaning, idf, index, np.array([r["doc_id"] for r in some]), labelled, share, (np.zeros(0), np.zeros(0)), (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
-    votes = np.array([model.vote(found, sims) for found, sims in index.all_nearest(unit, NEIGHBOURS, apart=True)])
+    bare = {k: scale[k] * int(((lengths == 0) & (marks == k)).sum()) for k in (0, 1)}
+    some = lengths > 0
+    edges, labelled = np.concatenate([[0], np.cumsum(lengths[some])]).astype(np.int64), marks[some].astype(np.float64)
+    worth = (np.log((1.0 + total) / (1.0 + df)) + 1.0) * relevance(term, edges, labelled, m)
+    ids = [i for i, keep in zip(found.column("doc_id").to_pylist(), some.tolist(), strict=True) if keep]
+    share = np.where(labelled == 1, scale[1], scale[0])
+    model = Model(keys, worth, edges, term, times.astype(np.int64), ids, labelled, share, (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
+    votes = np.array([model.vote(found, sims) for found, sims in model.index.all_nearest(model.unit(), NEIGHBOURS, apart=True)])
     model.steps = isotonic(votes, labelled, share) if len(votes) else model.steps
     return model
 
@@ -324,17 +315,18 @@ def score(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
     columns named as the new ones are replaced.
     """
     small_batches(docs.sparkSession)
-    new = {"score": "double", "predicted": "int", "neighbours": "array<bigint>"}
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    new = {"score": "double", "predicted": "int", "neighbours": f"array<{kind}>"}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in new])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{k} {v}" for k, v in new.items())])
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        known: dict[bytes, tuple[float, list[int]]] = {}
+        known: dict[bytes, tuple[float, list]] = {}
         for batch in batches:
             for part, data, bounds in _arrays(batch):
-                text, term, times = vectors(data, bounds, m.lookup, m.leaning)
+                text, term, times = vectors(data, bounds, m.lookup)
                 edges = np.searchsorted(text, np.arange(len(bounds)))
                 scores, near = [m.bare] * part.num_rows, [[]] * part.num_rows
                 keys: dict[int, bytes] = {}
@@ -345,12 +337,12 @@ def score(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
                     t, n = term[edges[i] : edges[i + 1]], times[edges[i] : edges[i + 1]]
                     keys[i] = hashlib.blake2b(t.tobytes() + n.tobytes(), digest_size=16).digest()
                     if keys[i] not in known:
-                        fresh.setdefault(keys[i], (t, weights(t, n, m.idf)))
+                        fresh.setdefault(keys[i], (t, weights(t, n, m.worth)))
                 for key, (found, sims) in zip(fresh, m.index.all_nearest(list(fresh.values()), NEIGHBOURS), strict=True):
-                    known[key] = m.calibrated(m.vote(found, sims)) if len(found) else m.bare, m.ids[found].tolist()
+                    known[key] = m.calibrated(m.vote(found, sims)) if len(found) else m.bare, [m.ids[i] for i in found.tolist()]
                 for i, key in keys.items():
                     scores[i], near[i] = known[key]
                 s = np.clip(np.array(scores, np.float64), 0, 1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s), pa.array((s >= limit).astype(np.int32)), pa.array(near, pa.list_(pa.int64()))], names=[*part.schema.names, *new])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s), pa.array((s >= limit).astype(np.int32)), pa.array(near, pa.list_(part.column("doc_id").type))], names=[*part.schema.names, *new])
 
     return docs.mapInArrow(run, schema)

@@ -231,24 +231,89 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["score"] for r in toxicity.score(docs, empty).collect()} == {empty.bare}
 
 
-def test_toxicity_vectors_hold_all_words(spark):
-    """Against cosines over all words: each text is searched, and no word of the examples is left out of a norm."""
+def plain_toxicity(rows, labels, k=15):
+    """Similarities to all examples and votes, by dictionaries over all words."""
+    texts = {i: re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").translate({c: c + 32 for c in range(65, 91)})) for i, t in rows}
+    examples = [i for i in sorted(labels) if texts[i]]
+    df = {}
+    for w in texts.values():
+        for x in set(w):
+            df[x] = df.get(x, 0) + 1
+    n1 = sum(labels[i] for i in examples)
+    scale = n1 / (len(examples) - n1)
+    held = {x for i in examples for x in texts[i]}
+    p, q = ({x: sum(x in texts[i] for i in examples if labels[i] == y) for x in held} for y in (1, 0))
+    worth = {x: (np.log((1 + len(rows)) / (1 + df[x])) + 1) * np.log2(1 + max(1, p[x] / max(1, q[x] * scale))) ** 2 for x in held}
+
+    def vector(words):
+        v = {x: (1 + np.log(words.count(x))) * worth[x] for x in set(words) if x in held}
+        norm = sum(a * a for a in v.values()) ** 0.5
+        return {x: a / norm for x, a in v.items()}
+
+    unit = {i: vector(w) for i, w in texts.items()}
+    sims = {i: {e: sum(a * unit[e].get(x, 0.0) for x, a in v.items()) for e in examples} for i, v in unit.items()}
+
+    def vote(i, without=None):
+        near = sorted(((s, e) for e, s in sims[i].items() if s > 1e-12 and e != without), key=lambda x: (-round(x[0], 12), x[1]))[:k]
+        total = sum(s * s for s, _ in near)
+        return (sum(s * s * labels[e] for s, e in near) / total if total else 0.0), near
+
+    return sims, vote, examples
+
+
+def test_toxicity_by_brute_force(spark):
+    """The whole query: weights over all words, exact neighbours, leave-one-out votes, their isotonic fit, scores."""
     rng = random.Random(10)
     words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(400)]
-    rows = [(i, " ".join(rng.choices(words, k=rng.randint(1, 60)) + ["vile"] * (i % 4 == 0))) for i in range(200)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    model = toxicity.fit(docs.where("doc_id < 150"), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(150)], "doc_id bigint, label int"))
-    df = {w: sum(w in t.split() for _, t in rows[:150]) for w in {*words, "vile"}}
-
-    def vector(text):
-        n = {w: text.split().count(w) for w in set(text.split()) if df[w]}
-        v = {w: (1 + np.log(k)) * (np.log(151 / (1 + df[w])) + 1) * (toxicity.LEAN if w == "vile" else 1) for w, k in n.items()}
-        norm = sum(x * x for x in v.values()) ** 0.5
-        return {w: x / norm for w, x in v.items()}
-
-    unit = [vector(t) for _, t in rows]
-    got = {r["doc_id"]: r["neighbours"] for r in toxicity.score(docs, model).collect()}
-    for i in range(150, 200):
-        sims = np.array([sum(x * v.get(w, 0) for w, x in unit[i].items()) for v in unit[:150]])
-        assert len(got[i]) == min(15, (sims > 0).sum())
-        assert np.allclose(sims[got[i]], np.sort(sims)[::-1][: len(got[i])])
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(1, 60)) + ["vile", "été"] * (i % 4 == 0))) for i in range(260)] + [(300, ""), (301, None), (302, "unheard")]
+    labels = {i: int(i % 4 == 0) for i in range(150)} | {300: 0}
+    docs = spark.createDataFrame([(str(i), t) for i, t in rows], "doc_id string, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(str(i), y) for i, y in [*labels.items(), (9000, 1)]], "doc_id string, label int"))
+    got = {int(r["doc_id"]): r for r in toxicity.score(docs, model).collect()}
+    sims, vote, examples = plain_toxicity(rows, labels)
+    assert len(model.keys) == len({w for i in examples for w in dict(rows)[i].split()})
+    steps = toxicity.isotonic(np.array([vote(i, i)[0] for i in examples]), np.array([labels[i] for i in examples], float), np.ones(len(examples)))
+    assert np.allclose(steps[0], model.steps[0]) and np.allclose(steps[1], model.steps[1])
+    for i, t in rows:
+        value, near = vote(i)
+        found = [int(x) for x in got[i]["neighbours"]]
+        assert np.allclose(sorted(sims[i][e] for e in found), sorted(s for s, _ in near))
+        want = steps[1][max(0, int(np.searchsorted(steps[0], value + 1e-12, "right")) - 1)] if near else model.bare
+        assert abs(got[i]["score"] - want) < 1e-9 and got[i]["predicted"] == (want >= toxicity.LIMIT)
+    assert got[302]["neighbours"] == [] and got[301]["score"] == got[300]["score"] == model.bare
+
+
+def test_leave_one_out_is_exact():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        rows = []
+        for _ in range(150):
+            t = np.sort(rng.choice(25, rng.integers(1, 6), replace=False))
+            rows.append((t, toxicity.weights(t, np.ones(len(t)), np.linspace(1, 3, 25))))
+        dense = np.zeros((150, 25))
+        for i, (t, w) in enumerate(rows):
+            dense[i, t] = w
+        for i, (found, sims) in enumerate(toxicity.BlockMaxIndex(rows, 25).all_nearest(rows, 15, apart=True)):
+            want = dense @ dense[i]
+            want[i] = 0
+            assert i not in found and np.allclose(sims, np.sort(want[want > 1e-9])[::-1][:15])
+
+
+def test_repeated_ids_and_labels_of_others(spark):
+    docs = spark.createDataFrame([(1, "b vile"), (1, "a calm"), (2, "vile b"), (3, "calm a")], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (2, 0), (8, 1), (9, 1)], "doc_id bigint, label int")
+    model = toxicity.fit(docs, marks)
+    assert model.ids == [1, 2, 3] and model.labels.tolist() == [0, 1, 0] and model.share.tolist() == [1, 1, 1]
+    assert toxicity.score(docs, model).count() == 4
+
+
+def test_toxicity_of_the_table(spark):
+    """Held-out accuracy on the rows that the query leaves out of the fit."""
+    from annalist.llm import queries
+    from annalist.llm.common import read
+
+    d = "/root/testdata/sf0.1"
+    got = queries.op4_toxicity(spark, d).where("held_out").join(read(spark, d, "labels"), "doc_id").select("toxic", "predicted", "score").collect()
+    bad, good = [r for r in got if r["toxic"]], [r for r in got if not r["toxic"]]
+    assert sum(r["predicted"] for r in bad) >= 0.92 * len(bad) and sum(r["predicted"] for r in good) <= 0.01 * len(good)
+    assert sum(g["score"] < b["score"] for g in good for b in bad) >= 0.95 * len(good) * len(bad)
