@@ -33,7 +33,7 @@ NEIGHBOURS = 15
 SHARP = 2
 BLOCK = 64
 #: A term in more than one of so many examples is frequent.
-OFTEN = 32
+OFTEN = 12
 #: Texts whose frequent terms are multiplied at once.
 PRODUCT = 128
 LIMIT = 0.3
@@ -94,14 +94,15 @@ def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Exact k nearest examples by the dot product of unit vectors."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], terms: int):
+    def __init__(self, edges: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int):
+        """Of example i, the terms and weights from edges[i] to edges[i + 1]; each has one at least."""
+        self.n = len(edges) - 1
+        self.blocks = -(-self.n // BLOCK)
         # alike examples share blocks: ordered by their heaviest term
-        self.order = np.array(sorted(range(len(rows)), key=lambda r: (int(rows[r][0][np.argmax(rows[r][1])]), r)), np.int64)
-        self.n, self.blocks = len(rows), -(-len(rows) // BLOCK)
-        place = np.repeat(np.arange(self.n), [len(rows[r][0]) for r in self.order]) if rows else np.zeros(0, np.int64)
-        term = np.concatenate([np.zeros(0, np.int64), *[rows[r][0] for r in self.order]])
-        weight = np.concatenate([np.zeros(0), *[rows[r][1] for r in self.order]])
-        self._arrange(place.astype(np.int32), term.astype(np.int32), weight, terms)
+        heaviest = np.array([term[a + int(np.argmax(weight[a:z]))] for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)], np.int64)
+        self.order = np.argsort(heaviest, kind="stable")
+        self.at = np.argsort(self.order)
+        self._arrange(np.repeat(self.at.astype(np.int32), np.diff(edges)), term.astype(np.int32), weight, terms)
 
     def _arrange(self, place: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int) -> None:
         # postings of frequent terms are kept as a matrix, the others as lists
@@ -113,9 +114,8 @@ class BlockMaxIndex:
         at = row >= 0
         self.dense[row[at], place[at]] = weight[at]
         term, place, weight = term[~at], place[~at], weight[~at]
-        by = np.argsort(term, kind="stable")
-        term = term.astype(np.int64)
-        term, self.place, self.weight = term[by], place[by].astype(np.int32), weight[by]
+        by = np.lexsort((place, term))
+        term, self.place, self.weight = term[by], place[by], weight[by]
         # a cell is the postings of a term in a block
         cell = term * np.int64(self.blocks + 1) + self.place // BLOCK
         first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])[: len(cell)])
@@ -149,24 +149,24 @@ class BlockMaxIndex:
         block = self.block[cells]
         # more than rounding can make of a similarity
         upper = (np.bincount(block, x * self.best[cells], self.blocks) + base.reshape(-1, BLOCK).max(1)) * (1 + 1e-6)
-        some = np.flatnonzero(upper > 0)
-        some = some[np.argsort(-upper[some], kind="stable")]
-        f, s, floor, at, size = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 4
-        while at < len(some) and upper[some[at]] >= floor:
-            group = some[at : at + size]
-            group = group[upper[group] >= floor]
-            at, size = at + size, size * 4
-            taken = np.zeros(self.blocks, bool)
-            taken[group] = True
-            here = taken[block]
-            first, m = self.cells[cells[here]], self.cells[cells[here] + 1] - self.cells[cells[here]]
-            posting = _ranges(first, m)
-            total = np.bincount(self.place[posting], np.repeat(x[here], m) * self.weight[posting], len(base)) + np.where(np.repeat(taken, BLOCK), base, 0.0)
-            total = total.round(12)
-            hit = np.flatnonzero(total > 0)
-            f, s = np.concatenate([f, self.order[hit]]), np.concatenate([s, total[hit]])
-            f, s = f[f != without], s[f != without]
-            floor = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else 0.0
+        # weights are not negative: what frequent terms give the k-th best is a floor of what all terms give it
+        given = base if without < 0 else np.delete(base, self.at[without])
+        floor = np.partition(given, len(given) - k)[len(given) - k] if len(given) >= k else 0.0
+        taken = (upper > 0) & (upper >= floor)
+        if 2 * taken.sum() < self.blocks:
+            here = np.flatnonzero(taken[block])
+            first, m, x = self.cells[cells[here]], self.cells[cells[here] + 1] - self.cells[cells[here]], x[here]
+        else:  # so many blocks that their postings are read along
+            first = self.cells[self.edges[term]]
+            m, x = self.cells[self.edges[term + 1]] - first, w
+        posting = _ranges(first, m)
+        total = (base + np.bincount(self.place[posting], np.repeat(x, m) * self.weight[posting], len(base))).round(12)
+        total[np.repeat(~taken, BLOCK)] = 0.0
+        if without >= 0:
+            total[self.at[without]] = 0.0
+        least = np.partition(total, len(total) - k)[len(total) - k] if len(total) > k else 0.0
+        hit = np.flatnonzero((total > 0) & (total >= least))
+        f, s = self.order[hit], total[hit]
         best = np.lexsort((f, -s))[:k]
         return f[best], s[best]
 
@@ -212,7 +212,7 @@ class Model:
     index: BlockMaxIndex = field(init=False)
 
     def __post_init__(self):
-        self.lookup, self.index = Lookup(self.keys), BlockMaxIndex(self.unit(), len(self.keys))
+        self.lookup, self.index = Lookup(self.keys), BlockMaxIndex(self.edges, self.term, self.weights(), len(self.keys))
 
     def __getstate__(self):
         told = self.keys, self.worth, _packed(self.edges), _packed(self.term), _packed(self.times), self.ids, self.labels, self.share, self.bare, self.steps
@@ -220,11 +220,23 @@ class Model:
 
     def __setstate__(self, state: bytes):
         keys, worth, edges, term, times, *rest = pickle.loads(zlib.decompress(state))
-        self.__init__(keys, worth, *(a.astype(np.int64) for a in (edges, term, times)), *rest)
+        self.__init__(keys, worth, edges.astype(np.int64), term, times, *rest)
+
+    def packed(self) -> "Model":
+        """The model without what a worker makes of it."""
+        self.lookup = self.index = None
+        return self
+
+    def weights(self) -> np.ndarray:
+        """The unit vectors of all examples, one after the other."""
+        w = (1 + np.log(self.times)) * self.worth[self.term]
+        norms = np.sqrt(np.add.reduceat(w * w, self.edges[:-1])) if len(w) else np.zeros(0)
+        return w / np.repeat(norms, np.diff(self.edges))
 
     def unit(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Terms and weights of each example."""
-        return [(self.term[a:z], weights(self.term[a:z], self.times[a:z], self.worth)) for a, z in zip(self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True)]
+        w = self.weights()
+        return [(self.term[a:z].astype(np.int64), w[a:z]) for a, z in zip(self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True)]
 
     def vote(self, found: np.ndarray, sims: np.ndarray) -> float:
         w = sims**2 * self.share[found]
@@ -277,9 +289,11 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     hashed, times = (np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in found.column(name).chunks]]) for name in ("h", "times"))
     keys = np.unique(hashed.astype(np.uint64))
     lookup, m = Lookup(keys), len(keys)
-    term = np.searchsorted(keys, hashed.astype(np.uint64))
+    term = np.searchsorted(keys, hashed.astype(np.uint64)).astype(np.uint32)
+    times = times.astype(np.uint32)
     lengths = np.array([n for c in found.column("h").chunks for n in c.value_lengths().to_pylist()], np.int64)
-    marks = found.column("label").to_numpy().astype(np.int64)
+    marks, every = found.column("label").to_numpy().astype(np.int64), found.column("doc_id").to_pylist()
+    del found, hashed
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rows = np.zeros(m, np.int64), 0
@@ -299,12 +313,12 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     some = lengths > 0
     edges, labelled = np.concatenate([[0], np.cumsum(lengths[some])]).astype(np.int64), marks[some].astype(np.float64)
     worth = (np.log((1.0 + total) / (1.0 + df)) + 1.0) * relevance(term, edges, labelled, m)
-    ids = [i for i, keep in zip(found.column("doc_id").to_pylist(), some.tolist(), strict=True) if keep]
+    ids = [i for i, keep in zip(every, some.tolist(), strict=True) if keep]
     share = np.where(labelled == 1, scale[1], scale[0])
-    model = Model(keys, worth, edges, term, times.astype(np.int64), ids, labelled, share, (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
+    model = Model(keys, worth, edges, term, times, ids, labelled, share, (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
     votes = np.array([model.vote(found, sims) for found, sims in model.index.all_nearest(model.unit(), NEIGHBOURS, apart=True)])
     model.steps = isotonic(votes, labelled, share) if len(votes) else model.steps
-    return model
+    return model.packed()
 
 
 def score(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
