@@ -17,13 +17,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annalist.llm.common import cut, partitions, small_batches
+from annalist.llm.common import cut, partitions, small_batches, tables, unused
 
 LEAST_DOCS = 3
 LEAST_CHARS = 20
 #: Keys of a filter, on average, and rows of a shard that one group of probes takes, about.
 SHARD_KEYS = 20_000
 PROBES = 100_000
+#: A filter with more in its stash is built anew; all are, in more shards, once a filter has so many times SHARD_KEYS keys on average.
+STASHED = 64
+GROWN = 2
 _SPACE = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SLOTS = 4
@@ -126,6 +129,18 @@ def _shard(n: int) -> Column:
 _FILTER = "shard int, buckets binary, stash array<bigint>"
 
 
+def _filters(frequent: DataFrame, shards: int) -> DataFrame:
+    """A filter for each shard of the keys; a shard has about SHARD_KEYS distinct keys, dealt by their hash."""
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        c = Cuckoo.of_size(len(rows))
+        c.insert(rows["k1"].to_numpy(), rows["k2"].to_numpy())
+        buckets, stash = c.dump()
+        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "buckets": [buckets], "stash": [stash]})
+
+    return frequent.select(_shard(shards).alias("shard"), "k1", "k2").groupBy("shard").applyInPandas(build, _FILTER)
+
+
 @dataclass
 class LineIndex:
     """State of incremental line dedup; each change makes a new index and leaves the old one as it is."""
@@ -143,16 +158,7 @@ class LineIndex:
         count = cut(counts(refs), "line-counts")
         frequent = count.where(F.col("n_docs") >= least_docs)
         shards = max(1, -(-frequent.count() // SHARD_KEYS))
-
-        def build(rows: pd.DataFrame) -> pd.DataFrame:
-            c = Cuckoo.of_size(len(rows))
-            c.insert(rows["k1"].to_numpy(), rows["k2"].to_numpy())
-            buckets, stash = c.dump()
-            return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "buckets": [buckets], "stash": [stash]})
-
-        # a shard has about SHARD_KEYS distinct keys, dealt by their hash
-        filters = frequent.select(_shard(shards).alias("shard"), "k1", "k2").groupBy("shard").applyInPandas(build, _FILTER)
-        return cls(refs, count, cut(filters, "line-filters"), shards, least_docs)
+        return cls(refs, count, cut(_filters(frequent, shards), "line-filters"), shards, least_docs)
 
     def insert(self, docs: DataFrame, least_chars: int = LEAST_CHARS) -> "LineIndex":
         """With more documents; a doc_id that is known already is replaced."""
@@ -185,21 +191,35 @@ class LineIndex:
             buckets, stash = c.dump()
             return pd.DataFrame({"shard": [shard], "buckets": [buckets], "stash": [stash]})
 
-        filters = self.filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(update, _FILTER)
-        return LineIndex(refs, count, cut(filters, "line-filters"), self.shards, self.least_docs)
-
-    def probed(self, refs: DataFrame) -> DataFrame:
-        """The rows of refs whose key the filters may hold. A shard with many rows is dealt in parts, each with its own copy of the filter, which comes first in the sorted stream."""
+        keys = new.count()
+        if keys > GROWN * SHARD_KEYS * self.shards:
+            shards = -(-keys // SHARD_KEYS)
+            return LineIndex(refs, count, cut(_filters(new, shards), "line-filters"), shards, self.least_docs)
+        filters = cut(self.filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(update, _FILTER), "line-filters")
+        full = filters.where(F.size("stash") > STASHED).select("shard")
+        if full.first() is not None:
+            again = _filters(new.withColumn("shard", _shard(self.shards)).join(full, "shard", "left_semi").drop("shard"), self.shards)
+            filters = cut(filters.join(full, "shard", "left_anti").unionByName(again), "line-filters")
+        return LineIndex(refs, count, filters, self.shards, self.least_docs)
+
+    def _parts(self, refs: DataFrame) -> DataFrame:
+        """(shard, parts) of the shards that one group of probes is too few for. A table: their number grows with the data."""
+        size = refs.groupBy(_shard(self.shards).alias("shard")).agg(F.ceil(F.count("*") / PROBES).cast("int").alias("parts"))
+        return cut(size.where("parts > 1"), "line-parts")
+
+    def probed(self, refs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+        """The rows of refs whose key the filters may hold, and the part of its shard that each was probed in.
+
+        A shard with many rows is dealt in parts, each with its own copy of the filter, which comes first in the sorted stream.
+        """
         small_batches(refs.sparkSession)
-        spark = refs.sparkSession
-        rows = refs.select("k1", "k2", "doc_id", "at").withColumn("shard", _shard(self.shards))
-        size = rows.groupBy("shard").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("parts"))
-        sized = {r["shard"]: r["parts"] for r in size.where("parts > 1").collect()} if self.shards <= 100_000 else {}
-        parts = F.coalesce(F.create_map(*[F.lit(x) for kv in sized.items() for x in kv])[F.col("shard")], F.lit(1)) if sized else F.lit(1)
-        rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).withColumns({"buckets": F.lit(None).cast("binary"), "stash": F.lit(None).cast("array<bigint>"), "probe": F.lit(1)})
-        filters = self.filters.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumns({"probe": F.lit(0)})
+        spark, hot = refs.sparkSession, self._parts(refs) if hot is None else hot
+        parts = F.coalesce("parts", F.lit(1))
+        rows = refs.select("k1", "k2", "doc_id", "at", _shard(self.shards).alias("shard")).join(hot, "shard", "left")
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).drop("parts").withColumns({"buckets": F.lit(None).cast("binary"), "stash": F.lit(None).cast("array<bigint>"), "probe": F.lit(1)})
+        filters = self.filters.join(hot, "shard", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts").withColumns({"probe": F.lit(0)})
         stream = filters.unionByName(rows, allowMissingColumns=True).repartition(partitions(spark), "shard", "part").sortWithinPartitions("shard", "part", "probe")
-        names = ["k1", "k2", "doc_id", "at"]
+        names = ["k1", "k2", "doc_id", "at", "part"]
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner, held = None, None
@@ -217,13 +237,15 @@ class LineIndex:
                         keep[a:z] = held.may_hold(k1[a:z], k2[a:z])
                 yield b.select(names).filter(pa.array(keep))
 
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in refs.select(names).schema)
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in refs.select("k1", "k2", "doc_id", "at").schema) + ", part int"
         return stream.mapInArrow(probe, schema)
 
     def drops(self, refs: DataFrame) -> DataFrame:
-        """(doc_id, drops): the lines of each document to go, as rows and places."""
-        frequent = cut(self.counts.where(F.col("n_docs") >= self.least_docs).select("k1", "k2", "keeper"), "line-frequent")
-        gone = self.probed(refs).join(frequent, ["k1", "k2"]).where("doc_id <> keeper")
+        """(doc_id, drops): the lines of each document to go, as rows and places. A frequent key stands once for each part of its shard, so the lines of a very common one are dealt over tasks."""
+        hot = self._parts(refs)
+        frequent = self.counts.where(F.col("n_docs") >= self.least_docs).select("k1", "k2", "keeper", _shard(self.shards).alias("shard")).join(hot, "shard", "left")
+        frequent = cut(frequent.select("k1", "k2", "keeper", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")), "line-frequent")
+        gone = self.probed(refs, hot).join(frequent, ["k1", "k2", "part"]).where("doc_id <> keeper")
         return gone.groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("drops"))
 
 
@@ -235,11 +257,13 @@ def dedup(docs: DataFrame, index: LineIndex | None = None, least_docs: int = LEA
     Rows with a null doc_id stay as they are. Other columns are kept, those named
     as the new ones are replaced.
     """
-    index = index or LineIndex.build(docs, least_docs, least_chars)
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_dropped")])
-    drops = index.drops(index.refs)
-    found = docs.join(drops.withColumnRenamed("drops", "_drops"), "doc_id", "left").withColumns({"_lines": lines_of(F.col("text")), "_row": F.xxhash64("text")})
-    gone = F.transform(F.filter("_drops", lambda d: d["row"] == F.col("_row")), lambda d: d["place"])
-    found = found.withColumn("_kept", F.when(F.col("_drops").isNull(), F.col("_lines")).otherwise(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone), lambda i: F.get("_lines", i))))
-    columns = [F.array_join("_kept", "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return found.select(*columns, F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"))
+    gone, lines, row, kept = unused(docs, "_drops", "_lines", "_row", "_kept")
+    with tables(docs.sparkSession):
+        index = index or LineIndex.build(docs, least_docs, least_chars)
+        drops = cut(index.drops(index.refs).withColumnRenamed("drops", gone), "line-drops", keep=True)
+    found = docs.join(drops, "doc_id", "left").withColumns({lines: lines_of(F.col("text")), row: F.xxhash64("text")})
+    places = F.transform(F.filter(gone, lambda d: d["row"] == F.col(row)), lambda d: d["place"])
+    found = found.withColumn(kept, F.when(F.col(gone).isNull(), F.col(lines)).otherwise(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda i: F.get(lines, i))))
+    columns = [F.array_join(kept, "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return found.select(*columns, F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"))
