@@ -22,8 +22,8 @@ from annalist.llm.common import small_batches
 VOCABULARY = "byte_bpe_50k.json"
 #: The published pattern of byte-level BPE with this vocabulary (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pre-tokens of a generation; a worker remembers two of them, and forgets the older when the younger is full, which costs time only.
-REMEMBERED = 100_000
+#: Pre-tokens of a generation, and their bytes, about; a worker remembers two of them, and forgets the older when the younger is full, which costs time only.
+REMEMBERED, REMEMBERED_BYTES = 100_000, 16 << 20
 #: Pre-tokens of more bytes have a tree each.
 LONG = 512
 #: Cells of one matrix of trees.
@@ -204,13 +204,15 @@ class Memory:
     """What was computed for pre-tokens, in two generations of bounded size."""
 
     def __init__(self, make):
-        self.make, self.known, self.old = make, {}, {}
+        self.make, self.known, self.old, self.size = make, {}, {}, 0
 
     def learn(self, pieces: Iterable[list[str]]) -> dict:
         """A dictionary with all pieces."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.old = {}, self.known
+        if len(self.known) > REMEMBERED or self.size > REMEMBERED_BYTES:
+            self.known, self.old, self.size = {}, self.known if self.size <= 2 * REMEMBERED_BYTES else {}, 0
         new = set().union(*pieces).difference(self.known)
+        # a string and what is known of it take some four times its length
+        self.size += 4 * sum(map(len, new))
         found = new & self.old.keys()
         self.known.update((t, self.old[t]) for t in found)
         if new := [*(new - found)]:

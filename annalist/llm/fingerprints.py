@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from annalist.llm.common import partitions
+
 K = 128
 WIDTH = 5
+#: Bytes of text in a range of ids, about.
+RANGE_BYTES = 64 << 20
 _SPACE = " \t\n\x0b\f\r"
 _SPAN = 2.0**64
 
@@ -73,6 +77,22 @@ def as_string(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
+def pieces_of(docs: DataFrame, least: int, text_col: str = "text") -> int:
+    """So many ranges that each has about RANGE_BYTES of text, and `least` at least."""
+    size = docs.agg(F.sum(F.octet_length(text_col)).alias("bytes")).first()["bytes"] or 0
+    return max(least, -(-size // RANGE_BYTES))
+
+
+def _range_of(at: Column, cuts: list[int]) -> Column:
+    """How many of the rising cuts are under at: first among every so many of them, then among those between."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, int(len(cuts) ** 0.5))
+    literal = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")  # noqa: E731  one constant, not one for each cut
+    row = F.size(F.filter(literal(cuts[::step]), lambda b: b < at)) - 1
+    return F.when(row < 0, 0).otherwise(row * step + F.size(F.filter(F.slice(literal(cuts), row * step + 1, step), lambda b: b < at)))
+
+
 def with_next(docs: DataFrame, columns: list[str], pieces: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with `next_<c>` for each column: its value in the next row by descending id (after the last: in the first).
 
@@ -84,8 +104,7 @@ def with_next(docs: DataFrame, columns: list[str], pieces: int, id_col: str = "d
     docs = docs.withColumn("_at", F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)))
     cuts = docs.select(F.percentile_approx("_at", [(i + 1) / pieces for i in range(pieces - 1)], 100_000)).first()[0] if pieces > 1 else []
     cuts = sorted({*(cuts or [])})
-    bounds = F.array(*map(F.lit, cuts)).cast("array<bigint>")
-    docs = docs.withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.col("_at"))) if cuts else F.lit(0))
+    docs = docs.withColumn("_range", _range_of(F.col("_at"), cuts))
     # the first id (the largest) of each range, one row for each of at most `pieces` ranges
     firsts = {r["_range"]: r["top"] for r in docs.groupBy("_range").agg(F.max("_at").alias("top")).collect()}
     order = sorted(firsts, reverse=True)
@@ -106,13 +125,15 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - third), F.substring(following, F.lit(1), third))
 
 
-def fingerprint_edits(docs: DataFrame, pieces: int, k: int = K, width: int = WIDTH) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, pieces: int | None = None, k: int = K, width: int = WIDTH) -> DataFrame:
     """Per document: its fingerprint, that of its edited text, and the likeness of both and of the next document.
 
     A null text is empty. A text of fewer than `width` words is a single shingle,
     an empty or blank one has none, and two texts without any are alike (1.0).
     Rows are kept as often as they come; of the columns only doc_id and text count.
+    Without `pieces`, the ranges of ids follow the bytes of the texts.
     """
+    pieces = pieces or pieces_of(docs, 2 * partitions(docs.sparkSession))
     docs = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     docs = docs.withColumn("fp", sketch(F.col("text"), k, width))
     docs = with_next(docs, ["text", "fp"], pieces)

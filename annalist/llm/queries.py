@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.llm import bpe, conversations, decontamination, fingerprints, jaccard, lines, token_counts, toxicity, url_filters, warc
-from annalist.llm.common import partitions, read, scratch
+from annalist.llm.common import owned, read, scratch
 
 SQL: dict[str, str] = {}
 
@@ -49,7 +49,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"), 2 * partitions(spark))
+    return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(warc.resolve(warc.capture(read(spark, sf_dir, "pages"))), path)
+    owned(spark, path)
     found = warc.read(spark, path, payloads=False)
     return found.select(F.col("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 

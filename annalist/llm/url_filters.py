@@ -1,11 +1,13 @@
 """URL filters by a path-template tree, with built-in functions only.
 
 Paths are first reduced to shapes (digits and long hex runs become `#`). Per host
-the shapes form a tree. Level by level, children whose labelled rate does not
-differ from their siblings' as a whole are merged into the wildcard `*`; rare
-segments of a parent with many children must differ by more than chance among
-all of these. What is left of them keeps its name. A template is rejected if its labelled share of bad pages,
-smoothed towards the share of all, reaches a limit. Explicit rules come first.
+the shapes form a tree. Level by level, sibling branches that are statistically
+similar are merged into the wildcard `*`: their share of bad labelled pages and
+what their pages go on with (an end, digits, a name, a slash) must not differ from
+their parent's as a whole by more than chance among all siblings. A branch that
+differs in either keeps its name. A template is rejected if its labelled share of
+bad pages, smoothed towards the share of all, reaches a limit. Explicit rules come
+first.
 """
 
 from functools import reduce
@@ -13,15 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annalist.llm.common import cut
+from annalist.llm.common import cut, tables
 
 #: (host, path prefix, verdict)
 Rule = tuple[str, str, str]
-#: A parent with more children has its rare ones held to a stricter test.
-CHILDREN = 20
-#: A child with a smaller share of its parent's pages is rare.
-RARE = 0.02
-#: Standard errors by which a child's rate must differ to stay by itself.
+#: Standard errors by which a branch must differ to stay by itself, if it has no siblings.
 APART = 3.0
 #: Pages at the overall rate that are added to each template's labelled pages.
 PRIOR = 10.0
@@ -53,26 +51,34 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, "[0-9A-Fa-f]{16,}", "#"), "[0-9]+", "#")
 
 
-def templates(shapes: DataFrame, children: int = CHILDREN, rare: float = RARE, apart: float = APART) -> DataFrame:
+def _divergence(counts: list[Column], shares: list[Column]) -> Column:
+    """n times the Kullback-Leibler divergence of n observations from the shares; its exponent bounds the chance of as much by sampling. Where a count is not 0, its share is not either."""
+    total = reduce(Column.__add__, counts)
+    terms = [F.when(c > 0, c * F.log(c / (total * p))).otherwise(0.0) for c, p in zip(counts, shares, strict=True)]
+    return reduce(Column.__add__, terms)
+
+
+_KINDS = ("end", "digits", "slash", "name")
+
+
+def templates(shapes: DataFrame, apart: float = APART) -> DataFrame:
     """shapes (host, shape, n, labelled, bad; a row for each host and shape) with `template`."""
     parts = F.split(F.regexp_replace("shape", "^/", ""), "/")
     tree = shapes.withColumn("_parts", F.when(F.col("shape") == "", F.array().cast("array<string>")).otherwise(parts)).withColumn("_prefix", F.lit(""))
     depth = tree.agg(F.max(F.size("_parts"))).first()[0] or 0
     for level in range(1, depth + 1):  # until no path has more segments
         tree = cut(tree.withColumn("_seg", F.when(F.size("_parts") >= level, F.get("_parts", F.lit(level - 1)))), f"templates-{level}")
-        sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
+        ahead = F.get("_parts", F.lit(level))
+        kind = F.when(ahead.isNull(), "end").when(ahead == "#", "digits").when(ahead == "", "slash").otherwise("name")
+        sums = [F.sum(c).alias(c) for c in ("labelled", "bad")] + [F.sum(F.when(kind == k, F.col("n")).otherwise(0)).alias(k) for k in _KINDS]
         nodes = tree.where("_seg IS NOT NULL").groupBy("host", "_prefix", "_seg").agg(*sums)
-        parents = nodes.groupBy("host", "_prefix").agg(F.count("*").alias("p_children"), *[F.sum(c).alias(f"p_{c}") for c in ("n", "labelled", "bad")])
+        pooled = nodes.groupBy("host", "_prefix").agg(F.count("*").alias("p_children"), *[F.sum(c).alias(f"p_{c}") for c in ("labelled", "bad", *_KINDS)])
         rate = (F.col("p_bad") + 0.5) / (F.col("p_labelled") + 1.0)
-        z = F.abs(F.col("bad") - F.col("labelled") * rate) / F.sqrt(F.greatest(F.col("labelled"), F.lit(1)) * rate * (1 - rate))
-        alike = (F.col("labelled") == 0) | (z < apart)
-        few = (F.col("p_children") > children) & (F.col("n") < rare * F.col("p_n"))
-        # of many small branches some differ by chance: the tail of the binomial, bounded by its divergence, must be small for all of them
-        good, far = F.col("labelled") - F.col("bad"), F.lit(0.0)
-        for count, share in ((F.col("bad"), rate), (good, 1 - rate)):
-            far = far + F.when(count > 0, count * F.log(count / (F.col("labelled") * share))).otherwise(0.0)
-        alike = F.when(few, (F.col("labelled") == 0) | (far < apart**2 / 2 + F.log("p_children"))).otherwise(alike)
-        kept = nodes.join(parents, ["host", "_prefix"]).where(~alike).select("host", "_prefix", "_seg", F.lit(True).alias("_own"))
+        by_label = _divergence([F.col("bad"), F.col("labelled") - F.col("bad")], [rate, 1 - rate])
+        pages = reduce(Column.__add__, [F.col(f"p_{k}") for k in _KINDS])
+        by_kind = _divergence([F.col(k) for k in _KINDS], [F.col(f"p_{k}") / pages for k in _KINDS])
+        # of many branches some differ by chance: the chance must be small for all of them
+        kept = nodes.join(pooled, ["host", "_prefix"]).where(F.greatest(by_label, by_kind) >= apart**2 / 2 + F.log("p_children")).select("host", "_prefix", "_seg", F.lit(True).alias("_own"))
         kept = cut(kept, f"kept-{level}")
         # a segment of digits alone stays a class of its own
         named = F.when(F.col("_own") | (F.col("_seg") == "#") | (F.col("_seg") == ""), F.col("_seg")).otherwise("*")
@@ -87,8 +93,16 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], prior: float =
     least `reject`, else `allow`. A null or malformed url has an empty host and
     path, and is judged by that template. Labels that are null, or of pages not
     here, don't count; of a page labelled twice the worse label does. Pages are
-    judged as often as they come; columns but page_id and url don't matter.
+    judged as often as they come; columns but page_id and url don't matter. Pages
+    are counted by host and shape before anything else is done with them, and the
+    verdicts come back to them by a join that adaptive execution splits where one
+    host and shape has very many pages.
     """
+    with tables(pages.sparkSession):
+        return _judged(pages, labels, rules, prior, reject, **tree)
+
+
+def _judged(pages: DataFrame, labels: DataFrame, rules: list[Rule], prior: float, reject: float, **tree) -> DataFrame:
     host, path = split_url(F.col("url"))
     pages = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("shape", shape(F.col("path")))
     marks = labels.where("bad IS NOT NULL AND page_id IS NOT NULL").groupBy("page_id").agg(F.max(F.col("bad").cast("long")).alias("bad"))
@@ -97,7 +111,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], prior: float =
     told = tree.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).first()
     overall = (told["bad"] or 0) / (told["labelled"] or 1)
     purity = tree.groupBy("host", "template").agg(((F.sum("bad") + F.lit(prior * overall)) / (F.sum("labelled") + F.lit(prior))).alias("bad_share"))
-    verdicts = cut(tree.select("host", "shape", "template").join(purity, ["host", "template"]), "verdicts")
+    verdicts = cut(tree.select("host", "shape", "template").join(purity, ["host", "template"]), "verdicts", keep=True)
     found = pages.join(verdicts, ["host", "shape"], "left").withColumn("_m", matched(rules, F.col("host"), F.col("path")))
     own = F.when(F.col("bad_share") >= reject, "block").otherwise("allow")
     return found.select("page_id", "host", "path", F.col("_m.rule").alias("rule"), F.coalesce(F.col("_m.verdict"), own).alias("verdict"), "template", "bad_share")

@@ -12,24 +12,26 @@ import gzip
 import hashlib
 import io
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm.common import cut
+from annalist.llm.common import cut, small_batches
 
 #: Payloads of fewer bytes are stored each time.
 LEAST_BYTES = 100
-#: Bytes of payload that an archive holds on average.
-ARCHIVE_BYTES = 16 << 20
-DATE = "2024-01-01T00:00:00Z"
+#: Bytes of payload that an archive holds on average, and at most (but for a single record of more); one archive is read as one value.
+ARCHIVE_BYTES, MOST_BYTES = 16 << 20, 256 << 20
+#: Bytes of the headers of a record, about.
+HEADERS = 600
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = "\r\n\r\n"
 
 
 def capture(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """One record (id, url, payload, bytes, digest) per row; a null payload is empty, a null url too."""
+    """One record (id, url, payload, bytes, digest) per row; a null payload is empty, a null url too. Other columns are left out, whatever their names. A payload is a string, so of 2 GB at most."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     return pages.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("bytes"), F.sha2(payload, 256).alias("digest")
@@ -64,8 +66,8 @@ def _line(value):
     return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
-def record_text(date: str = DATE):
-    """A whole record, but for the CR LF CR LF after it."""
+def record_text(date: str):
+    """A whole record, but for the CR LF CR LF after it; date is that of its headers."""
     again = F.col("original").isNotNull()
     own = F.coalesce(F.col("id").cast("string"), F.lit("null"))
     http = F.when(again, F.lit("")).otherwise(F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes"), F.lit(_END)))
@@ -82,11 +84,28 @@ def record_text(date: str = DATE):
     return F.concat(head, http, F.when(again, F.lit("")).otherwise(F.col("payload")))
 
 
-def write(resolved: DataFrame, path: str, date: str = DATE, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Gzipped archives of about archive_bytes of payload each under path."""
-    size = resolved.select(F.avg("bytes")).first()[0] or 0
-    per_file = max(1, int(archive_bytes / (size + 600)))
-    resolved.select(record_text(date).alias("value")).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+def write(resolved: DataFrame, path: str, date: str | None = None, archive_bytes: int = ARCHIVE_BYTES, most_bytes: int = MOST_BYTES) -> None:
+    """Gzipped archives of about archive_bytes of payload each under path, none of more than most_bytes unless it is a single record.
+
+    `date` (as 2024-01-31T00:00:00Z; now if not given) goes into the fresh headers.
+    Archives have no warcinfo record, and are compressed as a whole. Spark cuts
+    files by records: where so many of the largest would be too many bytes, the
+    records far above the mean are written to archives of their own.
+    """
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    told = resolved.select(F.avg("bytes").alias("mean"), F.max("bytes").alias("most")).first()
+    mean, most = (told["mean"] or 0) + HEADERS, (told["most"] or 0) + HEADERS
+    usual = max(1, int(archive_bytes / mean))
+    limit = most_bytes // usual - HEADERS
+
+    def put(records: DataFrame, per_file: int, mode: str) -> None:
+        records.select(record_text(date).alias("value")).write.mode(mode).option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+
+    if usual * most <= most_bytes:
+        put(resolved, usual, "error")
+    else:
+        put(resolved.where(F.col("bytes") <= limit), usual, "error")
+        put(resolved.where(F.col("bytes") > limit), max(1, int(most_bytes // most)), "append")
 
 
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -112,9 +131,9 @@ SCHEMA = "id bigint, url string, record_type string, record_id string, digest st
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Records of all archives under path. The digest of a response is computed from its payload, and its bytes are counted; a revisit has those of its headers and no payload.
 
-    An archive is decompressed as a stream, a record at a time.
+    An archive is decompressed as a stream, a record at a time; Arrow batches are bounded by bytes.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    small_batches(spark)
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
 
