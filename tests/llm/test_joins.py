@@ -1,6 +1,8 @@
 """Joins, searches, archives, URL filters, conversations and the pipeline, against plain Python."""
 
+import gzip
 import hashlib
+import io
 import random
 import re
 
@@ -67,7 +69,7 @@ def test_jaccard_join(spark, monkeypatch, width, similarity, group, leaf):
     monkeypatch.setattr(jaccard, "CLUSTER", group)
     monkeypatch.setattr(jaccard, "WIDE_PIVOTS", 3)
     monkeypatch.setattr(jaccard, "LEVELS", 2)
-    monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "LEAF", leaf)  # read on the driver and sent along
     texts = near_copies(width)
     rows = [*enumerate(texts), (900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (None, texts[0]), (7, texts[7]), (7, texts[9]), (905, "w " * 3000)]
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, component_id int")
@@ -84,21 +86,68 @@ def test_jaccard_join(spark, monkeypatch, width, similarity, group, leaf):
 
 
 @pytest.mark.parametrize("leaf", [3, 20, 1000])
-def test_region_join_is_exact(monkeypatch, leaf):
-    monkeypatch.setattr(jaccard, "LEAF", leaf)
-    monkeypatch.setattr(jaccard, "PIVOTS", 3)
+def test_region_join_is_exact(leaf):
     rows = [*enumerate(near_copies(11, 25, 10))]
     values = []
     for _, t in rows:
         data, bounds = tn.buffers(pa.array([t]))
         starts, ends, edges = tn.words(data, bounds)
         values.append(tn.distinct(*tn.shingles(tn.hashes(data, starts, ends), edges, 2))[0])
-    links = jaccard.RegionJoin([i for i, _ in rows], values, [i for i, _ in rows], (7, 10)).run()
+    links = jaccard.RegionJoin([i for i, _ in rows], values, [i for i, _ in rows], (7, 10), leaf, 3).run()
     want = plain_components(rows, 2, 7, 10)
     assert all(want[a] == want[b] for a, b in links)
     assert len(links) == len(rows) - len(set(want.values()))  # a spanning forest
 
 
+def test_pivots_join_the_clusters_of_the_table(spark, monkeypatch):
+    """At default settings the groups that op1 joins on sf0.1 go through pivots, windows and regions."""
+    from annalist.llm import queries
+
+    groups, joined = {}, jaccard._joined
+
+    def spy(rows, *args):
+        for r in rows.select("k1", "k2", "k3", "doc_id", "comp", "shingles").distinct().collect():
+            groups.setdefault((len(groups) if r["k3"] is None else r["k1"], r["k2"], r["k3"]), {})[r["doc_id"]] = (r["comp"], bytes(r["shingles"]))
+        return joined(rows, *args)
+
+    monkeypatch.setattr(jaccard, "_joined", spy)
+    found = {r["doc_id"]: r["component_id"] for r in queries.op1_jaccard_join(spark, "/root/testdata/sf0.1").collect()}
+    by_pivots = recursed = 0
+    for members in groups.values():
+        region = jaccard.RegionJoin([*members], [np.frombuffer(v[1], np.uint64) for v in members.values()], [v[0] for v in members.values()], (9, 10))
+        join, calls = region.join, []
+        region.join = lambda homes, part, join=join, calls=calls: (calls.append(len(part)), join(homes, part))[1]
+        linked = []
+        link = region.link
+        region.link = lambda i, j, link=link, linked=linked: (linked.append((i, j)), link(i, j))[1]
+        for a, b in region.run():
+            assert found[a] == found[b]
+        by_pivots += bool(linked) and calls[0] > jaccard.LEAF
+        recursed += len(calls) > 1
+    assert by_pivots > 10 and recursed > 0
+
+
+def test_large_cluster_is_dealt_to_regions(spark, monkeypatch):
+    """At default settings: over 1,200 variants of one text that share most shingles, of which some pairs link."""
+    rng = random.Random(77)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = []
+    base = [word() for _ in range(70)]
+    for _ in range(1200):
+        copy = list(base)
+        for at in rng.sample(range(70), 2):
+            copy[at] = word()
+        texts.append(copy)
+        if rng.random() < 0.1:
+            texts.append([*copy[:-1], word()])
+    texts = [" ".join(t) for t in texts]
+    levels, voronoi = [], jaccard.voronoi
+    monkeypatch.setattr(jaccard, "voronoi", lambda *a: (levels.append(a[2]), voronoi(*a))[1])
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert levels and got == plain_components([*enumerate(texts)], 5, 8, 10)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + k) for k in range(40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(5, 5)]
@@ -238,6 +287,82 @@ def verdicts(spark, rows, labels):
     return {r["page_id"]: r for r in url_filters.judge(*frames, []).collect()}
 
 
+def plain_templates(pages, bad, apart=3.0):
+    """(template, verdict, smoothed share) of each page, by a tree of dictionaries."""
+    split = {}
+    for i, u in pages:
+        host, _, path = u.split("://", 1)[1].partition("/")
+        shape = re.sub("[0-9]+", "#", re.sub("[0-9A-Fa-f]{16,}", "#", "/" + path if _ else ""))
+        split[i] = (host, shape.removeprefix("/").split("/") if shape else [])
+    prefix = {i: "" for i in split}
+
+    def divergence(counts, shares):
+        n = sum(counts)
+        return sum(c * np.log(c / (n * p)) for c, p in zip(counts, shares, strict=True) if c)
+
+    for level in range(max(len(p) for _, p in split.values())):
+        nodes = {}
+        for i, (host, parts) in split.items():
+            if len(parts) > level:
+                nodes.setdefault((host, prefix[i]), {}).setdefault(parts[level], []).append(i)
+        moved = dict(prefix)
+        for children in nodes.values():
+
+            def told(ids):
+                after = [split[i][1][level + 1] if len(split[i][1]) > level + 1 else None for i in ids]
+                kinds = [sum(a is None for a in after), sum(a == "#" for a in after), sum(a == "" for a in after)]
+                known = [bad[i] for i in ids if i in bad]
+                return [sum(known), len(known) - sum(known)], [*kinds, len(ids) - sum(kinds)]
+
+            marks, kinds = told([i for ids in children.values() for i in ids])
+            rate = (marks[0] + 0.5) / (sum(marks) + 1)
+            for seg, ids in children.items():
+                m, k = told(ids)
+                far = max(divergence(m, [rate, 1 - rate]), divergence(k, [x / sum(kinds) for x in kinds]))
+                name = seg if far >= apart**2 / 2 + np.log(len(children)) or seg in ("#", "") else "*"
+                for i in ids:
+                    moved[i] = f"{prefix[i]}/{name}"
+        prefix = moved
+    overall = sum(bad.values()) / len(bad)
+    out, groups = {}, {}
+    for i in split:
+        groups.setdefault((split[i][0], prefix[i]), []).append(i)
+    for (_, template), ids in groups.items():
+        known = [bad[i] for i in ids if i in bad]
+        share = (sum(known) + 10 * overall) / (len(known) + 10)
+        out |= {i: (template, "block" if share >= 0.5 else "allow", share) for i in ids}
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_url_tree_by_brute_force(spark, seed):
+    """Hosts with good, bad and mixed branches at several depths, few labels, digits, slugs; templates decide verdicts."""
+    rng = random.Random(seed)
+    rows, labels = [], {}
+    for host in range(6):
+        names = ["".join(rng.choices("abcdef", k=5)) for _ in range(rng.choice([3, 30]))]
+        risk = {n: rng.choice([0.02, 0.05, 0.05, 0.95]) for n in names}
+        for _ in range(600):
+            n = rng.choice(names[: rng.choice([3, 30])])
+            tail = rng.choice([f"{rng.randrange(900)}", f"{rng.randrange(9)}.html", "", "".join(rng.choices("xyz", k=3)) + f"/{rng.randrange(9)}"]) if host % 2 else f"p{rng.randrange(50)}"
+            i = len(rows)
+            rows.append((i, f"http://h{host}.com/{rng.choice(['', 'en/', 'de/'])}{n}/{tail}" if rng.random() < 0.97 else f"http://h{host}.com"))
+            if rng.random() < 0.3:
+                labels[i] = int(rng.random() < risk[n])
+    got, want = verdicts(spark, rows, [*labels.items()]), plain_templates(rows, labels)
+    for i, _ in rows:
+        assert (got[i]["template"], got[i]["verdict"]) == want[i][:2] and abs(got[i]["bad_share"] - want[i][2]) < 1e-9
+    blocked = [i for i, _ in rows if want[i][1] == "block"]
+    assert 50 < len(blocked) < len(rows) / 2 and any(i not in labels for i in blocked)
+
+
+def test_url_branches_of_other_structure(spark):
+    """Without any label, branches whose pages go on otherwise are not merged."""
+    rows = [(i, f"http://x.com/{('shop', 'blog', 'news')[i % 3]}/{i}") for i in range(300)] + [(1000 + i, f"http://x.com/forum/thread{chr(97 + i % 26)}/{i}") for i in range(300)]
+    got = verdicts(spark, rows, [])
+    assert {got[i]["template"].split("/")[1] for i in range(300)}.isdisjoint({got[1000 + i]["template"].split("/")[1] for i in range(300)})
+
+
 def test_url_rare_branch_that_differs(spark):
     names = [f"shop{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(100)]
     rows = [(i, f"http://hot.com/{names[i % 100]}/p{i}") for i in range(4000)] + [(5000 + i, f"http://hot.com/spam/p{i}") for i in range(40)]
@@ -272,48 +397,168 @@ def test_warc_round_trip(spark):
         again = i is not None and first.get(h, i) != i
         want.append((i, len(b), hashlib.sha256(b).hexdigest(), "revisit" if again else "response", first[h] if again else None, None if again else b.decode()))
     assert sorted(map(str, want)) == sorted(str((r["id"], r["bytes"], r["digest"], r["record_type"], r["refers_to"], r["payload"])) for r in got)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1
+    # archives of a bounded size, whatever the largest payloads
+    sized = scratch(spark, "test-warc")
+    warc.write(warc.resolve(warc.capture(frame)), sized, date="2025-02-03T04:05:06Z", archive_bytes=20_000, most_bytes=50_000)
+    again = warc.read(spark, sized).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(sized).collect():
+        records = [*warc.parse(io.BytesIO(gzip.decompress(bytes(r["content"]))))]
+        assert len(records) == 1 or sum(len(b) for _, b in records) <= 50_000
+        assert {h["warc-date"] for h, _ in records} == {"2025-02-03T04:05:06Z"}
     empty = scratch(spark, "test-warc")
     warc.write(warc.resolve(warc.capture(frame.limit(0))), empty)
     assert warc.read(spark, empty).count() == 0
 
 
+def plain_links(rows):
+    """(reply_to, linked, n_quoted, max_level, content, position) of each row, by plain Python."""
+
+    def norm(t):
+        return [w for w in "".join(c if c.isalnum() else " " for c in t.lower()).split(" ") if w]
+
+    parsed = []
+    for conv, turn, _, text in rows:
+        lines = []
+        for line in re.split("\r?\n", text or ""):
+            marks = re.match(r"^(?:[ \t]*>)+[ \t]?", line)
+            lines.append((marks[0].count(">"), line[len(marks[0]) :]) if marks else (0, line))
+        passages = []
+        for k, (level, body) in enumerate(lines):
+            if level and k and lines[k - 1][0] == level:
+                passages[-1][1].append(body)
+            elif level:
+                passages.append((level, [body]))
+        content = "\n".join(b for level, b in lines if not level)
+        content = re.sub(r"^(?:[ \t]*\n)+|(?:\n[ \t]*)+\Z", "", content)
+        passages = [(level, words) for level, bodies in passages if (words := norm(" ".join(bodies)))]
+        parsed.append((conv, turn, content, passages, sum(level > 0 for level, _ in lines), max(level for level, _ in lines)))
+    runs = lambda words, w: {" ".join(words[i : i + w]) for i in range(len(words) - w + 1)}
+    parents, before, holds = {}, {}, {}
+    for conv, turn, content, *_ in parsed:
+        if conv is not None and turn is not None:
+            words = norm(content)
+            holds.setdefault(conv, {}).setdefault(turn, set()).update(*[runs(words, w) for w in range(1, 6)])
+    for conv, held in holds.items():
+        turns = sorted(held)
+        before |= {(conv, t): (turns[k - 1] if k else None) for k, t in enumerate(turns)}
+    votes = {}
+    for conv, turn, _, passages, *_ in parsed:
+        if conv is None or turn is None:
+            continue
+        for level, words in passages:
+            own, hits = runs(words, min(5, len(words))), {}
+            for h in own:
+                source = max((t for t, held in holds[conv].items() if t < turn and h in held), default=None)
+                if source is not None:
+                    hits[source] = hits.get(source, 0) + 1
+            if hits:
+                n, source = max((n, t) for t, n in hits.items())
+                if 2 * n >= len(own):
+                    v = votes.setdefault((conv, turn), {}).setdefault(source, [0, 0])
+                    v[0] += len(words) * (level == 1)
+                    v[1] += len(words)
+    for key, found in votes.items():
+        parents[key] = max((*v, t) for t, v in found.items())[2]
+    place = {}
+    for conv, held in holds.items():
+        children = {}
+        for t in sorted(held):
+            children.setdefault(parents.get((conv, t), before[conv, t]), []).append(t)
+        stack = [*children[None]]
+        while stack:
+            t = stack.pop(0)
+            place[conv, t] = len([k for k in place if k[0] == conv])
+            stack = children.get(t, []) + stack
+    return sorted(str((c, t, parents.get((c, t), before.get((c, t))), (c, t) in parents, n, top, content, place.get((c, t)))) for c, t, content, _, n, top in parsed)
+
+
+def linked(spark, rows):
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumns({"content": F.lit(1), "position": F.lit("x")})
+    return conversations.link_quotes(frame)
+
+
+def told(frame):
+    return sorted(str((r["conv_id"], r["turn"], r["reply_to"], r["linked"], r["n_quoted"], r["max_level"], r["content"], r["position"])) for r in frame.collect())
+
+
+QUOTED = [
+    (1, 0, "user", "How do I sort a list in place?\nThanks a lot in advance!"),
+    (1, 1, "assistant", "Call the sort method of it.\n\nIt is stable."),
+    (1, 2, "user", "> Call the sort method of it.\n>> How do I sort a list in place?\nAnd what of tuples?\n"),
+    (1, 3, "user", ">How do I sort\n> a LIST, in place?  Thanks\n>a lot in advance!\nI wonder too."),
+    (1, 5, "user", "> never said by anyone here\nx"),
+    (2, 0, "user", None),
+    (2, 1, "user", "> How do I sort a list in place?"),
+    (2, 1, "user", ""),
+    (None, 1, "user", "> How do I sort a list in place?"),
+    (1, None, "user", "> Call the sort method of it."),
+]
+
+
 def test_quotes(spark):
-    rows = [
-        (1, 0, "user", "How do I sort a list in place?\nThanks a lot in advance!"),
-        (1, 1, "assistant", "Call the sort method of it.\n\nIt is stable."),
-        (1, 2, "user", "> Call the sort method of it.\n>> How do I sort a list in place?\nAnd what of tuples?\n"),
-        (1, 3, "user", ">How do I sort a LIST, in place?\n>  Thanks a lot in advance!\nI wonder too."),
-        (1, 5, "user", "> never said by anyone here\nx"),
-        (2, 0, "user", None),
-        (2, 1, "user", "> How do I sort a list in place?"),
-        (2, 1, "user", ""),
-        (None, 1, "user", "> How do I sort a list in place?"),
+    want = [
+        (1, 0, None, False, 0, 0, QUOTED[0][3], 0),
+        (1, 1, 0, False, 0, 0, QUOTED[1][3], 1),
+        (1, 2, 1, True, 2, 2, "And what of tuples?", 2),
+        (1, 3, 0, True, 3, 1, "I wonder too.", 3),  # quoted in other lines than it was written in
+        (1, 5, 3, False, 1, 1, "x", 4),  # there is no turn 4
+        (2, 0, None, False, 0, 0, "", 0),
+        (2, 1, 0, False, 1, 1, "", 1),  # another conversation said it
+        (2, 1, 0, False, 0, 0, "", 1),
+        (None, 1, None, False, 1, 1, "", None),
+        (1, None, None, False, 1, 1, "", None),
     ]
-    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("content", F.lit(1))
-    got = {(r["conv_id"], r["turn"], r["content"]): (r["reply_to"], r["linked"], r["n_quoted"], r["max_level"]) for r in conversations.link_quotes(frame).collect()}
-    assert got == {
-        (1, 0, rows[0][3]): (None, False, 0, 0),
-        (1, 1, rows[1][3]): (0, False, 0, 0),
-        (1, 2, "And what of tuples?"): (1, True, 2, 2),
-        (1, 3, "I wonder too."): (0, True, 2, 1),
-        (1, 5, "x"): (None, False, 1, 1),
-        (2, 0, ""): (None, False, 0, 0),
-        (2, 1, ""): (0, False, 0, 0),
-        (None, 1, ""): (None, False, 1, 1),
-    } or got[(2, 1, "")][0] == 0
-    assert conversations.link_quotes(frame).count() == len(rows) and conversations.link_quotes(frame.limit(0)).count() == 0
+    assert told(linked(spark, QUOTED)) == sorted(map(str, want)) == plain_links(QUOTED)
+    empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert conversations.link_quotes(empty).count() == 0
+
+
+@pytest.mark.parametrize(("seed", "block"), [(1, 4096), (2, 3)])
+def test_quotes_by_brute_force(spark, monkeypatch, seed, block):
+    """Threads with excerpts of earlier messages, wrapped anew, nested, repeated and cut short; gaps and repeats of turns."""
+    monkeypatch.setattr(conversations, "BLOCK", block)
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdef", k=rng.randint(1, 5))) for _ in range(60)] + ["Ähm", "好的", "42"]
+    rows = []
+    for conv in range(12):
+        said, turn = [], 0
+        for _ in range(rng.randint(1, 25)):
+            turn += rng.choice([0, 1, 1, 1, 2])
+            lines = []
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                if said:
+                    source = rng.choice(said)
+                    a = rng.randrange(len(source))
+                    part = source[a : a + rng.randint(1, 20)]
+                    mark = rng.choice(["> ", ">", ">> ", "> > "])
+                    cut = rng.randint(1, 9)
+                    lines += [mark + " ".join(part[i : i + cut]).upper() for i in range(0, len(part), cut)]
+                    lines += [rng.choice(["", "well,", ">"])]
+            own = rng.choices(words, k=rng.randint(1, 30))
+            said.append(own)
+            rows.append((conv, turn, "user", "\n".join([*lines, " ".join(own[:7]) + "?", " ".join(own[7:])])))
+    rng.shuffle(rows)
+    want = plain_links(rows)
+    assert told(linked(spark, rows)) == want
+    assert sum("True" in w for w in want) > 20
+
+
+def test_long_conversation_with_forks(spark):
+    """Positions where each fifth message answers the first by a quote."""
+    rows = [(1, t, "user", "opening words of this long thread" if t == 0 else ("> opening words of this long thread\n" if t % 5 == 0 else "") + f"note {t}") for t in range(300)]
+    assert told(linked(spark, rows)) == plain_links(rows)
 
 
 def reply_to(spark, *texts):
-    frame = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, role string, text string")
-    return [(r["reply_to"], r["linked"]) for r in sorted(conversations.link_quotes(frame).collect(), key=lambda r: r["turn"])]
+    return [(r["reply_to"], r["linked"]) for r in sorted(linked(spark, [(1, i, "user", t) for i, t in enumerate(texts)]).collect(), key=lambda r: r["turn"])]
 
 
 def test_short_quotes(spark):
     assert reply_to(spark, "Yes", "42 km", "\u597d\u7684", "Other words.", "> Yes\na", "> 42 km\nb", "> \u597d\u7684\nc", "> !\nd")[4:] == [(0, True), (1, True), (2, True), (6, False)]
 
 
-
 def test_pipeline_against_brute_force(spark):
     """Each stage on its own input, by plain Python."""
     import corpus_pipeline as cp

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -75,11 +76,24 @@ def test_encoding_and_counts_of_a_table(spark, library):
 
 
 def test_proof_of_whole_tokens(library):
-    whole = token_counts.proved_whole()
+    v = bpe.vocabulary()
+    whole = token_counts.whole_strings(v, token_counts.proved_whole())
     assert len(whole) > 40_000
     for s in random.Random(5).sample(sorted(whole), 500):
         assert len(library.encode(s, add_special_tokens=False).ids) >= 1
-    assert all(len(bpe.vocabulary().merge([s.encode()])[0]) == 1 for s in random.Random(6).sample(sorted(whole), 200))
+    assert all(len(v.merge([s.encode()])[0]) == 1 for s in random.Random(6).sample(sorted(whole), 200))
+    assert len(token_counts.proved_whole()) == -(-(1 + max(v.strings.values())) // 8)
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 1000)
+    made = []
+    memory = bpe.Memory(lambda new: (made.append(len(new)), [len(t) for t in new])[1])
+    for k in range(50):
+        pieces = [f"{k}" * 60, "again", "x" * k]
+        known = memory.learn([pieces])
+        assert all(known[p] == len(p) for p in pieces)
+        assert sum(map(len, [*memory.known, *memory.old])) < 1500
 
 
 def test_words_and_shingles():
@@ -118,6 +132,48 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint_edits(docs.limit(0), 5).count() == 0
 
 
+def plain_sketch(text, k, width):
+    """The k smallest of the distinct 64-bit hashes of word runs, as Spark hashes arrays of strings."""
+    words = [w for w in re.split("[ \t-\r]+", (text or "").lower()) if w]
+    out = set()
+    for i in range(max(1, len(words) - width + 1) if words else 0):
+        h = 42
+        for w in words[i : i + width]:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        out.add(h - 2**64 if h >= 2**63 else h)
+    return sorted(out)[:k]
+
+
+def plain_likeness(a, b, k):
+    if not a and not b:
+        return 1.0
+    union = sorted({*a, *b})[:k]
+    return len({*union} & {*a} & {*b}) / len(union)
+
+
+def test_fingerprints_by_brute_force(spark):
+    rng = random.Random(12)
+    base = rng.choices("abcdefghé", k=700)
+    texts = ["", None, "  \n", "One", "one TWO", *(" ".join(base[: rng.randint(1, 700)] + rng.choices("xyz", k=rng.randint(0, 40))) for _ in range(40))]
+    frame = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    for k in (128, 8):
+        got = {r["doc_id"]: r for r in fingerprints.fingerprint_edits(frame, k=k).collect()}
+        for i, t in enumerate(texts):
+            following = texts[i - 1] or ""
+            t = t or ""
+            cut = len(t) // 3
+            own, edited, after = (plain_sketch(x, k, 5) for x in (t, t[: len(t) - cut] + following[:cut], following))
+            hexed = lambda hs: "".join(f"{h & (2**64 - 1):016x}" for h in hs)
+            assert (got[i]["fingerprint"], got[i]["edited_fingerprint"]) == (hexed(own), hexed(edited))
+            assert abs(got[i]["near_edited"] - plain_likeness(own, edited, k)) < 1e-12 and abs(got[i]["near_next"] - plain_likeness(own, after, k)) < 1e-12
+
+
+def test_ranges_of_ids(spark):
+    for cuts in ([], [5], [*range(0, 1000, 7)], [-(2**63), 3, 2**62]):
+        got = spark.range(-20, 1020).select("id", fingerprints._range_of(F.col("id"), cuts).alias("r")).collect()
+        assert all(r["r"] == sum(c < r["id"] for c in cuts) for r in got)
+
+
 def test_sketches_merge_and_estimate(spark):
     rng = random.Random(4)
     a, b = [[str(rng.random()) for _ in range(n)] for n in (3000, 1500)]
@@ -189,6 +245,37 @@ def test_cuckoo_filter():
     assert not c.table.any() and not c.stash
 
 
+def test_line_index_grows(spark, monkeypatch):
+    """Filters are dealt to more shards, and built anew when their stash is full; shards of many rows are probed in parts."""
+    monkeypatch.setattr(lines, "SHARD_KEYS", 20)
+    monkeypatch.setattr(lines, "STASHED", 0)
+    monkeypatch.setattr(lines, "PROBES", 15)
+    rng = random.Random(8)
+    pool = [f"a line of some length {k:04d}" for k in range(200)]
+    text = lambda some: "\n".join(["this line is in every document of all"] + rng.choices(some, k=rng.randint(1, 12)))
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
+    a, b = [(i, text(pool[:20])) for i in range(40)], [(100 + i, text(pool)) for i in range(150)]
+    base = lines.LineIndex.build(frame(a))
+    more = base.insert(frame(b))
+    assert base.shards < more.shards and more._parts(more.refs).count() > 0
+    got = sorted(str((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"])) for r in lines.dedup(frame(a + b), more).collect())
+    assert got == plain_dedup(a + b)
+    back = more.delete(frame(b).select("doc_id"))
+    assert sorted(str((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"])) for r in lines.dedup(frame(a), back).collect()) == plain_dedup(a)
+
+
+def test_line_dedup_keeps_names(spark):
+    line = "the same line in three documents"
+    docs = spark.createDataFrame([(i, line, 7, "d", [1]) for i in range(3)], "doc_id bigint, text string, _row int, _drops string, _LINES array<int>")
+    got = sorted(lines.dedup(docs).collect(), key=lambda r: r["doc_id"])
+    assert [tuple(r)[:5] for r in got] == [(0, "", 7, "d", [1]), (1, "", 7, "d", [1]), (2, line, 7, "d", [1])]
+
+
+def indexed(rows, terms):
+    edges = np.cumsum([0, *(len(t) for t, _ in rows)])
+    return toxicity.BlockMaxIndex(edges, np.concatenate([t for t, _ in rows]), np.concatenate([w for _, w in rows]), terms)
+
+
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(3)
     terms = 60
@@ -199,7 +286,7 @@ def test_nearest_examples_are_exact():
     dense = np.zeros((500, terms))
     for i, (t, w) in enumerate(rows):
         dense[i, t] = w
-    index = toxicity.BlockMaxIndex(rows, terms)
+    index = indexed(rows, terms)
     for i in range(0, 500, 7):
         found, sims = index.nearest(*rows[i], 15, without=i)
         want = dense @ dense[i]
@@ -293,7 +380,7 @@ def test_leave_one_out_is_exact():
         dense = np.zeros((150, 25))
         for i, (t, w) in enumerate(rows):
             dense[i, t] = w
-        for i, (found, sims) in enumerate(toxicity.BlockMaxIndex(rows, 25).all_nearest(rows, 15, apart=True)):
+        for i, (found, sims) in enumerate(indexed(rows, 25).all_nearest(rows, 15, apart=True)):
             want = dense @ dense[i]
             want[i] = 0
             assert i not in found and np.allclose(sims, np.sort(want[want > 1e-9])[::-1][:15])
