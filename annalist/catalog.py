@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annalist.functions.coerce import TYPES, coerce
 from annalist.functions.labels import resolve_column
+from annalist.operators import guards
 from annalist.operators.frames import prefixed
 
 # Names of raw types and the logical types that they become.
@@ -38,7 +39,14 @@ class SchemaCatalog:
                 return self.types[c][found]
         return None
 
+    def kinds(self, category: str | None, df: DataFrame) -> dict[str, str]:
+        return {c: k for c in df.columns if (k := self.type_of(c, category))}
+
     def apply(self, category: str | None, df: DataFrame) -> DataFrame:
-        """Columns in their logical types, in one projection; unknown ones stay."""
-        kinds = {c: self.type_of(c, category) for c in df.columns}
-        return df.select(*[coerce(F.col(c), k).alias(c) if k else F.col(c) for c, k in kinds.items()])
+        """Columns in their logical types, in one projection; unknown ones stay. What can't be read becomes null; see guarded()."""
+        kinds = self.kinds(category, df)
+        return df.select(*[coerce(F.col(c), kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+
+    def guarded(self, category: str | None, df: DataFrame, strict: bool = True) -> tuple[DataFrame, list[guards.Finding]]:
+        """Columns in the types that all their values can have; an error if a value is lost that must not be, else what was."""
+        return guards.typed(df, self.kinds(category, df), strict)

@@ -3,6 +3,7 @@
 import copy
 import json
 import os
+import re
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -37,16 +38,35 @@ def parse(path: str | Path) -> dict:
     return found
 
 
-def from_environment(environ: dict[str, str]) -> dict:
-    """ANNALIST_PATHS__ROOT=x as {"paths": {"root": "x"}}."""
+def read_value(text: str, like):
+    """An environment variable's text as what its default is: a truth value, a number, a text; where the default is none, a range of years, a list or a number if it reads as one."""
+    if isinstance(like, bool):
+        if text.strip().lower() not in ("true", "false", "yes", "no", "1", "0"):
+            raise ValueError(f"not true or false: {text!r}")
+        return text.strip().lower() in ("true", "yes", "1")
+    if isinstance(like, (int, float)):
+        return type(like)(text)
+    if isinstance(like, str):
+        return text
+    if years := re.fullmatch(r"\s*(\d{4})\s*[-,]\s*(\d{4})\s*", text):
+        return [int(y) for y in years.groups()]
+    try:
+        return json.loads(text)
+    except ValueError:
+        return text
+
+
+def from_environment(environ: dict[str, str], defaults: dict | None = None) -> dict:
+    """ANNALIST_PATHS__ROOT=x as {"paths": {"root": "x"}}, values in the types of their defaults."""
     out: dict = {}
     for key, value in environ.items():
         if key.startswith(PREFIX):
             *parents, last = key.removeprefix(PREFIX).lower().split("__")
-            at = out
+            at, like = out, DEFAULTS if defaults is None else defaults
             for p in parents:
                 at = at.setdefault(p, {})
-            at[last] = value
+                like = like.get(p, {}) if isinstance(like, dict) else {}
+            at[last] = read_value(value, like.get(last) if isinstance(like, dict) else None)
     return out
 
 
@@ -57,7 +77,7 @@ class Config:
     @classmethod
     def load(cls, path: str | Path | None = None, environ: dict[str, str] | None = None, **arguments) -> "Config":
         values = merged(DEFAULTS, parse(path) if path else {})
-        values = merged(values, from_environment(dict(os.environ) if environ is None else environ))
+        values = merged(values, from_environment(dict(os.environ) if environ is None else environ, values))
         return cls(merged(values, arguments)).checked()
 
     def checked(self) -> "Config":

@@ -1,8 +1,12 @@
 """Labels by ordered keyword rules."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from annalist.functions.coerce import trimmed
+
 #: (label, alternatives); an alternative is a list of texts that all have to be there, `!x` not, `=x` as the whole text, `~x` as a word.
 Rules = list[tuple[str, list[list[str]]]]
 
@@ -42,22 +46,21 @@ SCHOOL_TYPES: Rules = [
 
 def classify(value: Column, rules: Rules) -> Column:
     """The label of the first rule that fits the text in lower case with `-`, `_` and runs of spaces as one space; the trimmed text itself if none does."""
-    s = F.regexp_replace(F.regexp_replace(F.lower(F.trim(value)), r"[\-_]+", " "), r"\s+", " ")
-
-    def test(word: str) -> Column:
-        if word[0] == "=":
-            return s == word[1:]
-        if word[0] == "~":
-            return F.regexp(s, F.lit(rf"\b{word[1:]}\b"))
-        return ~F.contains(s, F.lit(word[1:])) if word[0] == "!" else F.contains(s, F.lit(word))
-
-    out = F.when(F.lit(False), "")
-    for label, ways in rules:
-        fits = None
-        for words in ways:
-            way = None
-            for w in words:
-                way = test(w) if way is None else way & test(w)
-            fits = way if fits is None else fits | way
-        out = out.when(fits, label)
-    return F.when(value.isNotNull(), out.otherwise(F.trim(value)))
+    text = F.regexp_replace(F.regexp_replace(F.lower(trimmed(value)), r"[\-_]+", " "), r"\s+", " ")
+
+    def label_of(s: Column) -> Column:
+        def test(word: str) -> Column:
+            if word[0] == "=":
+                return s == word[1:]
+            if word[0] == "~":
+                return F.regexp(s, F.lit(rf"\b{word[1:]}\b"))
+            return ~F.contains(s, F.lit(word[1:])) if word[0] == "!" else F.contains(s, F.lit(word))
+
+        out = F.when(F.lit(False), "")
+        for label, ways in rules:
+            out = out.when(reduce(Column.__or__, [reduce(Column.__and__, map(test, words)) for words in ways]), label)
+        return out
+
+    # within a lambda the text is a variable: read once, and out of the generated code, which would grow too large with it
+    found = F.element_at(F.transform(F.array(text), label_of), 1)
+    return F.when(value.isNotNull(), F.coalesce(found, trimmed(value)))

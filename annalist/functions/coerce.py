@@ -9,21 +9,28 @@ FALSE_WORDS = ["no", "false", "n", "0", "0.0"]
 MISSING_WORDS = ["nan", "", "<na>", "none", "null", "n/a"]
 #: Two-digit years up to this one are of this century.
 PIVOT_YEAR = 2030
+#: White space of all kinds, which is cut off at both ends of texts.
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
+def trimmed(c: Column) -> Column:
+    """c as text without white space of any kind at its ends."""
+    return F.btrim(c.cast("string"), F.lit(WHITE))
 
 
 def boolean(c: Column) -> Column:
-    t = F.lower(F.trim(c.cast("string")))
+    t = F.lower(trimmed(c))
     return F.when(t.isin(TRUE_WORDS), True).when(t.isin(FALSE_WORDS), False)
 
 
 def is_unknown_boolean(c: Column) -> Column:
     """A text that is neither a boolean nor missing."""
-    t = F.lower(F.trim(c.cast("string")))
+    t = F.lower(trimmed(c))
     return boolean(c).isNull() & ~t.isin(MISSING_WORDS)
 
 
 def numeric(c: Column) -> Column:
-    return F.nanvl(F.trim(c.cast("string")).try_cast("double"), F.lit(None).cast("double"))
+    return F.nanvl(trimmed(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def integer(c: Column) -> Column:
@@ -33,7 +40,7 @@ def integer(c: Column) -> Column:
 
 
 def strip_dot_zero(c: Column) -> Column:
-    return F.regexp_replace(F.trim(c.cast("string")), r"\.0$", "")
+    return F.regexp_replace(trimmed(c), r"\.0$", "")
 
 
 def title_case(c: Column) -> Column:
@@ -44,27 +51,50 @@ def title_case(c: Column) -> Column:
 
 def category(c: Column) -> Column:
     """A trimmed label: numbers as whole numbers, several words in title case, words for nothing as null."""
-    t = F.trim(c.cast("string"))
+    t = trimmed(c)
     number = t.try_cast("double")
     whole = F.when(number == F.floor(number), number.try_cast("bigint").cast("string")).otherwise(t)
     return F.when(F.lower(t).isin(MISSING_WORDS), None).when(number.isNotNull() & ~F.isnan(number), whole).when(F.contains(t, F.lit(" ")), title_case(t)).otherwise(t)
 
 
 def date(c: Column, pivot_year: int = PIVOT_YEAR) -> Column:
-    """A date in one of several forms: time, zone and tokens with `:` are cut off; days come before months; `Mon-YY` is the first of a month."""
-    t = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), "Z$", ""), "T.*$", ""), r"\s*\S*:\S*", ""))
-    month = F.regexp_extract(t, r"^([A-Za-z]{3})-\d{2}$", 1)
-    yy = F.regexp_extract(t, r"^[A-Za-z]{3}-(\d{2})$", 1).try_cast("int")
-    year = F.when(yy + 2000 > pivot_year, yy + 1900).otherwise(yy + 2000)
-    by_month = F.concat(F.lit("1 "), F.initcap(month), F.lit(" "), year.cast("string"))
+    """A date in one of many forms; null if it is in none of them.
+
+    Time, zone and tokens with `:` are cut off. `dd/mm/yyyy` is day first; other
+    numbers are month first where that can be, as are two-digit years. Months may
+    be words; a missing day is the first, a missing month January. `Mon-YY` is of
+    this century up to pivot_year, other two-digit years are within 50 years of it.
+    """
+    t = trimmed(F.regexp_replace(F.regexp_replace(F.regexp_replace(trimmed(c), "Z$", ""), r"(?<=\d)T.*$", ""), r"\s*\S*:\S*", ""))
+    # words with one space between, months of three letters, no ordinal endings
+    words = F.regexp_replace(F.regexp_replace(F.initcap(F.lower(F.regexp_replace(t, r"[-,/.\s]+", " "))), r"([A-Z][a-z]{2})[a-z]*", "$1"), r"(\d)(?i:st|nd|rd|th)\b", "$1")
+    digits = F.regexp_replace(t, "[/.]", "-")
+    part = lambda x, form, g: F.regexp_extract(x, form, g).try_cast("int")
     read = lambda x, form: F.try_to_timestamp(x, F.lit(form)).cast("date")
+    fits = lambda x, form: F.regexp(x, F.lit(form))
+    near = lambda yy: F.when(yy + 2000 >= pivot_year + 50, yy + 1900).otherwise(yy + 2000)
+    ymd = lambda y, m, d: read(F.concat_ws("-", y.cast("string"), m.cast("string"), d.cast("string")), "y-M-d")
+    three = r"^(\d{1,2})-(\d{1,2})-(\d{4}|\d{2})$"
+    p1, p2, year = part(digits, three, 1), part(digits, three, 2), part(digits, three, 3)
+    year = F.when(F.length(F.regexp_extract(digits, three, 3)) == 2, near(year)).otherwise(year)
+    short = r"^[A-Z][a-z]{2} (\d{2})$"
+    yy = part(words, short, 1)
+    this = F.when(yy + 2000 > pivot_year, yy + 1900).otherwise(yy + 2000)
+    day_short = r"^\d{1,2} [A-Z][a-z]{2} (\d{2})$"
     return F.coalesce(
-        F.when(F.regexp(t, F.lit(r"^\d{4}-\d{1,2}-\d{1,2}$")), read(t, "y-M-d")),
-        F.when(F.regexp(t, F.lit(r"^\d{1,2}/\d{1,2}/\d{4}$")), read(t, "d/M/y")),
-        F.when(F.regexp(t, F.lit(r"^\d{1,2}-\d{1,2}-\d{4}$")), read(t, "d-M-y")),
-        F.when(F.regexp(t, F.lit(r"^\d{8}$")), read(t, "yyyyMMdd")),
-        F.when(month != "", read(by_month, "d MMM y")),
-        F.when(F.regexp(t, F.lit(r"^\d{1,2} [A-Za-z]{3} \d{4}$")), read(F.initcap(t), "d MMM y")),
+        F.when(fits(digits, r"^\d{4}-\d{1,2}-\d{1,2}$"), read(digits, "y-M-d")),
+        F.when(fits(t, r"^\d{2}/\d{2}/\d{4}$"), read(t, "d/M/y")),
+        F.when(fits(digits, three), F.when(p1 > 12, ymd(year, p2, p1)).otherwise(ymd(year, p1, p2))),
+        F.when(fits(t, r"^\d{8}$"), read(t, "yyyyMMdd")),
+        F.when(fits(digits, r"^\d{4}-\d{1,2}$"), read(F.concat(digits, F.lit("-1")), "y-M-d")),
+        F.when(fits(t, r"^\d{4}$"), read(F.concat(t, F.lit("-1-1")), "y-M-d")),
+        F.when(fits(words, r"^\d{1,2} [A-Z][a-z]{2} \d{4}$"), read(words, "d MMM y")),
+        F.when(fits(words, r"^[A-Z][a-z]{2} \d{1,2} \d{4}$"), read(words, "MMM d y")),
+        F.when(fits(words, r"^[A-Z][a-z]{2} \d{4}$"), read(F.concat(F.lit("1 "), words), "d MMM y")),
+        F.when(fits(words, r"^\d{4} [A-Z][a-z]{2}$"), read(F.concat(words, F.lit(" 1")), "y MMM d")),
+        F.when(fits(words, r"^\d{4} [A-Z][a-z]{2} \d{1,2}$"), read(words, "y MMM d")),
+        F.when(fits(words, short), read(F.concat(F.lit("1 "), F.substring(words, 1, 4), this.cast("string")), "d MMM y")),
+        F.when(fits(words, day_short), read(F.concat(F.regexp_replace(words, r"\d{2}$", ""), near(part(words, day_short, 1)).cast("string")), "d MMM y")),
     )
 
 
@@ -75,16 +105,16 @@ def normalise_key(c: Column) -> Column:
 
 def normalise_name(c: Column) -> Column:
     """A name as a key: lower case, without a leading `the`, trimmed; words for nothing are null."""
-    t = F.trim(F.regexp_replace(F.lower(F.trim(c.cast("string"))), r"^the\s+", ""))
+    t = trimmed(F.regexp_replace(F.lower(trimmed(c)), r"^the\s+", ""))
     return F.when(~t.isin(MISSING_WORDS), t)
 
 
 def postcode(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.upper(c), " ", ""))
+    return trimmed(F.regexp_replace(F.upper(c), " ", ""))
 
 
 def percent_text(c: Column) -> Column:
-    return F.rtrim(F.regexp_replace(F.trim(c.cast("string")), "%+$", "")).try_cast("double")
+    return trimmed(F.regexp_replace(trimmed(c), "%+$", "")).try_cast("double")
 
 
 TYPES = {
@@ -97,5 +127,5 @@ def coerce(c: Column, logical: str) -> Column:
     """c as a logical type. A string loses `.0` only where it is a number."""
     if logical == "string":
         t = c.cast("string")
-        return F.when(F.regexp(F.trim(t), F.lit(r"^-?\d+\.0$")), strip_dot_zero(t)).otherwise(t)
+        return F.when(F.regexp(trimmed(t), F.lit(r"^-?\d+\.0$")), strip_dot_zero(t)).otherwise(t)
     return TYPES[logical](c)

@@ -5,6 +5,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annalist.functions.coerce import trimmed
+
+# Months as they stand in file names.
 MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
 #: The year group by which cohorts are named.
 FINAL_GROUP = 11
@@ -48,7 +51,7 @@ YEAR_GROUP_PATTERNS = {
 
 def year_group(sheet: Column) -> Column:
     """struct(year_group, label) of a sheet name: the first form that fits; both null if none does. Label: `g YYYY - YYYY`."""
-    s, p = F.trim(sheet), YEAR_GROUP_PATTERNS
+    s, p = trimmed(sheet), YEAR_GROUP_PATTERNS
 
     def part(form: str, group: int) -> Column:
         return F.regexp_extract(s, p[form], group)
@@ -113,7 +116,7 @@ def academic_year(start: Column, group: Column) -> Column:
 
 
 def end_year(label: Column) -> Column:
-    return F.right(F.trim(label), F.lit(4)).try_cast("int")
+    return F.right(trimmed(label), F.lit(4)).try_cast("int")
 
 
 def snake_case(name: Column) -> Column:
@@ -129,7 +132,7 @@ def is_mixed_case(name: Column) -> Column:
 
 def standard_file_name(parts: list[Column], group: Column | None = None, suffix: str = ".parquet") -> Column:
     """Parts with spaces as `-`, a group as `Y<n>`, joined by `_`; nulls are left out."""
-    dashed = [F.regexp_replace(F.regexp_replace(F.trim(p), r"\s+", "-"), "-+", "-") for p in parts]
+    dashed = [F.regexp_replace(F.regexp_replace(trimmed(p), r"\s+", "-"), "-+", "-") for p in parts]
     if group is not None:
         dashed.append(F.concat(F.lit("Y"), group.cast("int").cast("string")))
     return F.concat(F.concat_ws("_", *dashed), F.lit(suffix))
@@ -187,7 +190,8 @@ def resolve_column(names: list[str] | str, columns: list[str], prefixes: list[st
 def lookup_texts(names: DataFrame, sources: dict[str, DataFrame], key: str, value: str) -> DataFrame:
     """names with the value of each source (its last row of a key), `text` if all that have one agree, else all of them, and `agrees`."""
     for source, df in sources.items():
-        last = df.groupBy(key).agg(F.max_by(value, "row").alias(f"_{source}")) if "row" in df.columns else df.groupBy(key).agg(F.last(value).alias(f"_{source}"))
+        # without a column `row`, the largest text counts
+        last = df.groupBy(key).agg((F.max_by(value, F.struct("row", value)) if "row" in df.columns else F.max(value)).alias(f"_{source}"))
         names = names.join(last, key, "left")
     texts = F.array_distinct(F.array_compact(F.array(*[f"_{s}" for s in sources])))
     return names.withColumns({"text": F.array_join(texts, " / "), "agrees": F.size(texts) <= 1}).drop(*[f"_{s}" for s in sources])

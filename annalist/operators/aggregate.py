@@ -2,22 +2,28 @@
 
 import difflib
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annalist.functions.coerce import trimmed
 from annalist.operators.frames import unpivot
 
 
+#: Rows of an Arrow batch of merged rows.
+MERGED_ROWS = 1000
+
+
 def collapse(df: DataFrame, keys: list[str], columns: list[str], out: str) -> DataFrame:
     """(keys, out): sorted distinct trimmed values of several columns; groups without any are absent, a null key is a group."""
-    rows = unpivot(df, keys, columns).withColumn("value", F.trim("value")).where("value <> ''")
+    rows = unpivot(df, keys, columns).withColumn("value", trimmed(F.col("value"))).where("value <> ''")
     return rows.groupBy(*keys).agg(F.array_sort(F.collect_set("value")).alias(out))
 
 
 def agree_or_null(df: DataFrame, keys: list[str], columns: list[str], out: str) -> DataFrame:
     """(keys, out): the one value that the columns have, null if they have several."""
-    rows = unpivot(df, keys, columns).withColumn("value", F.trim("value")).where("value <> ''")
+    rows = unpivot(df, keys, columns).withColumn("value", trimmed(F.col("value"))).where("value <> ''")
     return rows.groupBy(*keys).agg(F.when(F.min("value") == F.max("value"), F.min("value")).alias(out))
 
 
@@ -130,11 +136,12 @@ def filled(columns: list[str]) -> Column:
     return sum(flags[1:], flags[0])
 
 
-def merge_compatible_rows(df: DataFrame, id_col: str, order: list[str]) -> DataFrame:
+def merge_compatible_rows(df: DataFrame, id_col: str, order: list[str], by: list[str] | None = None) -> DataFrame:
     """Rows of an id merged greedily: the first row left takes in each later one that differs from it nowhere, filling nulls. Ids that are null are left out.
 
-    Depends on the order, so it has no relational form. Rows come sorted within
-    partitions and an id's open rows are all that is held.
+    Depends on the order (that of `order`, whose columns are not compared, then of
+    `by`), so it has no relational form. Rows come sorted within partitions; an id's
+    open rows and a batch of merged ones are all that is held.
     """
     columns = df.columns
     values = [i for i, c in enumerate(columns) if c != id_col and c not in order]
@@ -144,17 +151,21 @@ def merge_compatible_rows(df: DataFrame, id_col: str, order: list[str]) -> DataF
         import pyarrow as pa
 
         held: list[list] = []
+        done: list[list] = []
         owner, schema = None, None
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(schema)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], f.type) for i, f in enumerate(schema)], schema=schema)
 
         for b in batches:
             schema = b.schema
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if held and row[at] != owner:
-                    yield out()
+                    done += held
                     held = []
+                    if len(done) >= MERGED_ROWS:
+                        yield out()
+                        done = []
                 owner = row[at]
                 for r in held:
                     if all(r[i] is None or row[i] is None or r[i] == row[i] for i in values):
@@ -163,8 +174,30 @@ def merge_compatible_rows(df: DataFrame, id_col: str, order: list[str]) -> DataF
                         break
                 else:
                     held.append(list(row))
-        if held:
+        done += held
+        if done:
             yield out()
 
     known = df.where(F.col(id_col).isNotNull())
-    return known.repartition(id_col).sortWithinPartitions(id_col, *order).mapInArrow(run, df.schema)
+    return known.repartition(id_col).sortWithinPartitions(id_col, *order, *(by or [])).mapInArrow(run, df.schema)
+
+
+def equivalent_groups(columns: list[str], prefixes: list[str]) -> dict[str, list[str]]:
+    """name without its prefix -> the columns that have it, where there are several."""
+    out: dict[str, list[str]] = {}
+    for c in columns:
+        bare = next((c.removeprefix(f"{p}_") for p in prefixes if c.startswith(f"{p}_")), c)
+        out.setdefault(bare, []).append(c)
+    return {k: v for k, v in out.items() if len(v) > 1}
+
+
+def merge_by_prefix(df: DataFrame, prefixes: list[str], skip: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """Columns that are one but for their prefix, merged: of columns equal in all rows (null with null) the first stays under its name; of others that never differ where both have a value, the first value goes under the bare name and the originals stay. Groups that differ are named."""
+    groups = equivalent_groups([c for c in df.columns if c not in skip], prefixes)
+    if not groups:
+        return df, []
+    unlike = lambda cs: F.max(reduce(lambda a, b: a | b, [~F.col(cs[0]).eqNullSafe(F.col(c)) for c in cs[1:]]).cast("int"))
+    told = df.agg(*[unlike(cs).alias(n) for n, cs in groups.items()]).first()
+    same = {n: cs for n, cs in groups.items() if not told[n]}
+    out, bad = merge_equivalent(df, {n: cs for n, cs in groups.items() if n not in same})
+    return out.drop(*[c for cs in same.values() for c in cs[1:]]), bad

@@ -1,11 +1,13 @@
 """Row and column cleaning. Decisions about columns take one aggregate each; frames stay lazy."""
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from annalist.functions.coerce import trimmed
 from annalist.operators.frames import long_form, one_row
 
 META = "_"
@@ -77,6 +79,22 @@ def globally_constant_columns(df: DataFrame, file_col: str, consistency: float =
     return top.join(total, "column_name").where(~((F.col("lo") == "Missing") & (F.col("hi") == "Missing"))).where(share >= consistency).select("column_name", "value", share.alias("share"))
 
 
+# Columns that a merged table does without, as other sources tell the same better.
+REDUNDANT = ["ks4_gender", "nccis_sex_code", "nccis_calculated_sex_code", "nccis_establishment_type"]
+
+
+def drop_redundant(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    return df.drop(*[c for c in (REDUNDANT if columns is None else columns) if c in df.columns])
+
+
+def matching_columns(columns: list[str], include: list[str] | None = None, exclude: list[str] | None = None, first: str | None = None, last: str | None = None) -> list[str]:
+    """Columns whose names, in any case, contain one of include (all if none is given) and none of exclude, from the column `first` to `last` by place."""
+    has = lambda c, words: any(w.lower() in c.lower() for w in words)
+    a = columns.index(first) if first else 0
+    z = columns.index(last) + 1 if last else len(columns)
+    return [c for c in columns[a:z] if (include is None or has(c, include)) and not has(c, exclude or [])]
+
+
 def replace_ampersand(df: DataFrame) -> DataFrame:
     return df.select(*[F.regexp_replace(c, "&", "and").alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
 
@@ -98,7 +116,7 @@ def reorder(df: DataFrame, first: list[str]) -> DataFrame:
 
 def substantive(c: Column, fillers: list[str]) -> Column:
     """True unless the trimmed, lower-cased text is a filler; null is kept."""
-    return c.isNull() | ~F.lower(F.trim(c)).isin(fillers)
+    return c.isNull() | ~F.lower(trimmed(c)).isin(fillers)
 
 
 def recode(c: Column, values: dict) -> Column:
@@ -115,9 +133,19 @@ def column_fingerprints(df: DataFrame, row_id: list[str]) -> DataFrame:
     return long_form(df, {c: one(c).cast("string") for c in df.columns if c not in row_id}, "fingerprint")
 
 
-def identical_columns(df: DataFrame, row_id: list[str]) -> DataFrame:
-    """(kept, dropped) pairs of equal columns, the first by name being kept."""
-    return column_fingerprints(df, row_id).groupBy("fingerprint").agg(F.min("column_name").alias("kept"), F.sort_array(F.collect_list("column_name")).alias("all")).where(F.size("all") > 1).select("kept", F.explode(F.slice("all", 2, F.size("all"))).alias("dropped"))
+def identical_columns(df: DataFrame, row_id: list[str], check: bool = True) -> DataFrame:
+    """(kept, dropped) pairs of equal columns, the first by place being kept. With check, candidates by fingerprint are compared value by value, all pairs in one pass."""
+    names = [c for c in df.columns if c not in row_id]
+    prints: dict[str, list[str]] = {}
+    found = {r["column_name"]: r["fingerprint"] for r in column_fingerprints(df, row_id).collect()}  # a row for each column
+    for c in names:
+        prints.setdefault(found[c], []).append(c)
+    pairs = [(same[0], other) for same in prints.values() for other in same[1:]]
+    if check and pairs:
+        differ = lambda a, b: F.coalesce(F.max((~F.col(a).cast("string").eqNullSafe(F.col(b).cast("string"))).cast("int")), F.lit(0))
+        told = df.agg(*[differ(a, b).alias(f"d{i}") for i, (a, b) in enumerate(pairs)]).first()
+        pairs = [p for i, p in enumerate(pairs) if not told[f"d{i}"]]
+    return df.sparkSession.createDataFrame(pairs, "kept string, dropped string")
 
 
 def backfill_from_reference(df: DataFrame, key: str, column: str, where: Column, reference: Column, order: list) -> DataFrame:
@@ -137,6 +165,28 @@ class CleanOptions:
     null_threshold: float | None = None
 
 
+def clean_files(frames: dict[str, DataFrame], options: CleanOptions, file_col: str = "_file") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All files as one job: (kept rows, rejected rows with `reject_reason`, metadata of the kept columns), each with the file's name.
+
+    Each file loses its own empty columns, and is cleaned by the same options; the
+    metadata tells each column's type, values, distinct values and share of nulls.
+    """
+    if not frames:
+        raise ValueError("no files")
+    kept, bad, told = [], [], []
+    for name, df in frames.items():
+        good, rejected = clean(df, options)
+        kept.append(good.withColumn(file_col, F.lit(name)))
+        bad.append(rejected.withColumn(file_col, F.lit(name)))
+        kinds = dict(good.dtypes)
+        columns = [c for c in good.columns if not c.startswith(META)]
+        wide = good.agg(F.count("*").alias("rows"), *[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("n", F.count), ("u", F.count_distinct))])
+        rows = [F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("dtype"), F.col(f"n{i}").alias("n_values"), F.col(f"u{i}").alias("n_unique"), F.try_divide(F.col("rows") - F.col(f"n{i}"), F.col("rows")).alias("null_ratio")) for i, c in enumerate(columns)]
+        told.append(wide.select(F.lit(name).alias(file_col), F.explode(F.array(*rows)).alias("x")).select(file_col, "x.*"))
+    union = lambda parts: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return union(kept), union(bad), union(told)
+
+
 def clean(df: DataFrame, options: CleanOptions) -> tuple[DataFrame, DataFrame]:
     """Kept rows, and rejected ones with `reject_reason`. In this order: empty columns, repeated rows, null ids, blocked ids, sensitive, constant and sparse columns."""
     df = drop_all_null_columns(df)

@@ -4,9 +4,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from annalist.functions.coerce import trimmed
+
 
 def _clean(values: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v.isNotNull() & (v != ""))))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(values, trimmed), lambda v: v.isNotNull() & (v != ""))))
 
 
 def cumulative(df: DataFrame, id_col: str, order: list[str], list_col: str, prefix: str) -> DataFrame:
@@ -14,27 +16,35 @@ def cumulative(df: DataFrame, id_col: str, order: list[str], list_col: str, pref
 
     Values are trimmed, not empty, and once a row. The main value is the most
     frequent so far; on ties the row's own if it has one value (though it be none
-    of the tied), else the smallest. A row without values has nulls. The running
-    counts are kept as a map of each value, so a row costs its distinct values.
+    of the tied), else the smallest. A row without values has nulls. All windows
+    are within an id, so rows are dealt once; a value's count is its place among
+    the rows that have it, and the best so far are running minima and maxima, so
+    that a row costs its own values and, for `hist`, the distinct ones so far.
     """
     h, n, main, main_n = (f"{prefix}{s}" for s in ("hist", "n_uniq", "main", "main_n"))
-    w = Window.partitionBy(id_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    run = df.withColumn("_own", _clean(F.col(list_col))).withColumn("_all", F.flatten(F.collect_list("_own").over(w)))
-    run = run.withColumn(h, F.array_sort(F.array_distinct("_all")))
-    run = run.withColumn("_counts", F.transform(h, lambda v: F.struct(F.size(F.filter("_all", lambda x: x == v)).alias("n"), v.alias("v"))))
-    run = run.withColumn("_top", F.array_max(F.transform("_counts", lambda c: c["n"])))
-    run = run.withColumn("_best", F.filter("_counts", lambda c: c["n"] == F.col("_top")))
-    own = F.get("_own", F.lit(0))
-    tie = (F.size("_best") > 1) & (F.size("_own") == 1)
-    own_n = F.get(F.filter("_counts", lambda c: c["v"] == own), F.lit(0))["n"]
-    some = F.coalesce(F.size("_own") > 0, F.lit(False))
+    rows = df.select(F.col(id_col).alias("_id"), F.struct(*df.columns).alias("_row"), _clean(F.col(list_col)).alias("_own"))
+    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy("_id").orderBy(*[F.col("_row")[c] for c in order])))
+    each = rows.select("_id", "_place", "_row", F.size("_own").alias("_size"), F.explode_outer("_own").alias("_v"))
+    known = F.col("_v").isNotNull()
+    each = each.withColumn("_n", F.when(known, F.row_number().over(Window.partitionBy("_id", "_v").orderBy("_place"))))
+    # which of the values that came to this count it is
+    each = each.withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_n").orderBy("_place", "_v")))
+    each = each.groupBy("_id", "_place").agg(
+        F.first("_row").alias("_row"), F.max("_size").alias("_size"), F.min("_v").alias("_first"), F.min("_n").alias("_first_n"),
+        F.collect_list(F.when(F.col("_n") == 1, F.col("_v"))).alias("_new"),
+        F.min(F.when(known, F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))).alias("_best"),
+        F.max(F.when(known, F.struct(F.col("_n").alias("n"), F.col("_k").alias("k")))).alias("_top"),
+    )
+    w = Window.partitionBy("_id").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    run = each.withColumns({"_all": F.flatten(F.collect_list("_new").over(w)), "_best": F.min("_best").over(w), "_top": F.max("_top").over(w)})
+    some, tie = F.col("_size") > 0, (F.col("_top.k") > 1) & (F.col("_size") == 1)
     out = {
-        h: F.when(some, F.col(h)),
-        n: F.when(some, F.size(h).cast("bigint")),
-        main: F.when(some, F.when(tie, own).otherwise(F.array_min(F.transform("_best", lambda c: c["v"])))),
-        main_n: F.when(some, F.when(tie, own_n).otherwise(F.col("_top")).cast("bigint")),
+        h: F.when(some, F.array_sort("_all")),
+        n: F.when(some, F.size("_all").cast("bigint")),
+        main: F.when(some, F.when(tie, F.col("_first")).otherwise(F.col("_best.v"))),
+        main_n: F.when(some, F.when(tie, F.col("_first_n")).otherwise(F.col("_top.n")).cast("bigint")),
     }
-    return run.withColumns(out).drop("_own", "_all", "_counts", "_top", "_best")
+    return run.select(*[F.col("_row")[c].alias(c) for c in df.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
 def between_change(column: str, w) -> Column:

@@ -31,28 +31,49 @@ def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return first_per_group(df, keys, [F.col(c).desc() for c in order])
 
 
-def lookup(df: DataFrame, table: DataFrame, left_on: list[Column], right_on: list[Column], values: dict[str, str]) -> DataFrame:
-    """df with the table's columns `values` (name -> new name); keys are compared as trimmed text without `.0`, null with null. The table is unique on its keys."""
+def lookup(df: DataFrame, table: DataFrame, left_on: list[Column], right_on: list[Column], values: dict[str, str], drop_empty: bool = False) -> DataFrame:
+    """df with the table's columns `values` (name -> new name); keys are compared as trimmed text without `.0`, null with null.
+
+    No row is multiplied: a table that isn't unique on its keys, as they are
+    compared, is an error. With drop_empty, new columns without any value go.
+    """
     names = [f"_k{i}" for i in range(len(left_on))]
     right = table.select(*[normalise_key(c).alias(n) for c, n in zip(right_on, names, strict=True)], *[F.col(c).alias(v) for c, v in values.items()])
+    require_unique(right, names)
     left = df.withColumns({n: normalise_key(c) for c, n in zip(left_on, names, strict=True)})
-    return null_safe_join(left, right, names).drop(*names)
+    out = null_safe_join(left, right, names).drop(*names)
+    if drop_empty and values:
+        found = out.agg(*[F.count(v).alias(v) for v in values.values()]).first()
+        out = out.drop(*[v for v in values.values() if not found[v]])
+    return out
 
 
-def lagged_lookup(df: DataFrame, table: DataFrame, keys: dict[str, str], year: str, table_year: str, lag: int, prefix: str) -> DataFrame:
-    """df with the table's values of `lag` years before: its year is moved on by lag and joined for equality. keys: column of df -> column of the table."""
+def lagged_lookup(df: DataFrame, table: DataFrame, keys: dict[str, str], year: str, table_year: str, lag: int, prefix: str, drop_empty: bool = False) -> DataFrame:
+    """df with the table's values of `lag` years before: its year is moved on by lag and joined for equality. keys: column of df -> column of the table, which is unique on keys and year."""
     values = {c: f"{prefix}_{c}_lag{lag}" for c in table.columns if c not in (*keys.values(), table_year)}
     moved = table.withColumn("_year", F.col(table_year) + lag)
-    return lookup(df, moved, [*map(F.col, keys), F.col(year)], [*map(F.col, keys.values()), F.col("_year")], values)
+    return lookup(df, moved, [*map(F.col, keys), F.col(year)], [*map(F.col, keys.values()), F.col("_year")], values, drop_empty)
 
 
-def lagged_lookups(df: DataFrame, table: DataFrame, refs: dict[str, tuple[dict[str, str], int]], year: str, table_year: str) -> DataFrame:
+def lagged_lookups(df: DataFrame, table: DataFrame, refs: dict[str, tuple[dict[str, str], int]], year: str, table_year: str, drop_empty: bool = False) -> DataFrame:
     """lagged_lookup for each reference: prefix -> (keys, lag)."""
     for prefix, (keys, lag) in refs.items():
-        df = lagged_lookup(df, table, keys, year, table_year, lag, prefix)
+        df = lagged_lookup(df, table, keys, year, table_year, lag, prefix, drop_empty)
     return df
 
 
+def year_differences(df: DataFrame, year: str, linked_year: str) -> DataFrame:
+    """(lag, n): how many years the linked rows lie back."""
+    return df.where(F.col(linked_year).isNotNull()).groupBy((F.col(year) - F.col(linked_year)).cast("bigint").alias("lag")).agg(F.count("*").alias("n"))
+
+
+def require_lag(df: DataFrame, year: str, linked_year: str, lag: int) -> DataFrame:
+    """df without the linked year, which has to lie back by lag in all linked rows."""
+    if wrong := [r["lag"] for r in year_differences(df, year, linked_year).where(F.col("lag") != lag).limit(5).collect()]:
+        raise ValueError(f"linked over {sorted(wrong)} years, not {lag}")
+    return df.drop(linked_year)
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
@@ -79,8 +100,21 @@ def key_matches(left: DataFrame, right: DataFrame, id_col: str, left_keys: list[
     return both.groupBy("left_key", "right_key").agg(F.sum(F.col("n_left_key") * F.col("n_right_key")).alias("n"))
 
 
-def best_key_join(left: DataFrame, right: DataFrame, id_col: str, left_keys: list[str], right_keys: list[str]) -> DataFrame:
-    """Full outer on the id if it is unique on both sides; else on the id and the pair of name columns that matches most rows; else, with ids unique on the right, the right row goes to the first left row."""
+# Parts of the names of columns that tell a school, and of those that don't all the same.
+SCHOOL_PARTS = ["urn", "estab_no", "estab", "estab_id", "laestab", "school_code", "stat_school", "school", "establishment", "urn_ac"]
+NO_SCHOOL_PARTS = ["age"]
+
+
+def school_columns(columns: list[str], parts: list[str] | None = None, without: list[str] | None = None) -> list[str]:
+    """Columns whose names contain one of the parts and none of the others, in any case, in their order."""
+    has = lambda c, words: any(w in c.lower() for w in words)
+    return [c for c in columns if has(c, SCHOOL_PARTS if parts is None else parts) and not has(c, NO_SCHOOL_PARTS if without is None else without)]
+
+
+def best_key_join(left: DataFrame, right: DataFrame, id_col: str, left_keys: list[str] | None = None, right_keys: list[str] | None = None) -> DataFrame:
+    """Full outer on the id if it is unique on both sides; else on the id and the pair of name columns that matches most rows; else, with ids unique on the right, the right row goes to the first left row. Name columns that aren't given are found by their names."""
+    left_keys = school_columns(left.columns) if left_keys is None else left_keys
+    right_keys = school_columns(right.columns) if right_keys is None else right_keys
     unique = lambda df: duplicate_keys(df, [id_col]).first() is None
     right_unique = unique(right)
     if right_unique and unique(left):
@@ -129,17 +163,32 @@ def expand_groups(df: DataFrame, low: int, high: int, name: str = "year_group")
 
 
 def two_phase_targets(base: DataFrame, facts: DataFrame, id_col: str, age: str, half: str, value: str, offset: int, first_age: int, last_age: int, left_until: int) -> DataFrame:
-    """Base rows with a feature and a later target, in two phases a year, all ages at once.
-
-    facts has one row for an id, an age and a half (1 or 2). In phase `pre` the
-    feature is of half 1 and the target of half 2 of that age; in phase `post` of
-    half 2 and of half 1 of the next age. base has the column `group`; its age is
-    group + offset. Up to the age left_until a row without a feature stays. A
-    phase of an age without any feature or any target is left out.
+    """train_and_target() of one fact column: `value` as `feature` of the phase's half and as its `target`; base has the column `group`, and its age is group + offset."""
+    one = facts.select(id_col, age, F.when(F.col(half) == 1, 1).otherwise(2).alias(half), F.col(value).alias("feature"), F.col(value).alias("target"))
+    phases = base.withColumn("age", F.col("group") + offset).where(F.col("age").between(first_age, last_age))
+    found = train_and_target(phases, one.withColumnRenamed(age, "age"), id_col, "age", half, "target", left_until, dedup=False, has="feature")
+    return found.drop("target_latest").withColumnRenamed("_phase", "phase")
+
+
+def train_and_target(base: DataFrame, facts: DataFrame, id_col: str, age: str, half: str, target: str, left_until: int, dedup: bool = True, has: str | None = None) -> DataFrame:
+    """Base rows (with an age) with all facts of a phase and the target of the next one, all ages at once.
+
+    facts has a row for an id, an age and a half (1 or 2), and any columns. In the
+    phase `pre` the features are those of half 1 and the target that of half 2 of
+    the same age; in `post` of half 2, and of half 1 of the next age. The target
+    column among the features is called `<target>_latest`. Up to the age left_until
+    a row without facts stays, above it goes. A phase of an age without any
+    features or any targets, for ids of the base, is left out. `_phase` tells the
+    phase; with dedup, equal rows are one.
     """
-    phases = base.withColumn("_age", F.col("group") + offset).where(F.col("_age").between(first_age, last_age)).withColumn("phase", F.explode(F.array(F.lit("pre"), F.lit("post"))))
-    f = facts.select(id_col, F.col(age).alias("_age"), F.when(F.col(half) == 1, "pre").otherwise("post").alias("phase"), F.col(value).alias("feature"))
-    t = facts.select(id_col, F.when(F.col(half) == 2, F.col(age)).otherwise(F.col(age) - 1).alias("_age"), F.when(F.col(half) == 2, "pre").otherwise("post").alias("phase"), F.col(value).alias("target"))
-    there = f.select("_age", "phase").distinct().join(t.select("_age", "phase").distinct(), ["_age", "phase"])
-    out = phases.join(there, ["_age", "phase"], "left_semi").join(f, [id_col, "_age", "phase"], "left").where((F.col("_age") <= left_until) | F.col("feature").isNotNull())
-    return out.join(t, [id_col, "_age", "phase"], "left").withColumnRenamed("_age", "age")
+    mine = facts.join(base.select(id_col).distinct(), id_col, "left_semi")
+    phases = base.withColumn("_phase", F.explode(F.array(F.lit("pre"), F.lit("post"))))
+    features = mine.withColumn("_phase", F.when(F.col(half) == 1, "pre").otherwise("post")).withColumnRenamed(target, f"{target}_latest").drop(half)
+    features = features.withColumn("_has", F.lit(True) if has is None else F.when(F.col(has).isNotNull(), True))
+    second = F.col(half) == 2
+    targets = mine.select(id_col, F.when(second, F.col(age)).otherwise(F.col(age) - 1).alias(age), F.when(second, "pre").otherwise("post").alias("_phase"), target)
+    there = features.select(age, "_phase").distinct().join(targets.select(age, "_phase").distinct(), [age, "_phase"])
+    keys = [id_col, age, "_phase"]
+    out = phases.join(there, [age, "_phase"], "left_semi").join(features, keys, "left").where((F.col(age) <= left_until) | F.col("_has").isNotNull())
+    out = out.drop("_has").join(targets, keys, "left")
+    return out.distinct() if dedup else out

@@ -9,11 +9,15 @@ from annalist.operators.frames import long_form, unpivot
 
 def column_profile(df: DataFrame, columns: list[str], most: int = 10) -> DataFrame:
     """(column_name, n_unique, samples): distinct values without null, and the first few by order."""
-    values = unpivot(df, [], columns).where("value IS NOT NULL").distinct()
-    counts = values.groupBy("column_name").agg(F.count("*").alias("n_unique"))
-    first = values.withColumn("r", F.row_number().over(Window.partitionBy("column_name").orderBy("value"))).where(F.col("r") <= most)
-    samples = first.groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("samples"))
-    return counts.join(samples, "column_name")
+    return ranked_values(unpivot(df, [], columns).where("value IS NOT NULL").distinct(), ["column_name"], "value", most)
+
+
+def ranked_values(distinct: DataFrame, keys: list[str], value: str, most: int) -> DataFrame:
+    """(keys, n_unique, samples) of distinct values."""
+    counts = distinct.groupBy(*keys).agg(F.count("*").alias("n_unique"))
+    first = distinct.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(value))).where(F.col("r") <= most)
+    samples = first.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(value)), "|").alias("samples"))
+    return counts.join(samples, keys)
 
 
 def sample_text(values: Column, most: int = 10) -> Column:
@@ -48,7 +52,9 @@ def differing_columns(df: DataFrame, keys: list[str], columns: list[str]) -> Dat
 
 def fingerprint(df: DataFrame, columns: list[str]) -> Column:
     """An aggregate: rows in any order have one fingerprint, the sum of their hashes and their number."""
-    row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]))
+    # each value by its length and itself, so that no two rows read the same
+    text = [F.col(c).cast("string") for c in columns]
+    row = F.md5(F.concat(*[F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]))
     number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")
     return F.concat_ws(":", F.count("*").cast("string"), F.sum(number).cast("string"))
 
@@ -77,23 +83,48 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return n.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
+# Marks of categories that an inventory leaves out.
+LEFT_OUT, LEFT_OUT_MARK = "EXCLUDE", "~"
+
+
+def counted_categories(df: DataFrame, category: str) -> DataFrame:
+    """Rows of categories that count: known ones that are neither excluded nor marked as unused."""
+    c = F.col(category)
+    return df.where(c.isNotNull() & ~F.contains(c, F.lit(LEFT_OUT)) & ~F.startswith(c, F.lit(LEFT_OUT_MARK)))
+
+
 def existing_categories(df: DataFrame, keys: list[str], category: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("existing"))
+    return counted_categories(df, category).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("existing"))
 
 
 def missing_categories(df: DataFrame, group: list[str], cohort: str, category: str) -> DataFrame:
     """Categories that a group has in some cohort, for its cohorts that lack them."""
+    df = counted_categories(df, category)
     expected = df.select(*group, cohort).distinct().join(df.select(*group, category).distinct(), group)
     return expected.join(df.select(*group, cohort, category).distinct(), [*group, cohort, category], "left_anti")
 
 
 def coverage_report(df: DataFrame, group: list[str], cohort: str, category: str) -> DataFrame:
     keys = [*group, cohort]
+    df = counted_categories(df, category)
     have = df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("existing"), F.count_distinct(category).alias("n_existing"))
     lack = missing_categories(df, group, cohort, category).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("missing"))
     return have.join(lack, keys, "left")
 
 
+def missing_groups(df: DataFrame, cohort: str, group: str) -> DataFrame:
+    """(cohort, group): groups that some cohort has, for the cohorts that lack them."""
+    groups = F.broadcast(df.agg(F.collect_set(group).alias("_all")))  # one row: the year groups of a school system
+    return df.groupBy(cohort).agg(F.collect_set(group).alias("_own")).crossJoin(groups).select(cohort, F.explode(F.array_except("_all", "_own")).alias(group))
+
+
+def require_one_cohort(df: DataFrame, label: str, cohort: str) -> DataFrame:
+    """df, if each label of a year group belongs to one cohort."""
+    if (bad := df.where(F.col(label).isNotNull()).groupBy(label).agg(F.min(cohort).alias("lo"), F.max(cohort).alias("hi")).where("lo < hi").first()) is not None:
+        raise ValueError(f"{bad[label]} belongs to several cohorts: {bad['lo']}, {bad['hi']}")
+    return df
+
+
 def pair_counts(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """(from_col, to_col, n_from, n_to): how many values each side of a mapping has."""
     wide = df.agg(*[F.count(c).alias(f"n_{c}") for c in sorted({*mapping, *mapping.values()})])

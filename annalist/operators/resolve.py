@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from annalist.operators.aggregate import conflict_counts, filled, sum_and_percent
 from annalist.operators.frames import first_per_group
 from annalist.operators.history import first_known
-from annalist.operators.joins import left_joins
+from annalist.operators.joins import left_joins, require_unique
 
 
 def by_priority(df: DataFrame, keys: list[str], error: Column, priority: Column, priorities: dict[str, int], recency: Column, tie: list) -> DataFrame:
@@ -96,10 +96,14 @@ def _apply(rows: DataFrame, keys: list[str], rule: Rule) -> DataFrame:
 
 
 def resolve(df: DataFrame, id_col: str, keys: list[str], rules: list[Rule]) -> DataFrame:
-    """One row per group of keys: each rule's category resolved for entities with conflicts, other columns required to be free of them.
+    """One row per group of known keys: each rule's category resolved for entities with conflicts, other columns required to be free of them.
 
-    A `latest` rule's event count is null for entities without a conflict.
+    A `latest` rule's event count is null for entities without a conflict, whose
+    gaps in a group are filled from its other rows. Rows with a null key are of no
+    group: they pass by whole, once each. verified() checks the result.
     """
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    loose, df = df.where(~known).distinct(), df.where(known)
     ruled = [c for r in rules for c in r.columns]
     rest = [c for c in df.columns if c not in keys and c not in ruled]
     if rest:
@@ -109,9 +113,21 @@ def resolve(df: DataFrame, id_col: str, keys: list[str], rules: list[Rule]) -> D
     parts = []
     for rule in rules:
         clean, conflicted = split_conflicted(df, keys, rule.columns, id_col)
-        parts.append(clean.unionByName(_apply(conflicted, keys, rule), allowMissingColumns=True))
+        once = clean.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rule.columns])
+        parts.append(once.unionByName(_apply(conflicted, keys, rule), allowMissingColumns=True))
     if rest:
         parts.append(df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest]))
     out = left_joins(df.select(*keys).distinct(), parts, keys)
     added = [c for c in out.columns if c not in df.columns]
-    return out.select(*df.columns, *added)
+    return out.select(*df.columns, *added).unionByName(loose, allowMissingColumns=True)
+
+
+def verified(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df, if each group of known keys has one row."""
+    require_unique(df.dropna(subset=keys), keys)
+    return df
+
+
+def event_counts(df: DataFrame, keys: list[str], name: str = "event_count") -> DataFrame:
+    """(keys, name): the number of records of each group."""
+    return df.groupBy(*keys).agg(F.count("*").alias(name))

@@ -8,16 +8,11 @@ from pyspark.sql import functions as F
 
 from annalist.catalog import SchemaCatalog
 from annalist.functions import labels
-from annalist.operators import clean, derive, joins, resolve
+from annalist.operators import clean, derive, guards, joins, merging, resolve, schemas
+from annalist.operators.merging import longitudinal
 from annalist.sources import files
 
 
-def longitudinal(parts: list[tuple[str, int, DataFrame]]) -> DataFrame:
-    """(cohort, year group, frame) as one table of distinct rows, with metadata columns as text and missing columns as nulls."""
-    named = [clean.append_metadata(df, cohort=cohort, year_group=group) for cohort, group, df in parts]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named).distinct()
-
-
 @dataclass
 class Curator:
     """Raw tables of several categories to one longitudinal table."""
@@ -27,6 +22,7 @@ class Curator:
     catalog: SchemaCatalog
     options: clean.CleanOptions | None = None
     rejected: dict[str, DataFrame] = field(default_factory=dict)
+    findings: dict[str, list[guards.Finding]] = field(default_factory=dict)
 
     def standardise(self, df: DataFrame) -> DataFrame:
         names = labels.standard_column_names(df.columns)
@@ -34,18 +30,45 @@ class Curator:
             df, names = files.without_empty_twins(df, names)
         return df.toDF(*names)
 
-    def curate(self, category: str, df: DataFrame) -> DataFrame:
-        """Standard names, cleaned rows, types of the catalogue, and the category's prefix."""
+    def curate(self, category: str, df: DataFrame, strict: bool = True) -> DataFrame:
+        """Standard names, cleaned rows, types of the catalogue (what they lose is an error, or noted in `findings`), and the category's prefix."""
+        if category.startswith("~"):
+            raise ValueError(f"{category} is marked as unused")
         kept, bad = clean.clean(clean.replace_ampersand(self.standardise(df)), self.options or clean.CleanOptions(self.id_col))
         self.rejected[category] = bad
-        return self.catalog.prefix(category, self.catalog.apply(category, kept), self.id_col)
-
-    def merge(self, frames: list[DataFrame], left_keys: list[str], right_keys: list[str]) -> DataFrame:
+        typed, self.findings[category] = self.catalog.guarded(category, kept, strict)
+        return self.catalog.prefix(category, typed, self.id_col)
+
+    def standardise_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Tables by category with standard column names; those marked `~` are skipped, and values must not change."""
+        out = {}
+        for category, df in tables.items():
+            if category.startswith("~"):
+                continue
+            named = self.standardise(df)
+            if len(named.columns) == len(df.columns) and schemas.profile_changed(df, named):
+                raise ValueError(f"renaming changed values of {category}")
+            out[category] = named
+        return out
+
+    def clean_files(self, frames: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """All files of a category as one job: kept rows, rejected rows, column metadata."""
+        return clean.clean_files({n: clean.replace_ampersand(self.standardise(df)) for n, df in frames.items()}, self.options or clean.CleanOptions(self.id_col))
+
+    def merge(self, frames: list[DataFrame], left_keys: list[str] | None = None, right_keys: list[str] | None = None) -> DataFrame:
         """Frames of one cohort, each joined by the key that fits best."""
         return reduce(lambda a, b: joins.best_key_join(a, b, self.id_col, left_keys, right_keys), frames)
 
-    def unite(self, parts: list[tuple[str, int, DataFrame]]) -> DataFrame:
-        return longitudinal(parts)
+    def merge_cohort(self, year_group: int, frames: dict[str, DataFrame], destinations: merging.Destinations | None = None, **options) -> list[merging.Merged]:
+        """A cohort's curated tables as one for each age; see `merging.merge_cohort`."""
+        return merging.merge_cohort(year_group, frames, destinations, merging.MergeOptions(self.id_col, **options))
+
+    def unite(self, parts: list[tuple[str, int, DataFrame]], **options) -> DataFrame:
+        return longitudinal(parts, **options)
+
+    def unite_alike(self, parts: list[tuple[str, int, DataFrame]], **options) -> list[DataFrame]:
+        """A longitudinal table for each group of cohorts with alike columns."""
+        return merging.merge_all(parts, **options)
 
 
 @dataclass
@@ -57,7 +80,7 @@ class Engineer:
     time: str
 
     def link(self, table: DataFrame, refs: dict, year: str, table_year: str) -> "Engineer":
-        return Engineer(joins.lagged_lookups(self.df, table, refs, year, table_year), self.id_col, self.time)
+        return Engineer(joins.lagged_lookups(self.df, table, refs, year, table_year, drop_empty=True), self.id_col, self.time)
 
     def deprivation(self, postcode: str, areas: DataFrame, scores: DataFrame, values: dict[str, str], order: list[str]) -> "Engineer":
         from annalist.functions.coerce import postcode as cleaned
@@ -69,5 +92,10 @@ class Engineer:
         told = derive.set_histories(self.df, self.id_col, self.time, attributes, prefix, threshold)
         return Engineer(joins.null_safe_join(self.df, told, [self.id_col, self.time]), self.id_col, self.time)
 
+    def derive(self, steps: dict[str, dict], prefix: str = "der") -> tuple["Engineer", dict[str, DataFrame]]:
+        """The features that are asked for and not there yet, and the reports made on the way; see `derive.derive_features`."""
+        df, reports = derive.derive_features(self.df, self.id_col, self.time, steps, prefix)
+        return Engineer(df, self.id_col, self.time), reports
+
     def resolve(self, keys: list[str], rules: list[resolve.Rule]) -> "Engineer":
-        return Engineer(resolve.resolve(self.df, self.id_col, keys, rules), self.id_col, self.time)
+        return Engineer(resolve.verified(resolve.resolve(self.df, self.id_col, keys, rules), keys), self.id_col, self.time)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from annalist.operators import clean, derive, profile
+from annalist.operators import clean, derive, merging, profile
 from annalist.operators.joins import lost_rows
 from annalist.plans.registry import query
 from annalist.plans.tables import big, r4, table
@@ -23,23 +23,24 @@ def row_count_by_source(spark, d):
 
 
 @query("""
-WITH b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 50 <> 7), a AS (SELECT o_orderkey, o_orderstatus FROM orders)
+WITH b AS (SELECT CASE WHEN o_orderkey % 50 = 7 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders), a AS (SELECT o_orderkey, o_orderstatus FROM orders)
 SELECT 'removed' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT 'added', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)
 """)
 def frame_diff_except_all(spark, d):
     a = table(spark, d, "orders").select(_KEY, "o_orderstatus")
-    b = a.where(F.col(_KEY) % 50 != 7).withColumn("o_orderstatus", F.when(F.col(_KEY) % 100 == 0, "X").otherwise(F.col("o_orderstatus")))
+    k = F.col(_KEY)
+    b = a.select(F.when(k % 50 == 7, -k).otherwise(k).alias(_KEY), F.when(k % 100 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
     return manifest.frame_diff(a, b)
 
 
 @query("""
-WITH p AS (SELECT 'f' || o_orderkey AS name, o_totalprice AS mtime FROM orders WHERE o_orderkey % 7 <> 0), c AS (SELECT 'f' || o_orderkey AS name, o_totalprice + o_orderkey % 3 AS mtime FROM orders WHERE o_orderkey % 5 <> 0)
+WITH p AS (SELECT 'f' || o_orderkey AS name, o_totalprice AS mtime FROM orders), c AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'g' ELSE 'f' END || o_orderkey AS name, o_totalprice + o_orderkey % 3 AS mtime FROM orders)
 SELECT coalesce(p.name, c.name) AS name, CASE WHEN p.name IS NULL THEN 'added' WHEN c.name IS NULL THEN 'removed' ELSE 'modified' END AS change FROM p FULL JOIN c ON p.name = c.name WHERE p.name IS NULL OR c.name IS NULL OR abs(p.mtime - c.mtime) > 1.5
 """)
 def manifest_diff(spark, d):
-    o = table(spark, d, "orders").withColumn("name", F.concat(F.lit("f"), F.col(_KEY).cast("string")))
-    k = F.col(_KEY)
-    return manifest.diff(o.where(k % 7 != 0).select("name", F.col("o_totalprice").alias("mtime")), o.where(k % 5 != 0).select("name", (F.col("o_totalprice") + k % 3).alias("mtime")), 1.5)
+    o, k = table(spark, d, "orders"), F.col(_KEY)
+    name = lambda first: F.concat(first, k.cast("string")).alias("name")
+    return manifest.diff(o.select(name(F.lit("f")), F.col("o_totalprice").alias("mtime")), o.select(name(F.when(k % 5 == 0, "g").otherwise("f")), (F.col("o_totalprice") + k % 3).alias("mtime")), 1.5)
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS some FROM customer")
@@ -74,7 +75,11 @@ def drop_sensitive(spark, d):
     return clean.drop_sensitive(table(spark, d, "customer"), ["c_name", "c_acctbal", "c_phone"])
 
 
-@query("SELECT unnest(['c_custkey', 'one', 'none', 'mixed']) AS column_name, unnest([FALSE, TRUE, TRUE, FALSE]) AS is_constant")
+@query("""
+SELECT column_name, count(DISTINCT coalesce(v, '?')) = 1 AS is_constant FROM (
+  SELECT 'c_custkey' AS column_name, CAST(c_custkey AS VARCHAR) AS v FROM customer UNION ALL SELECT 'one', 'a' FROM customer UNION ALL SELECT 'none', NULL FROM customer UNION ALL SELECT 'mixed', CASE WHEN c_custkey % 2 = 0 THEN 'a' END FROM customer
+) GROUP BY column_name
+""")
 def local_constant_columns(spark, d):
     return clean.constant_flags(table(spark, d, "customer").select("c_custkey", F.lit("a").alias("one"), F.lit(None).cast("string").alias("none"), F.when(F.col("c_custkey") % 2 == 0, "a").alias("mixed")))
 
@@ -166,7 +171,7 @@ SELECT a.user_id, CAST(round(coalesce(c, 0) / (a.n + b.n - coalesce(c, 0)), 4) A
 def jaccard_set_similarity(spark, d):
     s = table(spark, d, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("a"))
     n = s.select((F.col("user_id") - 1).alias("user_id"), F.col("a").alias("b"))
-    return s.join(n, "user_id").select("user_id", r4(F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))).alias("jaccard"))
+    return s.join(n, "user_id").select("user_id", r4(merging.set_similarity(F.col("a"), F.col("b"))).alias("jaccard"))
 
 
 @query("""
@@ -182,12 +187,9 @@ def longitudinal_union(spark, d):
     return longitudinal([("1998", 7, a), ("1999", 8, b)])
 
 
-@query("SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey) AS place FROM orders ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey LIMIT 500")
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey")
 def order_by_multi(spark, d):
-    top = table(spark, d, "orders").orderBy("o_orderstatus", F.desc("o_totalprice"), _KEY).limit(500)
-    from pyspark.sql.window import Window
-
-    return top.select(_KEY, "o_orderstatus", big(F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("o_orderstatus", F.desc("o_totalprice"), _KEY))).alias("place"))
+    return table(spark, d, "orders").select(_KEY, "o_orderstatus", "o_totalprice").orderBy("o_orderstatus", F.desc("o_totalprice"), _KEY)
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 25")
@@ -203,25 +205,28 @@ def duplicate_row_count(spark, d):
 
 
 @query("""
-WITH s AS (SELECT DISTINCT o_orderstatus AS category, year(o_orderdate) AS file, o_orderpriority AS column_name FROM orders WHERE o_orderkey % 97 < 3), n AS (SELECT category, count(DISTINCT file) AS files FROM s GROUP BY category)
+WITH s AS (SELECT DISTINCT o_orderstatus AS category, year(o_orderdate) AS file, CASE WHEN year(o_orderdate) % 2 = 0 AND o_orderpriority = '1-URGENT' OR year(o_orderdate) % 7 = 0 AND o_orderpriority = '5-LOW' THEN 'other' ELSE o_orderpriority END AS column_name FROM orders), n AS (SELECT category, count(DISTINCT file) AS files FROM s GROUP BY category)
 SELECT s.category, column_name, count(DISTINCT file) AS files, max(n.files) - count(DISTINCT file) AS missing FROM s JOIN n ON s.category = n.category GROUP BY s.category, column_name HAVING count(DISTINCT file) >= 0.8 * max(n.files)
 """)
 def schema_drift_common_columns(spark, d):
-    s = table(spark, d, "orders").where(F.col(_KEY) % 97 < 3).select(F.col("o_orderstatus").alias("category"), F.year("o_orderdate").alias("file"), F.col("o_orderpriority").alias("column_name"))
+    y, p = F.year("o_orderdate"), F.col("o_orderpriority")
+    gap = ((y % 2 == 0) & (p == "1-URGENT")) | ((y % 7 == 0) & (p == "5-LOW"))
+    s = table(spark, d, "orders").select(F.col("o_orderstatus").alias("category"), y.alias("file"), F.when(gap, "other").otherwise(p).alias("column_name"))
     return profile.common_columns(s)
 
 
+_MEASURED = "strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR)".format
 _MD5 = "CAST(count(*) AS VARCHAR) || ':' || CAST(sum(CAST(CAST('0x' || substring(md5({}), 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR)"
 
 
-@query(f"SELECT {_MD5.format('''n_nationkey || '|' || n_name || '|' || n_regionkey''')} AS fingerprint FROM nation")
+@query(f"SELECT {_MD5.format(" || ".join(map(_MEASURED, ["n_nationkey", "n_name", "n_regionkey"])))} AS fingerprint FROM nation")
 def dataset_fingerprint(spark, d):
     n = table(spark, d, "nation")
     return n.agg(profile.fingerprint(n, ["n_nationkey", "n_name", "n_regionkey"]).alias("fingerprint"))
 
 
 @query(f"""
-WITH f AS (SELECT n_regionkey % 2 AS file, n_nationkey % 3 AS k, n_regionkey FROM nation), h AS (SELECT n_regionkey, {_MD5.format("CAST(n_nationkey // 5 AS VARCHAR)")} AS fp FROM nation GROUP BY n_regionkey)
+WITH f AS (SELECT n_regionkey % 2 AS file, n_nationkey % 3 AS k, n_regionkey FROM nation), h AS (SELECT n_regionkey, {_MD5.format(_MEASURED("n_nationkey // 5"))} AS fp FROM nation GROUP BY n_regionkey)
 SELECT fp, count(*) AS files FROM h GROUP BY fp HAVING count(*) > 1
 """)
 def duplicate_dataset_hash(spark, d):
@@ -260,4 +265,4 @@ def functional_dependency_violations(spark, d):
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders WHERE o_custkey % 10 = 3")
 def lost_rows_anti(spark, d):
     o = table(spark, d, "orders").select(_KEY, "o_custkey")
-    return lost_rows(o, o.where("o_custkey % 10 <> 3"))
+    return lost_rows(o, o.withColumn("o_custkey", F.when(F.col("o_custkey") % 10 != 3, F.col("o_custkey"))))

@@ -8,7 +8,7 @@ from annalist.plans.registry import query
 from annalist.plans.tables import LINE_ORDER, LINE_SQL, big, r4, table
 
 _L = ["l_orderkey", "l_linenumber"]
-_DAYS = "(SELECT user_id, CAST(ts AS DATE) AS day, event_type AS v FROM events WHERE event_id % 7 <> 0)"
+_DAYS = "(SELECT user_id, CAST(ts AS DATE) AS day, event_type AS v FROM events)"
 #: Each row with all values of its past; a row's own set, the counts so far, and the rule for the main value.
 _CUM = f"""
 WITH d AS (SELECT DISTINCT user_id, day, v FROM {_DAYS}), r AS (SELECT user_id, day, count(*) AS own_n, min(v) AS own FROM d GROUP BY user_id, day),
@@ -21,7 +21,7 @@ SELECT user_id, day, {{}} FROM f
 
 
 def _days(spark, d):
-    return table(spark, d, "events").where("event_id % 7 <> 0").select("user_id", F.col("ts").cast("date").alias("day"), "event_type")
+    return table(spark, d, "events").select("user_id", F.col("ts").cast("date").alias("day"), "event_type")
 
 
 def _sets(spark, d):

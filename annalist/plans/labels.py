@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from annalist.functions import coerce, labels
+from annalist.functions import codes, coerce, labels
 from annalist.functions.classify import SCHOOL_TYPES, classify
 from annalist.operators import clean, frames, profile
 from annalist.plans.registry import query
@@ -64,11 +64,15 @@ def cohort_year_shift(spark, d):
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_name LIKE '%small%' THEN 'size' WHEN p_name LIKE '%red%' OR p_name LIKE '%blue%' THEN 'colour' WHEN p_name LIKE '%ring%' THEN 'kind' ELSE 'other' END AS category FROM part
+SELECT p_partkey, CASE WHEN p_name LIKE '%small%' AND (lower(p_type) LIKE '%promo%' OR lower(p_type) LIKE '%economy%') THEN 'EXCLUDE' WHEN p_name LIKE '%small%' OR lower(p_type) LIKE '%small%' THEN 'size'
+  WHEN (p_name LIKE '%red%' OR p_name LIKE '%blue%' OR lower(p_type) LIKE '%red%' OR lower(p_type) LIKE '%blue%') AND p_name LIKE '%e%' THEN 'colour' WHEN p_name LIKE '%ring%' OR lower(p_type) LIKE '%ring%' OR lower(p_type) LIKE '%standard%' THEN 'kind' END AS category FROM part
 """)
 def first_matching_rule(spark, d):
-    rules = [("size", [["small"]]), ("colour", [["red"], ["blue"]]), ("kind", [["ring"]]), ("other", [[""]])]
-    return table(spark, d, "part").select("p_partkey", classify(F.col("p_name"), [(n, [[w for w in ws if w] or ["!\u0000"] for ws in ways]) for n, ways in rules]).alias("category"))
+    from annalist.sources.inventory import CategoryRule, ExcludeRule, categorise
+
+    rules = [CategoryRule("size", ["small"]), CategoryRule("colour", ["Red", "Blue"], ["e"]), CategoryRule("kind", ["ring", "standard"])]
+    name = F.concat(F.lit("ANON"), F.upper("p_name"))
+    return table(spark, d, "part").select("p_partkey", categorise(name, F.col("p_type"), rules, [ExcludeRule("SMALL", ["promo", "economy"])]).alias("category"))
 
 
 @query("SELECT DISTINCT l_orderkey, l_linenumber, n FROM (SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n > 1")
@@ -80,15 +84,22 @@ def flag_duplicate_keys(spark, d):
 
 @query("SELECT c_custkey, split_part(c_name, '#', 1) AS kind, split_part(c_name, '#', 2) AS number FROM customer")
 def split_name_positions(spark, d):
-    parts = F.split("c_name", "#")
-    return table(spark, d, "customer").select("c_custkey", parts[0].alias("kind"), parts[1].alias("number"))
+    from annalist.sources.inventory import from_names
+
+    names = table(spark, d, "customer").select("c_custkey", F.concat("c_name", F.lit(".parquet")).alias("file_name"))
+    return from_names(names, ["kind", "number"], "#").drop("file_name")
 
 
-_SHEETS = "(SELECT o_orderkey % 7 AS grp, year(o_orderdate) AS cohort, o_orderpriority AS cat FROM orders WHERE o_orderkey % 41 = 0)"
+#: All orders; each group leaves out categories in some cohorts, by a mark or as excluded.
+_GAP = "(o_orderkey % 7 + year(o_orderdate)) % 3"
+_SHEETS = f"(SELECT * FROM (SELECT o_orderkey % 7 AS grp, year(o_orderdate) AS cohort, CASE WHEN {_GAP} = 0 AND o_orderpriority = '5-LOW' THEN '~' || o_orderpriority WHEN {_GAP} = 1 AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'EXCLUDE' ELSE o_orderpriority END AS cat FROM orders) WHERE cat <> 'EXCLUDE' AND cat NOT LIKE '~%')"
 
 
 def _sheets(spark, d):
-    return table(spark, d, "orders").where("o_orderkey % 41 = 0").select((F.col(_KEY) % 7).alias("grp"), big(F.year("o_orderdate")).alias("cohort"), F.col("o_orderpriority").alias("cat"))
+    y, p = F.year("o_orderdate"), F.col("o_orderpriority")
+    gap = (F.col(_KEY) % 7 + y) % 3
+    cat = F.when((gap == 0) & (p == "5-LOW"), F.concat(F.lit("~"), p)).when((gap == 1) & p.isin("1-URGENT", "2-HIGH"), "EXCLUDE").otherwise(p)
+    return table(spark, d, "orders").select((F.col(_KEY) % 7).alias("grp"), big(y).alias("cohort"), cat.alias("cat"))
 
 
 @query(f"SELECT grp, cohort, string_agg(DISTINCT cat, ', ' ORDER BY cat) AS existing FROM {_SHEETS} GROUP BY grp, cohort")
@@ -116,14 +127,14 @@ def coverage_full_report(spark, d):
 
 @query("""
 SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN lower(p_type) || '_Name' || split_part(p_name, ' ', 1) || '_Id' WHEN 1 THEN 'already_Done' WHEN 2 THEN p_type ELSE 'X_' || split_part(p_name, ' ', 2) END AS snake,
-       p_partkey % 4 = 0 AS is_mixed FROM part
+       length(regexp_replace(n, '[^A-Z]', '', 'g')) >= 2 AND length(regexp_replace(n, '[^a-z]', '', 'g')) >= 2 AND NOT regexp_matches(n, '\\s') AS is_mixed
+FROM (SELECT *, CASE p_partkey % 4 WHEN 0 THEN lower(p_type) || 'Name' || split_part(p_name, ' ', 1) || 'Id' WHEN 1 THEN 'already_Done' WHEN 2 THEN p_type ELSE 'X_' || split_part(p_name, ' ', 2) END AS n FROM part)
 """)
 def snake_case_regex(spark, d):
     word = lambda i: F.split("p_name", " ")[i]
     k = F.col("p_partkey") % 4
-    name = F.when(k == 0, F.concat(F.lower("p_type"), F.lit("Name"), word(0), F.lit("Id"))).when(k == 1, "already_Done").when(k == 2, F.col("p_type")).otherwise(F.concat(F.lit("x"), F.lit("_"), word(1)))
-    got = F.when(k == 3, F.concat(F.lit("X_"), word(1))).otherwise(labels.snake_case(name))
-    return table(spark, d, "part").select("p_partkey", got.alias("snake"), (labels.is_mixed_case(name) & (k == 0)).alias("is_mixed"))
+    name = F.when(k == 0, F.concat(F.lower("p_type"), F.lit("Name"), word(0), F.lit("Id"))).when(k == 1, "already_Done").when(k == 2, F.col("p_type")).otherwise(F.concat(F.lit("X_"), word(1)))
+    return table(spark, d, "part").select("p_partkey", labels.snake_case(name).alias("snake"), labels.is_mixed_case(name).alias("is_mixed"))
 
 
 @query("SELECT c_custkey, length(regexp_replace(n, '[^A-Z]', '', 'g')) >= 2 AND length(regexp_replace(n, '[^a-z]', '', 'g')) >= 2 AND NOT regexp_matches(n, '\\s') AS is_mixed FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_name || 'XyZ' WHEN 1 THEN c_mktsegment ELSE c_name || ' AB' END AS n FROM customer)")
@@ -163,7 +174,11 @@ def multi_source_lookup_collapse(spark, d):
     return found.select("n_nationkey", F.col("text").alias("description"), F.col("agrees").alias("collapsed"))
 
 
-@query("SELECT unnest(['flag', 'name', 'word']) AS column_name, unnest([TRUE, FALSE, TRUE]) AS is_boolean")
+@query("""
+SELECT column_name, count(DISTINCT v) > 1 AND min(CASE WHEN lower(v) IN ('0', '1', 'true', 'false', 'yes', 'no', 'y', 'n') THEN 1 ELSE 0 END) = 1 AS is_boolean FROM (
+  SELECT 'flag' AS column_name, CAST(c_custkey % 2 AS VARCHAR) AS v FROM customer UNION ALL SELECT 'name', c_name FROM customer UNION ALL SELECT 'word', CASE WHEN c_custkey % 3 = 0 THEN 'Yes' ELSE 'no' END FROM customer
+) GROUP BY column_name
+""")
 def infer_boolean_columns(spark, d):
     df = table(spark, d, "customer").select((F.col("c_custkey") % 2).cast("string").alias("flag"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 3 == 0, "Yes").otherwise("no").alias("word"))
     return profile.boolean_columns(df, df.columns)
@@ -189,11 +204,13 @@ def pair_nonnull_counts(spark, d):
 # ---- types
 
 @query("""
-SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 6 = 5 THEN NULL WHEN o_orderkey % 6 = 3 THEN date_trunc('month', o_orderdate) ELSE o_orderdate END AS DATE) AS parsed FROM orders
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 11 = 5 THEN NULL WHEN o_orderkey % 11 IN (3, 8, 9) THEN date_trunc('month', o_orderdate) ELSE o_orderdate END AS DATE) AS parsed FROM orders
 """)
 def parse_mixed_dates(spark, d):
-    o, k = F.col("o_orderdate"), F.col(_KEY) % 6
-    text = F.when(k == 0, F.date_format(o, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, F.date_format(o, "dd/MM/yyyy")).when(k == 2, F.date_format(o, "yyyy-MM-dd HH:mm:ss")).when(k == 3, F.date_format(o, "MMM-yy")).when(k == 4, F.date_format(o, "d-M-yyyy")).otherwise("not a date")
+    o, k = F.col("o_orderdate"), F.col(_KEY) % 11
+    text = F.when(k == 0, F.date_format(o, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, F.date_format(o, "dd/MM/yyyy")).when(k == 2, F.date_format(o, "yyyy-MM-dd HH:mm:ss")).when(k == 3, F.date_format(o, "MMM-yy")).when(k == 4, F.date_format(o, "M-d-yyyy")).when(k == 5, "not a date")
+    for i, form in ((6, "yyyy/MM/dd"), (7, "dd-MMM-yyyy"), (8, "MMMM yyyy"), (9, "yyyy-MM"), (10, "MMMM d, yyyy")):
+        text = text.when(k == i, F.date_format(o, form))
     return table(spark, d, "orders").select(_KEY, coerce.date(text).alias("parsed"))
 
 
@@ -245,10 +262,11 @@ def rate_normalise(spark, d):
     return profile.scale_rates(df, ["size_rate", "half_rate"])
 
 
-@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Final' END AS label FROM orders")
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Final' END AS label, CASE WHEN o_orderkey % 3 = 0 THEN 'Education' WHEN o_orderkey % 3 = 1 THEN 'Employment' END AS level FROM orders")
 def code_to_label(spark, d):
-    names = F.create_map(*map(F.lit, ["O", "Open", "F", "Final"]))
-    return table(spark, d, "orders").select(_KEY, names[F.col("o_orderstatus")].alias("label"))
+    k = F.col(_KEY) % 3
+    code = F.when(k == 0, 260).when(k == 1, 550).otherwise(999)
+    return table(spark, d, "orders").select(_KEY, codes.label(F.col("o_orderstatus"), {"O": "Open", "F": "Final"}).alias("label"), codes.activity_level(code).alias("level"))
 
 
 @query("SELECT 'l_discount' AS column_name, count(CASE WHEN l_discount > 0.05 THEN 1 END) AS n_bad FROM lineitem UNION ALL SELECT 'l_quantity', count(CASE WHEN l_quantity < 5 THEN 1 END) FROM lineitem")

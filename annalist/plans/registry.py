@@ -17,7 +17,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from annalist.plans import cleaning, history, labels, relations  # noqa: F401  they register themselves
+    from annalist.plans import cleaning, history, labels, merging, relations  # noqa: F401  they register themselves
 
 
 def queries() -> dict:

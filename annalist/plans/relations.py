@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from annalist.functions import coerce
-from annalist.operators import aggregate, derive, joins
+from annalist.operators import aggregate, derive, joins, resolve
 from annalist.operators.frames import first_per_group
 from annalist.plans.registry import query
 from annalist.plans.tables import LINE_ORDER, LINE_SQL, big, r4, table
@@ -49,23 +49,22 @@ def lagged_lookup_join(spark, d):
 SELECT b.o_orderkey, r.n_orders AS att_n_orders_lag1, s.n_orders AS ks_n_orders_lag0 FROM {_BASE} b LEFT JOIN {_REF} r ON b.nation = r.nation AND b.y = r.end_year + 1 LEFT JOIN {_REF} s ON b.other = s.nation AND b.y = s.end_year
 """)
 def lagged_lookup_multi_ref(spark, d):
-    ref = joins.require_unique(_by_nation_year(spark, d), ["nation", "end_year"])
-    return joins.lagged_lookups(_base(spark, d), ref, {"att": ({"nation": "nation"}, 1), "ks": ({"other": "nation"}, 0)}, "y", "end_year").select(_KEY, "att_n_orders_lag1", "ks_n_orders_lag0")
+    return joins.lagged_lookups(_base(spark, d), _by_nation_year(spark, d), {"att": ({"nation": "nation"}, 1), "ks": ({"other": "nation"}, 0)}, "y", "end_year").select(_KEY, "att_n_orders_lag1", "ks_n_orders_lag0")
 
 
 @query(f"SELECT CAST(1 AS BIGINT) AS lag, count(*) AS n FROM {_BASE} b JOIN {_REF} r ON b.nation = r.nation AND b.y = r.end_year + 1")
 def lag_verification(spark, d):
     ref = _by_nation_year(spark, d).withColumn("from_year", F.col("end_year"))
     found = joins.lagged_lookup(_base(spark, d), ref, {"nation": "nation"}, "y", "end_year", 1, "att")
-    return found.where("att_from_year_lag1 IS NOT NULL").groupBy(big(F.col("y") - F.col("att_from_year_lag1")).alias("lag")).agg(F.count("*").alias("n"))
+    return joins.year_differences(found, "y", "att_from_year_lag1")
 
 
-@query("SELECT c_custkey, n_name AS nation, r_name AS region FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 6 <> 5 LEFT JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT c_custkey, n_name AS nation, r_name AS region FROM customer LEFT JOIN (SELECT CASE WHEN n_nationkey % 6 <> 5 THEN n_nationkey END AS n_nationkey, n_name, n_regionkey FROM nation) ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def two_hop_lookup(spark, d):
-    n, r = table(spark, d, "nation").where("n_nationkey % 6 <> 5"), table(spark, d, "region")
+    n, r = table(spark, d, "nation").withColumn("n_nationkey", F.when(F.col("n_nationkey") % 6 != 5, F.col("n_nationkey"))), table(spark, d, "region")
     c = table(spark, d, "customer")
     hop = joins.two_hop(c, n, r, F.col("c_nationkey"), "n_nationkey", "n_regionkey", "r_regionkey", {"r_name": "region"}, ["n_name"])
-    return joins.lookup(hop, n, [F.col("c_nationkey")], [F.col("n_nationkey")], {"n_name": "nation"}).select("c_custkey", "nation", "region")
+    return joins.lookup(hop, n.dropna(), [F.col("c_nationkey")], [F.col("n_nationkey")], {"n_name": "nation"}).select("c_custkey", "nation", "region")
 
 
 @query("""
@@ -77,14 +76,14 @@ def lookup_last_wins(spark, d):
     return table(spark, d, "customer").join(last, F.col("c_nationkey") == F.col("s_nationkey"), "left").select("c_custkey", "s_name")
 
 
-_LEFT = "(SELECT o_custkey AS id, o_orderstatus AS a1, 'The ' || o_orderpriority AS a2 FROM orders WHERE o_orderkey % 5 = 0)"
-_RIGHT = "(SELECT o_custkey AS id, o_orderpriority AS b1, o_orderstatus AS b2 FROM orders WHERE o_orderkey % 5 = 1)"
+_LEFT = "(SELECT o_custkey AS id, o_orderstatus AS a1, 'The ' || o_orderpriority AS a2 FROM orders)"
+_RIGHT = "(SELECT o_custkey AS id, CASE WHEN o_orderkey % 5 = 1 THEN o_orderpriority END AS b1, CASE WHEN o_orderkey % 5 < 2 THEN o_orderstatus END AS b2 FROM orders)"
 
 
 def _sides(spark, d):
     o = table(spark, d, "orders")
-    left = o.where("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("a1"), F.concat(F.lit("The "), "o_orderpriority").alias("a2"))
-    return left, o.where("o_orderkey % 5 = 1").select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("b1"), F.col("o_orderstatus").alias("b2"))
+    left, k = o.select(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("a1"), F.concat(F.lit("The "), "o_orderpriority").alias("a2")), F.col(_KEY) % 5
+    return left, o.select(F.col("o_custkey").alias("id"), F.when(k == 1, F.col("o_orderpriority")).alias("b1"), F.when(k < 2, F.col("o_orderstatus")).alias("b2"))
 
 
 @query(f"""
@@ -96,21 +95,36 @@ def best_key_match_counts(spark, d):
 
 
 @query("""
-WITH a AS (SELECT o_custkey AS id, count(*) AS n_f FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT c_custkey AS id, c_mktsegment AS seg FROM customer WHERE c_custkey % 3 <> 0)
+WITH a AS (SELECT o_custkey AS id, count(*) AS n_f FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS id, c_mktsegment AS seg FROM customer)
 SELECT coalesce(a.id, b.id) AS id, n_f, seg FROM a FULL JOIN b ON a.id = b.id
 """)
 def full_outer_on_id(spark, d):
     a = table(spark, d, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n_f"))
-    b = table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("seg"))
-    return joins.best_key_join(a, b, "id", [], [])
+    k = F.col("c_custkey")
+    b = table(spark, d, "customer").select(F.when(k % 3 == 0, -k).otherwise(k).alias("id"), F.col("c_mktsegment").alias("seg"))
+    return joins.best_key_join(a, b, "id")
+
+
+_VISITS = "(SELECT o_custkey AS id, 'The ' || o_orderpriority AS att_school, o_orderstatus AS att_school_code, count(*) AS att_n FROM orders GROUP BY ALL)"
+_MARKS = "(SELECT o_custkey AS id, lower(o_orderpriority) AS ks2_estab, max(o_totalprice) AS ks2_top, 'x' AS ks2_stage FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL)"
+
+
+@query(f"""
+SELECT coalesce(a.id, b.id) AS id, att_school, att_school_code, att_n, ks2_estab, ks2_top, ks2_stage FROM {_VISITS} a FULL JOIN {_MARKS} b ON a.id = b.id AND lower(substring(att_school, 5)) = ks2_estab
+""")
+def best_key_full_join(spark, d):
+    o, id_ = table(spark, d, "orders"), F.col("o_custkey").alias("id")
+    a = o.groupBy(id_, F.concat(F.lit("The "), "o_orderpriority").alias("att_school"), F.col("o_orderstatus").alias("att_school_code")).agg(F.count("*").alias("att_n"))
+    b = o.where("o_orderstatus <> 'P'").groupBy(id_, F.lower("o_orderpriority").alias("ks2_estab")).agg(F.max("o_totalprice").alias("ks2_top")).withColumn("ks2_stage", F.lit("x"))
+    return joins.best_key_join(a, b, "id")
 
 
 @query("""
-WITH o AS (SELECT o_custkey AS id, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders WHERE o_orderkey % 3 = 0), c AS (SELECT c_custkey AS id, c_acctbal FROM customer)
+WITH o AS (SELECT o_custkey AS id, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders), c AS (SELECT c_custkey AS id, c_acctbal FROM customer)
 SELECT coalesce(o.id, c.id) AS id, o_orderkey, c_acctbal FROM (SELECT * FROM o WHERE r = 1) o FULL JOIN c ON o.id = c.id UNION ALL SELECT id, o_orderkey, NULL FROM o WHERE r > 1
 """)
 def attach_to_first_row(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("id"), _KEY)
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("id"), _KEY)
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal")
     return joins.attach_to_first(o, c, ["id"], [_KEY])
 
@@ -241,11 +255,12 @@ def similarity_ratio_report(spark, d):
 
 
 @query("""
-WITH g AS (SELECT o_custkey, max(CASE WHEN o_orderkey % 2 = 0 THEN 'a' END) AS a, max(CASE WHEN o_orderkey % 3 = 0 THEN 'b' END) AS b, min(o_orderkey) AS first_key FROM orders GROUP BY 1) SELECT * FROM g
+SELECT o_custkey, o_orderstatus AS a, max(CASE WHEN o_orderkey % 3 = 0 THEN 'b' END) AS b, max(CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END) AS c, min(o_orderkey) AS first_key FROM orders GROUP BY o_custkey, o_orderstatus
 """)
 def consolidate_compatible_rows(spark, d):
     k = F.col(_KEY)
-    o = table(spark, d, "orders").select("o_custkey", F.when(k % 2 == 0, "a").alias("a"), F.when(k % 3 == 0, "b").alias("b"), k.alias("first_key"))
+    s = F.col("o_orderstatus")  # rows of different status are incompatible
+    o = table(spark, d, "orders").select("o_custkey", s.alias("a"), F.when(k % 3 == 0, "b").alias("b"), F.when(k % 2 == 0, s).alias("c"), k.alias("first_key"))
     return aggregate.merge_compatible_rows(o, "o_custkey", ["first_key"])
 
 
@@ -283,12 +298,13 @@ def sum_counts_recompute_pct(spark, d):
 
 @query("SELECT user_id, event_type, count(*) AS event_count FROM events GROUP BY ALL")
 def event_count_per_group(spark, d):
-    return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("event_count"))
+    return resolve.event_counts(table(spark, d, "events"), ["user_id", "event_type"])
 
 
-@query("SELECT o_custkey, count(DISTINCT s) AS n_values, count(DISTINCT s) > 1 AS has_conflict, CASE WHEN count(DISTINCT s) = 1 THEN min(s) END AS curated FROM (SELECT o_custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS s FROM orders WHERE o_orderkey % 4 = 0) GROUP BY 1")
+@query("SELECT o_custkey, count(DISTINCT s) AS n_values, count(DISTINCT s) > 1 AS has_conflict, CASE WHEN count(DISTINCT s) = 1 THEN min(s) END AS curated FROM (SELECT o_custkey, CASE WHEN o_orderkey % 12 IN (4, 8) THEN o_orderstatus END AS s FROM orders) GROUP BY 1")
 def curated_value_with_conflict_flag(spark, d):
-    return aggregate.curated_value(table(spark, d, "orders").where("o_orderkey % 4 = 0").select("o_custkey", _null_every("o_orderstatus", 3).alias("s")), "o_custkey", "s")
+    some = (F.col(_KEY) % 12).isin(4, 8)
+    return aggregate.curated_value(table(spark, d, "orders").select("o_custkey", F.when(some, F.col("o_orderstatus")).alias("s")), "o_custkey", "s")
 
 
 @query("SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
@@ -373,7 +389,7 @@ def row_completeness(spark, d):
 
 # ---- derivation
 
-@query("SELECT o_custkey, CASE WHEN count(DISTINCT v) = 1 THEN min(v) END AS agreed FROM (SELECT o_custkey, o_orderstatus AS v FROM orders WHERE o_orderkey % 5 = 0 UNION ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 7 = 0) GROUP BY 1")
+@query("SELECT o_custkey, CASE WHEN count(DISTINCT v) = 1 THEN min(v) END AS agreed FROM (SELECT o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus END AS v FROM orders UNION ALL SELECT o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN o_orderstatus END FROM orders) WHERE v IS NOT NULL GROUP BY 1")
 def agree_or_null(spark, d):
     k = F.col(_KEY)
     o = table(spark, d, "orders").select("o_custkey", F.when(k % 5 == 0, F.col("o_orderstatus")).alias("a"), F.when(k % 7 == 0, F.col("o_orderstatus")).alias("b"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annalist.functions import labels
+from annalist.operators.joins import null_safe_join
+from annalist.sources.manifest import count_rows
 
 EXCLUDED = "EXCLUDE"
 # Categories whose files are of one year group, and those that need no cohort of their group.
@@ -70,3 +72,25 @@ def duplicates(found: DataFrame) -> DataFrame:
 
 def standard_names(found: DataFrame) -> DataFrame:
     return found.withColumn("standard_name", labels.standard_file_name([F.col("category"), F.col("cohort"), F.regexp_replace("label", r"^\S+ ", "")], F.col("year_group")))
+
+
+def extended(known: DataFrame, files: DataFrame, rules: list[CategoryRule], excluded: list[ExcludeRule] | None = None, date_format: str = "YYYY_YY") -> DataFrame:
+    """A known inventory with entries for the files (file_name, sheet_name) that it doesn't have; what people edited stays."""
+    keys = ["file_name", "sheet_name"]
+    new = null_safe_join(files.select(*keys).distinct(), known.select(*keys).distinct(), keys, "left_anti")
+    return known.unionByName(inventory(new, rules, excluded, date_format), allowMissingColumns=True)
+
+
+def with_row_counts(found: DataFrame, frames: dict[str, DataFrame]) -> DataFrame:
+    """found with `n_rows` of the files whose tables are given."""
+    if not frames:
+        return found.withColumn("n_rows", F.lit(None).cast("bigint"))
+    counts = count_rows(frames).select(F.col("source").alias("file_name"), F.col("n").alias("n_rows"))
+    return found.join(counts, "file_name", "left")
+
+
+def from_names(files: DataFrame, parts: list[str], separator: str = "_") -> DataFrame:
+    """files (file_name) with a column for each part of the name without its suffix, by place; `Yn` of a year group as a number."""
+    stem = F.split(F.regexp_replace("file_name", r"\.[^.]*$", ""), F.lit(rf"\Q{separator}\E"))
+    out = files.withColumns({p: F.get(stem, F.lit(i)) for i, p in enumerate(parts)})
+    return out.withColumn("year_group", F.regexp_extract("year_group", r"^Y?(\d+)$", 1).try_cast("int")) if "year_group" in parts else out
