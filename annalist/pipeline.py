@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from annalist.catalog import SchemaCatalog
 from annalist.functions import labels
-from annalist.operators import clean, derive, guards, joins, merging, resolve, schemas
+from annalist.operators import clean, derive, guards, joins, merging, references, resolve, schemas
 from annalist.operators.merging import longitudinal
 from annalist.sources import files
 
@@ -88,6 +88,11 @@ class Engineer:
         out = joins.two_hop(self.df, areas, scores, cleaned(F.col(postcode)), "postcode", "area", "area", values, order)
         return Engineer(out, self.id_col, self.time)
 
+    def with_scores(self, postcode: str, areas: DataFrame, scores: DataFrame, area_postcode: str, area: str, score_area: str, decile: str, order: list[str], prefix: str = "") -> "Engineer":
+        """The deprivation scores of the area that a postcode lies in, columns found by their names."""
+        out = references.with_deprivation(self.df, postcode, areas, scores, area_postcode, area, score_area, decile, order, prefix)
+        return Engineer(out, self.id_col, self.time)
+
     def histories(self, attributes: dict[str, list[str]], prefix: str = "der_", threshold: int = 2) -> "Engineer":
         told = derive.set_histories(self.df, self.id_col, self.time, attributes, prefix, threshold)
         return Engineer(joins.null_safe_join(self.df, told, [self.id_col, self.time]), self.id_col, self.time)

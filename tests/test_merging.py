@@ -296,3 +296,31 @@ def test_code_tables(spark):
     got = rows(frame(spark, [(260,), (550,), (540,), (999,)], "c int").select("c", codes.activity_level(F.col("c"))))
     assert got == [(260, "Education"), (540, "NEET"), (550, "Employment"), (999, None)]
     assert set(codes.ACTIVITY_LEVELS) == set(codes.ACTIVITY) and len(codes.CHARACTERISTICS) == 11
+
+
+def test_deprivation_by_two_hops(spark):
+    from annalist.operators import references
+
+    columns = ["LSOA", "Crime Score", "Odd Score (x)", "IMD Decile", "IDACI Score", "name"]
+    assert references.score_columns(columns, "Decile", "d_") == {"Crime Score": "d_crime_score", "Odd Score (x)": "d_odd_score_x", "IMD Decile": "d_imd_decile"}
+    df = frame(spark, [("ab1 2cd",), ("ZZ99 9ZZ",), (None,)], "pc string")
+    areas = frame(spark, [("AB12CD", "E1", 1), ("AB1 2CD", "E2", 2)], "pcds string, lsoa string, row int")
+    scores = frame(spark, [("E1", 1.0, 5), ("E2", 2.0, 6)], "code string, `Crime Score` double, `IMD Decile` int")
+    out = references.with_deprivation(df, "pc", areas, scores, "pcds", "lsoa", "code", "Decile", ["row"])
+    assert rows(out) == sorted([("ab1 2cd", 2.0, 6), ("ZZ99 9ZZ", None, None), (None, None, None)], key=str)
+
+
+def test_schools_of_several_years(spark):
+    from annalist.operators import references
+
+    a = frame(spark, [("1", "Hill", "50%", None), (None, "none", "1%", None)], "urn string, name string, fsm_pct string, late_rate string")
+    b = frame(spark, [("1.0", "other", "2", "30"), ("2", "Vale", "4", "40")], "urn string, name string, ofsted_rating string, late_rate string")
+    c = frame(spark, [("1", "Hill")], "urn string, name string")
+    out = references.school_table({2019: [c], 2018: [a, b]})
+    assert rows(out.where("acad_end_year = '2018'"), "urn", "name") == [(1.0, "Hill"), (2.0, "Vale")] and rows(out.where("acad_end_year = '2019'"), "urn", "name") == [(1.0, "Hill")]
+    one = references.school_year([a, b], ["urn", "estab_no"], 2018)
+    assert rows(one, "urn", "name", "fsm_pct", "late_rate", "ofsted_rating") == [(1.0, "Hill", 50.0, 0.3, "Good"), (2.0, "Vale", None, 0.4, "Inadequate")]
+    with pytest.raises(ValueError, match="out of range"):
+        references.school_year([a.withColumn("fsm_pct", F.lit("150%"))], ["urn"], 2018)
+    with pytest.raises(ValueError, match="in common"):
+        references.school_year([a, b.drop("urn")], ["urn"], 2018)
