@@ -51,7 +51,12 @@ YEAR_GROUP_PATTERNS = {
 
 def year_group(sheet: Column) -> Column:
     """struct(year_group, label) of a sheet name: the first form that fits; both null if none does. Label: `g YYYY - YYYY`."""
-    s, p = trimmed(sheet), YEAR_GROUP_PATTERNS
+    # within a lambda the name is a variable: trimmed once, and forms are tried only until one fits
+    return F.element_at(F.transform(F.array(trimmed(sheet)), _year_group), 1)
+
+
+def _year_group(s: Column) -> Column:
+    p = YEAR_GROUP_PATTERNS
 
     def part(form: str, group: int) -> Column:
         return F.regexp_extract(s, p[form], group)
