@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist.llm import textnum as tn
-from annalist.llm.common import cut, small_batches
+from annalist.llm.common import cut, small_batches, tables
 
 #: At most so many examples of each label.
-POSITIVES, NEGATIVES = 3000, 6000
+POSITIVES, NEGATIVES = 2000, 4000
 NEIGHBOURS = 15
 #: Power of the relevance frequency in a weight.
 SHARP = 2
@@ -119,8 +119,8 @@ class BlockMaxIndex:
         # a cell is the postings of a term in a block
         cell = term * np.int64(self.blocks + 1) + self.place // BLOCK
         first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])[: len(cell)])
-        self.cells = np.append(first, len(cell))
-        self.block = self.place[first] // BLOCK
+        self.cells = np.append(first, len(cell)).astype(np.int32)
+        self.block = (self.place[first] // BLOCK).astype(np.uint16)
         self.best = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.edges = np.searchsorted(term[first], np.arange(terms + 1))
 
@@ -214,18 +214,14 @@ class Model:
     def __post_init__(self):
         self.lookup, self.index = Lookup(self.keys), BlockMaxIndex(self.edges, self.term, self.weights(), len(self.keys))
 
-    def __getstate__(self):
+    def dump(self) -> bytes:
         told = self.keys, self.worth, _packed(self.edges), _packed(self.term), _packed(self.times), self.ids, self.labels, self.share, self.bare, self.steps
         return zlib.compress(pickle.dumps(told), 1)
 
-    def __setstate__(self, state: bytes):
+    @classmethod
+    def load(cls, state: bytes) -> "Model":
         keys, worth, edges, term, times, *rest = pickle.loads(zlib.decompress(state))
-        self.__init__(keys, worth, edges.astype(np.int64), term, times, *rest)
-
-    def packed(self) -> "Model":
-        """The model without what a worker makes of it."""
-        self.lookup = self.index = None
-        return self
+        return cls(keys, worth, edges.astype(np.int64), term, times, *rest)
 
     def weights(self) -> np.ndarray:
         """The unit vectors of all examples, one after the other."""
@@ -256,8 +252,8 @@ def _arrays(batch: pa.RecordBatch):
         yield batch.slice(at, end - at), data, bounds
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> Model:
-    """A model from labels (doc_id, label 0 or 1) of docs.
+def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> bytes:
+    """A model, packed (`Model.load`), from labels (doc_id, label 0 or 1) of docs.
 
     Null labels and ids, and labels of documents that aren't here, don't count; of
     a document labelled twice the larger label does, of rows that repeat a doc_id
@@ -265,7 +261,11 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     `positives` and `negatives` of them at most.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    with tables(docs.sparkSession):
+        return _fit(docs.select("doc_id", "text"), labels, positives, negatives)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, positives: int, negatives: int) -> bytes:
     told = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     told = cut(told.join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
     sizes = {r["label"]: r["count"] for r in told.groupBy("label").count().collect()}
@@ -284,19 +284,13 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), tn.list_array(key[pair % (len(key) + 1)].astype(np.int64), edges, pa.int64()), tn.list_array(times.astype(np.int32), edges, pa.int32())], names=["doc_id", "label", "h", "times"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # as many rows as the sample has, as Arrow
-    found = examples.select("doc_id", "label", "text").mapInArrow(represent, f"doc_id {kind}, label int, h array<bigint>, times array<int>").toArrow().sort_by("doc_id").combine_chunks()
-    hashed, times = (np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in found.column(name).chunks]]) for name in ("h", "times"))
-    keys = np.unique(hashed.astype(np.uint64))
-    lookup, m = Lookup(keys), len(keys)
-    term = np.searchsorted(keys, hashed.astype(np.uint64)).astype(np.uint32)
-    times = times.astype(np.uint32)
-    lengths = np.array([n for c in found.column("h").chunks for n in c.value_lengths().to_pylist()], np.int64)
-    marks, every = found.column("label").to_numpy().astype(np.int64), found.column("doc_id").to_pylist()
-    del found, hashed
+    counted = cut(examples.select("doc_id", "label", "text").mapInArrow(represent, f"doc_id {kind}, label int, h array<bigint>, times array<int>"), "examples")
+    # the words of the sample, 8 bytes each
+    keys = np.sort(counted.select(F.explode("h").alias("h")).distinct().toArrow().column("h").to_numpy().astype(np.uint64))
+    m = len(keys)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, rows = np.zeros(m, np.int64), 0
+        lookup, df, rows = Lookup(keys), np.zeros(m, np.int64), 0
         for batch in batches:
             for part, data, bounds in _arrays(batch):
                 df += np.bincount(vectors(data, bounds, lookup)[1], minlength=m)
@@ -308,20 +302,42 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     t, n = counts.column("t").to_numpy(), counts.column("df").to_numpy()
     df, total = np.zeros(m), int(n[t < 0].sum())
     df[t[t >= 0]] = n[t >= 0]
+    del counts, t, n
     scale = {k: sizes.get(k, 0) / max(1, min(sizes.get(k, 0), taken[k])) for k in (0, 1)}
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([_fitted([*batches], keys, df, total, scale).dump()], pa.binary())], names=["model"])
+
+    # the sample is bounded, so that one task may hold it; the driver holds the packed model only
+    return counted.repartition(1).mapInArrow(build, "model binary").first()["model"]
+
+
+def _fitted(batches: list[pa.RecordBatch], keys: np.ndarray, df: np.ndarray, total: int, scale: dict[int, float]) -> Model:
+    """A model of counted examples (doc_id, label, h, times), in the order of their ids."""
+    m = len(keys)
+    batches = [b for b in batches if b.num_rows]
+    joined = lambda name, values: np.concatenate([np.zeros(0, np.int64), *[values(b.column(name)) for b in batches]])
+    every = [i for b in batches for i in b.column("doc_id").to_pylist()]
+    lengths, marks = joined("h", lambda c: c.value_lengths().to_numpy()), joined("label", lambda c: c.to_numpy())
+    by = np.array(sorted(range(len(every)), key=every.__getitem__), np.int64)
+    first = (np.cumsum(lengths) - lengths)[by]
+    lengths, marks = lengths[by], marks[by]
+    flat = _ranges(first, lengths) if len(by) else np.zeros(0, np.int64)
+    term = np.searchsorted(keys, joined("h", lambda c: c.flatten().to_numpy()).astype(np.uint64)).astype(np.uint32)[flat]
+    times = joined("times", lambda c: c.flatten().to_numpy()).astype(np.uint32)[flat]
     bare = {k: scale[k] * int(((lengths == 0) & (marks == k)).sum()) for k in (0, 1)}
     some = lengths > 0
     edges, labelled = np.concatenate([[0], np.cumsum(lengths[some])]).astype(np.int64), marks[some].astype(np.float64)
     worth = (np.log((1.0 + total) / (1.0 + df)) + 1.0) * relevance(term, edges, labelled, m)
-    ids = [i for i, keep in zip(every, some.tolist(), strict=True) if keep]
+    ids = [every[i] for i in by[some].tolist()]
     share = np.where(labelled == 1, scale[1], scale[0])
     model = Model(keys, worth, edges, term, times, ids, labelled, share, (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
     votes = np.array([model.vote(found, sims) for found, sims in model.index.all_nearest(model.unit(), NEIGHBOURS, apart=True)])
     model.steps = isotonic(votes, labelled, share) if len(votes) else model.steps
-    return model.packed()
+    return model
 
 
-def score(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
+def score(docs: DataFrame, model: bytes, limit: float = LIMIT) -> DataFrame:
     """docs with `score` (0 to 1), `predicted` (1 from the limit on) and `neighbours`, the ids of the examples that voted.
 
     A text without any word of the examples, as a null or empty one, gets the rate
@@ -336,7 +352,7 @@ def score(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Model.load(sent.value)
         known: dict[bytes, tuple[float, list]] = {}
         for batch in batches:
             for part, data, bounds in _arrays(batch):

@@ -307,15 +307,16 @@ def test_toxicity_on_held_out_rows(spark):
         labels.append((i, int(bad)))
     docs = spark.createDataFrame([*rows, (1000, None), (1001, ""), (5, rows[5][1])], "doc_id bigint, text string").withColumn("score", F.lit("old"))
     marks = spark.createDataFrame([*labels, (7, None), (None, 1), (5000, 1)], "doc_id bigint, label int")
-    model = toxicity.fit(docs, marks.where(~toxicity.held_out()))
-    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    packed = toxicity.fit(docs, marks.where(~toxicity.held_out()))
+    model = toxicity.Model.load(packed)
+    got = {r["doc_id"]: r for r in toxicity.score(docs, packed).collect()}
     held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 == 2]
     right = sum(got[i]["predicted"] == labels[i][1] for i in held)
     assert right / len(held) > 0.95
     assert got[1000]["score"] == got[1001]["score"] == model.bare and all(0 <= r["score"] <= 1 for r in got.values())
-    assert toxicity.score(docs, model).count() == 903
+    assert toxicity.score(docs, packed).count() == 903
     empty = toxicity.fit(docs.limit(0), marks)
-    assert {r["score"] for r in toxicity.score(docs, empty).collect()} == {empty.bare}
+    assert {r["score"] for r in toxicity.score(docs, empty).collect()} == {toxicity.Model.load(empty).bare}
 
 
 def plain_toxicity(rows, labels, k=15):
@@ -355,8 +356,9 @@ def test_toxicity_by_brute_force(spark):
     rows = [(i, " ".join(rng.choices(words, k=rng.randint(1, 60)) + ["vile", "été"] * (i % 4 == 0))) for i in range(260)] + [(300, ""), (301, None), (302, "unheard")]
     labels = {i: int(i % 4 == 0) for i in range(150)} | {300: 0}
     docs = spark.createDataFrame([(str(i), t) for i, t in rows], "doc_id string, text string")
-    model = toxicity.fit(docs, spark.createDataFrame([(str(i), y) for i, y in [*labels.items(), (9000, 1)]], "doc_id string, label int"))
-    got = {int(r["doc_id"]): r for r in toxicity.score(docs, model).collect()}
+    packed = toxicity.fit(docs, spark.createDataFrame([(str(i), y) for i, y in [*labels.items(), (9000, 1)]], "doc_id string, label int"))
+    model = toxicity.Model.load(packed)
+    got = {int(r["doc_id"]): r for r in toxicity.score(docs, packed).collect()}
     sims, vote, examples = plain_toxicity(rows, labels)
     assert len(model.keys) == len({w for i in examples for w in dict(rows)[i].split()})
     steps = toxicity.isotonic(np.array([vote(i, i)[0] for i in examples]), np.array([labels[i] for i in examples], float), np.ones(len(examples)))
@@ -389,9 +391,10 @@ def test_leave_one_out_is_exact():
 def test_repeated_ids_and_labels_of_others(spark):
     docs = spark.createDataFrame([(1, "b vile"), (1, "a calm"), (2, "vile b"), (3, "calm a")], "doc_id bigint, text string")
     marks = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (2, 0), (8, 1), (9, 1)], "doc_id bigint, label int")
-    model = toxicity.fit(docs, marks)
+    packed = toxicity.fit(docs, marks)
+    model = toxicity.Model.load(packed)
     assert model.ids == [1, 2, 3] and model.labels.tolist() == [0, 1, 0] and model.share.tolist() == [1, 1, 1]
-    assert toxicity.score(docs, model).count() == 4
+    assert toxicity.score(docs, packed).count() == 4
 
 
 def test_toxicity_of_the_table(spark):
