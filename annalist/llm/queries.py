@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import bpe, conversations, decontamination, fingerprints, jaccard, lines, token_counts, toxicity, url_filters, warc
+from annalist.llm import bpe, conversations, decontamination, fingerprints, jaccard, lines, spelling, token_counts, toxicity, url_filters, warc
 from annalist.llm.common import owned, read, scratch
 
 SQL: dict[str, str] = {}
@@ -81,3 +81,7 @@ FROM p LEFT JOIN o ON p.payload_digest = o.payload_digest AND p.payload_bytes >=
 
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False).drop("text")
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"), damage=97)
