@@ -47,6 +47,6 @@ class SchemaCatalog:
         kinds = self.kinds(category, df)
         return df.select(*[coerce(F.col(c), kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
-    def guarded(self, category: str | None, df: DataFrame, strict: bool = True) -> tuple[DataFrame, list[guards.Finding]]:
-        """Columns in the types that all their values can have; an error if a value is lost that must not be, else what was."""
-        return guards.typed(df, self.kinds(category, df), strict)
+    def guarded(self, category: str | None, df: DataFrame, strict: bool = True, **options) -> tuple[DataFrame, list[guards.Finding]]:
+        """Columns in the types that all their values can have; an error if a value is lost that must not be, else what was. See `guards.typed`."""
+        return guards.typed(df, self.kinds(category, df), strict, **options)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annalist.functions import coerce
+from annalist.operators.checks import Checks
 
 #: Logical types whose conversion must not lose or make a value, and those that fall back to wider numbers.
 STRICT = ("category", "string")
@@ -72,11 +73,9 @@ def typed_columns(df: DataFrame, kinds: dict[str, str]) -> dict[str, Column]:
     return {c: label(F.col(c)) if k == "label" else coerce.coerce(F.col(c), k) for c, k in _decided(df, kinds).items()}
 
 
-def findings(df: DataFrame, kinds: dict[str, str], columns: dict[str, Column]) -> list[Finding]:
-    """What each conversion loses and makes, in one pass over all columns."""
-    if not columns:
-        return []
-    parts = []
+def _counts(kinds: dict[str, str], columns: dict[str, Column]) -> dict[str, Column]:
+    """For each conversion, how many values it loses, makes and can't read."""
+    parts = {}
     for i, (name, new) in enumerate(columns.items()):
         old = F.col(name)
         kind, none = kinds[name], _empty(old)
@@ -87,21 +86,54 @@ def findings(df: DataFrame, kinds: dict[str, str], columns: dict[str, Column]) -
         elif kind == "boolean":
             bad = F.coalesce(coerce.is_unknown_boolean(old), F.lit(False))
         for n, flag in (("lost", ~none & new.isNull()), ("made", none & new.isNotNull()), ("bad", bad)):
-            parts.append(F.coalesce(F.sum(flag.cast("bigint")), F.lit(0)).alias(f"{n}{i}"))
-    told = df.agg(*parts).first()
+            parts[f"{n}{i}"] = F.coalesce(F.sum(flag.cast("bigint")), F.lit(0))
+    return parts
+
+
+def _found(kinds: dict[str, str], columns: dict[str, Column], told) -> list[Finding]:
     return [Finding(c, kinds[c], told[f"lost{i}"], told[f"made{i}"], told[f"bad{i}"]) for i, c in enumerate(columns)]
 
 
-def typed(df: DataFrame, kinds: dict[str, str], strict: bool = True) -> tuple[DataFrame, list[Finding]]:
+def findings(df: DataFrame, kinds: dict[str, str], columns: dict[str, Column]) -> list[Finding]:
+    """What each conversion loses and makes, in one pass over all columns."""
+    if not columns:
+        return []
+    return _found(kinds, columns, df.agg(*[c.alias(n) for n, c in _counts(kinds, columns).items()]).first())
+
+
+def _errors(found: list[Finding], strict: bool, numbers: str) -> list[str]:
+    bad = [e for f in found if (e := f.error())] if strict else []
+    return bad + [f"{f.column}: {f.became_null} values are no numbers" for f in found if numbers == "error" and f.logical in NUMBERS and f.became_null]
+
+
+def typed(df: DataFrame, kinds: dict[str, str], strict: bool = True, numbers: str = "warn", checks: Checks | None = None) -> tuple[DataFrame, list[Finding]]:
     """df with columns of the logical types `kinds`, and what that lost and made.
 
-    A whole-number column with fractions becomes one of fractions, text in number
-    columns becomes null with a finding. Dates that lose their digits, texts that
-    are no boolean, and values that a text or category loses are errors if strict.
+    A whole-number column with fractions becomes one of fractions; text in number
+    columns then becomes null with a finding, or is an error at the end of that chain
+    with numbers="error". Columns of lists, structs and maps are always an error.
+    Dates that lose their digits, texts that are no boolean, and values that a text
+    or category loses are errors if strict. With checks, the conversions are counted
+    while the result is written, and the findings are there after they are verified.
     """
+    if numbers not in ("warn", "error"):
+        raise ValueError(f"no such choice: {numbers}")
     kinds = {c: k for c, k in kinds.items() if c in df.columns and k}
+    if nested := [c for c, t in df.dtypes if c in kinds and t.startswith(("array", "struct", "map", "binary"))]:
+        raise ValueError(f"columns without single values can't be typed: {nested}")
     columns = typed_columns(df, kinds)
-    found = findings(df, kinds, columns)
-    if strict and (errors := [e for f in found if (e := f.error())]):
-        raise ValueError("; ".join(errors))
-    return df.withColumns(columns) if columns else df, [f for f in found if f.warning()]
+    out = df.withColumns(columns) if columns else df
+    if checks is None:
+        found = findings(df, kinds, columns)
+        if errors := _errors(found, strict, numbers):
+            raise ValueError("; ".join(errors))
+        return out, [f for f in found if f.warning()]
+    found = []
+
+    def told(metrics: dict) -> list[str]:
+        every = _found(kinds, columns, metrics) if metrics else []
+        found.extend(f for f in every if f.warning())
+        return _errors(every, strict, numbers)
+
+    watched = checks.watch(df, _counts(kinds, columns), told)
+    return watched.withColumns(columns) if columns else df, found

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from annalist.functions.coerce import normalise_key, normalise_name
+from annalist.operators.checks import Checks, lagging, unique_rows
 from annalist.operators.frames import first_per_group
 
 
@@ -31,35 +32,44 @@ def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return first_per_group(df, keys, [F.col(c).desc() for c in order])
 
 
-def lookup(df: DataFrame, table: DataFrame, left_on: list[Column], right_on: list[Column], values: dict[str, str], drop_empty: bool = False) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, left_on: list[Column], right_on: list[Column], values: dict[str, str], drop_empty: bool = False, checks: Checks | None = None) -> DataFrame:
     """df with the table's columns `values` (name -> new name); keys are compared as trimmed text without `.0`, null with null.
 
     No row is multiplied: a table that isn't unique on its keys, as they are
-    compared, is an error. With drop_empty, new columns without any value go.
+    compared, is an error of the job that computes the result, or told by checks.
+    With drop_empty, new columns without any value go: by checks when they store the
+    result, else by a job.
     """
     names = [f"_k{i}" for i in range(len(left_on))]
     right = table.select(*[normalise_key(c).alias(n) for c, n in zip(right_on, names, strict=True)], *[F.col(c).alias(v) for c, v in values.items()])
-    require_unique(right, names)
     left = df.withColumns({n: normalise_key(c) for c, n in zip(left_on, names, strict=True)})
-    out = null_safe_join(left, right, names).drop(*names)
-    if drop_empty and values:
-        found = out.agg(*[F.count(v).alias(v) for v in values.values()]).first()
-        out = out.drop(*[v for v in values.values() if not found[v]])
-    return out
+    out = null_safe_join(left, unique_rows(right, names, checks), names).drop(*names)
+    return without_empty(out, list(values.values()), checks) if drop_empty else out
 
 
-def lagged_lookup(df: DataFrame, table: DataFrame, keys: dict[str, str], year: str, table_year: str, lag: int, prefix: str, drop_empty: bool = False) -> DataFrame:
-    """df with the table's values of `lag` years before: its year is moved on by lag and joined for equality. keys: column of df -> column of the table, which is unique on keys and year."""
+def without_empty(df: DataFrame, columns: list[str], checks: Checks | None = None) -> DataFrame:
+    """df without those of the columns that have no value; one job for all, or noted by checks."""
+    if checks is not None or not columns:
+        return checks.watch_empty(df, columns) if columns else df
+    found = df.agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in columns]).first()
+    return df.drop(*[c for c in columns if not found[c]])
+
+
+def lagged_lookup(df: DataFrame, table: DataFrame, keys: dict[str, str], year: str, table_year: str, lag: int, prefix: str, drop_empty: bool = False, checks: Checks | None = None) -> DataFrame:
+    """df with the table's values of `lag` years before: its year is moved on by lag and joined for equality. keys: column of df -> column of the table, which is unique on keys and year; that linked years lie back by lag is checked."""
     values = {c: f"{prefix}_{c}_lag{lag}" for c in table.columns if c not in (*keys.values(), table_year)}
     moved = table.withColumn("_year", F.col(table_year) + lag)
-    return lookup(df, moved, [*map(F.col, keys), F.col(year)], [*map(F.col, keys.values()), F.col("_year")], values, drop_empty)
+    out = lookup(df, moved, [*map(F.col, keys), F.col(year)], [*map(F.col, keys.values()), F.col("_year")], values | {table_year: "_linked"}, checks=checks)
+    out = lagging(out, year, "_linked", lag, checks)
+    return without_empty(out, list(values.values()), checks) if drop_empty else out
 
 
-def lagged_lookups(df: DataFrame, table: DataFrame, refs: dict[str, tuple[dict[str, str], int]], year: str, table_year: str, drop_empty: bool = False) -> DataFrame:
-    """lagged_lookup for each reference: prefix -> (keys, lag)."""
+def lagged_lookups(df: DataFrame, table: DataFrame, refs: dict[str, tuple[dict[str, str], int]], year: str, table_year: str, drop_empty: bool = False, checks: Checks | None = None) -> DataFrame:
+    """lagged_lookup for each reference: prefix -> (keys, lag). Empty columns are looked for once, after all."""
+    before = set(df.columns)
     for prefix, (keys, lag) in refs.items():
-        df = lagged_lookup(df, table, keys, year, table_year, lag, prefix, drop_empty)
-    return df
+        df = lagged_lookup(df, table, keys, year, table_year, lag, prefix, False, checks)
+    return without_empty(df, [c for c in df.columns if c not in before], checks) if drop_empty else df
 
 
 def year_differences(df: DataFrame, year: str, linked_year: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from annalist.catalog import SchemaCatalog
 from annalist.functions import labels
 from annalist.operators import clean, derive, guards, joins, merging, references, resolve, schemas
+from annalist.operators.checks import Checks
 from annalist.operators.merging import longitudinal
 from annalist.sources import files
 
@@ -30,13 +31,13 @@ class Curator:
             df, names = files.without_empty_twins(df, names)
         return df.toDF(*names)
 
-    def curate(self, category: str, df: DataFrame, strict: bool = True) -> DataFrame:
-        """Standard names, cleaned rows, types of the catalogue (what they lose is an error, or noted in `findings`), and the category's prefix."""
+    def curate(self, category: str, df: DataFrame, strict: bool = True, **options) -> DataFrame:
+        """Standard names, cleaned rows, types of the catalogue (what they lose is an error, or noted in `findings`; options of `guards.typed`), and the category's prefix."""
         if category.startswith("~"):
             raise ValueError(f"{category} is marked as unused")
         kept, bad = clean.clean(clean.replace_ampersand(self.standardise(df)), self.options or clean.CleanOptions(self.id_col))
         self.rejected[category] = bad
-        typed, self.findings[category] = self.catalog.guarded(category, kept, strict)
+        typed, self.findings[category] = self.catalog.guarded(category, kept, strict, **options)
         return self.catalog.prefix(category, typed, self.id_col)
 
     def standardise_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -79,8 +80,11 @@ class Engineer:
     id_col: str
     time: str
 
-    def link(self, table: DataFrame, refs: dict, year: str, table_year: str) -> "Engineer":
-        return Engineer(joins.lagged_lookups(self.df, table, refs, year, table_year, drop_empty=True), self.id_col, self.time)
+    def link(self, table: DataFrame, refs: dict, year: str, table_year: str, path: str | None = None) -> "Engineer":
+        """With each reference's values of its lag before, empty columns left out. That keys are unique and years lie back by the lag is checked; with a path, in the one job that writes the result there."""
+        checks = Checks() if path else None
+        out = joins.lagged_lookups(self.df, table, refs, year, table_year, True, checks)
+        return Engineer(checks.stored(out, path) if path else out, self.id_col, self.time)
 
     def deprivation(self, postcode: str, areas: DataFrame, scores: DataFrame, values: dict[str, str], order: list[str]) -> "Engineer":
         from annalist.functions.coerce import postcode as cleaned
