@@ -1,20 +1,16 @@
 """Aggregations: collapsing, typed duplicates, conflicts, coverage, pivots, equivalent columns and row merging."""
 
 import difflib
-from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from annalist.functions.coerce import trimmed
 from annalist.operators.frames import unpivot
 
 
-#: Rows of an Arrow batch of merged rows.
-MERGED_ROWS = 1000
-
-
 def collapse(df: DataFrame, keys: list[str], columns: list[str], out: str) -> DataFrame:
     """(keys, out): sorted distinct trimmed values of several columns; groups without any are absent, a null key is a group."""
     rows = unpivot(df, keys, columns).withColumn("value", trimmed(F.col("value"))).where("value <> ''")
@@ -136,50 +132,42 @@ def filled(columns: list[str]) -> Column:
     return sum(flags[1:], flags[0])
 
 
+def _merged(rows: Column, kind: str, values: list[str], kept: list[str]) -> Column:
+    """An array of structs of that type, in order, merged greedily; only its values are compared and filled."""
+
+    def step(open_: Column, row: Column) -> Column:
+        fits = F.transform(open_, lambda r: F.forall(F.array(*[r[v].isNull() | row[v].isNull() | (r[v] == row[v]) for v in values]), lambda x: x))
+        merge = lambda r: F.struct(*[r[k].alias(k) for k in kept], *[F.coalesce(r[v], row[v]).alias(v) for v in values])
+        # the place is bound once, not found anew for each open row
+        place = F.array(F.array_position(fits, True))
+        return F.transform(place, lambda at: F.when(at == 0, F.concat(open_, F.array(row))).otherwise(F.transform(open_, lambda r, i: F.when(i + 1 == at, merge(r)).otherwise(r))))[0]
+
+    return F.when(F.size(rows) == 1, rows).otherwise(F.aggregate(rows, F.array().cast(f"array<{kind}>"), step))
+
+
 def merge_compatible_rows(df: DataFrame, id_col: str, order: list[str], by: list[str] | None = None) -> DataFrame:
     """Rows of an id merged greedily: the first row left takes in each later one that differs from it nowhere, filling nulls. Ids that are null are left out.
 
     Depends on the order (that of `order`, whose columns are not compared, then of
-    `by`), so it has no relational form. Rows come sorted within partitions; an id's
-    open rows and a batch of merged ones are all that is held.
+    `by`, then of all columns; nulls first), so rows of an id are folded one by one.
+    Rows that differ in a column in which all rows of their id have a value never
+    merge, whatever comes between: those columns tell groups apart that are folded by
+    themselves, so a row is compared with the open rows of its group only. Rows are
+    dealt once, by id; a group of one row passes by.
     """
     columns = df.columns
-    values = [i for i, c in enumerate(columns) if c != id_col and c not in order]
-    at = columns.index(id_col)
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        held: list[list] = []
-        done: list[list] = []
-        owner, schema = None, None
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], f.type) for i, f in enumerate(schema)], schema=schema)
-
-        for b in batches:
-            schema = b.schema
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if held and row[at] != owner:
-                    done += held
-                    held = []
-                    if len(done) >= MERGED_ROWS:
-                        yield out()
-                        done = []
-                owner = row[at]
-                for r in held:
-                    if all(r[i] is None or row[i] is None or r[i] == row[i] for i in values):
-                        for i in values:
-                            r[i] = row[i] if r[i] is None else r[i]
-                        break
-                else:
-                    held.append(list(row))
-        done += held
-        if done:
-            yield out()
-
-    known = df.where(F.col(id_col).isNotNull())
-    return known.repartition(id_col).sortWithinPartitions(id_col, *order, *(by or [])).mapInArrow(run, df.schema)
+    if not [c for c in columns if c != id_col and c not in order]:
+        return df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*[F.min(F.struct(*order))[c].alias(c) for c in order]).select(columns)
+    name = {c: f"v{i}" for i, c in enumerate(columns)}
+    kept, values = [name[c] for c in columns if c == id_col or c in order], [name[c] for c in columns if c != id_col and c not in order]
+    row = F.struct(*[F.col(c).alias(name[c]) for c in columns if name[c] in kept], *[F.col(c).alias(name[c]) for c in columns if name[c] in values])
+    at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*order, *(by or [])])]) if order or by else F.lit(0)
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), at.alias("_at"), row.alias("_row")).repartition("_id")
+    each = Window.partitionBy("_id")
+    rows = rows.withColumn("_apart", F.struct(*[F.when(F.min(F.col("_row")[v].isNotNull()).over(each), F.col("_row")[v]).alias(v) for v in values]))
+    groups = rows.groupBy("_id", "_apart").agg(F.array_sort(F.collect_list(F.struct("_at", "_row"))).alias("_rows"))
+    merged = _merged(F.transform("_rows", lambda x: x["_row"]), dict(rows.dtypes)["_row"], values, kept)
+    return groups.select(F.explode(merged).alias("_r")).select(*[F.col("_r")[name[c]].alias(c) for c in columns])
 
 
 def equivalent_groups(columns: list[str], prefixes: list[str]) -> dict[str, list[str]]:

@@ -121,25 +121,53 @@ def school_columns(columns: list[str], parts: list[str] | None = None, without:
     return [c for c in columns if has(c, SCHOOL_PARTS if parts is None else parts) and not has(c, NO_SCHOOL_PARTS if without is None else without)]
 
 
-def best_key_join(left: DataFrame, right: DataFrame, id_col: str, left_keys: list[str] | None = None, right_keys: list[str] | None = None) -> DataFrame:
-    """Full outer on the id if it is unique on both sides; else on the id and the pair of name columns that matches most rows; else, with ids unique on the right, the right row goes to the first left row. Name columns that aren't given are found by their names."""
+def repeated_in(frames: dict[str, DataFrame], key: str) -> set[str]:
+    """The frames in which a key comes several times (null being one), all counted in one aggregate."""
+    ids = [df.select(F.lit(n).alias("_frame"), F.col(key).cast("string").alias("_id")) for n, df in frames.items()]
+    found = reduce(DataFrame.unionByName, ids).groupBy("_frame", "_id").agg(F.count("*").alias("n")).where("n > 1").select("_frame").distinct()
+    return {r["_frame"] for r in found.collect()}
+
+
+def best_key_join(left: DataFrame, right: DataFrame, id_col: str, left_keys: list[str] | None = None, right_keys: list[str] | None = None, unique: tuple[bool, bool] | None = None) -> DataFrame:
+    """Full outer on the id if it is unique on both sides; else on the id and the pair of name columns that matches most rows; else, with ids unique on the right, the right row goes to the first left row. Name columns that aren't given are found by their names, uniqueness (of left and right) by a job."""
     left_keys = school_columns(left.columns) if left_keys is None else left_keys
     right_keys = school_columns(right.columns) if right_keys is None else right_keys
-    unique = lambda df: duplicate_keys(df, [id_col]).first() is None
-    right_unique = unique(right)
-    if right_unique and unique(left):
-        return null_safe_join(left, right, [id_col], "full")
+    if unique is None:
+        repeated = repeated_in({"left": left, "right": right}, id_col)
+        unique = ("left" not in repeated, "right" not in repeated)
+    if all(unique):
+        shared = set(left.columns) & set(right.columns) - {id_col}
+        return null_safe_join(left, right, [id_col], "full") if shared else outer_coalesce([left, right], [id_col])
     pairs = [(a, b) for a in left_keys if a in left.columns for b in right_keys if b in right.columns]
     if pairs:
         found = {(r["left_key"], r["right_key"]): r["n"] for r in key_matches(left, right, id_col, sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})).collect()}
         a, b = max(pairs, key=lambda p: found.get(p, 0))  # the first on ties
         l2, r2 = left.withColumn("_name", normalise_name(F.col(a))), right.withColumn("_name", normalise_name(F.col(b)))
         return null_safe_join(l2, r2, [id_col, "_name"], "full").drop("_name")
-    if right_unique:
+    if unique[1]:
         return attach_to_first(left, right, [id_col], left.columns)
     raise ValueError("no key joins these frames")
 
 
+def best_key_joins(frames: dict[str, DataFrame], id_col: str, repeated: set[str] | None = None) -> tuple[DataFrame, bool]:
+    """All frames, each joined to those before it by the key that fits best, and whether ids are unique in the result.
+
+    One aggregate tells in which frames they are repeated, if it isn't known. Frames from the first on that have
+    unique ids and no other column in common meet in one exchange.
+    """
+    repeated, names = repeated_in(frames, id_col) if repeated is None else repeated, list(frames)
+    end, held = 0, set()
+    while end < len(names) and names[end] not in repeated and not held & (rest := {c for c in frames[names[end]].columns if c != id_col}):
+        held |= rest
+        end += 1
+    out = outer_coalesce([frames[n] for n in names[:end]], [id_col]) if end > 1 else frames[names[0]]
+    unique = names[0] not in repeated
+    for n in names[max(end, 1) :]:
+        out = best_key_join(out, frames[n], id_col, unique=(unique, n not in repeated))
+        unique = unique and n not in repeated
+    return out, unique
+
+
 def attach_to_first(left: DataFrame, right: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Right rows joined (full outer) to the first left row of their key; other left rows stay without."""
     ranked = left.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -148,13 +176,20 @@ def attach_to_first(left: DataFrame, right: DataFrame, keys: list[str], order: l
 
 
 def outer_coalesce(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Full outer join of all frames; a column that several have is coalesced in their order."""
-    def pair(a: DataFrame, b: DataFrame) -> DataFrame:
-        both = [c for c in b.columns if c in a.columns and c not in keys]
-        out = null_safe_join(a, b, keys, "full")
-        return out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}_dup")) for c in both}).drop(*[f"{c}_dup" for c in both]) if both else out
+    """Full outer join of all frames, null keys matching; a column that several have is coalesced in their order.
 
-    return reduce(pair, frames)
+    All rows are dealt once, by the keys, each frame's under its own column; a key
+    that frames have several times makes all combinations, as a join of them would.
+    """
+    rest = [[c for c in df.columns if c not in keys] for df in frames]
+    tagged = [df.select(*keys, F.struct(F.lit(True).alias("there"), *[F.col(c).alias(f"c{j}") for j, c in enumerate(own)]).alias(f"_f{i}")) for i, (df, own) in enumerate(zip(frames, rest, strict=True))]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    out = every.groupBy(*keys).agg(*[F.collect_list(f"_f{i}").alias(f"_f{i}") for i in range(len(frames))])
+    for i in range(len(frames)):
+        out = out.withColumn(f"_f{i}", F.explode_outer(f"_f{i}"))
+    names = dict.fromkeys([*frames[0].columns, *(c for own in rest for c in own)])
+    values = {c: [F.col(f"_f{i}")[f"c{own.index(c)}"] for i, own in enumerate(rest) if c in own] for c in names if c not in keys}
+    return out.select(*[F.col(c) if c in keys else F.coalesce(*values[c]).alias(c) for c in names])
 
 
 def left_joins(base: DataFrame, frames: list[DataFrame], keys: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ joins and aggregates, not by looking at rows.
 """
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 from annalist.functions import labels
 from annalist.operators import aggregate, clean, joins
+from annalist.operators.checks import Checks
+from annalist.sources.store import Store, Table, stamp_of
 
 Strategy = Literal["strict", "flexible", "balanced"]
 
@@ -53,19 +56,35 @@ def column_groups(sets: list[set[str]], similarity: float = 0.7, subset: float =
     return [*groups.values()]
 
 
+def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct rows as text; null, empty text and columns that aren't there are one."""
+    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns]).distinct()
+
+
 def lost_values(source: DataFrame, merged: DataFrame, id_col: str) -> DataFrame:
     """Distinct rows of a source, as text, that the merged table doesn't have in the source's columns; null and empty text are one."""
-    text = lambda df: df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in source.columns]).distinct()
-    if missing := [c for c in source.columns if c not in merged.columns]:
-        merged = merged.withColumns({c: F.lit(None).cast("string") for c in missing})
-    return text(source).join(text(merged), source.columns, "left_anti")
+    return _as_text(source, source.columns).join(_as_text(merged, source.columns), source.columns, "left_anti")
+
+
+def _texts(df: DataFrame, columns: list[str]) -> Column:
+    return F.to_json(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns]))
 
 
-def require_preserved(sources: dict[str, DataFrame], merged: DataFrame, id_col: str) -> None:
-    """An error that names a source of which the merged table has lost or changed values."""
-    for name, source in sources.items():
-        if (row := lost_values(source, merged, id_col).first()) is not None:
-            raise ValueError(f"the merge lost values of {name}: {row.asDict()}")
+def missing_rows(sources: dict[str, DataFrame], merged: DataFrame, each: tuple[str, list] | None = None) -> DataFrame:
+    """(source, of, row): rows of the sources, as in lost_values, that merged lacks; with each, (column, values), for each of these values. All sources in one aggregate: merged is read once, and rows that are there cancel out before they are dealt."""
+    names = list(sources)
+    of = [F.lit(str(v)) for v in each[1]] if each else [F.lit("")]
+    asked = [df.select(F.lit(n).alias("source"), F.explode(F.array(*of)).alias("of"), _texts(df, df.columns).alias("row"), F.lit(False).alias("there")) for n, df in sources.items()]
+    found = F.array(*[F.struct(F.lit(n).alias("source"), _texts(merged, sources[n].columns).alias("row")) for n in names])
+    there = merged.select((F.col(each[0]).cast("string") if each else F.lit("")).alias("of"), F.explode(found).alias("x")).select("x.source", "of", "x.row", F.lit(True).alias("there"))
+    every = reduce(DataFrame.unionByName, asked).unionByName(there)
+    return every.groupBy("source", "of", "row").agg(F.max("there").alias("there")).where("NOT there").drop("there")
+
+
+def require_preserved(sources: dict[str, DataFrame], merged: DataFrame, id_col: str, each: tuple[str, list] | None = None) -> None:
+    """An error that names a source of which the merged table has lost or changed values (for one of the values of each)."""
+    if sources and (bad := missing_rows(sources, merged, each).limit(5).collect()):
+        raise ValueError("; ".join(f"the merge lost values of {r['source']}: {r['row']}" for r in bad))
 
 
 def require_clean(df: DataFrame) -> DataFrame:
@@ -111,6 +130,8 @@ class Merged:
     year_group: int
     age: int
     df: DataFrame
+    #: Where it is written.
+    table: Table | None = None
 
 
 def one_row_per_id(facts: DataFrame, id_col: str, age: str, half: str) -> DataFrame:
@@ -121,65 +142,91 @@ def one_row_per_id(facts: DataFrame, id_col: str, age: str, half: str) -> DataFr
     return first_per_group(facts, [id_col, age, half], [aggregate.filled(rest).desc(), *[F.col(c).asc_nulls_last() for c in rest]]) if rest else facts.distinct()
 
 
-def _finished(df: DataFrame, o: MergeOptions) -> DataFrame:
-    """Without redundant and empty columns and repeated rows, rows that add nothing merged into others of their id, the id and ages first, metadata last."""
+def _finished(store: Store, name: str, df: DataFrame, o: MergeOptions, age: str | None, ages: dict[int, int], stamp: str) -> list[Merged]:
+    """The tables of some ages, written once as one: without redundant columns and repeated rows, rows that add nothing merged into others of their id (and age), the id and ages first, metadata last; each without its empty columns.
+
+    ages: age -> year group; age: the column that tells them apart, None for one age.
+    """
     df = clean.drop_redundant(df, o.redundant)
-    df = aggregate.merge_compatible_rows(df.distinct(), o.id_col, [], [c for c in df.columns if c != o.id_col])
-    if o.types:
-        df = o.types(df)
-    df = clean.drop_all_null_columns(df.distinct())
+    apart = [o.id_col] if age is None else [o.id_col, age]
+    keyed = df.where(F.col(o.id_col).isNotNull()).withColumn("_apart", F.struct(*apart))
+    merged = aggregate.merge_compatible_rows(keyed, "_apart", apart, [c for c in df.columns if c not in apart]).drop("_apart")
     first = [o.id_col, *[c for c in df.columns if c != o.id_col and any(w in c.lower() for w in ("age", "ncy"))]]
-    return clean.reorder(df, [c for c in first if not c.startswith(clean.META)])
+    merged = clean.reorder(merged, [c for c in first if not c.startswith(clean.META)])
+    # which columns have values at which age is noticed while they are written
+    checks, some = Checks(), {}
+    here = {a: F.col(age) == a if age else F.lit(True) for a in ages}
+    merged = checks.watch(merged, {f"a{a}_{i}": F.max(F.when(h, F.col(c).isNotNull())) for a, h in here.items() for i, c in enumerate(merged.columns)}, lambda m: some.update(m) or [])
+    table = store.write(name, merged, stamp)
+    checks.verify()
+    out = []
+    for a, group in ages.items():
+        part = table.part(f"`{age}` = {a}" if age else None, [c for i, c in enumerate(merged.columns) if some.get(f"a{a}_{i}")])
+        frame = part.read(store.spark)
+        if o.types:
+            frame = clean.drop_all_null_columns(o.types(frame).distinct())
+            part = store.write(f"{name}-{a}", frame, stamp_of(stamp, a))
+            frame = part.read(store.spark)
+        out.append(Merged(group, a, frame, part))
+    return out
 
 
-def merge_cohort(year_group: int, sources: dict[str, DataFrame], destinations: Destinations | None, o: MergeOptions) -> list[Merged]:
+def merge_cohort(year_group: int, sources: dict[str, DataFrame], destinations: Destinations | None, o: MergeOptions, store: Store | None = None, name: str = "cohort", stamp: str | None = None) -> list[Merged]:
     """The tables of one cohort in one year group: one of the school years, and from the final group on one for each later age.
 
     sources: category -> table with prefixed columns, joined in their order by the
-    key that fits best (`joins.best_key_join`). The held-back category is not part
+    key that fits best (`joins.best_key_joins`). The held-back category is not part
     of the school table (unless it is all there is) but of those after it. Up to the
     final group the table gets the target at the target's age by a left join; in
     the final group, tables with a phase each for later ages follow
     (`joins.train_and_target`). With check, each source's values must be there, for
     ages under 18, before redundant columns go.
+
+    What several steps need (the joined sources, the records, the rows of all later
+    ages) is written to the store once; the tables given back are parts of what is
+    written there under name.
     """
+    store = store or Store.scratch(sources[next(iter(sources))].sparkSession)
+    spark, stamp = store.spark, stamp or stamp_of(name, year_group, uuid.uuid4().hex)
+    kept = lambda step, df: store.write(f"{name}/{step}", df, stamp).read(spark)
+    sources = {c: kept(f"source-{i}", df) for i, (c, df) in enumerate(sources.items())}
     school = [c for c in sources if c != o.held_back] or list(sources)
-    base = reduce(lambda a, b: joins.best_key_join(a, b, o.id_col), [sources[c] for c in school])
-    out: list[tuple[int, int, DataFrame, list[str]]] = []
+    repeated = joins.repeated_in(sources, o.id_col)
+    base, unique = joins.best_key_joins({c: sources[c] for c in school}, o.id_col, repeated)
+    base = kept("base", base)
+    age, own = year_group + o.age_offset, {c: sources[c] for c in school}
+    if o.check and age < 18 and (destinations is None or year_group <= o.final_group):
+        require_preserved(own, base, o.id_col)  # what is joined later is joined to all of it
     if destinations is None:
-        out.append((year_group, year_group + o.age_offset, base, school))
-    else:
-        d = destinations
-        facts = one_row_per_id(clean.remove_metadata(d.facts), o.id_col, d.age, d.half)
-        if year_group <= o.final_group:
-            spring = facts.where((F.col(d.half) == 2) & (F.col(d.age) == d.target_age)).select(o.id_col, d.target)
-            out.append((year_group, year_group + o.age_offset, base.join(spring, o.id_col, "left"), school))
-        if year_group == o.final_group:
-            held = sources.get(o.held_back) if o.held_back not in school else None
-            full = base if held is None else joins.best_key_join(base, held, o.id_col)
-            out += _later(full, facts, year_group, list(sources), d, o)
-    merged = []
-    for group, age, df, names in out:
-        if o.check and age < 18:
-            require_preserved({c: sources[c] for c in names}, df, o.id_col)
-        df = _finished(df, o)
-        merged.append(Merged(group, age, require_clean(df) if o.check else df))
-    return merged
-
-
-def _later(school: DataFrame, facts: DataFrame, year_group: int, names: list[str], d: Destinations, o: MergeOptions) -> list[tuple[int, int, DataFrame, list[str]]]:
-    """A table for each age with a next one that the facts have, from the age of the year group (or the first that they have) on."""
-    seen = facts.agg(F.min(F.when(F.col(d.half) == 1, F.col(d.age))).alias("low"), F.max(F.when(F.col(d.half) == 2, F.col(d.age))).alias("high")).first()  # two numbers
-    if seen["low"] is None or seen["high"] is None:
-        return []
+        return _finished(store, f"{name}/school", base, o, None, {age: year_group}, stamp)
+    d, out = destinations, []
+    facts, ages = _facts(store, f"{name}/facts", year_group, d, o, stamp)
+    if year_group <= o.final_group:
+        spring = facts.where((F.col(d.half) == 2) & (F.col(d.age) == d.target_age)).select(o.id_col, d.target)
+        out += _finished(store, f"{name}/school", base.join(spring, o.id_col, "left"), o, None, {age: year_group}, stamp)
+    if year_group == o.final_group and ages:
+        full = base
+        if o.held_back in sources and o.held_back not in school:
+            full = joins.best_key_join(base, sources[o.held_back], o.id_col, unique=(unique, o.held_back not in repeated))
+        every = full.withColumn(d.age, F.explode(F.sequence(F.lit(min(ages)), F.lit(max(ages))).cast(f"array<{dict(facts.dtypes)[d.age]}>")))
+        every = kept("later-rows", joins.train_and_target(every, facts, o.id_col, d.age, d.half, d.target, d.left_until, dedup=False))
+        if o.check and (young := [a for a in ages if a < 18]):
+            require_preserved(sources, every, o.id_col, (d.age, young))
+        out += _finished(store, f"{name}/later", every, o, d.age, ages, stamp)
+    return out
+
+
+def _facts(store: Store, name: str, year_group: int, d: Destinations, o: MergeOptions, stamp: str) -> tuple[DataFrame, dict[int, int]]:
+    """The records, one for each id, age and half, written once; and age -> year group for each age with a next one that they have, from the age of the year group (or the first that they have) on."""
+    facts, seen, checks = one_row_per_id(clean.remove_metadata(d.facts), o.id_col, d.age, d.half), {}, Checks()
+    ends = {"low": F.min(F.when(F.col(d.half) == 1, F.col(d.age))), "high": F.max(F.when(F.col(d.half) == 2, F.col(d.age)))}
+    facts = store.write(name, checks.watch(facts, ends, lambda m: seen.update(m) or []), stamp).read(store.spark)
+    checks.verify()
+    if seen.get("low") is None or seen.get("high") is None:
+        return facts, {}
     first = max(year_group + o.age_offset, int(seen["low"]))
     last = max(first, min(int(seen["high"]), d.last_age))
-    ages = school.withColumn(d.age, F.explode(F.sequence(F.lit(first), F.lit(max(first, last - 1))).cast(f"array<{dict(facts.dtypes)[d.age]}>")))
-    every = joins.train_and_target(ages, facts, o.id_col, d.age, d.half, d.target, d.left_until)
-    out = []
-    for k, age in enumerate(range(first, last)):
-        out.append((year_group + k, age, every.where(F.col(d.age) == age), names))
-    return out
+    return facts, {age: year_group + k for k, age in enumerate(range(first, last))}
 
 
 def longitudinal(parts: list[tuple[str, int, DataFrame]], types: Callable[[DataFrame], DataFrame] | None = None, check: bool = False, order: str | None = None) -> DataFrame:

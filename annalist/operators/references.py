@@ -47,15 +47,25 @@ def with_deprivation(df: DataFrame, postcode: str, areas: DataFrame, scores: Dat
     return joins.two_hop(df, cleaned, scores, coerce.postcode(F.col(postcode)), "_postcode", area, score_area, values, order)
 
 
-def school_year(frames: list[DataFrame], keys: list[str], year: int, year_col: str = "acad_end_year") -> DataFrame:
-    """The files of one year as one table of schools: full outer joins on the keys that both sides have, as numbers, rows without any key left out, columns that several have coalesced; percents and rates scaled, and checked to be in range; ratings named."""
-    def pair(a: DataFrame, b: DataFrame) -> DataFrame:
-        common = [k for k in keys if k in a.columns and k in b.columns]
+def _joined(frames: list[DataFrame], keys: list[str], year: int) -> DataFrame:
+    """The frames joined on the keys that each has in common with those before it. Rows without any of these go first: they would only meet each other. Frames of the same keys meet in one exchange."""
+    out, at = frames[0], 1
+    while at < len(frames):
+        common = [k for k in keys if k in out.columns and k in frames[at].columns]
         if not common:
             raise ValueError(f"files of {year} have none of the keys {keys} in common")
-        return joins.outer_coalesce([a, b], common).dropna("all", subset=common)
+        end, held = at, set(out.columns)
+        while end < len(frames) and [k for k in keys if k in held and k in frames[end].columns] == common:
+            held |= set(frames[end].columns)
+            end += 1
+        out = joins.outer_coalesce([df.dropna("all", subset=common) for df in [out, *frames[at:end]]], common)
+        at = end
+    return out
+
 
-    out = reduce(pair, [df.withColumns({k: coerce.numeric(F.col(k)) for k in keys if k in df.columns}) for df in frames])
+def school_year(frames: list[DataFrame], keys: list[str], year: int, year_col: str = "acad_end_year") -> DataFrame:
+    """The files of one year as one table of schools: full outer joins on the keys that both sides have, as numbers, rows without any key left out, columns that several have coalesced; percents and rates scaled, and checked to be in range; ratings named."""
+    out = _joined([df.withColumns({k: coerce.numeric(F.col(k)) for k in keys if k in df.columns}) for df in frames], keys, year)
     percents, rates = ([c for c in out.columns if c.lower().endswith(x)] for x in ("pct", "rate"))
     out = profile.scale_percents(out, percents) if percents else out
     out = profile.scale_rates(out.withColumns({c: coerce.numeric(F.col(c)) for c in rates}), rates) if rates else out

@@ -1,7 +1,8 @@
 """One row per group out of conflicting records, by a rule for each kind of data.
 
 Entities with a conflict anywhere go through a resolver with all their rows; the
-others pass by. Each resolver is one window or one aggregate on the group's keys.
+others pass by. Each resolver is one window or one aggregate on the group's keys;
+resolve() does all of them in one pass.
 """
 
 from dataclasses import dataclass, field
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from annalist.operators.aggregate import conflict_counts, filled, sum_and_percent
+from annalist.operators.aggregate import filled, sum_and_percent
+from annalist.operators.checks import asserted
 from annalist.operators.frames import first_per_group
 from annalist.operators.history import first_known
 from annalist.operators.joins import left_joins, require_unique
@@ -81,45 +83,91 @@ def split_conflicted(df: DataFrame, keys: list[str], columns: list[str], id_col:
     return rows.where("NOT _conflicted").drop("_conflicted"), rows.where("_conflicted").drop("_conflicted")
 
 
-def _apply(rows: DataFrame, keys: list[str], rule: Rule) -> DataFrame:
-    tie = rule.tie or [F.col(c) for c in rule.columns]
-    o = rule.options
+def _all(flags: list[Column], start: bool) -> Column:
+    return reduce((lambda a, b: a & b) if start else (lambda a, b: a | b), flags, F.lit(start))
+
+
+def _order(rule: Rule) -> list[Column]:
+    """The order of a group's rows in which the first is the one that the rule picks."""
+    tie, o = rule.tie or [F.col(c) for c in rule.columns], rule.options
     if rule.kind == "latest":
-        return latest_with_count(rows, keys, o["date"], tie, o["count"])
+        return [F.col(o["date"]).desc_nulls_last(), *tie]
     if rule.kind == "complete":
-        return most_complete(rows, keys, o.get("fill", rule.columns), tie, o.get("error"))
-    if rule.kind == "sum":
-        return summed(rows, keys, o["counts"], o["possible"], tie, o.get("scale", 100.0))
+        error = [o["error"].asc_nulls_last()] if o.get("error") is not None else []
+        return [filled(o.get("fill", rule.columns)).desc(), *error, *tie]
     if rule.kind == "priority":
-        return by_priority(rows, keys, o["error"], o["priority"], o["priorities"], o["recency"], tie)
+        rank = F.lit(99)
+        for value, r in o["priorities"].items():
+            rank = F.when(o["priority"] == value, r).otherwise(rank)
+        return [o["error"].asc_nulls_last(), rank.asc(), o["recency"].desc_nulls_last(), *tie]
+    if rule.kind == "sum":
+        return tie
     raise ValueError(f"no such rule: {rule.kind}")
 
 
+def _picked(rule: Rule, i: int) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Aggregates of a group's rows that make the rule's values, and its values by these. Rows have `_any`, `_rank` and `_new` (the first of equal ones) of the rule's number."""
+    here, o = F.col(f"_any{i}"), rule.options
+    first = F.min_by(F.struct(*rule.columns), F.when(here, F.col(f"_rank{i}")))
+    parts, values = {f"_first{i}": first}, {c: F.col(f"_first{i}")[c] for c in rule.columns}
+    if rule.kind == "latest":
+        parts[f"_count{i}"] = F.count(F.when(here & F.col(f"_new{i}"), True))
+        values[o["count"]] = F.col(f"_count{i}")
+    elif rule.kind == "complete":
+        for j, c in enumerate(o.get("fill", rule.columns)):
+            parts[f"_fill{i}_{j}"] = F.min_by(c, F.when(here & F.col(c).isNotNull(), F.col(f"_rank{i}")))
+            values[c] = F.col(f"_fill{i}_{j}")
+    elif rule.kind == "sum":
+        names = [*o["counts"], o["possible"]]
+        for j, c in enumerate(names):
+            parts[f"_sum{i}_{j}"] = F.coalesce(F.sum(F.when(here & F.col(f"_new{i}"), F.col(c))), F.lit(0))
+            values[c] = F.col(f"_sum{i}_{j}")
+        for c in o["counts"]:
+            values[c.removesuffix("_count") + "_pct"] = F.try_divide(values[c], values[o["possible"]]) * o.get("scale", 100.0)
+    return parts, values
+
+
 def resolve(df: DataFrame, id_col: str, keys: list[str], rules: list[Rule]) -> DataFrame:
     """One row per group of known keys: each rule's category resolved for entities with conflicts, other columns required to be free of them.
 
     A `latest` rule's event count is null for entities without a conflict, whose
     gaps in a group are filled from its other rows. Rows with a null key are of no
-    group: they pass by whole, once each. verified() checks the result.
+    group: they pass by whole, once each. A conflict in a column without a rule is an
+    error of the job that finds it. verified() checks the result.
+
+    All rules work on one pass: rows are dealt once, by entity; conflicts, the order
+    of each rule and equal rows are windows within that, and one aggregate by group
+    takes each rule's values.
     """
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    loose, df = df.where(~known).distinct(), df.where(known)
     ruled = [c for r in rules for c in r.columns]
     rest = [c for c in df.columns if c not in keys and c not in ruled]
+    known = _all([F.col(k).isNotNull() for k in keys], True)
+    rows = df.withColumn("_loose", F.when(~known, F.struct(*df.columns))).repartition(id_col)
+    # the entity comes first, so that its rows are sorted together as its groups are
+    group = [id_col, *[k for k in keys if k != id_col], "_loose"]
+    of, entity = Window.partitionBy(*group), Window.partitionBy(id_col)
+    differ = lambda columns: _all([F.coalesce(F.min(c).over(of) < F.max(c).over(of), F.lit(False)) for c in columns], False)
+    rows = rows.withColumns({f"_differ{i}": differ(r.columns) for i, r in enumerate(rules)})
+    rows = rows.withColumns({f"_bad{i}": F.max(f"_differ{i}").over(entity) for i in range(len(rules))} | {f"_any{i}": filled(r.columns) > 0 for i, r in enumerate(rules)})
+    for i, r in enumerate(rules):
+        rows = rows.withColumn(f"_rank{i}", F.row_number().over(of.orderBy(F.col(f"_any{i}").desc(), *_order(r))))
+        if r.kind in ("latest", "sum"):
+            rows = rows.withColumn(f"_new{i}", F.row_number().over(Window.partitionBy(*group, *[c for c in r.columns if c not in group]).orderBy(f"_rank{i}")) == 1)
+    picked = [_picked(r, i) for i, r in enumerate(rules)]
+    conflict = {c: F.min(c) < F.max(c) for c in rest}
+    out = rows.groupBy(*group).agg(
+        *[F.max(c).alias(f"_once_{c}") for c in [*ruled, *rest]], *[F.max(f"_bad{i}").alias(f"_bad{i}") for i in range(len(rules))],
+        *[a.alias(n) for parts, _ in picked for n, a in parts.items()], F.concat_ws(", ", *[F.when(x, F.lit(c)) for c, x in conflict.items()]).alias("_unruled"),
+    )
     if rest:
-        bad = [r["column_name"] for r in conflict_counts(df, keys, rest).where("n_conflicts > 0").collect()]
-        if bad:
-            raise ValueError(f"conflicts without a rule: {bad}")
-    parts = []
-    for rule in rules:
-        clean, conflicted = split_conflicted(df, keys, rule.columns, id_col)
-        once = clean.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rule.columns])
-        parts.append(once.unionByName(_apply(conflicted, keys, rule), allowMissingColumns=True))
-    if rest:
-        parts.append(df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest]))
-    out = left_joins(df.select(*keys).distinct(), parts, keys)
-    added = [c for c in out.columns if c not in df.columns]
-    return out.select(*df.columns, *added).unionByName(loose, allowMissingColumns=True)
+        out = asserted(out, F.col("_unruled") == "", F.concat(F.lit("conflicts without a rule: "), F.col("_unruled")))
+    own = F.col("_loose").isNull()
+    values = {c: F.col(f"_once_{c}") for c in [*ruled, *rest]}
+    for i, (_, told) in enumerate(picked):
+        bad = own & F.col(f"_bad{i}") & F.col(f"_first{i}").isNotNull()
+        for c, v in told.items():
+            values[c] = F.when(bad, v).otherwise(values[c]) if c in values else F.when(bad, v)
+    return out.select(*[F.col(c) if c in keys else values[c].alias(c) for c in df.columns], *[v.alias(c) for c, v in values.items() if c not in df.columns])
 
 
 def verified(df: DataFrame, keys: list[str]) -> DataFrame:

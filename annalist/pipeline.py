@@ -12,6 +12,7 @@ from annalist.operators import clean, derive, guards, joins, merging, references
 from annalist.operators.checks import Checks
 from annalist.operators.merging import longitudinal
 from annalist.sources import files
+from annalist.sources.store import Store, Table, stamp_of
 
 
 @dataclass
@@ -72,6 +73,71 @@ class Curator:
         return merging.merge_all(parts, **options)
 
 
+@dataclass
+class SourceFile:
+    """A file of the inventory: what it holds, and of whom."""
+
+    path: str
+    category: str
+    cohort: str
+    year_group: int
+
+
+@dataclass
+class Orchestrator:
+    """From an inventory of files to longitudinal tables, as a graph of written tables: files, curated tables, cohorts, unions. Each is written once, and again only when something that it is made of has changed: a file's size or time, or the options."""
+
+    curator: Curator
+    store: Store
+    #: The files of later records, and how their columns are named.
+    destinations: str | None = None
+    columns: dict[str, str] = field(default_factory=dict)
+    merge: dict = field(default_factory=dict)
+    similarity: float = 0.7
+    subset: float = 0.5
+    strategy: merging.Strategy | None = "strict"
+
+    def curated(self, source: SourceFile) -> Table:
+        """A file's table with standard names, types of the catalogue and its category's prefix."""
+        inputs = [self.store.file_stamp(source.path), source.category, self.curator.id_col, repr(self.curator.options), self.curator.catalog.types.get(source.category), self.curator.catalog.prefixes]
+        return self.store.table(f"curated/{stamp_of(source.path)}", inputs, lambda: self.curator.curate(source.category, files.load(self.curator.spark, source.path)))
+
+    def cohort(self, cohort: str, year_group: int, sources: list[SourceFile]) -> list[tuple[int, Table]]:
+        """(year group, table) for each age of a cohort's merge."""
+        tables = {s.category: self.curated(s) for s in sources}
+        if len(tables) < len(sources):
+            raise ValueError(f"{cohort}, year group {year_group} has several files of one category")
+        later = self.store.file_stamp(self.destinations) if self.destinations else None
+        inputs = [{c: t.stamp for c, t in tables.items()}, list(tables), later, self.columns, repr(sorted(self.merge.items()))]
+        name = f"cohort/{cohort}-{year_group}"
+
+        def make(stamp: str) -> dict[str, Table]:
+            frames = {c: t.read(self.store.spark) for c, t in tables.items()}
+            facts = files.load(self.store.spark, self.destinations) if self.destinations else None
+            parts = merging.merge_cohort(year_group, frames, facts and merging.Destinations(facts, **self.columns), merging.MergeOptions(self.curator.id_col, **self.merge), self.store, name, stamp)
+            return {f"{m.year_group}/{m.age}": m.table for m in parts}
+
+        return [(int(k.split("/")[0]), t) for k, t in self.store.tables(name, inputs, make).items()]
+
+    def run(self, inventory: list[SourceFile]) -> list[DataFrame]:
+        """The longitudinal tables, one for each group of cohorts with alike columns (one of all with strategy None), sorted by id, cohort and year group within files. Categories marked `~` are left out. `store.made` tells what had to be made."""
+        used = [s for s in inventory if not s.category.startswith("~")]
+        if not used:
+            raise ValueError("an empty inventory")
+        parts = []
+        for cohort, group in sorted({(s.cohort, s.year_group) for s in used}, key=lambda x: (int(x[0].split("-")[0]), x[1])):
+            parts += [(cohort, g, t) for g, t in self.cohort(cohort, group, [s for s in used if (s.cohort, s.year_group) == (cohort, group)])]
+        columns = [set(t.columns if t.columns is not None else t.schema.names) for *_, t in parts]
+        groups = [list(range(len(parts)))] if self.strategy is None else merging.column_groups(columns, self.similarity, self.subset, self.strategy)
+        out = []
+        for places in groups:
+            chosen = [parts[i] for i in places]
+            inputs = [[(c, g, t.stamp) for c, g, t in chosen], self.curator.id_col]
+            read = lambda chosen=chosen: merging.longitudinal([(c, g, t.read(self.store.spark)) for c, g, t in chosen], order=self.curator.id_col)
+            out.append(self.store.table("longitudinal", inputs, read).read(self.store.spark))
+        return out
+
+
 @dataclass
 class Engineer:
     """Features of a longitudinal table."""

@@ -1,5 +1,7 @@
 """Operators on small frames: null keys, orders, ties, and the invariants of each step."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,8 +106,64 @@ def test_resolve_leaves_one_row_a_group(spark):
     rule = resolve.Rule("latest", ["what", "at"], [F.col("what")], {"date": "at", "count": "n"})
     out = resolve.resolve(df, "id", ["id", "g"], [rule])
     assert rows(out) == [("s", 1, "b", "2021", 2), ("s", 2, "c", "2020", 1), ("t", 1, "a", "2020", None)]
-    with pytest.raises(ValueError):
-        resolve.resolve(df.withColumn("extra", F.col("what")), "id", ["id", "g"], [rule])
+    with pytest.raises(Exception, match="conflicts without a rule: extra"):
+        resolve.resolve(df.withColumn("extra", F.col("what")), "id", ["id", "g"], [rule]).collect()
+
+
+def test_all_rules_in_one_pass(spark):
+    r = random.Random(3)
+    data = []
+    for _ in range(400):
+        i, t = r.choice([None, *range(40)]), r.choice([None, 1, 2])
+        pick = (lambda *x: x[((i or 0) + (t or 0)) % len(x)]) if (i or 0) % 3 == 0 else (lambda *x: r.choice([None, *x]))  # noqa: B023
+        data.append((i, t, pick("2020", "2021"), pick("u", "v"), pick("p", "q"), pick("r"), pick("t"), pick(1, 2), pick(10, 20), pick("n", "m"), pick(1.0, 2.0), pick("M", "C", "Z"), pick("1", "2"), "same"))
+    df = frame(spark, data, "id int, t int, d string, w string, a string, b string, c string, x_count int, possible int, note string, err double, st string, rec string, rest string")
+    keys, c = ["id", "t"], F.col
+    rules = [
+        resolve.Rule("latest", ["d", "w"], [c("w")], {"date": "d", "count": "n"}), resolve.Rule("complete", ["a", "b", "c"]), resolve.Rule("sum", ["x_count", "possible", "note"], [c("note")], {"counts": ["x_count"], "possible": "possible"}),
+        resolve.Rule("priority", ["err", "st", "rec"], [c("rec")], {"error": c("err"), "priority": c("st"), "priorities": {"M": 1, "C": 2}, "recency": c("rec")}),
+    ]
+    single = [
+        lambda x: resolve.latest_with_count(x, keys, "d", [c("w")], "n"), lambda x: resolve.most_complete(x, keys, ["a", "b", "c"], [c("a"), c("b"), c("c")]),
+        lambda x: resolve.summed(x, keys, ["x_count"], "possible", [c("note")]), lambda x: resolve.by_priority(x, keys, c("err"), c("st"), {"M": 1, "C": 2}, c("rec"), [c("rec")]),
+    ]
+    out = resolve.resolve(df, "id", keys, rules)
+    known = df.dropna(subset=keys)
+    assert out.dropna(subset=keys).count() == known.select(*keys).distinct().count()
+    assert rows(out.where("id IS NULL OR t IS NULL"), *df.columns) == rows(df.where("id IS NULL OR t IS NULL").distinct())
+    got = {(x["id"], x["t"]): x for x in out.dropna(subset=keys).collect()}
+    for rule, alone in zip(rules, single, strict=True):
+        calm, conflicted = resolve.split_conflicted(known, keys, rule.columns, "id")
+        want = alone(conflicted).collect()
+        assert len(want) > 20 and all(got[x["id"], x["t"]][k] == v for x in want for k, v in x.asDict().items())
+        once = calm.groupBy(*keys).agg(*[F.max(k).alias(k) for k in rule.columns]).collect()
+        assert len(once) > 5 and all(got[x["id"], x["t"]][k] == v for x in once for k, v in x.asDict().items())
+    plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Scan ") == 1
+
+
+def test_rows_fold_as_one_by_one(spark):
+    def plain(data):
+        out = []
+        for i in sorted({d[0] for d in data if d[0]}):
+            held = []
+            for row in sorted((d for d in data if d[0] == i), key=lambda d: [(v is not None, v or "") for v in (d[1], *d[2:])]):
+                for h in held:
+                    if all(a is None or b is None or a == b for a, b in zip(h[2:], row[2:], strict=True)):
+                        h[2:] = [b if a is None else a for a, b in zip(h[2:], row[2:], strict=True)]
+                        break
+                else:
+                    held.append(list(row))
+            out += map(tuple, held)
+        return sorted(out, key=str)
+
+    for seed in range(3):
+        r = random.Random(seed)
+        data = [(r.choice([None, "a", "b", "c"]), r.randint(0, 3), *[r.choice([None, None, "x", "y"]) for _ in range(4)], r.choice("pq") if seed else None) for _ in range(150)]
+        out = aggregate.merge_compatible_rows(frame(spark, data, "id string, o int, u string, v string, w string, z string, t string"), "id", ["o"])
+        assert rows(out) == plain(data)
+    plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan and plan.count("Exchange ") == 1
 
 
 def test_agreement_and_curation(spark):
