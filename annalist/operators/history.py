@@ -7,10 +7,15 @@ from pyspark.sql.window import Window
 from annalist.functions.coerce import trimmed
 
 
-def _clean(values: Column) -> Column:
+def clean_list(values: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.transform(values, trimmed), lambda v: v.isNotNull() & (v != ""))))
 
 
+def values_of(rows: DataFrame) -> DataFrame:
+    """A row for each value of the list `_own`, and one for a list without any."""
+    return rows.select("_seg", "_place", "_row", F.size("_own").alias("_size"), F.explode_outer("_own").alias("_v"))
+
+
 def cumulative(df: DataFrame, id_col: str, order: list[str], list_col: str, prefix: str) -> DataFrame:
     """df with `<prefix>hist`, `_n_uniq`, `_main` and `_main_n` of the list column up to each row.
 
@@ -19,23 +24,36 @@ def cumulative(df: DataFrame, id_col: str, order: list[str], list_col: str, pref
     of the tied), else the smallest. A row without values has nulls. All windows
     are within an id, so rows are dealt once; a value's count is its place among
     the rows that have it, and the best so far are running minima and maxima, so
-    that a row costs its own values and, for `hist`, the distinct ones so far.
+    that a row costs its own values and, for `hist`, the distinct ones so far. An id
+    is one task's work; for ids of very many rows see scans.cumulative.
     """
+    rows = df.select(F.col(id_col).alias("_seg"), F.struct(*df.columns).alias("_row"), clean_list(F.col(list_col)).alias("_own"))
+    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy("_seg").orderBy(*[F.col("_row")[c] for c in order])))
+    return running(values_of(rows), df.columns, prefix)
+
+
+def running(each: DataFrame, columns: list[str], prefix: str, counts: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
+    """The histories of rows (a row for each value), by segments `_seg`. counts (_seg, _v, _w) and starts (_seg, _top, _best, _set) are what segments start from, if not from nothing."""
     h, n, main, main_n = (f"{prefix}{s}" for s in ("hist", "n_uniq", "main", "main_n"))
-    rows = df.select(F.col(id_col).alias("_id"), F.struct(*df.columns).alias("_row"), _clean(F.col(list_col)).alias("_own"))
-    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy("_id").orderBy(*[F.col("_row")[c] for c in order])))
-    each = rows.select("_id", "_place", "_row", F.size("_own").alias("_size"), F.explode_outer("_own").alias("_v"))
-    known = F.col("_v").isNotNull()
-    each = each.withColumn("_n", F.when(known, F.row_number().over(Window.partitionBy("_id", "_v").orderBy("_place"))))
-    # which of the values that came to this count it is
-    each = each.withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_n").orderBy("_place", "_v")))
-    each = each.groupBy("_id", "_place").agg(
-        F.first("_row").alias("_row"), F.max("_size").alias("_size"), F.min("_v").alias("_first"), F.min("_n").alias("_first_n"),
-        F.collect_list(F.when(F.col("_n") == 1, F.col("_v"))).alias("_new"),
-        F.min(F.when(known, F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))).alias("_best"),
-        F.max(F.when(known, F.struct(F.col("_n").alias("n"), F.col("_k").alias("k")))).alias("_top"),
+    before, known = F.lit(-1).cast("long"), F.col("_v").isNotNull()
+    if counts is None:
+        each = each.withColumn("_n", F.when(known, F.row_number().over(Window.partitionBy("_seg", "_v").orderBy("_place"))))
+        # which of the values that came to this count it is
+        each = each.withColumn("_k", F.row_number().over(Window.partitionBy("_seg", "_n").orderBy("_place", "_v")))
+        each = each.withColumns({"_start_top": F.lit(None).cast("struct<n:bigint,k:bigint>"), "_start_best": F.lit(None).cast("struct<n:bigint,v:string>"), "_set": F.lit(None).cast("array<string>")})
+    else:
+        to_here = lambda *by: Window.partitionBy("_seg", *by).orderBy("_place", "_v").rowsBetween(Window.unboundedPreceding, 0)
+        each = each.withColumn("_w", F.lit(1).cast("long")).unionByName(counts.withColumn("_place", before), allowMissingColumns=True)
+        each = each.withColumn("_n", F.when(known, F.sum("_w").over(to_here("_v")))).where(F.col("_place") >= 0).withColumn("_w", F.lit(1).cast("long"))
+        first = starts.select("_seg", before.alias("_place"), F.col("_top.n").alias("_n"), F.col("_top.k").alias("_w"), F.col("_top").alias("_start_top"), F.col("_best").alias("_start_best"), "_set")
+        each = each.unionByName(first, allowMissingColumns=True).withColumn("_k", F.sum("_w").over(to_here("_n")))
+    each = each.groupBy("_seg", "_place").agg(
+        F.first("_row").alias("_row"), F.max("_size").alias("_size"), F.min("_v").alias("_first"), F.min(F.when(known, F.col("_n"))).alias("_first_n"),
+        F.coalesce(F.first("_set"), F.collect_list(F.when(F.col("_n") == 1, F.col("_v")))).alias("_new"),
+        F.coalesce(F.first("_start_best"), F.min(F.when(known, F.struct((-F.col("_n")).cast("long").alias("n"), F.col("_v").alias("v"))))).alias("_best"),
+        F.coalesce(F.first("_start_top"), F.max(F.when(known, F.struct(F.col("_n").cast("long").alias("n"), F.col("_k").cast("long").alias("k"))))).alias("_top"),
     )
-    w = Window.partitionBy("_id").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("_seg").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     run = each.withColumns({"_all": F.flatten(F.collect_list("_new").over(w)), "_best": F.min("_best").over(w), "_top": F.max("_top").over(w)})
     some, tie = F.col("_size") > 0, (F.col("_top.k") > 1) & (F.col("_size") == 1)
     out = {
@@ -44,7 +62,8 @@ def cumulative(df: DataFrame, id_col: str, order: list[str], list_col: str, pref
         main: F.when(some, F.when(tie, F.col("_first")).otherwise(F.col("_best.v"))),
         main_n: F.when(some, F.when(tie, F.col("_first_n")).otherwise(F.col("_top.n")).cast("bigint")),
     }
-    return run.select(*[F.col("_row")[c].alias(c) for c in df.columns if c not in out], *[v.alias(k) for k, v in out.items()])
+    run = run if counts is None else run.where(F.col("_place") >= 0)
+    return run.select(*[F.col("_row")[c].alias(c) for c in columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
 def between_change(column: str, w) -> Column:
@@ -53,13 +72,17 @@ def between_change(column: str, w) -> Column:
     return F.coalesce(F.size(F.array_except(column, before)) > 0, F.lit(False)).cast("int")
 
 
-def state_changes(df: DataFrame, id_col: str, order: list[str], columns: list[str], prefix: str, threshold: int = 1) -> DataFrame:
-    """df with `<prefix>changed`, `_n_chg` (so far) and `_ever`: enough columns differ from the row before, or enough hold several values."""
-    w = Window.partitionBy(id_col).orderBy(*order)
+def changed(columns: list[str], w, threshold: int) -> Column:
+    """1 if enough columns differ from the row before, or enough hold several values."""
     between = [between_change(c, w) for c in columns]
     within = [F.coalesce(F.size(c) > 1, F.lit(False)).cast("int") for c in columns]
-    changed = ((sum(between[1:], between[0]) >= threshold) | (sum(within[1:], within[0]) >= threshold)).cast("bigint")
-    out = df.withColumn(f"{prefix}changed", changed)
+    return ((sum(between[1:], between[0]) >= threshold) | (sum(within[1:], within[0]) >= threshold)).cast("bigint")
+
+
+def state_changes(df: DataFrame, id_col: str, order: list[str], columns: list[str], prefix: str, threshold: int = 1) -> DataFrame:
+    """df with `<prefix>changed`, `_n_chg` (so far) and `_ever`: enough columns differ from the row before, or enough hold several values. For ids of very many rows see scans.state_changes."""
+    w = Window.partitionBy(id_col).orderBy(*order)
+    out = df.withColumn(f"{prefix}changed", changed(columns, w, threshold))
     out = out.withColumn(f"{prefix}n_chg", F.sum(f"{prefix}changed").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return out.withColumn(f"{prefix}ever", (F.col(f"{prefix}n_chg") > 0).cast("bigint"))
 
