@@ -57,6 +57,23 @@ def category(c: Column) -> Column:
     return F.when(F.lower(t).isin(MISSING_WORDS), None).when(number.isNotNull() & ~F.isnan(number), whole).when(F.contains(t, F.lit(" ")), title_case(t)).otherwise(t)
 
 
+# The months by their first three letters.
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _with(c: Column, f) -> Column:
+    """f of a column that is computed once, however often f uses it."""
+    return F.transform(F.array(c), f)[0]
+
+
+def _month(x: Column) -> Column:
+    """1 to 12 for a month's name or the beginning of one, of three letters at least."""
+    low = F.lower(x)
+    at = F.position(F.substring(low, 1, 3), F.lit(MONTHS))
+    return F.when((F.length(x) >= 3) & (at % 3 == 1) & (F.translate(low, _LETTERS, "") == ""), ((at + 2) / 3).cast("int"))
+
+
 def date(c: Column, pivot_year: int = PIVOT_YEAR) -> Column:
     """A date in one of many forms; null if it is in none of them.
 
@@ -64,38 +81,57 @@ def date(c: Column, pivot_year: int = PIVOT_YEAR) -> Column:
     numbers are month first where that can be, as are two-digit years. Months may
     be words; a missing day is the first, a missing month January. `Mon-YY` is of
     this century up to pivot_year, other two-digit years are within 50 years of it.
+    The text is cut into parts once; their number and lengths tell the form.
     """
-    t = trimmed(F.regexp_replace(F.regexp_replace(F.regexp_replace(trimmed(c), "Z$", ""), r"(?<=\d)T.*$", ""), r"\s*\S*:\S*", ""))
-    # words with one space between, months of three letters, no ordinal endings
-    words = F.regexp_replace(F.regexp_replace(F.initcap(F.lower(F.regexp_replace(t, r"[-,/.\s]+", " "))), r"([A-Z][a-z]{2})[a-z]*", "$1"), r"(\d)(?i:st|nd|rd|th)\b", "$1")
-    digits = F.regexp_replace(t, "[/.]", "-")
-    part = lambda x, form, g: F.regexp_extract(x, form, g).try_cast("int")
-    read = lambda x, form: F.try_to_timestamp(x, F.lit(form)).cast("date")
-    fits = lambda x, form: F.regexp(x, F.lit(form))
     near = lambda yy: F.when(yy + 2000 >= pivot_year + 50, yy + 1900).otherwise(yy + 2000)
-    ymd = lambda y, m, d: read(F.concat_ws("-", y.cast("string"), m.cast("string"), d.cast("string")), "y-M-d")
-    three = r"^(\d{1,2})-(\d{1,2})-(\d{4}|\d{2})$"
-    p1, p2, year = part(digits, three, 1), part(digits, three, 2), part(digits, three, 3)
-    year = F.when(F.length(F.regexp_extract(digits, three, 3)) == 2, near(year)).otherwise(year)
-    short = r"^[A-Z][a-z]{2} (\d{2})$"
-    yy = part(words, short, 1)
-    this = F.when(yy + 2000 > pivot_year, yy + 1900).otherwise(yy + 2000)
-    day_short = r"^\d{1,2} [A-Z][a-z]{2} (\d{2})$"
-    return F.coalesce(
-        F.when(fits(digits, r"^\d{4}-\d{1,2}-\d{1,2}$"), read(digits, "y-M-d")),
-        F.when(fits(t, r"^\d{2}/\d{2}/\d{4}$"), read(t, "d/M/y")),
-        F.when(fits(digits, three), F.when(p1 > 12, ymd(year, p2, p1)).otherwise(ymd(year, p1, p2))),
-        F.when(fits(t, r"^\d{8}$"), read(t, "yyyyMMdd")),
-        F.when(fits(digits, r"^\d{4}-\d{1,2}$"), read(F.concat(digits, F.lit("-1")), "y-M-d")),
-        F.when(fits(t, r"^\d{4}$"), read(F.concat(t, F.lit("-1-1")), "y-M-d")),
-        F.when(fits(words, r"^\d{1,2} [A-Z][a-z]{2} \d{4}$"), read(words, "d MMM y")),
-        F.when(fits(words, r"^[A-Z][a-z]{2} \d{1,2} \d{4}$"), read(words, "MMM d y")),
-        F.when(fits(words, r"^[A-Z][a-z]{2} \d{4}$"), read(F.concat(F.lit("1 "), words), "d MMM y")),
-        F.when(fits(words, r"^\d{4} [A-Z][a-z]{2}$"), read(F.concat(words, F.lit(" 1")), "y MMM d")),
-        F.when(fits(words, r"^\d{4} [A-Z][a-z]{2} \d{1,2}$"), read(words, "y MMM d")),
-        F.when(fits(words, short), read(F.concat(F.lit("1 "), F.substring(words, 1, 4), this.cast("string")), "d MMM y")),
-        F.when(fits(words, day_short), read(F.concat(F.regexp_replace(words, r"\d{2}$", ""), near(part(words, day_short, 1)).cast("string")), "d MMM y")),
-    )
+    recent = lambda yy: F.when(yy + 2000 > pivot_year, yy + 1900).otherwise(yy + 2000)
+    ymd = lambda y, m, d: F.struct(y.cast("int").alias("y"), m.cast("int").alias("m"), d.cast("int").alias("d"))
+    one, size = F.lit(1), F.length
+
+    def number(x: Column) -> Column:
+        return x.try_cast("int")
+
+    def valid(s: Column) -> Column:
+        leap = ((s["y"] % 4 == 0) & (s["y"] % 100 != 0)) | (s["y"] % 400 == 0)
+        days = F.when(s["m"] == 2, F.when(leap, 29).otherwise(28)).when(s["m"].isin(4, 6, 9, 11), 30).otherwise(31)
+        return s["y"].between(1, 9999) & s["m"].between(1, 12) & s["d"].between(1, days)
+
+    def numbers(t: Column, p: Column) -> Column:
+        x, y, z = (F.get(p, F.lit(i)) for i in range(3))
+        year = F.when(size(z) == 4, number(z)).otherwise(near(number(z)))
+        day_first = ymd(number(z), number(y), number(x))
+        month_first = F.when(number(x) > 12, ymd(year, number(y), number(x))).otherwise(ymd(year, number(x), number(y)))
+        three = F.when((size(x) == 4) & (size(y) <= 2) & (size(z) <= 2), ymd(number(x), number(y), number(z))).when(
+            (size(x) <= 2) & (size(y) <= 2) & size(z).isin(2, 4), F.when(F.regexp(t, F.lit(r"^\d{2}/\d{2}/\d{4}$")) & valid(day_first), day_first).otherwise(month_first)
+        )
+        part = lambda a, n: number(F.substring(x, a, n))
+        single = F.when(size(x) == 8, ymd(part(1, 4), part(5, 2), part(7, 2))).when(size(x) == 4, ymd(number(x), one, one))
+        return F.when(F.size(p) == 3, three).when((F.size(p) == 2) & (size(x) == 4) & (size(y) <= 2), ymd(number(x), number(y), one)).when(F.size(p) == 1, single)
+
+    def words(p: Column) -> Column:
+        x, y, z = (F.get(p, F.lit(i)) for i in range(3))
+
+        def with_months(m: Column) -> Column:
+            mx, my = F.get(m, F.lit(0)), F.get(m, F.lit(1))
+            long, day = F.when(size(z) == 4, number(z)).when(size(z) == 2, near(number(z))), lambda v: F.when(size(v) <= 2, number(v))
+            three = F.when(my.isNotNull() & (size(x) == 4), ymd(number(x), my, day(z))).when(my.isNotNull(), ymd(long, my, day(x))).when(mx.isNotNull(), ymd(long, mx, day(y)))
+            two = F.when(mx.isNotNull(), ymd(F.when(size(y) == 4, number(y)).when(size(y) == 2, recent(number(y))), mx, one)).when(my.isNotNull() & (size(x) == 4), ymd(number(x), my, one))
+            return F.when(F.size(p) == 3, three).when(F.size(p) == 2, two)
+
+        return _with(F.transform(F.slice(p, 1, 2), _month), with_months)
+
+    def untimed(t: Column) -> Column:
+        timed = F.contains(t, F.lit(":")) | F.endswith(t, F.lit("Z")) | F.contains(t, F.lit("T"))
+        return F.when(timed, trimmed(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "Z$", ""), r"(?<=\d)T.*$", ""), r"\s*\S*:\S*", ""))).otherwise(t)
+
+    def parsed(t: Column) -> Column:
+        plain = F.regexp(t, F.lit(r"^\d+(?:[-/.]\d+){0,2}$"))
+        worded = F.regexp(t, F.lit(r"^[\dA-Za-z]+(?:[-,/.\s]+[\dA-Za-z]+){1,2}$"))
+        bare = F.regexp_replace(t, r"(?<=\d)(?i:st|nd|rd|th)\b", "")
+        told = F.when(plain, _with(F.split(t, "[-/.]"), lambda p: numbers(t, p))).when(worded, _with(F.split(bare, r"[-,/.\s]+"), words))
+        return _with(told, lambda s: F.when(valid(s), F.make_date(s["y"], s["m"], s["d"])))
+
+    return _with(_with(trimmed(c), untimed), parsed)
 
 
 def normalise_key(c: Column) -> Column:

@@ -23,7 +23,7 @@ def test_dates_in_many_forms(spark):
     forms = {
         "2018/03/05": "2018-03-05", "05-Mar-2018": "2018-03-05", "March 5, 2018": "2018-03-05", "5.3.2018": "2018-05-03", "Apr 2003": "2003-04-01", "2024-01": "2024-01-01",
         "04/01/2022": "2022-01-04", "13/1/2020": "2020-01-13", "Aug-00": "2000-08-01", "Aug-99": "1999-08-01", "2018-09-01T00:00:00.000Z": "2018-09-01", "2018-09-01 00:00:00": "2018-09-01",
-        "20180901": "2018-09-01", "2019": "2019-01-01", "1st September 2018": "2018-09-01", "5 Mar 18": "2018-03-05", "\t2018-3-5\n": "2018-03-05", "Thursday": None, "StudID": None, "": None,
+        "20180901": "2018-09-01", "2019": "2019-01-01", "1st September 2018": "2018-09-01", "5 Mar 18": "2018-03-05", "\t2018-3-5\n": "2018-03-05", "March 5 18": "2018-03-05", "Feb/29/2019": None, "29 February 2020": "2020-02-29", "0000": None, "31-31-2018": None, "Thursday": None, "StudID": None, "": None,
     }
     got = {r["t"]: r["d"] for r in frame(spark, [(f,) for f in forms], "t string").select("t", coerce.date(F.col("t")).alias("d")).collect()}
     assert {k: str(v) if v else None for k, v in got.items()} == forms
