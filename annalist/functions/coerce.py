@@ -59,19 +59,52 @@ def category(c: Column) -> Column:
 
 # The months by their first three letters.
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
-def _with(c: Column, f) -> Column:
-    """f of a column that is computed once, however often f uses it."""
-    return F.transform(F.array(c), f)[0]
-
-
-def _month(x: Column) -> Column:
-    """1 to 12 for a month's name or the beginning of one, of three letters at least."""
-    low = F.lower(x)
-    at = F.position(F.substring(low, 1, 3), F.lit(MONTHS))
-    return F.when((F.length(x) >= 3) & (at % 3 == 1) & (F.translate(low, _LETTERS, "") == ""), ((at + 2) / 3).cast("int"))
+def _let(value: str, name: str, body: str) -> str:
+    """body, in which name is a value that is computed once, however often body uses it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _date_sql(pivot_year: int) -> str:
+    """The expression of date() over a trimmed text `t`. As text, since it is made for each column of each table: its hundreds of nodes would each be a call."""
+    white = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITE) + "'"
+    number = lambda x: f"try_cast({x} AS INT)"
+    near = lambda n: f"({n} + CASE WHEN {n} + 2000 >= {pivot_year + 50} THEN 1900 ELSE 2000 END)"
+    recent = lambda n: f"({n} + CASE WHEN {n} + 2000 > {pivot_year} THEN 1900 ELSE 2000 END)"
+    ymd = lambda y, m, d: f"named_struct('y', {y}, 'm', {m}, 'd', {d})"
+    valid = lambda s: f"""({s}.y BETWEEN 1 AND 9999 AND {s}.m BETWEEN 1 AND 12 AND {s}.d BETWEEN 1 AND
+        CASE WHEN {s}.m = 2 THEN CASE WHEN {s}.y % 4 = 0 AND {s}.y % 100 <> 0 OR {s}.y % 400 = 0 THEN 29 ELSE 28 END WHEN {s}.m IN (4, 6, 9, 11) THEN 30 ELSE 31 END)"""
+    x, y, z = "p.x", "p.y", "p.z"
+    parts = lambda form, text: f"transform(array(split({text}, r'{form}')), a -> named_struct('n', size(a), 'x', get(a, 0), 'y', get(a, 1), 'z', get(a, 2)))[0]"
+    year = f"CASE WHEN length({z}) = 4 THEN {number(z)} ELSE {near(number(z))} END"
+    # three numbers that begin with no year: the day first if written so and there is such a date, else the month if it can be
+    guess = _let(ymd(year, number(y), number(x)), "g", rf"CASE WHEN g.d > 12 OR t RLIKE r'^\d{{2}}/\d{{2}}/\d{{4}}$' AND {valid('g')} THEN g ELSE {ymd('g.y', 'g.d', 'g.m')} END")
+    numbers = f"""CASE
+        WHEN p.n = 3 AND length({x}) = 4 AND length({y}) <= 2 AND length({z}) <= 2 THEN {ymd(number(x), number(y), number(z))}
+        WHEN p.n = 3 AND length({x}) <= 2 AND length({y}) <= 2 AND length({z}) IN (2, 4) THEN {guess}
+        WHEN p.n = 2 AND length({x}) = 4 AND length({y}) <= 2 THEN {ymd(number(x), number(y), "1")}
+        WHEN p.n = 1 AND length({x}) = 8 THEN {ymd(number(f"left({x}, 4)"), number(f"substr({x}, 5, 2)"), number(f"right({x}, 2)"))}
+        WHEN p.n = 1 AND length({x}) = 4 THEN {ymd(number(x), "1", "1")} END"""
+    # the place of a month's first letters, 1, 4, 7 ..., and nothing but letters
+    month = lambda v: f"CASE WHEN {v} RLIKE '^[A-Za-z]{{3,}}$' THEN nullif(instr('{MONTHS}', lower(left({v}, 3))), 0) END"
+    whole = lambda v: f"CASE WHEN {v} % 3 = 1 THEN ({v} + 2) DIV 3 END"
+    day = lambda v: f"CASE WHEN length({v}) <= 2 THEN {number(v)} END"
+    long = f"CASE length({z}) WHEN 4 THEN {number(z)} WHEN 2 THEN {near(number(z))} END"
+    short = f"CASE length({y}) WHEN 4 THEN {number(y)} WHEN 2 THEN {recent(number(y))} END"
+    words = f"""CASE
+        WHEN p.n = 3 AND m.y IS NOT NULL AND length({x}) = 4 THEN {ymd(number(x), "m.y", day(z))}
+        WHEN p.n = 3 AND m.y IS NOT NULL THEN {ymd(long, "m.y", day(x))}
+        WHEN p.n = 3 AND m.x IS NOT NULL THEN {ymd(long, "m.x", day(y))}
+        WHEN p.n = 2 AND m.x IS NOT NULL THEN {ymd(short, "m.x", "1")}
+        WHEN p.n = 2 AND m.y IS NOT NULL AND length({x}) = 4 THEN {ymd(number(x), "m.y", "1")} END"""
+    with_months = _let(f"named_struct('x', {month(x)}, 'y', {month(y)})", "w", _let(f"named_struct('x', CAST({whole('w.x')} AS INT), 'y', CAST({whole('w.y')} AS INT))", "m", words))
+    told = rf"""CASE
+        WHEN t RLIKE r'^\d+(?:[-/.]\d+){{0,2}}$' THEN {_let(parts("[-/.]", "t"), "p", numbers)}
+        WHEN t RLIKE r'^[\dA-Za-z]+(?:[-,/.\s]+[\dA-Za-z]+){{1,2}}$' THEN {_let(parts(r"[-,/.\s]+", r"regexp_replace(t, r'(?<=\d)(?i:st|nd|rd|th)\b', '')"), "p", with_months)} END"""
+    untimed = rf"""CASE WHEN contains(t, ':') OR endswith(t, 'Z') OR contains(t, 'T')
+        THEN btrim(regexp_replace(regexp_replace(regexp_replace(t, 'Z$', ''), r'(?<=\d)T.*$', ''), r'\s*\S*:\S*', ''), {white}) ELSE t END"""
+    return _let(untimed, "t", _let(told, "s", f"CASE WHEN {valid('s')} THEN make_date(s.y, s.m, s.d) END"))
 
 
 def date(c: Column, pivot_year: int = PIVOT_YEAR) -> Column:
@@ -83,55 +116,7 @@ def date(c: Column, pivot_year: int = PIVOT_YEAR) -> Column:
     this century up to pivot_year, other two-digit years are within 50 years of it.
     The text is cut into parts once; their number and lengths tell the form.
     """
-    near = lambda yy: F.when(yy + 2000 >= pivot_year + 50, yy + 1900).otherwise(yy + 2000)
-    recent = lambda yy: F.when(yy + 2000 > pivot_year, yy + 1900).otherwise(yy + 2000)
-    ymd = lambda y, m, d: F.struct(y.cast("int").alias("y"), m.cast("int").alias("m"), d.cast("int").alias("d"))
-    one, size = F.lit(1), F.length
-
-    def number(x: Column) -> Column:
-        return x.try_cast("int")
-
-    def valid(s: Column) -> Column:
-        leap = ((s["y"] % 4 == 0) & (s["y"] % 100 != 0)) | (s["y"] % 400 == 0)
-        days = F.when(s["m"] == 2, F.when(leap, 29).otherwise(28)).when(s["m"].isin(4, 6, 9, 11), 30).otherwise(31)
-        return s["y"].between(1, 9999) & s["m"].between(1, 12) & s["d"].between(1, days)
-
-    def numbers(t: Column, p: Column) -> Column:
-        x, y, z = (F.get(p, F.lit(i)) for i in range(3))
-        year = F.when(size(z) == 4, number(z)).otherwise(near(number(z)))
-        day_first = ymd(number(z), number(y), number(x))
-        month_first = F.when(number(x) > 12, ymd(year, number(y), number(x))).otherwise(ymd(year, number(x), number(y)))
-        three = F.when((size(x) == 4) & (size(y) <= 2) & (size(z) <= 2), ymd(number(x), number(y), number(z))).when(
-            (size(x) <= 2) & (size(y) <= 2) & size(z).isin(2, 4), F.when(F.regexp(t, F.lit(r"^\d{2}/\d{2}/\d{4}$")) & valid(day_first), day_first).otherwise(month_first)
-        )
-        part = lambda a, n: number(F.substring(x, a, n))
-        single = F.when(size(x) == 8, ymd(part(1, 4), part(5, 2), part(7, 2))).when(size(x) == 4, ymd(number(x), one, one))
-        return F.when(F.size(p) == 3, three).when((F.size(p) == 2) & (size(x) == 4) & (size(y) <= 2), ymd(number(x), number(y), one)).when(F.size(p) == 1, single)
-
-    def words(p: Column) -> Column:
-        x, y, z = (F.get(p, F.lit(i)) for i in range(3))
-
-        def with_months(m: Column) -> Column:
-            mx, my = F.get(m, F.lit(0)), F.get(m, F.lit(1))
-            long, day = F.when(size(z) == 4, number(z)).when(size(z) == 2, near(number(z))), lambda v: F.when(size(v) <= 2, number(v))
-            three = F.when(my.isNotNull() & (size(x) == 4), ymd(number(x), my, day(z))).when(my.isNotNull(), ymd(long, my, day(x))).when(mx.isNotNull(), ymd(long, mx, day(y)))
-            two = F.when(mx.isNotNull(), ymd(F.when(size(y) == 4, number(y)).when(size(y) == 2, recent(number(y))), mx, one)).when(my.isNotNull() & (size(x) == 4), ymd(number(x), my, one))
-            return F.when(F.size(p) == 3, three).when(F.size(p) == 2, two)
-
-        return _with(F.transform(F.slice(p, 1, 2), _month), with_months)
-
-    def untimed(t: Column) -> Column:
-        timed = F.contains(t, F.lit(":")) | F.endswith(t, F.lit("Z")) | F.contains(t, F.lit("T"))
-        return F.when(timed, trimmed(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "Z$", ""), r"(?<=\d)T.*$", ""), r"\s*\S*:\S*", ""))).otherwise(t)
-
-    def parsed(t: Column) -> Column:
-        plain = F.regexp(t, F.lit(r"^\d+(?:[-/.]\d+){0,2}$"))
-        worded = F.regexp(t, F.lit(r"^[\dA-Za-z]+(?:[-,/.\s]+[\dA-Za-z]+){1,2}$"))
-        bare = F.regexp_replace(t, r"(?<=\d)(?i:st|nd|rd|th)\b", "")
-        told = F.when(plain, _with(F.split(t, "[-/.]"), lambda p: numbers(t, p))).when(worded, _with(F.split(bare, r"[-,/.\s]+"), words))
-        return _with(told, lambda s: F.when(valid(s), F.make_date(s["y"], s["m"], s["d"])))
-
-    return _with(_with(trimmed(c), untimed), parsed)
+    return F.call_function("transform", F.array(trimmed(c)), F.expr(f"t -> {_date_sql(pivot_year)}"))[0]
 
 
 def normalise_key(c: Column) -> Column:
