@@ -67,6 +67,54 @@ def repeated_ids(df: DataFrame, id_col: str) -> DataFrame:
     return df.groupBy(id_col).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
+def value_counts_by_file(df: DataFrame, file_col: str) -> DataFrame:
+    """(file, column_name, value, n): how often each file has each value, null being `Missing`; counts are made before rows are dealt."""
+    columns = [c for c in df.columns if c != file_col]
+    named = df.select(F.col(file_col).alias("file"), *[F.coalesce(F.col(c).cast("string"), F.lit("Missing")).alias(c) for c in columns])
+    return named.unpivot(["file"], columns, "column_name", "value").groupBy("file", "column_name", "value").agg(F.count("*").alias("n"))
+
+
+def _shares(counts: DataFrame, most: int) -> DataFrame:
+    """(column_name, n_values, distribution, missing_share) of (column_name, value, n): the first few values by share, ties by value, as `a (66.67%), b (33.33%)`, and how many more there are."""
+    of = Window.partitionBy("column_name")
+    ranked = counts.withColumns({"total": F.sum("n").over(of), "n_values": F.count("*").over(of), "place": F.row_number().over(of.orderBy(F.desc("n"), "value"))})
+    share = F.col("n") / F.col("total")
+    text = F.concat("value", F.lit(" ("), F.format_number(share * 100, "0.00"), F.lit("%)"))
+    shown = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("place") <= most, F.struct("place", text.alias("text"))))), lambda x: x["text"]), ", ")
+    more = F.when(F.max("n_values") > most, F.concat(F.lit("... ("), (F.max("n_values") - most).cast("string"), F.lit(" more not shown)"))).otherwise("")
+    missing = F.coalesce(F.max(F.when(F.col("value") == "Missing", share)), F.lit(0.0))
+    return ranked.groupBy("column_name").agg(F.max("n_values").alias("n_values"), F.concat(shown, more).alias("distribution"), missing.alias("missing_share"))
+
+
+def constancy(df: DataFrame, file_col: str, consistency: float = 0.8, missing: float | None = 0.8, middle: float = 0.5, most: int = 5, never_missing: tuple[str, ...] = ()) -> DataFrame:
+    """(column_name, verdict, top_value, top_share, n_files, n_constant, missing_share, values, constants) of columns over all files.
+
+    A column is `constant` if one value is the only one in enough files (`Missing`
+    for none being a value), `missing` if it isn't but enough of all its values are
+    missing (unless it begins with one of never_missing, or missing is None), and
+    `middle` if its top share is at least middle; other columns have no verdict, and
+    those without any value are left out. values and constants tell the first few of
+    all values and of the files' only ones (`NonConstant` where there are several).
+
+    Rows become counts by file and value first; all else is on these.
+    """
+    counts = value_counts_by_file(df, file_col)
+    files = counts.groupBy("column_name", "file").agg(F.when(F.count("*") == 1, F.min("value")).otherwise("NonConstant").alias("value"))
+    constants = files.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    overall = _shares(counts.groupBy("column_name", "value").agg(F.sum("n").alias("n")), most).withColumnRenamed("distribution", "values")
+    told = constants.groupBy("column_name").agg(
+        F.sum("n").alias("n_files"), F.sum(F.when(F.col("value") != "NonConstant", F.col("n")).otherwise(0)).alias("n_constant"),
+        F.min(F.when(F.col("value") != "NonConstant", F.struct((-F.col("n")).alias("less"), F.col("value").alias("value")))).alias("top"),
+    )
+    out = told.join(overall, "column_name").join(_shares(constants, most).select("column_name", F.col("distribution").alias("constants")), "column_name")
+    share = F.coalesce(-F.col("top.less") / F.col("n_files"), F.lit(0.0))
+    spared = reduce(lambda a, b: a | b, [F.startswith("column_name", F.lit(p)) for p in never_missing], F.lit(False))
+    empty = F.lit(False) if missing is None else (F.col("missing_share") >= missing) & ~spared
+    verdict = F.when(share >= consistency, "constant").when(empty, "missing").when(share >= middle, "middle")
+    out = out.where(~((F.col("n_values") == 1) & (F.col("missing_share") == 1)))
+    return out.select("column_name", verdict.alias("verdict"), F.col("top.value").alias("top_value"), share.alias("top_share"), "n_files", "n_constant", "missing_share", "values", "constants")
+
+
 def globally_constant_columns(df: DataFrame, file_col: str, consistency: float = 0.8) -> DataFrame:
     """(column_name, value, share): columns that have one and the same value within most files. Nulls count as `Missing`; columns that are all missing don't."""
     columns = [c for c in df.columns if c != file_col]

@@ -3,6 +3,7 @@
 import difflib
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,11 +81,40 @@ def difference(before: str | None, after: str | None) -> str:
     return "\n".join(x for x in difflib.ndiff((before or "").splitlines(), (after or "").splitlines()) if x[:1] in "+-")
 
 
+def _by_arrow(f, kind: str):
+    """A function of two texts on Arrow batches, called once for each distinct pair of a batch."""
+
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        pairs = pd.Series(list(zip(a, b, strict=True)), dtype=object)
+        known = {p: f(*p) for p in set(pairs)}
+        return pairs.map(known)
+
+    return F.pandas_udf(run, kind)
+
+
 def sample_differences(df: DataFrame, column: str, out: str = "difference") -> DataFrame:
-    """df with the line differences between the first and the last of an array column's texts; null for fewer than two. For reports, so on as many rows as people read."""
-    diff = F.udf(lambda a, z: difference(a, z), "string")
+    """df with the line differences between the first and the last of an array column's texts; null for fewer than two. Texts go in Arrow batches; only rows with several texts are compared."""
     several = F.size(F.array_distinct(column)) > 1
-    return df.withColumn(out, F.when(several, diff(F.element_at(column, 1), F.element_at(column, -1))))
+    ends = [F.when(several, F.element_at(column, i)) for i in (1, -1)]
+    return df.withColumn(out, F.when(several, _by_arrow(difference, "string")(*ends)))
+
+
+def alike_names(pairs: DataFrame, alike: float) -> DataFrame:
+    """(a, b, similarity) of distinct pairs of names that are more alike than that, as difflib tells it.
+
+    An index of letters (each with which of its kind it is in the name) counts what
+    two names have in common, in any order: twice that over both lengths is a bound on
+    their likeness. Only pairs over the bound are compared exactly, on the executors.
+    """
+    pairs = pairs.select("a", "b").distinct()
+    letters = F.filter(F.split("name", ""), lambda x: x != "")
+    names = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
+    grams = names.select("name", F.char_length("name").alias("size"), F.explode(letters).alias("letter")).groupBy("name", "size", "letter").agg(F.count("*").alias("n"))
+    one = lambda side: grams.select(F.col("name").alias(side), F.col("size").alias(f"{side}_size"), "letter", F.col("n").alias(f"{side}_n"))
+    shared = pairs.join(one("a"), "a").join(one("b"), ["b", "letter"])
+    bound = shared.groupBy("a", "b").agg((2 * F.sum(F.least("a_n", "b_n")) / F.max(F.col("a_size") + F.col("b_size"))).alias("bound"))
+    ratio = _by_arrow(lambda a, b: difflib.SequenceMatcher(None, a, b).ratio(), "double")
+    return bound.where(F.col("bound") > alike).select("a", "b", ratio("a", "b").alias("similarity")).where(F.col("similarity") > alike)
 
 
 def drift(schemas: DataFrame, threshold: float = 0.8, alike: float = 0.5) -> DataFrame:
@@ -92,24 +122,25 @@ def drift(schemas: DataFrame, threshold: float = 0.8, alike: float = 0.5) -> Dat
 
     schemas: (category, file, column_name). A column is common to a category if
     enough of its files have it. `best` is the most alike column on the other side of
-    the same file, if alike enough and both or neither have a `%`. One row for each
-    column of each file, so it is decided on the driver.
+    the same file, if alike enough and both or neither have a `%`; the first by name
+    on ties.
     """
-    common: dict[str, set[str]] = {}
-    for r in profile.common_columns(schemas.distinct(), threshold).collect():
-        common.setdefault(r["category"], set()).add(r["column_name"])
-    files: dict[tuple[str, str], set[str]] = {}
-    for r in schemas.distinct().collect():
-        files.setdefault((r["category"], r["file"]), set()).add(r["column_name"])
-    rows = []
-    for (category, name), columns in sorted(files.items()):
-        missing, extra = common.get(category, set()) - columns, columns - common.get(category, set())
-        for kind, own, other in (("missing", missing, extra), ("extra", extra, missing)):
-            for c in sorted(own):
-                scored = [(difflib.SequenceMatcher(None, c, o).ratio(), o) for o in sorted(other) if ("%" in c) == ("%" in o)]
-                ratio, best = max(scored, default=(0.0, None), key=lambda x: x[0])
-                rows.append((category, name, c, kind, best if ratio > alike else None, ratio if ratio > alike else None))
-    return schemas.sparkSession.createDataFrame(rows, "category string, file string, column_name string, kind string, best string, similarity double")
+    schemas = schemas.select("category", "file", "column_name").distinct()
+    common = profile.common_columns(schemas, threshold).select("category", "column_name")
+    expected = schemas.select("category", "file").distinct().join(common, "category")
+    keys = ["category", "file", "column_name"]
+    missing = expected.join(schemas, keys, "left_anti").select(*keys)
+    extra = schemas.join(common, ["category", "column_name"], "left_anti").select(*keys)
+    sides = missing.withColumnRenamed("column_name", "m").join(extra.withColumnRenamed("column_name", "e"), ["category", "file"])
+    sides = sides.where(F.contains("m", F.lit("%")) == F.contains("e", F.lit("%")))
+    found = []
+    for kind, own, other, frame in (("missing", "m", "e", missing), ("extra", "e", "m", extra)):
+        # likeness isn't the same both ways: the name that is looked for comes first
+        pairs = sides.select("category", "file", F.col(own).alias("a"), F.col(other).alias("b"))
+        scored = pairs.join(alike_names(pairs, alike), ["a", "b"])
+        best = scored.groupBy("category", "file", F.col("a").alias("column_name")).agg(F.min(F.struct((-F.col("similarity")).alias("less"), F.col("b").alias("best"))).alias("x"))
+        found.append(frame.join(best, keys, "left").select(*keys, F.lit(kind).alias("kind"), F.col("x.best").alias("best"), (-F.col("x.less")).alias("similarity")))
+    return found[0].unionByName(found[1])
 
 
 def duplicate_files(frames: dict[str, DataFrame]) -> list[list[str]]:
