@@ -13,6 +13,7 @@ DEFAULTS: dict = {
     "paths": {"root": "data", "raw": {"base": "root", "path": "raw"}, "clean": {"base": "root", "path": "clean"}, "merged": {"base": "root", "path": "merged"}, "features": {"base": "root", "path": "features"}},
     "dataset": {"name": "longitudinal.parquet", "year_range": None},
     "clean": {"drop_duplicates": True, "null_threshold": None},
+    "profiles": {"sample": {"dataset": {"name": "sample.parquet"}}, "real": {"dataset": {"name": "longitudinal.parquet"}}},
 }
 
 
@@ -73,12 +74,14 @@ def from_environment(environ: dict[str, str], defaults: dict | None = None) -> d
 @dataclass
 class Config:
     values: dict = field(default_factory=lambda: copy.deepcopy(DEFAULTS))
+    #: The user's file that the values were read from, if any.
+    source: str | None = None
 
     @classmethod
     def load(cls, path: str | Path | None = None, environ: dict[str, str] | None = None, **arguments) -> "Config":
         values = merged(DEFAULTS, parse(path) if path else {})
         values = merged(values, from_environment(dict(os.environ) if environ is None else environ, values))
-        return cls(merged(values, arguments)).checked()
+        return cls(merged(values, arguments), str(path) if path else None).checked()
 
     def checked(self) -> "Config":
         if not str(self.values["dataset"]["name"]).endswith(".parquet"):
@@ -100,8 +103,25 @@ class Config:
         name = f"{years[0]}-{years[1]}.parquet" if years else self.values["dataset"]["name"]
         return f"{self.path(folder)}/{name}"
 
+    def profile(self, name: str) -> dict:
+        """The settings of a named profile; changing them changes nothing here."""
+        if name not in self.values["profiles"]:
+            raise KeyError(f"no such profile: {name}")
+        return copy.deepcopy(self.values["profiles"][name])
+
+    def with_profile(self, name: str) -> "Config":
+        """With a profile's settings over the others."""
+        return self.updated(**self.profile(name))
+
     def updated(self, **changes) -> "Config":
-        return Config(merged(self.values, changes)).checked()
+        return Config(merged(self.values, changes), self.source).checked()
 
-    def save(self, path: str | Path) -> None:
+    def save(self, path: str | Path) -> "Config":
         Path(path).write_text(json.dumps(self.values, indent=2), encoding="utf-8")
+        return Config(self.values, str(path))
+
+    def reset(self, environ: dict[str, str] | None = None) -> "Config":
+        """The defaults; the user's file that was read or saved goes. The environment still counts: it is not the user's settings."""
+        if self.source:
+            Path(self.source).unlink(missing_ok=True)
+        return Config.load(None, environ)

@@ -1,6 +1,5 @@
 """Aggregations: collapsing, typed duplicates, conflicts, coverage, pivots, equivalent columns and row merging."""
 
-import difflib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +8,7 @@ from pyspark.sql.window import Window
 
 from annalist.functions.coerce import trimmed
 from annalist.operators.frames import unpivot
+from annalist.sources.store import Store
 
 
 def collapse(df: DataFrame, keys: list[str], columns: list[str], out: str) -> DataFrame:
@@ -101,21 +101,59 @@ def merge_equivalent(df: DataFrame, groups: dict[str, list[str]]) -> tuple[DataF
     return df.withColumns({n: F.coalesce(*cs) for n, cs in groups.items() if n not in bad}), bad
 
 
-def similar(a: str, b: str) -> float:
-    return difflib.SequenceMatcher(None, a, b).ratio()
+#: Columns of one number of a pattern, and pairs that are compared in one pass.
+_WORD = 62
+COMPARED = 400
+
+
+def null_patterns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(pattern, n): which columns rows have values in, as bits, and how many rows each such pattern has; one aggregate, in which few patterns stand for many rows."""
+    words = [columns[i : i + _WORD] for i in range(0, len(columns), _WORD)]
+    bits = [sum((F.shiftleft(F.col(c).isNotNull().cast("long"), i) for i, c in enumerate(w[1:], 1)), F.col(w[0]).isNotNull().cast("long")) for w in words]
+    return df.select(F.array(*bits).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
+
+
+def value_bitmaps(patterns: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, bucket, bitmap, n): in which patterns a column has values, in bitmaps, and in how many rows."""
+    numbered = patterns.withColumn("at", F.monotonically_increasing_id())
+    has = F.filter(F.array(*[F.struct(F.lit(c).alias("c"), F.getbit(F.get("pattern", F.lit(i // _WORD)), F.lit(i % _WORD)).alias("has")) for i, c in enumerate(columns)]), lambda x: x["has"] == 1)
+    each = numbered.select("at", "n", F.explode(has).alias("x")).select("at", "n", F.col("x.c").alias("column_name"))
+    return each.groupBy("column_name", F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"), F.sum("n").alias("n"))
 
 
 def complementary_pairs(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
-    """(from_col, to_col): columns of alike names and one type that never differ where both have a value; from the emptier to the fuller, on ties by name. Names are compared first, then all pairs in one aggregate."""
-    kinds = dict(df.dtypes)
-    names = sorted(columns)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if kinds[a] == kinds[b] and similar(a, b) >= threshold]
+    """(from_col, to_col): columns of alike names and one type that never differ where both have a value; from the emptier to the fuller, on ties by name.
+
+    Names are compared first. Bitmaps of the patterns in which columns have values
+    then tell which pairs ever have values together: others can't differ, and no value
+    of theirs is looked at. The rest is compared by value, many pairs in one pass.
+    """
+    from annalist.operators.schemas import alike_names
+
+    spark, kinds, names = df.sparkSession, dict(df.dtypes), sorted(columns)
     schema = "from_col string, to_col string"
-    if not pairs:
-        return df.sparkSession.createDataFrame([], schema)
-    told = df.agg(*[F.count(c).alias(f"n_{c}") for c in names], *[F.coalesce(F.max(F.col(a) != F.col(b)), F.lit(False)).alias(f"d_{i}") for i, (a, b) in enumerate(pairs)]).first()
-    rows = [(a, b) if told[f"n_{a}"] <= told[f"n_{b}"] else (b, a) for i, (a, b) in enumerate(pairs) if not told[f"d_{i}"]]
-    return df.sparkSession.createDataFrame(rows, schema)
+    if len(names) < 2:
+        return spark.createDataFrame([], schema)
+    named = spark.createDataFrame([(c, kinds[c]) for c in names], "name string, kind string")
+    both = named.select(F.col("name").alias("a"), "kind").join(named.select(F.col("name").alias("b"), "kind"), "kind").where("a < b")
+    alike = alike_names(both, threshold, strict=False)
+    store = Store.scratch(spark)
+    patterns = store.write("patterns", null_patterns(df, names)).read(spark)  # their numbers hold only for what is written
+    bitmaps = store.write("bitmaps", value_bitmaps(patterns, names)).read(spark)
+    counts = bitmaps.groupBy("column_name").agg(F.sum("n").alias("n"))
+    sides = alike.select("a", "b", F.explode(F.array("a", "b")).alias("column_name")).join(bitmaps, "column_name")
+    # in a bucket that only one of the two has there is nothing in common
+    shared = sides.groupBy("a", "b", "bucket").agg(F.count("*").alias("m"), F.bitmap_count(F.bitmap_and_agg("bitmap")).alias("k")).groupBy("a", "b").agg(F.max((F.col("m") == 2) & (F.col("k") > 0)).alias("meet"))
+    of = lambda side: counts.select(F.col("column_name").alias(side), F.col("n").alias(f"n_{side}"))
+    told = alike.join(shared, ["a", "b"], "left").join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("meet", F.lit(False)).alias("meet"), F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"))
+    pairs = sorted(told.collect(), key=lambda r: (r["a"], r["b"]))  # pairs of columns with alike names
+    differ, meet = set(), [(r["a"], r["b"]) for r in pairs if r["meet"]]
+    for start in range(0, len(meet), COMPARED):
+        some = meet[start : start + COMPARED]
+        row = df.agg(*[F.coalesce(F.max(F.col(a) != F.col(b)), F.lit(False)).alias(f"d{i}") for i, (a, b) in enumerate(some)]).first()
+        differ |= {p for i, p in enumerate(some) if row[f"d{i}"]}
+    rows = [(r["a"], r["b"]) if r["n_a"] <= r["n_b"] else (r["b"], r["a"]) for r in pairs if (r["a"], r["b"]) not in differ]
+    return spark.createDataFrame(rows, schema)
 
 
 def apply_column_map(df: DataFrame, mapping: dict[str, str], drop: bool = True) -> DataFrame:

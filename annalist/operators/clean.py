@@ -79,7 +79,7 @@ def _shares(counts: DataFrame, most: int) -> DataFrame:
     of = Window.partitionBy("column_name")
     ranked = counts.withColumns({"total": F.sum("n").over(of), "n_values": F.count("*").over(of), "place": F.row_number().over(of.orderBy(F.desc("n"), "value"))})
     share = F.col("n") / F.col("total")
-    text = F.concat("value", F.lit(" ("), F.format_number(share * 100, "0.00"), F.lit("%)"))
+    text = F.concat("value", F.format_string(" (%.2f%%)", share * 100))
     shown = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("place") <= most, F.struct("place", text.alias("text"))))), lambda x: x["text"]), ", ")
     more = F.when(F.max("n_values") > most, F.concat(F.lit("... ("), (F.max("n_values") - most).cast("string"), F.lit(" more not shown)"))).otherwise("")
     missing = F.coalesce(F.max(F.when(F.col("value") == "Missing", share)), F.lit(0.0))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from annalist.functions.classify import SCHOOL_TYPES, classify
 from annalist.functions.coerce import trimmed
-from annalist.operators.aggregate import collapse, curated_value
+from annalist.operators.aggregate import curated_value
 from annalist.operators.clean import substantive
 from annalist.operators.frames import first_per_group, unpivot
 from annalist.operators.history import cumulative, state_changes
-from annalist.operators.joins import null_safe_join, outer_coalesce
+from annalist.operators.joins import null_safe_join
 
 # Texts that say nothing about an ethnicity, and about a language.
 ETHNICITY_FILLERS = ["refused", "unknown", "not obtained", "not known", "information not yet obtained", "missing", "refu", "nobt"]
@@ -120,9 +120,10 @@ def split_fixed(c: Column, at: int) -> tuple[Column, Column]:
 
 
 def set_histories(df: DataFrame, id_col: str, time: str, attributes: dict[str, list[str]], prefix: str, threshold: int = 2) -> DataFrame:
-    """Per id and time: each attribute's set of values (of its columns), its history, and whether enough of the attributes changed."""
-    frames = [collapse(df, [id_col, time], columns, name) for name, columns in attributes.items()]
-    out = outer_coalesce(frames, [id_col, time])
+    """Per id and time with any value: each attribute's set of values (of its columns; trimmed, sorted, null if there are none), its history, and whether enough of the attributes changed. One aggregate makes all sets; on a table stored by id, no exchange is needed."""
+    sets = {name: F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.array(*[trimmed(F.col(c)) for c in columns]), lambda v: v.isNotNull() & (v != "")))))) for name, columns in attributes.items()}
+    out = df.groupBy(id_col, time).agg(*[v.alias(n) for n, v in sets.items()])
+    out = out.select(id_col, time, *[F.when(F.size(n) > 0, F.col(n)).alias(n) for n in sets]).dropna("all", subset=list(sets))
     for name in attributes:
         out = cumulative(out, id_col, [time], name, f"{prefix}{name}_")
     return state_changes(out, id_col, [time], list(attributes), prefix, threshold)

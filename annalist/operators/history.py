@@ -29,11 +29,11 @@ def cumulative(df: DataFrame, id_col: str, order: list[str], list_col: str, pref
     """
     rows = df.select(F.col(id_col).alias("_seg"), F.struct(*df.columns).alias("_row"), clean_list(F.col(list_col)).alias("_own"))
     rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy("_seg").orderBy(*[F.col("_row")[c] for c in order])))
-    return running(values_of(rows), df.columns, prefix)
+    return running(values_of(rows), df.columns, prefix, id_col=id_col)
 
 
-def running(each: DataFrame, columns: list[str], prefix: str, counts: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
-    """The histories of rows (a row for each value), by segments `_seg`. counts (_seg, _v, _w) and starts (_seg, _top, _best, _set) are what segments start from, if not from nothing."""
+def running(each: DataFrame, columns: list[str], prefix: str, counts: DataFrame | None = None, starts: DataFrame | None = None, id_col: str | None = None) -> DataFrame:
+    """The histories of rows (a row for each value), by segments `_seg`. counts (_seg, _v, _w) and starts (_seg, _top, _best, _set) are what segments start from, if not from nothing. With id_col, segments are ids, and stay what the result is dealt by."""
     h, n, main, main_n = (f"{prefix}{s}" for s in ("hist", "n_uniq", "main", "main_n"))
     before, known = F.lit(-1).cast("long"), F.col("_v").isNotNull()
     if counts is None:
@@ -63,7 +63,7 @@ def running(each: DataFrame, columns: list[str], prefix: str, counts: DataFrame
         main_n: F.when(some, F.when(tie, F.col("_first_n")).otherwise(F.col("_top.n")).cast("bigint")),
     }
     run = run if counts is None else run.where(F.col("_place") >= 0)
-    return run.select(*[F.col("_row")[c].alias(c) for c in columns if c not in out], *[v.alias(k) for k, v in out.items()])
+    return run.select(*[(F.col("_seg") if c == id_col else F.col("_row")[c]).alias(c) for c in columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
 def between_change(column: str, w) -> Column:

@@ -99,8 +99,8 @@ def sample_differences(df: DataFrame, column: str, out: str = "difference") -> D
     return df.withColumn(out, F.when(several, _by_arrow(difference, "string")(*ends)))
 
 
-def alike_names(pairs: DataFrame, alike: float) -> DataFrame:
-    """(a, b, similarity) of distinct pairs of names that are more alike than that, as difflib tells it.
+def alike_names(pairs: DataFrame, alike: float, strict: bool = True) -> DataFrame:
+    """(a, b, similarity) of distinct pairs of names that are more alike than that (or as alike), as difflib tells it.
 
     An index of letters (each with which of its kind it is in the name) counts what
     two names have in common, in any order: twice that over both lengths is a bound on
@@ -114,7 +114,8 @@ def alike_names(pairs: DataFrame, alike: float) -> DataFrame:
     shared = pairs.join(one("a"), "a").join(one("b"), ["b", "letter"])
     bound = shared.groupBy("a", "b").agg((2 * F.sum(F.least("a_n", "b_n")) / F.max(F.col("a_size") + F.col("b_size"))).alias("bound"))
     ratio = _by_arrow(lambda a, b: difflib.SequenceMatcher(None, a, b).ratio(), "double")
-    return bound.where(F.col("bound") > alike).select("a", "b", ratio("a", "b").alias("similarity")).where(F.col("similarity") > alike)
+    over = lambda c: F.col(c) > alike if strict else F.col(c) >= alike
+    return bound.where(over("bound")).select("a", "b", ratio("a", "b").alias("similarity")).where(over("similarity"))
 
 
 def drift(schemas: DataFrame, threshold: float = 0.8, alike: float = 0.5) -> DataFrame:

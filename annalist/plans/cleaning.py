@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from annalist.operators import clean, derive, merging, profile
+from annalist.operators import clean, derive, merging, profile, profiles
 from annalist.operators.joins import lost_rows
 from annalist.plans.registry import query
 from annalist.plans.tables import big, r4, table
@@ -104,6 +104,28 @@ def globally_constant_columns(spark, d):
     return clean.globally_constant_columns(df, "c_nationkey").withColumn("share", r4("share"))
 
 
+_FILES = "(SELECT c_nationkey AS f, CASE WHEN c_nationkey % 7 = 3 THEN c_mktsegment ELSE 'most' END AS constant, CASE WHEN c_nationkey % 5 < 3 THEN 'half' ELSE c_mktsegment END AS middle, CASE WHEN c_custkey % 10 = 0 THEN c_mktsegment END AS sparse, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS none FROM customer)"
+
+
+@query(f"""
+WITH u AS (UNPIVOT (SELECT f, coalesce(constant, 'Missing') AS constant, coalesce(middle, 'Missing') AS middle, coalesce(sparse, 'Missing') AS sparse, coalesce(segment, 'Missing') AS segment, coalesce(none, 'Missing') AS none FROM {_FILES}) ON constant, middle, sparse, segment, none INTO NAME column_name VALUE value),
+k AS (SELECT column_name, f, CASE WHEN count(DISTINCT value) = 1 THEN min(value) ELSE 'NonConstant' END AS value FROM u GROUP BY ALL),
+c AS (SELECT column_name, value, count(*) AS n FROM k GROUP BY ALL), a AS (SELECT column_name, value, count(*) AS n FROM u GROUP BY ALL),
+d AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS r, sum(n) OVER (PARTITION BY column_name) AS t, count(*) OVER (PARTITION BY column_name) AS m FROM a),
+v AS (SELECT column_name, string_agg(value || ' (' || printf('%.2f', 100 * n / t) || '%)', ', ' ORDER BY r) FILTER (r <= 3) || CASE WHEN max(m) > 3 THEN '... (' || (max(m) - 3) || ' more not shown)' ELSE '' END AS "values", coalesce(max(CASE WHEN value = 'Missing' THEN n / t END), 0) AS missing_share, max(m) AS m FROM d GROUP BY 1),
+t AS (SELECT column_name, CAST(sum(n) AS BIGINT) AS n_files, CAST(sum(CASE WHEN value <> 'NonConstant' THEN n ELSE 0 END) AS BIGINT) AS n_constant, arg_min(value, (-n, value)) FILTER (value <> 'NonConstant') AS top_value, coalesce(max(n) FILTER (value <> 'NonConstant'), 0) / sum(n) AS top_share FROM c GROUP BY 1)
+SELECT t.column_name, CASE WHEN top_share >= 0.8 THEN 'constant' WHEN missing_share >= 0.8 THEN 'missing' WHEN top_share >= 0.5 THEN 'middle' END AS verdict, top_value, CAST(round(top_share, 4) AS DOUBLE) AS top_share, n_files, n_constant, CAST(round(missing_share, 4) AS DOUBLE) AS missing_share, "values"
+FROM t JOIN v ON t.column_name = v.column_name WHERE NOT (v.m = 1 AND missing_share = 1)
+""")
+def constancy_over_files(spark, d):
+    f, s = F.col("c_nationkey"), F.col("c_mktsegment")
+    df = table(spark, d, "customer").select(
+        f.alias("f"), F.when(f % 7 == 3, s).otherwise("most").alias("constant"), F.when(f % 5 < 3, "half").otherwise(s).alias("middle"),
+        F.when(F.col("c_custkey") % 10 == 0, s).alias("sparse"), s.alias("segment"), F.lit(None).cast("string").alias("none"),
+    )
+    return clean.constancy(df, "f", most=3).drop("constants").withColumns({"top_share": r4("top_share"), "missing_share": r4("missing_share")})
+
+
 @query("SELECT p_partkey, replace(p_name, ' ', ' and ') AS p_name FROM part")
 def replace_ampersand(spark, d):
     return clean.replace_ampersand(table(spark, d, "part").select("p_partkey", F.regexp_replace("p_name", " ", " & ").alias("p_name")))
@@ -125,7 +147,12 @@ def recode_values(spark, d):
     return table(spark, d, "orders").select(_KEY, clean.recode(F.col("o_orderstatus"), {"O": "open", "P": None}).alias("status"))
 
 
-@query("SELECT 'a' AS kept, unnest(['c', 'd']) AS dropped")
+@query("""
+WITH t AS (SELECT o_orderstatus AS a, o_orderpriority AS b, o_orderstatus AS c, concat(o_orderstatus, '') AS d FROM orders), v AS (SELECT * FROM (VALUES ('a', 1), ('b', 2), ('c', 3), ('d', 4)) AS v(name, place)),
+s AS (SELECT x.name AS kept, y.name AS dropped, x.place FROM v x JOIN v y ON x.place < y.place WHERE NOT EXISTS (
+  SELECT 1 FROM t WHERE CASE x.name WHEN 'a' THEN a WHEN 'b' THEN b WHEN 'c' THEN c ELSE d END IS DISTINCT FROM CASE y.name WHEN 'a' THEN a WHEN 'b' THEN b WHEN 'c' THEN c ELSE d END))
+SELECT kept, dropped FROM s WHERE kept NOT IN (SELECT dropped FROM s)
+""")
 def identical_columns(spark, d):
     s = F.col("o_orderstatus")
     return clean.identical_columns(table(spark, d, "orders").select(_KEY, s.alias("a"), F.col("o_orderpriority").alias("b"), s.alias("c"), F.concat(s, F.lit("")).alias("d")), [_KEY])
@@ -242,6 +269,31 @@ def profile_numeric_summary(spark, d):
     return profile.numeric_summary(table(spark, d, "orders"), ["o_totalprice", "o_custkey"]).withColumn("mean", F.round("mean", 2))
 
 
+_MOMENTS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query(" UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(x) AS n, count(*) - count(x) AS n_missing, count(CASE WHEN x = 0 THEN 1 END) AS n_zero, CAST(round(avg(x), 4) AS DOUBLE) AS mean, CAST(round(stddev_samp(x), 4) AS DOUBLE) AS stddev,
+       CAST(round((avg(x * x * x) - 3 * avg(x) * avg(x * x) + 2 * avg(x) ** 3) / (avg(x * x) - avg(x) ** 2) ** 1.5, 4) AS DOUBLE) AS skewness, min(x) AS lo, max(x) AS hi
+FROM (SELECT CASE WHEN l_orderkey % 9 <> 0 THEN CAST({c} AS DOUBLE) END AS x FROM lineitem)""" for c in _MOMENTS))
+def profile_full(spark, d):
+    li = table(spark, d, "lineitem").select(*[F.when(F.col("l_orderkey") % 9 != 0, F.col(c)).alias(c) for c in _MOMENTS])
+    return profiles.profile(li, _MOMENTS).select("column_name", "n", "n_missing", "n_zero", r4("mean").alias("mean"), r4("stddev").alias("stddev"), r4("skewness").alias("skewness"), "lo", "hi")
+
+
+@query("""
+WITH t AS (SELECT CASE WHEN l_orderkey % 9 <> 0 THEN CAST(l_quantity AS DOUBLE) END AS q, CASE WHEN l_orderkey % 5 <> 0 THEN CAST(l_extendedprice AS DOUBLE) END AS p, CASE WHEN l_orderkey % 45 <> 0 THEN CAST(l_discount AS DOUBLE) END AS s FROM lineitem),
+f AS (SELECT *, CASE WHEN q IS NULL THEN 1.0 ELSE 0.0 END AS nq, CASE WHEN p IS NULL THEN 1.0 ELSE 0.0 END AS np, CASE WHEN s IS NULL THEN 1.0 ELSE 0.0 END AS ns FROM t)
+SELECT 'q' AS a, 'p' AS b, count(CASE WHEN q IS NOT NULL AND p IS NOT NULL THEN 1 END) AS n_both, CAST(round(corr(q, p), 4) AS DOUBLE) AS correlation, CAST(round(corr(nq, np), 4) AS DOUBLE) AS null_correlation FROM f
+UNION ALL SELECT 'q', 's', count(CASE WHEN q IS NOT NULL AND s IS NOT NULL THEN 1 END), CAST(round(corr(q, s), 4) AS DOUBLE), CAST(round(corr(nq, ns), 4) AS DOUBLE) FROM f
+UNION ALL SELECT 'p', 's', count(CASE WHEN p IS NOT NULL AND s IS NOT NULL THEN 1 END), CAST(round(corr(p, s), 4) AS DOUBLE), CAST(round(corr(np, ns), 4) AS DOUBLE) FROM f
+""")
+def profile_correlations(spark, d):
+    k = F.col("l_orderkey")
+    li = table(spark, d, "lineitem").select(F.when(k % 9 != 0, F.col("l_quantity")).alias("q"), F.when(k % 5 != 0, F.col("l_extendedprice")).alias("p"), F.when(k % 45 != 0, F.col("l_discount")).alias("s"))
+    return profiles.correlations(li, ["q", "p", "s"]).withColumns({"correlation": r4("correlation"), "null_correlation": r4("null_correlation")})
+
+
 @query("""
 WITH c AS (SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY ALL UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY ALL)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS place FROM c) WHERE place <= 3

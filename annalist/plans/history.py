@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from annalist.operators import derive, history, resolve
+from annalist.operators import derive, history, resolve, scans
 from annalist.operators.frames import first_per_group
 from annalist.plans.registry import query
 from annalist.plans.tables import LINE_ORDER, LINE_SQL, big, r4, table
@@ -52,6 +52,43 @@ def cum_main_count(spark, d):
     return _cum(spark, d).select("user_id", "day", F.col("x_main_n").alias("main_n"))
 
 
+#: Events of which half belong to one entity, in their order.
+_LONG = "(SELECT CASE WHEN user_id % 2 = 0 THEN -1 ELSE user_id END AS entity, event_id, event_type AS v, row_number() OVER (PARTITION BY CASE WHEN user_id % 2 = 0 THEN -1 ELSE user_id END ORDER BY event_id) AS place FROM events)"
+
+
+def _long(spark, d):
+    e = table(spark, d, "events").select(F.when(F.col("user_id") % 2 == 0, -1).otherwise(F.col("user_id")).alias("entity"), "event_id", F.array("event_type").alias("vals"))
+    return e, max(1000, e.count() // 20)
+
+
+@query(f"""
+WITH e AS {_LONG}, t AS (SELECT DISTINCT v FROM e), n AS (SELECT e.entity, e.event_id, e.v AS own, t.v, sum(CASE WHEN e.v = t.v THEN 1 ELSE 0 END) OVER (PARTITION BY e.entity, t.v ORDER BY e.place) AS n FROM e CROSS JOIN t),
+k AS (SELECT *, max(n) OVER (PARTITION BY event_id) AS top FROM n WHERE n > 0)
+SELECT entity, event_id, string_agg(v, '|' ORDER BY v) AS hist, count(*) AS n_uniq, CASE WHEN count(CASE WHEN n = top THEN 1 END) > 1 THEN min(own) ELSE min(CASE WHEN n = top THEN v END) END AS main,
+       CAST(CASE WHEN count(CASE WHEN n = top THEN 1 END) > 1 THEN max(CASE WHEN v = own THEN n END) ELSE max(top) END AS BIGINT) AS main_n FROM k GROUP BY entity, event_id
+""")
+def cum_of_a_long_entity(spark, d):
+    e, rows = _long(spark, d)
+    out = scans.cumulative(e, "entity", ["event_id"], "vals", "x_", rows)
+    return out.select("entity", "event_id", F.array_join("x_hist", "|").alias("hist"), F.col("x_n_uniq").alias("n_uniq"), F.col("x_main").alias("main"), F.col("x_main_n").alias("main_n"))
+
+
+@query(f"""
+WITH e AS {_LONG}, c AS (SELECT entity, event_id, place, CAST(CASE WHEN v <> lag(v) OVER (PARTITION BY entity ORDER BY place) THEN 1 ELSE 0 END AS BIGINT) AS changed FROM e)
+SELECT entity, event_id, changed, CAST(sum(changed) OVER (PARTITION BY entity ORDER BY place) AS BIGINT) AS n_chg FROM c
+""")
+def changes_of_a_long_entity(spark, d):
+    e, rows = _long(spark, d)
+    return scans.state_changes(e, "entity", ["event_id"], ["vals"], "s_", 1, rows).select("entity", "event_id", F.col("s_changed").alias("changed"), F.col("s_n_chg").alias("n_chg"))
+
+
+@query(f"SELECT entity, event_id, arg_min(x, place) OVER (PARTITION BY entity ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN v END AS x FROM {_LONG})")
+def backfill_of_a_long_entity(spark, d):
+    e, rows = _long(spark, d)
+    e = e.select("entity", "event_id", F.when(F.col("event_id") % 7 == 0, F.col("vals")[0]).alias("v"))
+    return scans.first_known(e, "entity", ["event_id"], ["v"], rows)
+
+
 #: Per user and day: whether a value is new against the day before (in rows), and how many there are, for all and for big-value events.
 _STATE = f"""
 WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, event_type AS v FROM events), h AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, event_type AS v FROM events WHERE event_id % 3 = 0),

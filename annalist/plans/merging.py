@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from annalist.operators import derive, guards, joins, merging, profile, schemas
+from annalist.operators import derive, guards, joins, merging, profile, references, schemas
 from annalist.plans.registry import query
 from annalist.plans.tables import big, table
 
@@ -133,6 +133,61 @@ def derived_features(spark, d):
     return out.select("c_custkey", *[f"der_ethnicity_{x}" for x in ("ext_cat", "main_cat", "n_values", "has_conflict", "curated")])
 
 
+_SCHOOLS = "(SELECT CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS urn, max(o_totalprice) AS top, count(*) AS n FROM orders WHERE o_orderstatus = '{}' GROUP BY 1)"
+
+
+@query(f"""
+WITH f AS {_SCHOOLS.format("F")}, o AS {_SCHOOLS.format("O")}, c AS (SELECT c_custkey AS urn, c_mktsegment AS seg FROM customer)
+SELECT CAST(k.urn AS DOUBLE) AS urn, coalesce(f.top, o.top) AS top, f.n AS n_f, o.n AS n_o, c.seg, '2018' AS acad_end_year FROM (SELECT urn FROM f UNION SELECT urn FROM o UNION SELECT urn FROM c) k
+LEFT JOIN f ON f.urn = k.urn LEFT JOIN o ON o.urn = k.urn LEFT JOIN c ON c.urn = k.urn WHERE k.urn IS NOT NULL
+""")
+def school_table_of_a_year(spark, d):
+    o, k = table(spark, d, "orders"), F.col("o_custkey")
+    one = lambda s, n: o.where(F.col("o_orderstatus") == s).groupBy(F.when(k % 10 != 0, k).alias("urn")).agg(F.max("o_totalprice").alias("top"), F.count("*").alias(n))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("urn"), F.col("c_mktsegment").alias("seg"))
+    return references.school_table({2018: [one("F", "n_f"), one("O", "n_o"), c]})
+
+
+@query("""
+SELECT c_custkey, s.score AS d_crime_score, s.decile AS d_imd_decile FROM customer LEFT JOIN (SELECT n_nationkey, n_regionkey FROM nation WHERE n_nationkey % 4 <> 3) a ON c_nationkey = n_nationkey
+LEFT JOIN (SELECT r_regionkey, length(r_name) AS score, r_regionkey + 1 AS decile FROM region) s ON a.n_regionkey = s.r_regionkey
+""")
+def deprivation_by_names(spark, d):
+    code = lambda c: F.concat(F.lit("ab"), F.col(c).cast("string"), F.lit(" 1cd"))
+    areas = table(spark, d, "nation").where("n_nationkey % 4 <> 3").select(F.upper(code("n_nationkey")).alias("pcds"), F.col("n_regionkey").alias("lsoa"))
+    r = F.col("r_regionkey")
+    scores = table(spark, d, "region").select(r.alias("code"), F.length("r_name").alias("Crime Score"), (r + 1).alias("IMD Decile"), r.alias("IDACI Score"), F.col("r_name").alias("note"))
+    df = table(spark, d, "customer").select("c_custkey", code("c_nationkey").alias("postcode"))
+    return references.with_deprivation(df, "postcode", areas, scores, "pcds", "lsoa", "code", "Decile", ["lsoa"], "d_").drop("postcode")
+
+
+@query("""
+WITH s AS (SELECT DISTINCT c_nationkey AS f, c_custkey % 9 AS x FROM customer), n AS (SELECT f, count(*) AS n FROM s GROUP BY f),
+p AS (SELECT a.f AS a, b.f AS b FROM s a JOIN s b ON a.x = b.x JOIN n m ON m.f = a.f JOIN n k ON k.f = b.f GROUP BY a.f, b.f, m.n, k.n HAVING count(*) / (m.n + k.n - count(*)) >= 0.7),
+r AS (WITH RECURSIVE g(a, b) AS (SELECT a, b FROM p UNION SELECT g.a, p.b FROM g JOIN p ON g.b = p.a) SELECT a, min(b) AS grp FROM g GROUP BY a)
+SELECT a AS file, grp AS first_file FROM r
+""")
+def column_set_groups(spark, d):
+    """Files (nations) by their sets of columns (customer numbers mod 9): a row a file, as schemas are."""
+    sets = {r["f"]: set(r["x"]) for r in table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("f")).agg(F.collect_set(F.col("c_custkey") % 9).alias("x")).orderBy("f").collect()}
+    files = list(sets)
+    rows = [(files[i], files[g[0]]) for g in merging.column_groups([sets[f] for f in files]) for i in g]
+    return spark.createDataFrame(rows, "file bigint, first_file bigint")
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS id, year(o_orderdate) AS t, max(o_orderstatus) AS g, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 'Refused' ELSE o_orderpriority END) AS l FROM orders GROUP BY ALL),
+g AS (SELECT id, count(DISTINCT g) AS n, CASE WHEN count(DISTINCT g) = 1 THEN min(g) END AS curated FROM o GROUP BY id)
+SELECT o.id, CAST(o.t AS BIGINT) AS t, g.n AS der_gender_n_values, g.n > 1 AS der_gender_has_conflict, g.curated AS der_gender_curated FROM o JOIN g ON o.id = g.id
+""")
+def derived_features_by_time(spark, d):
+    """All steps over time: gender, language and school histories of the same call; what SQL says in one line is compared."""
+    o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id"), F.year("o_orderdate").alias("t")).agg(F.max("o_orderstatus").alias("g"), F.max(F.when(F.col("o_orderpriority") == "1-URGENT", "Refused").otherwise(F.col("o_orderpriority"))).alias("l"))
+    steps = {"gender": {"column": "g"}, "language": {"column": "l"}, "school": {"attributes": {"status": ["g"]}, "threshold": 1}}
+    out, _ = derive.derive_features(o, "id", "t", steps)
+    return out.select("id", big("t").alias("t"), *[f"der_gender_{x}" for x in ("n_values", "has_conflict", "curated")])
+
+
 @query("""
 WITH s AS (SELECT DISTINCT o_orderstatus AS category, CAST(year(o_orderdate) AS VARCHAR) AS file, CASE WHEN year(o_orderdate) = 1998 AND o_orderpriority = '1-URGENT' THEN '1-urgently' ELSE o_orderpriority END AS column_name FROM orders),
 n AS (SELECT category, count(DISTINCT file) AS files FROM s GROUP BY 1), c AS (SELECT s.category, s.column_name FROM s JOIN n ON s.category = n.category GROUP BY ALL HAVING count(DISTINCT file) >= 0.8 * max(n.files)), f AS (SELECT DISTINCT category, file FROM s)
@@ -145,6 +200,14 @@ def schema_drift_per_file(spark, d):
     return schemas.drift(s).select("category", "file", "column_name", "kind")
 
 
+@query()
+def schema_drift_best_match(spark, d):
+    """Extra and missing columns with the most alike one on the other side (difflib's likeness has no SQL; tested against it)."""
+    y, p = F.year("o_orderdate"), F.col("o_orderpriority")
+    s = table(spark, d, "orders").select(F.col("o_orderstatus").alias("category"), y.cast("string").alias("file"), F.when((y == 1998) & (p == "1-URGENT"), "1-urgently").otherwise(p).alias("column_name")).distinct()
+    return schemas.drift(s)
+
+
 @query("""
 WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderstatus END AS status, o_orderpriority AS priority FROM orders)
 SELECT o_orderkey, status, priority, status IS NULL AS needs_review, o_orderkey % 4 = 0 OR o_orderkey % 6 = 1 OR (o_orderkey % 9 = 0) AS changed FROM o

@@ -363,10 +363,19 @@ def merge_equivalent_columns(spark, d):
     return aggregate.merge_equivalent(df, {"status": ["a_status", "b_status", "c_status"]})[0].select(_KEY, "status")
 
 
-@query("SELECT 'school_name_b' AS from_col, 'school_name_a' AS to_col")
+def _pair_sql(a, b):
+    """The pair, from the emptier to the fuller, if no row has two values that differ."""
+    fuller = f"(SELECT count({a}) <= count({b}) FROM t)"
+    return f"SELECT CASE WHEN {fuller} THEN '{a}' ELSE '{b}' END AS from_col, CASE WHEN {fuller} THEN '{b}' ELSE '{a}' END AS to_col WHERE NOT EXISTS (SELECT 1 FROM t WHERE {a} <> {b})"
+
+
+@query(f"""
+WITH t AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS school_name_a, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS school_name_b, o_orderstatus || 'x' AS school_name_c, CASE WHEN o_orderkey % 2 = 1 THEN 'odd' END AS school_name_e FROM orders)
+{" UNION ALL ".join(_pair_sql(f"school_name_{x}", f"school_name_{y}") for x, y in ("ab", "ac", "ae", "bc", "be", "ce"))}
+""")
 def complementary_pairs(spark, d):
     k, s = F.col(_KEY), F.col("o_orderstatus")
-    df = table(spark, d, "orders").select(F.when(k % 2 == 0, s).alias("school_name_a"), F.when(k % 3 == 0, s).alias("school_name_b"), F.concat(s, F.lit("x")).alias("school_name_c"), F.col("o_custkey").alias("school_name_d"))
+    df = table(spark, d, "orders").select(F.when(k % 2 == 0, s).alias("school_name_a"), F.when(k % 3 == 0, s).alias("school_name_b"), F.concat(s, F.lit("x")).alias("school_name_c"), F.col("o_custkey").alias("school_name_d"), F.when(k % 2 == 1, "odd").alias("school_name_e"))
     return aggregate.complementary_pairs(df, df.columns, 0.9)
 
 
