@@ -4,6 +4,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/annalist-{name}-{uuid.uuid4().hex}"
 
 
-#: For each open block of tables(), the paths that go when it ends, and those that are kept.
-_open: list[tuple[list[str], list[str]]] = []
+#: For each open block of tables(), the paths that go when it ends, and those that are kept; of one thread, as another's blocks are its own.
+_open: ContextVar[tuple[tuple[list[str], list[str]], ...]] = ContextVar("open", default=())
 
 
 def _at(spark: SparkSession, path: str):
@@ -54,21 +55,22 @@ def owned(spark: SparkSession, path: str, keep: bool = False) -> str:
     """path, a written folder that goes with the innermost block of tables(), or when the session's JVM ends."""
     at, fs = _at(spark, path)
     fs.deleteOnExit(at)
-    if _open:
-        _open[-1][keep].append(path)
+    if _open.get():
+        _open.get()[-1][keep].append(path)
     return path
 
 
 @contextmanager
 def tables(spark: SparkSession) -> Iterator[None]:
     """Tables that are cut within are removed when the block ends, but for those cut with keep, which then belong to the block around it."""
-    _open.append(([], []))
+    around, (gone, kept) = _open.get(), ([], [])
+    inside = _open.set((*around, (gone, kept)))
     try:
         yield
     finally:
-        gone, kept = _open.pop()
-        if _open:
-            _open[-1][0].extend(kept)
+        _open.reset(inside)
+        if around:
+            around[-1][0].extend(kept)
         for path in gone:
             drop_path(spark, path)
 

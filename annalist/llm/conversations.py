@@ -41,17 +41,23 @@ def normalised(body: Column) -> Column:
 
 def passages(lines: Column) -> Column:
     """(place, level, words) of each quoted passage: lines of one level that follow each other, line breaks and marks normalised away."""
-    start = lambda i: (i == 0) | (F.get(lines, i - 1)["level"] != F.get(lines, i)["level"])
-    places = F.sequence(F.lit(0), F.size(lines) - 1)
-    starts = F.filter(places, lambda i: (F.get(lines, i)["level"] > 0) & start(i))
 
-    def one(i: Column) -> Column:
-        rest = F.slice(lines, i + 1, F.size(lines))
-        other = F.filter(F.sequence(F.lit(0), F.size(rest) - 1), lambda k: F.get(rest, k)["level"] != F.get(rest, F.lit(0))["level"])
-        body = F.transform(F.slice(rest, F.lit(1), F.coalesce(F.array_min(other), F.size(rest))), lambda x: x["body"])
-        return F.struct(i.alias("place"), F.get(lines, i)["level"].alias("level"), _words(F.array_join(body, " ")).alias("words"))
+    def found(ls: Column) -> Column:
+        level = lambda i: F.get(ls, i)["level"]
+        edges = F.filter(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: (i == 0) | (level(i - 1) != level(i)))
 
-    return F.filter(F.transform(starts, one), lambda p: F.size(p["words"]) > 0)
+        def each(es: Column) -> Column:
+            # a passage ends where the next one begins
+            def one(k: Column) -> Column:
+                i = F.get(es, k)
+                body = F.transform(F.slice(ls, i + 1, F.coalesce(F.get(es, k + 1), F.size(ls)) - i), lambda x: x["body"])
+                return F.struct(i.alias("place"), level(i).alias("level"), F.when(level(i) > 0, _words(F.array_join(body, " "))).alias("words"))
+
+            return F.transform(F.sequence(F.lit(0), F.size(es) - 1), one)
+
+        return F.filter(let(edges, each), lambda p: F.size(p["words"]) > 0)
+
+    return let(lines, found)
 
 
 def _words(text: Column) -> Column:

@@ -1,6 +1,7 @@
 """Shared folders: where tables are cut to, and when they go."""
 
 import os
+import threading
 from types import SimpleNamespace
 
 import pytest
@@ -37,6 +38,26 @@ def test_tables_go_when_their_block_ends(spark):
     assert len({*os.listdir(folder(spark))} - before) == 1
 
 
+def test_blocks_of_threads_are_their_own(spark):
+    inside, done, found = threading.Event(), threading.Event(), []
+
+    def other():
+        with common.tables(spark):
+            df = common.cut(spark.range(7), "other")
+            inside.set()
+            done.wait(60)
+            found.append(df.count())
+
+    thread = threading.Thread(target=other)
+    with common.tables(spark):
+        thread.start()
+        inside.wait(60)
+        common.cut(spark.range(2), "mine")
+    done.set()
+    thread.join()
+    assert found == [7]
+
+
 def test_an_operator_leaves_what_its_result_reads(spark):
     before = {*os.listdir(folder(spark))}
     docs = spark.createDataFrame([(i, f"a b c d e f g h {i % 4}") for i in range(20)], "doc_id bigint, text string")
@@ -47,3 +68,22 @@ def test_an_operator_leaves_what_its_result_reads(spark):
 
 def test_unused_names(spark):
     assert common.unused(spark.createDataFrame([(1, 2)], "_Row int, x int"), "_row", "y") == ["__row", "y"]
+
+
+def test_passages_of_a_very_long_message(spark):
+    """A pasted archive of alternating lines: work grows with the lines, not with their square."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from annalist.llm import conversations
+
+    text = "\n".join(f"> quoted line {i} of it" if i % 2 else f"plain {i}" for i in range(20_000))
+    df = spark.createDataFrame([(text,)], "t string").select(conversations.passages(conversations.parse_lines(F.col("t"))).alias("p"))
+    began = time.time()
+    found = df.first()["p"]
+    assert time.time() - began < 30 and len(found) == 10_000
+    assert (found[0]["place"], found[0]["level"], found[0]["words"]) == (1, 1, ["quoted", "line", "1", "of", "it"]) and found[-1]["place"] == 19_999
+    nested = "a\n> b\n> c\n>> d\n> e\n\n>> f g"
+    got = spark.createDataFrame([(nested,), (None,), ("",)], "t string").select(conversations.passages(conversations.parse_lines(F.col("t"))).alias("p")).collect()
+    assert [(p["place"], p["level"], p["words"]) for p in got[0]["p"]] == [(1, 1, ["b", "c"]), (3, 2, ["d"]), (4, 1, ["e"]), (6, 2, ["f", "g"])] and got[1]["p"] == got[2]["p"] == []
