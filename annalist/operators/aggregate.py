@@ -1,5 +1,6 @@
 """Aggregations: collapsing, typed duplicates, conflicts, coverage, pivots, equivalent columns and row merging."""
 
+import difflib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -101,6 +102,10 @@ def merge_equivalent(df: DataFrame, groups: dict[str, list[str]]) -> tuple[DataF
     return df.withColumns({n: F.coalesce(*cs) for n, cs in groups.items() if n not in bad}), bad
 
 
+def similar(a: str, b: str) -> float:
+    return difflib.SequenceMatcher(None, a, b).ratio()
+
+
 #: Columns of one number of a pattern, and pairs that are compared in one pass.
 _WORD = 62
 COMPARED = 400

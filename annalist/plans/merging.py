@@ -75,11 +75,11 @@ def cohort_merge_end_to_end(spark, d):
 
 
 @query("""
-SELECT 'status' AS column_name, 'category' AS logical, count(CASE WHEN o_orderkey % 7 = 0 THEN 1 END) * 0 AS became_null, CAST(0 AS BIGINT) AS unreadable FROM orders
-UNION ALL SELECT 'price', 'numeric', count(CASE WHEN o_orderkey % 3 = 0 THEN 1 END), 0 FROM orders
+SELECT 'status' AS column_name, 'category' AS logical, count(CASE WHEN o_orderkey % 7 <> 0 AND trim(' ' || o_orderstatus) IN ('', 'nan', 'none', 'null', 'n/a') THEN 1 END) AS became_null, count(CASE WHEN o_orderkey % 7 <> 0 AND o_orderstatus IS NULL THEN 1 END) AS unreadable FROM orders
+UNION ALL SELECT 'price', 'numeric', count(CASE WHEN o_orderkey % 3 = 0 THEN 1 END), count(CASE WHEN o_orderkey % 3 <> 0 AND TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) IS NULL THEN 1 END) FROM orders
 UNION ALL SELECT 'day', 'datetime', count(CASE WHEN o_orderkey % 5 IN (3, 4) THEN 1 END), count(CASE WHEN o_orderkey % 5 = 3 THEN 1 END) FROM orders
 UNION ALL SELECT 'flag', 'boolean', count(CASE WHEN o_orderkey % 4 = 3 THEN 1 END), count(CASE WHEN o_orderkey % 4 = 3 THEN 1 END) FROM orders
-UNION ALL SELECT 'half', 'Int64', count(*) * 0, 0 FROM orders
+UNION ALL SELECT 'half', 'Int64', count(CASE WHEN o_orderkey / 2 IS NULL THEN 1 END), count(CASE WHEN TRY_CAST(CAST(o_orderkey / 2 AS VARCHAR) AS DOUBLE) IS NULL THEN 1 END) FROM orders
 """)
 def guarded_types(spark, d):
     k = F.col(_KEY)

@@ -147,7 +147,7 @@ def test_rows_fold_as_one_by_one(spark):
         out = []
         for i in sorted({d[0] for d in data if d[0]}):
             held = []
-            for row in sorted((d for d in data if d[0] == i), key=lambda d: [(v is not None, v or "") for v in (d[1], *d[2:])]):
+            for row in sorted((d for d in data if d[0] == i), key=lambda d: [(v is not None, "" if v is None else v) for v in d[1:]]):
                 for h in held:
                     if all(a is None or b is None or a == b for a, b in zip(h[2:], row[2:], strict=True)):
                         h[2:] = [b if a is None else a for a, b in zip(h[2:], row[2:], strict=True)]
