@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from annalist.operators import clean, derive, merging, profile, profiles
 from annalist.operators.joins import lost_rows
 from annalist.plans.registry import query
-from annalist.plans.tables import big, r4, table
+from annalist.plans.tables import r4, table
 from annalist.sources import manifest
 
 _L = ["l_orderkey", "l_linenumber"]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from annalist.operators import derive, history, resolve, scans
 from annalist.operators.frames import first_per_group
 from annalist.plans.registry import query
-from annalist.plans.tables import LINE_ORDER, LINE_SQL, big, r4, table
+from annalist.plans.tables import r4, table
 
 _L = ["l_orderkey", "l_linenumber"]
 _DAYS = "(SELECT user_id, CAST(ts AS DATE) AS day, event_type AS v FROM events)"
