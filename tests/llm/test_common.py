@@ -2,9 +2,11 @@
 
 import os
 import threading
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from annalist.llm import common, jaccard
 
@@ -87,3 +89,17 @@ def test_passages_of_a_very_long_message(spark):
     nested = "a\n> b\n> c\n>> d\n> e\n\n>> f g"
     got = spark.createDataFrame([(nested,), (None,), ("",)], "t string").select(conversations.passages(conversations.parse_lines(F.col("t"))).alias("p")).collect()
     assert [(p["place"], p["level"], p["words"]) for p in got[0]["p"]] == [(1, 1, ["b", "c"]), (3, 2, ["d"]), (4, 1, ["e"]), (6, 2, ["f", "g"])] and got[1]["p"] == got[2]["p"] == []
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    dirs = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    held = spark.range(50_000).groupBy((F.col("id") % 9_000).alias("k")).count()  # referred to all the time, as a lazy frame is
+    before, told = files(), spark.conf.get(common.FREED, None)
+    out = common.cut(held, "freed")
+    for _ in range(100):  # they are removed in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(common.FREED, None) == told
+    assert out.count() == common.cut(held, "again").count() == held.count() == 9_000
