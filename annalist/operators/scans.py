@@ -95,7 +95,8 @@ def first_known(df: DataFrame, id_col: str, order: list[str], columns: list[str]
     firsts = at.groupBy("_seg").agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_place"))).alias(c) for c in columns])
     after = _entity(back=False)
     ends = _carried(firsts, {c: F.first(c, ignorenulls=True).over(after) for c in columns})
-    within = Window.partitionBy("_seg").orderBy("_place").rowsBetween(0, Window.unboundedFollowing)
+    # from the last row on: a frame that ends at the row is kept up, one that begins there is gone through for each row
+    within = Window.partitionBy("_seg").orderBy(F.desc("_place")).rowsBetween(Window.unboundedPreceding, 0)
     out = _with(at, ends, _AFTER)
-    out = out.withColumns({f"_known_{c}": F.first(c, ignorenulls=True).over(within) for c in columns}).where(F.col("_place") < _AFTER)
+    out = out.withColumns({f"_known_{c}": F.last(c, ignorenulls=True).over(within) for c in columns}).where(F.col("_place") < _AFTER)
     return out.select(*[F.col(f"_known_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
