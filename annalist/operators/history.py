@@ -54,6 +54,8 @@ def running(each: DataFrame, columns: list[str], prefix: str, counts: DataFrame
         F.coalesce(F.first("_start_top"), F.max(F.when(known, F.struct(F.col("_n").cast("long").alias("n"), F.col("_k").cast("long").alias("k"))))).alias("_top"),
     )
     w = Window.partitionBy("_seg").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    # lists are collected of the rows that bring something new, or each row would cost as many empty ones as there are rows before it
+    each = each.withColumn("_new", F.when(F.size("_new") > 0, F.col("_new")))
     run = each.withColumns({"_all": F.flatten(F.collect_list("_new").over(w)), "_best": F.min("_best").over(w), "_top": F.max("_top").over(w)})
     some, tie = F.col("_size") > 0, (F.col("_top.k") > 1) & (F.col("_size") == 1)
     out = {

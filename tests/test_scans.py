@@ -1,6 +1,7 @@
 """Scans in two levels against those in one, on a table where one entity has half of all rows."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,3 +52,18 @@ def test_no_task_has_more_than_its_share(spark, table):
 def test_empty(spark, table):
     none = table.limit(0)
     assert scans.cumulative(none, "id", ["t"], "v", "c_").count() == scans.state_changes(none, "id", ["t"], ["v"], "s_").count() == scans.first_known(none, "id", ["t"], ["x"]).count() == 0
+
+
+def test_a_row_costs_no_more_in_a_longer_block(spark):
+    n = 24_000
+    one = spark.range(n).select(F.lit("a").alias("id"), F.col("id").cast("int").alias("t"), F.array(F.concat(F.lit("v"), F.col("id") % 5)).alias("v"), F.when(F.col("id") == n - 1, "x").alias("x"))
+
+    def seconds(make, rows):
+        began = time.time()
+        make(rows).write.format("noop").mode("overwrite").save()
+        return time.time() - began
+
+    for make in (lambda rows: scans.first_known(one, "id", ["t"], ["x"], rows), lambda rows: scans.cumulative(one, "id", ["t"], "v", "c_", rows)):
+        make(1000).count()  # code is compiled
+        assert seconds(make, n) < 2 * seconds(make, 1000) + 1
+    assert scans.first_known(one, "id", ["t"], ["x"], n).where("x = 'x'").count() == n
