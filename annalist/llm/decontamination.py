@@ -2,10 +2,10 @@
 
 Benchmark items span a vocabulary; its document frequencies are counted over all
 documents. A randomised SVD (one power step) of TF-IDF passages, those of the
-items and of a bounded sample of documents, gives a latent space. All windows of
-all documents, at lengths near those of the items, are projected into it (a
-window is a difference of running sums), and windows near an item by cosine are
-candidates. A candidate is a leak if the longest common subsequence of words
+items and of all documents, gives a latent space. All windows of all documents,
+at lengths near those of the items, are projected into it (a window is a
+difference of running sums), and windows near an item by cosine are candidates. A
+candidate is a leak if the longest common subsequence of words
 covers enough of the item, or, for paraphrases, less of it but its answer: the
 last part of the item.
 """
@@ -23,8 +23,8 @@ from annalist.llm.common import small_batches
 
 #: Dimensions of the latent space, and more of the random start.
 RANK, EXTRA = 48, 8
-#: Documents in the sample of the SVD, words of its passages, tasks that sum it up.
-SAMPLE, PASSAGE, SUMMERS = 2000, 48, 8
+#: Words of the SVD's passages; all documents together weigh in it as so many against the items, if they are more. Sums are in fractions of this size, so that their order doesn't matter.
+PASSAGE, WEIGHT, GRAIN = 48, 2000, 1 << 20
 #: Items of a block; each block is a pass over the documents.
 BLOCK = 1000
 #: Terms in more of the documents don't tell items apart; an item keeps at least so many terms all the same.
@@ -129,7 +129,35 @@ def _power(passage: np.ndarray, term: np.ndarray, idf: np.ndarray, start: np.nda
     first = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
     w = idf[term].astype(np.float32)[:, None]
     rows = np.add.reduceat(start[term] * w, first, axis=0)
-    np.add.at(out, term, np.repeat(rows, np.diff(np.append(first, len(term))), axis=0) * w)
+    of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(term))))
+    by = np.argsort(term, kind="stable")
+    ends = np.flatnonzero(np.concatenate([[True], term[by][1:] != term[by][:-1]]))
+    out[term[by][ends]] += np.add.reduceat(rows[of[by]] * w[by], ends, axis=0)
+
+
+def _product(docs: DataFrame, keys: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A'A start of the TF-IDF passages of all documents."""
+    bits = _bits(keys)
+    dims = [f"z{k}" for k in range(RANK + EXTRA)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = _start(len(keys))
+        out = np.zeros(start.shape)
+        for batch in batches:
+            for _, _, h, edges in _hashed(batch):
+                place, term = _find(keys, bits, h)
+                owner = np.searchsorted(edges, place, "right") - 1
+                passage = (place - edges[owner]) // PASSAGE
+                _power(owner * np.int64(1 << 32) + passage, term, idf, start, out)
+        hit = np.flatnonzero(out.any(1))
+        told = np.rint(out[hit] * GRAIN).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), *(pa.array(told[:, k].copy()) for k in range(len(dims)))], names=["t", *dims])
+
+    # of each task a row for each key at most, summed by key
+    summed = docs.select("text").mapInArrow(run, ", ".join(f"{c} bigint" for c in ("t", *dims))).groupBy("t").agg(*[F.sum(c).alias(c) for c in dims]).toArrow()
+    z = np.zeros((len(keys), RANK + EXTRA))
+    z[summed.column("t").to_numpy()] = np.column_stack([summed.column(c).to_numpy() for c in dims])
+    return z / GRAIN
 
 
 def _fit(docs: DataFrame, ids: list, words: list[np.ndarray]) -> Model | None:
@@ -145,22 +173,8 @@ def _fit(docs: DataFrame, ids: list, words: list[np.ndarray]) -> Model | None:
     idf = np.log((1.0 + total) / (1.0 + df[rare])) + 1e-3
     keys = keys[rare]
     bits = _bits(keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = _start(len(keys))
-        out = np.zeros_like(start)
-        for batch in batches:
-            for _, _, h, edges in _hashed(batch):
-                place, term = _find(keys, bits, h)
-                owner = np.searchsorted(edges, place, "right") - 1
-                passage = (place - edges[owner]) // PASSAGE
-                _power(owner * np.int64(1 << 32) + passage, term, idf, start, out)
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["z"])
-
-    sample = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    parts = docs.select("doc_id", "text").join(F.broadcast(sample.distinct()), "doc_id").select("text").repartition(SUMMERS).mapInArrow(run, "z binary").collect()
-    z = sum((np.frombuffer(r["z"], np.float32).reshape(len(keys), -1).astype(np.float64) for r in parts), np.zeros((len(keys), RANK + EXTRA)))
-    own, start = np.zeros((len(keys), RANK + EXTRA), np.float32), _start(len(keys))
+    z = _product(docs, keys, idf) * min(1.0, WEIGHT / max(1, total))
+    own, start = np.zeros((len(keys), RANK + EXTRA)), _start(len(keys))
     found = [_find(keys, bits, w) for w in words]
     for _, term in found:
         _power(np.zeros(len(term), np.int64), term, idf, start, own)

@@ -235,6 +235,24 @@ def test_paraphrases_that_keep_the_common_words(spark):
     assert len(want & got) >= 0.97 * len(want) and not got - want
 
 
+def test_latent_space_of_all_documents(spark, monkeypatch):
+    """What is decomposed comes of every document: against a plain product; each text is one passage."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(400)]
+    items = decontamination.item_words([" ".join(rng.sample(words, 30)) for _ in range(10)])
+    docs = [" ".join(rng.choices(words, k=30)) for _ in range(3000)]
+    taken, svd = [], np.linalg.svd
+    monkeypatch.setattr(np.linalg, "svd", lambda x, **more: taken.append(x) or svd(x, **more))
+    model = decontamination._fit(spark.createDataFrame([*enumerate(docs), (None, None)], "doc_id bigint, text string").repartition(3), list(range(10)), items)
+    at = {w: k for k, w in enumerate(model.keys.tolist())}
+    rows = [[at[w] for w in h.tolist() if w in at] for h in (*decontamination.item_words(docs), *items)]
+    df = np.array([np.isin(np.arange(len(at)), r) for r in rows[:3000]]).sum(0)
+    a = np.array([np.bincount(r, minlength=len(at)) for r in rows]) * (np.log(3002 / (1.0 + df)) + 1e-3)
+    a[:3000] *= (decontamination.WEIGHT / 3001) ** 0.5
+    want = a.T @ (a @ decontamination._start(len(at)))
+    assert np.abs(taken[0] - want).max() < 1e-3 * np.abs(want).max()
+
+
 def test_leaks_in_the_table(spark):
     """Recall against all documents that hold an item word for word."""
     d = "/root/testdata/sf0.01"
