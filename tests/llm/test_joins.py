@@ -85,6 +85,27 @@ def test_jaccard_join(spark, monkeypatch, width, similarity, group, leaf):
     assert jaccard.near_duplicates(docs.limit(0), width, similarity).count() == 0
 
 
+def test_shingles_are_counted_in_slices(spark, monkeypatch):
+    """What the first filter exchanges at a time is a part of its zone; the parts make up the whole."""
+    rng = random.Random(17)
+    rows = [(i, " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(300))) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (40, rows[3][1] + " more"), (41, rows[3][1])], "doc_id bigint, text string")
+    signed, cut, parts = jaccard.signatures(docs, 5).cache(), jaccard.cut, []
+
+    def told(df, name, keep=False):
+        out = cut(df, name, keep)
+        if name == "owned":
+            parts.append(out.agg(F.sum("own")).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", told)
+    left = sorted(r["doc_id"] for r in jaccard.suspects(docs, signed, 5, (8, 10)).collect())
+    assert left == [3, 40, 41]
+    assert len(parts) == jaccard.SLICES and max(parts) <= 1.5 * sum(parts) / len(parts)
+    zone = int(jaccard.ZONE * (1 - 8 / 10) * (1 << 16))
+    assert sum(parts) == jaccard._owned(docs, 5, 0, zone).agg(F.sum("own")).first()[0]
+
+
 @pytest.mark.parametrize("leaf", [3, 20, 1000])
 def test_region_join_is_exact(leaf):
     rows = [*enumerate(near_copies(11, 25, 10))]
