@@ -1,15 +1,18 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled documents is indexed, so the index travels to all
-tasks. A vector has all words of the text that any example has. A word weighs its
-TF-IDF, with document frequencies of all documents, times its relevance frequency
-(Lan et al., "Supervised and Traditional Term Weighting Methods", 2009): a smooth
-function of how much oftener it is in examples of label 1 than of label 0. No word
-is chosen or left out by it. The index keeps, for each term and block of examples,
-the largest weight: blocks are taken by falling upper bound, until no block can
-reach the k-th best, so the neighbours found are the exact ones. Their
-similarity-weighted votes are calibrated by isotonic regression on leave-one-out
-votes of the examples.
+Every labelled document is indexed: it belongs to the cell of the example that is
+nearest to it, and votes there. The examples, the cells' centres, are a bounded
+number of labelled documents, so that the index travels to all tasks; while all
+labelled documents are examples, each is a cell of its own. A vector has all words
+of the text that any example has (others are alike to all examples). A word weighs
+its TF-IDF, with document frequencies of all documents, times its relevance
+frequency (Lan et al., "Supervised and Traditional Term Weighting Methods", 2009):
+a smooth function of how much oftener it is in labelled documents of label 1 than
+of label 0, all counted. No word is chosen or left out by it. The index keeps, for
+each term and block of examples, the largest weight: blocks are taken by falling
+upper bound, until no block can reach the k-th best, so the nearest cells found are
+the exact ones. Their votes, weighted by similarity and members, are calibrated by
+isotonic regression on leave-one-out votes of all labelled documents.
 """
 
 import hashlib
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from annalist.llm import textnum as tn
 from annalist.llm.common import cut, small_batches, tables
 
-#: At most so many examples of each label.
+#: At most so many examples, the centres of cells, of each label; all labelled documents are their members.
 POSITIVES, NEGATIVES = 2000, 4000
 NEIGHBOURS = 15
 #: Power of the relevance frequency in a weight.
@@ -37,6 +40,8 @@ OFTEN = 12
 #: Texts whose frequent terms are multiplied at once.
 PRODUCT = 128
 LIMIT = 0.3
+#: Calibration tells so many votes apart; more are rounded to this number.
+VOTES = 1 << 16
 
 
 class Lookup:
@@ -78,11 +83,9 @@ def weights(term: np.ndarray, times: np.ndarray, worth: np.ndarray) -> np.ndarra
     return w / n if n else w
 
 
-def relevance(term: np.ndarray, edges: np.ndarray, labels: np.ndarray, terms: int) -> np.ndarray:
-    """log2(1 + max(1, p / max(1, n))) ** SHARP of each term: p of the examples of label 1 have it, and n of those of label 0, scaled as if the labels had equally many. 1 for a word that is not oftener in label 1."""
-    bad = np.repeat(labels == 1, np.diff(edges))
-    n1, n0 = max(1, int((labels == 1).sum())), max(1, int((labels == 0).sum()))
-    p, n = (np.bincount(term[which], minlength=terms) for which in (bad, ~bad))
+def relevance(p: np.ndarray, n: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """log2(1 + max(1, p / max(1, n))) ** SHARP of each term: p of n1 labelled documents of label 1 have it, and n of n0 of label 0, scaled as if the labels had equally many. 1 for a word that is not oftener in label 1."""
+    n1, n0 = max(1, n1), max(1, n0)
     return np.log2(1 + np.maximum(1, p / np.maximum(1, n * (n1 / n0)))) ** SHARP
 
 
@@ -188,6 +191,20 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([p[0] for p in pools]), np.array([(p[1] + 0.1) / (p[2] + 0.5) for p in pools])
 
 
+def vote(sims: np.ndarray, share: np.ndarray, labels: np.ndarray) -> float:
+    w = sims**2 * share
+    return float((w * labels).sum() / w.sum()) if w.sum() else 0.0
+
+
+def vote_without(found: np.ndarray, sims: np.ndarray, cell: int, label: int, share: np.ndarray, labels: np.ndarray) -> float | None:
+    """The vote on a member of a cell by all others; found are one more than vote. None if no other does."""
+    n, bad = share[found], share[found] * labels[found]
+    own = found == cell
+    n, bad = n - own, bad - own * label
+    some = np.flatnonzero(n > 0.5)[:NEIGHBOURS]
+    return vote(sims[some], n[some], bad[some] / n[some]) if len(some) else None
+
+
 def _packed(a: np.ndarray) -> np.ndarray:
     """a in the smallest unsigned type that holds it."""
     return a.astype(np.min_scalar_type(int(a.max(initial=0))))
@@ -204,9 +221,10 @@ class Model:
     term: np.ndarray
     times: np.ndarray
     ids: list
+    #: Members of the cell of example i, and the share of them with label 1.
     labels: np.ndarray
     share: np.ndarray
-    bare: float
+    bare: float = 0.0
     steps: tuple[np.ndarray, np.ndarray] = (np.zeros(0), np.zeros(0))
     lookup: Lookup = field(init=False)
     index: BlockMaxIndex = field(init=False)
@@ -215,13 +233,19 @@ class Model:
         self.lookup, self.index = Lookup(self.keys), BlockMaxIndex(self.edges, self.term, self.weights(), len(self.keys))
 
     def dump(self) -> bytes:
-        told = self.keys, self.worth, _packed(self.edges), _packed(self.term), _packed(self.times), self.ids, self.labels, self.share, self.bare, self.steps
-        return zlib.compress(pickle.dumps(told), 1)
+        told = self.keys, self.worth, _packed(self.edges), _packed(self.term), _packed(self.times), self.ids
+        return pickle.dumps((zlib.compress(pickle.dumps(told), 1), (self.labels, self.share, self.bare, self.steps)))
 
     @classmethod
     def load(cls, state: bytes) -> "Model":
-        keys, worth, edges, term, times, *rest = pickle.loads(zlib.decompress(state))
-        return cls(keys, worth, edges.astype(np.int64), term, times, *rest)
+        told, rest = pickle.loads(state)
+        keys, worth, edges, term, times, ids = pickle.loads(zlib.decompress(told))
+        return cls(keys, worth, edges.astype(np.int64), term, times, ids, *rest)
+
+    @staticmethod
+    def voting(state: bytes, labels: np.ndarray, share: np.ndarray, bare: float, steps: tuple[np.ndarray, np.ndarray]) -> bytes:
+        """A packed model with other votes; its examples stay packed."""
+        return pickle.dumps((pickle.loads(state)[0], (labels, share, bare, steps)))
 
     def weights(self) -> np.ndarray:
         """The unit vectors of all examples, one after the other."""
@@ -235,8 +259,7 @@ class Model:
         return [(self.term[a:z].astype(np.int64), w[a:z]) for a, z in zip(self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True)]
 
     def vote(self, found: np.ndarray, sims: np.ndarray) -> float:
-        w = sims**2 * self.share[found]
-        return float((w * self.labels[found]).sum() / w.sum()) if w.sum() else 0.0
+        return vote(sims, self.share[found], self.labels[found])
 
     def calibrated(self, vote: float) -> float:
         at = int(np.searchsorted(self.steps[0], vote, "right")) - 1
@@ -257,8 +280,9 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
 
     Null labels and ids, and labels of documents that aren't here, don't count; of
     a document labelled twice the larger label does, of rows that repeat a doc_id
-    the least text. The examples are the first of each label by a hash of the id,
-    `positives` and `negatives` of them at most.
+    the least text. All labelled documents count in weights, votes and calibration;
+    the examples that they are members of are the first of each label by a hash of
+    the id, `positives` and `negatives` of them at most.
     """
     small_batches(docs.sparkSession)
     with tables(docs.sparkSession):
@@ -268,8 +292,6 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
 def _fit(docs: DataFrame, labels: DataFrame, positives: int, negatives: int) -> bytes:
     told = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     told = cut(told.join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
-    sizes = {r["label"]: r["count"] for r in told.groupBy("label").count().collect()}
-    taken = {1: positives, 0: negatives}
     # bounded, so it may be broadcast
     sample = told.where("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives).unionByName(told.where("label = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(negatives))
     examples = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
@@ -289,56 +311,121 @@ def _fit(docs: DataFrame, labels: DataFrame, positives: int, negatives: int) ->
     keys = np.sort(counted.select(F.explode("h").alias("h")).distinct().toArrow().column("h").to_numpy().astype(np.uint64))
     m = len(keys)
 
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(keys)
+        for batch in batches:
+            for part, data, bounds in _arrays(batch):
+                text, term, times = vectors(data, bounds, lookup)
+                edges = np.searchsorted(text, np.arange(len(bounds)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), tn.list_array(term.astype(np.int32), edges, pa.int32()), tn.list_array(times.astype(np.int32), edges, pa.int32())], names=["doc_id", "label", "term", "times"])
+
+    every = docs.join(told, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "label", "text")
+    every = cut(every.mapInArrow(known, f"doc_id {kind}, label int, term array<int>, times array<int>"), "members")
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, df, rows = Lookup(keys), np.zeros(m, np.int64), 0
         for batch in batches:
             for part, data, bounds in _arrays(batch):
                 df += np.bincount(vectors(data, bounds, lookup)[1], minlength=m)
                 rows += part.num_rows
-        hit = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, hit)), pa.array(np.append(rows, df[hit]))], names=["t", "df"])
+        yield from _summed(df, rows)
 
-    counts = docs.select("text").mapInArrow(frequencies, "t bigint, df bigint").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # m + 1 rows at most
-    t, n = counts.column("t").to_numpy(), counts.column("df").to_numpy()
-    df, total = np.zeros(m), int(n[t < 0].sum())
-    df[t[t >= 0]] = n[t >= 0]
-    del counts, t, n
-    scale = {k: sizes.get(k, 0) / max(1, min(sizes.get(k, 0), taken[k])) for k in (0, 1)}
+    def by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, rows = np.zeros(m, np.int64), 0
+        for batch in batches:
+            n += np.bincount(batch.column("term").flatten().to_numpy(), minlength=m)
+            rows += int((batch.column("term").value_lengths().to_numpy() > 0).sum())
+        yield from _summed(n, rows)
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([pa.array([_fitted([*batches], keys, df, total, scale).dump()], pa.binary())], names=["model"])
+    df, total = _totals(docs.select("text").mapInArrow(frequencies, "t bigint, n bigint"), m)
+    p, n1 = _totals(every.where("label = 1").select("term").mapInArrow(by_label, "t bigint, n bigint"), m)
+    n, n0 = _totals(every.where("label = 0").select("term").mapInArrow(by_label, "t bigint, n bigint"), m)
+    worth = (np.log((1.0 + total) / (1.0 + df)) + 1.0) * relevance(p, n, n1, n0)
+    del df, p, n
 
-    # the sample is bounded, so that one task may hold it; the driver holds the packed model only
-    return counted.repartition(1).mapInArrow(build, "model binary").first()["model"]
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _indexed([*batches], keys, worth)
+        yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary()), pa.array([len(model.ids)], pa.int64())], names=["model", "cells"])
 
+    # the examples are bounded, so that one task may hold them; the driver holds the packed model only
+    model, cells = counted.repartition(1).mapInArrow(build, "model binary, cells bigint").first()
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
-def _fitted(batches: list[pa.RecordBatch], keys: np.ndarray, df: np.ndarray, total: int, scale: dict[int, float]) -> Model:
-    """A model of counted examples (doc_id, label, h, times), in the order of their ids."""
-    m = len(keys)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model.load(sent.value)
+        centre = {i: k for k, i in enumerate(m.ids)}
+        for batch in batches:
+            term, times = (batch.column(c).flatten().to_numpy() for c in ("term", "times"))
+            edges = np.concatenate([[0], np.cumsum(batch.column("term").value_lengths().to_numpy())]).astype(np.int64)
+            texts = [(t := term[a:z].astype(np.int64), weights(t, times[a:z], m.worth)) for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) if z > a]
+            near = [*m.index.all_nearest(texts, NEIGHBOURS + 1)]
+            full = np.flatnonzero(np.diff(edges))
+            ids, bad = batch.column("doc_id").to_pylist(), batch.column("label").to_numpy()[full]
+            own = [centre.get(ids[i], int(found[0]) if len(found) else -1) for i, (found, _) in zip(full.tolist(), near, strict=True)]
+            ends = np.concatenate([[0], np.cumsum([len(found) for found, _ in near])])
+            flat = [np.concatenate([np.zeros(0), *[x[k] for x in near]]) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.int32()), pa.array(own, pa.int32()), tn.list_array(flat[0].astype(np.int32), ends, pa.int32()), tn.list_array(flat[1], ends, pa.float64())], names=["label", "cell", "found", "sims"])
+
+    dealt = cut(every.mapInArrow(deal, "label int, cell int, found array<int>, sims array<double>"), "dealt")
+    share, bad = np.zeros(cells), np.zeros(cells)
+    for r in dealt.where("cell >= 0").groupBy("cell").agg(F.count("*").alias("n"), F.sum("label").alias("bad")).collect():  # a row a cell
+        share[r["cell"]], bad[r["cell"]] = r["n"], r["bad"]
+    marks = bad / np.maximum(1, share)
+    sizes = {r["label"]: r["count"] for r in every.where(F.size("term") == 0).groupBy("label").count().collect()}
+    bare = (sizes.get(1, 0) + 0.1) / (sizes.get(0, 0) + sizes.get(1, 0) + 1.0)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("label", "cell", "found", "sims")), strict=True)
+            votes = [(vote_without(np.array(found, np.int64), np.array(sims), cell, label, share, marks), label) for label, cell, found, sims in rows]
+            # one that no other shares a word with has a vote of 0
+            yield pa.RecordBatch.from_arrays([pa.array([v or 0.0 for v, _ in votes], pa.float64()), pa.array([y for _, y in votes], pa.int32())], names=["vote", "label"])
+
+    votes = cut(dealt.mapInArrow(left_out, "vote double, label int"), "votes")
+    grouped = lambda v: votes.groupBy(v.alias("vote")).agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
+    found = grouped(F.col("vote"))
+    if found.count() > VOTES:
+        found = grouped(F.round(F.col("vote") * VOTES) / VOTES)
+    found = found.toPandas()  # VOTES + 1 rows at most
+    steps = isotonic(found["vote"].to_numpy(), (found["bad"] / found["n"]).to_numpy(float), found["n"].to_numpy(float)) if len(found) else (np.zeros(0), np.zeros(0))
+    return Model.voting(model, marks, share, bare, steps)
+
+
+def _summed(n: np.ndarray, rows: int) -> Iterator[pa.RecordBatch]:
+    """Counts of terms, and of rows as those of term -1."""
+    hit = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, hit)), pa.array(np.append(rows, n[hit]))], names=["t", "n"])
+
+
+def _totals(counts: DataFrame, terms: int) -> tuple[np.ndarray, int]:
+    """The sums of _summed over all tasks."""
+    got = counts.groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # terms + 1 rows at most
+    t, n = got.column("t").to_numpy(), got.column("n").to_numpy()
+    out = np.zeros(terms)
+    out[t[t >= 0]] = n[t >= 0]
+    return out, int(n[t < 0].sum())
+
+
+def _indexed(batches: list[pa.RecordBatch], keys: np.ndarray, worth: np.ndarray) -> Model:
+    """A model, as yet without members, of counted examples (doc_id, label, h, times), in the order of their ids."""
     batches = [b for b in batches if b.num_rows]
     joined = lambda name, values: np.concatenate([np.zeros(0, np.int64), *[values(b.column(name)) for b in batches]])
     every = [i for b in batches for i in b.column("doc_id").to_pylist()]
-    lengths, marks = joined("h", lambda c: c.value_lengths().to_numpy()), joined("label", lambda c: c.to_numpy())
+    lengths = joined("h", lambda c: c.value_lengths().to_numpy())
     by = np.array(sorted(range(len(every)), key=every.__getitem__), np.int64)
     first = (np.cumsum(lengths) - lengths)[by]
-    lengths, marks = lengths[by], marks[by]
+    lengths = lengths[by]
     flat = _ranges(first, lengths) if len(by) else np.zeros(0, np.int64)
     term = np.searchsorted(keys, joined("h", lambda c: c.flatten().to_numpy()).astype(np.uint64)).astype(np.uint32)[flat]
     times = joined("times", lambda c: c.flatten().to_numpy()).astype(np.uint32)[flat]
-    bare = {k: scale[k] * int(((lengths == 0) & (marks == k)).sum()) for k in (0, 1)}
     some = lengths > 0
-    edges, labelled = np.concatenate([[0], np.cumsum(lengths[some])]).astype(np.int64), marks[some].astype(np.float64)
-    worth = (np.log((1.0 + total) / (1.0 + df)) + 1.0) * relevance(term, edges, labelled, m)
+    edges = np.concatenate([[0], np.cumsum(lengths[some])]).astype(np.int64)
     ids = [every[i] for i in by[some].tolist()]
-    share = np.where(labelled == 1, scale[1], scale[0])
-    model = Model(keys, worth, edges, term, times, ids, labelled, share, (bare[1] + 0.1) / (bare[0] + bare[1] + 1.0))
-    votes = np.array([model.vote(found, sims) for found, sims in model.index.all_nearest(model.unit(), NEIGHBOURS, apart=True)])
-    model.steps = isotonic(votes, labelled, share) if len(votes) else model.steps
-    return model
+    return Model(keys, worth, edges, term, times, ids, np.zeros(len(ids)), np.zeros(len(ids)))
 
 
 def score(docs: DataFrame, model: bytes, limit: float = LIMIT) -> DataFrame:
-    """docs with `score` (0 to 1), `predicted` (1 from the limit on) and `neighbours`, the ids of the examples that voted.
+    """docs with `score` (0 to 1), `predicted` (1 from the limit on) and `neighbours`, the ids of the examples whose cells voted.
 
     A text without any word of the examples, as a null or empty one, gets the rate
     of examples without any word. Texts are scored whole, rows as often as they come;

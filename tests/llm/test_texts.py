@@ -397,6 +397,43 @@ def test_repeated_ids_and_labels_of_others(spark):
     assert toxicity.score(docs, packed).count() == 4
 
 
+def test_all_labelled_documents_count(spark):
+    """More labelled documents than examples: weights, votes, bare texts and calibration are of all of them."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=30) + ["vile"] * (i % 3 == 0))) for i in range(200)] + [(900 + i, "") for i in range(7)]
+    labels = {i: int(i % 3 == 0) for i in range(150)} | {900 + i: int(i < 2) for i in range(7)}
+    docs, marks = (spark.createDataFrame(x, y) for x, y in ((rows, "doc_id bigint, text string"), ([*labels.items()], "doc_id bigint, label int")))
+    model = toxicity.Model.load(toxicity.fit(docs, marks, 12, 18))
+    assert len(model.ids) <= 30 and model.share.sum() == 150 and round((model.share * model.labels).sum()) == 50
+    assert model.bare == (2 + 0.1) / (7 + 1.0)
+    # by hand: each document belongs to its nearest example, and an example to itself
+    plain, (lookup, at) = dict(rows), (model.lookup, {i: k for k, i in enumerate(model.ids)})
+    data, bounds = toxicity.tn.buffers(pa.array([plain[i] for i in range(150)]), latin=True)
+    text, term, times = toxicity.vectors(data, bounds, lookup)
+    units = [(term[text == i], toxicity.weights(term[text == i], times[text == i], model.worth)) for i in range(150)]
+    near = [model.index.nearest(*u, 16) for u in units]
+    cells = [at.get(i, int(near[i][0][0])) for i in range(150)]
+    assert np.bincount(cells, minlength=len(model.ids)).tolist() == model.share.tolist()
+    df, p, n = (np.array([sum(k in set(term[text == i].tolist()) for i in range(150) if want(i)) for k in range(len(model.keys))]) for want in (lambda i: True, lambda i: labels[i], lambda i: not labels[i]))
+    assert (df == p + n).all()
+    over = model.worth / toxicity.relevance(p, n, 50, 100)
+    everywhere = np.array([sum(w in t.split() for _, t in rows) for w in ["vile"]])[0]
+    vile = lookup.find(toxicity.hashed_words(*toxicity.tn.buffers(pa.array(["vile"])))[0])[1][0]
+    assert abs(over[vile] - (np.log((1 + len(rows)) / (1 + everywhere)) + 1)) < 1e-9
+    votes = np.array([toxicity.vote_without(*near[i], cells[i], labels[i], model.share, model.labels) for i in range(150)])
+    steps = toxicity.isotonic(votes, np.array([labels[i] for i in range(150)], float), np.ones(150))
+    assert np.allclose(steps[0], model.steps[0]) and np.allclose(steps[1], model.steps[1])
+
+
+def test_a_member_does_not_vote_on_itself():
+    found, sims = np.arange(3), np.array([0.9, 0.5, 0.5])
+    share, labels = np.array([4.0, 1.0, 1.0]), np.array([0.5, 1.0, 0.0])
+    assert toxicity.vote_without(found, sims, 0, 1, share, labels) == pytest.approx((0.81 * 1 + 0.25) / (0.81 * 3 + 0.5))
+    assert toxicity.vote_without(found, sims, 1, 1, share, labels) == pytest.approx((0.81 * 2) / (0.81 * 4 + 0.25))
+    assert toxicity.vote_without(found[1:2], sims[1:2], 1, 1, share, labels) is None
+
+
 def test_toxicity_of_the_table(spark):
     """Held-out accuracy on the rows that the query leaves out of the fit."""
     from annalist.llm import queries
