@@ -42,6 +42,8 @@ PRODUCT = 128
 LIMIT = 0.3
 #: Calibration tells so many votes apart; more are rounded to this number.
 VOTES = 1 << 16
+#: Bits of the map of labelled ids at most, 4 MB.
+ID_BITS = 1 << 25
 
 
 class Lookup:
@@ -289,9 +291,24 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
         return _fit(docs.select("doc_id", "text"), labels, positives, negatives)
 
 
+def _likely(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """All rows of docs whose id is one of told, which has ids of docs, and a few others.
+
+    An id sets a bit of a map by its hash, which travels to all tasks; of other rows
+    one in 16 or fewer has a bit that is set, more once told has over ID_BITS / 16
+    ids. A join by id then moves the texts of these rows, not all texts.
+    """
+    bits = min(ID_BITS, 1 << max(6, (16 * told.count()).bit_length()))
+    at = F.xxhash64("doc_id").bitwiseAND(F.lit(bits - 1))
+    word, bit = F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
+    marks = told.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("marks"))
+    return docs.join(F.broadcast(marks), word == marks["word"]).where(F.getbit("marks", bit) == 1).select(*docs.columns)
+
+
 def _fit(docs: DataFrame, labels: DataFrame, positives: int, negatives: int) -> bytes:
-    told = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
-    told = cut(told.join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
+    # ids as docs has them, so that they have the same hash there
+    told = docs.select("doc_id").distinct().join(labels.where("label IS NOT NULL AND doc_id IS NOT NULL"), "doc_id")
+    told = cut(told.groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label")), "labelled")
     # bounded, so it may be broadcast
     sample = told.where("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(positives).unionByName(told.where("label = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(negatives))
     examples = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
@@ -319,7 +336,7 @@ def _fit(docs: DataFrame, labels: DataFrame, positives: int, negatives: int) ->
                 edges = np.searchsorted(text, np.arange(len(bounds)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), tn.list_array(term.astype(np.int32), edges, pa.int32()), tn.list_array(times.astype(np.int32), edges, pa.int32())], names=["doc_id", "label", "term", "times"])
 
-    every = docs.join(told, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "label", "text")
+    every = _likely(docs, told).join(told, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "label", "text")
     every = cut(every.mapInArrow(known, f"doc_id {kind}, label int, term array<int>, times array<int>"), "members")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -426,6 +426,45 @@ def test_all_labelled_documents_count(spark):
     assert np.allclose(steps[0], model.steps[0]) and np.allclose(steps[1], model.steps[1])
 
 
+def test_texts_without_labels_are_not_moved(spark):
+    """The fit deals labelled texts by id, not all texts; ids of another type, repeated ones and labels of others change nothing of that."""
+    rng = random.Random(13)
+    text = lambda: "shared " + " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=12)) for _ in range(400))
+    rows = [(str(i), text()) for i in range(600)] + [("3", text()), (None, text())]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    marks = spark.createDataFrame([*((i, int(i % 3 == 0)) for i in range(0, 30)), (3, 0), (7, None), (None, 1), (5000, 1)], "doc_id bigint, label int")
+
+    def moved():
+        gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+    before, told = moved(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = toxicity.Model.load(toxicity.fit(docs, marks, 5, 10))
+        ids = docs.select("doc_id").where("doc_id < 30").distinct()
+        likely = [r["doc_id"] for r in toxicity._likely(docs, ids).collect()]
+        none = toxicity._likely(docs, ids.limit(0)).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", told)
+    assert model.share.sum() == 30 and round((model.share * model.labels).sum()) == 10
+    assert {str(i) for i in range(30)} <= set(likely) and likely.count("3") == 2 and len(likely) < 120 and none == 0
+    assert sum(n for k, n in moved().items() if k not in before) < 0.5 * sum(len(t) for _, t in rows)
+
+
+def test_a_full_map_of_ids_loses_none(spark, monkeypatch):
+    """With more ids than bits all rows are likely, and the fit is the same."""
+    docs = spark.createDataFrame([(i, f"w{i % 7} v{i % 5}" + " vile" * (i % 4 == 0)) for i in range(-150, 150)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(-150, 150, 2)], "doc_id bigint, label int")
+    assert {r["doc_id"] for r in toxicity._likely(docs, marks).collect()} >= set(range(-150, 150, 2))
+    whole = toxicity.Model.load(toxicity.fit(docs, marks))
+    monkeypatch.setattr(toxicity, "ID_BITS", 64)
+    tight = toxicity.Model.load(toxicity.fit(docs, marks))
+    assert toxicity._likely(docs, marks).count() > 250 and whole.share.sum() == tight.share.sum() == 150
+    assert (whole.worth == tight.worth).all() and whole.ids == tight.ids and (whole.steps[1] == tight.steps[1]).all()
+
+
 def test_a_member_does_not_vote_on_itself():
     found, sims = np.arange(3), np.array([0.9, 0.5, 0.5])
     share, labels = np.array([4.0, 1.0, 1.0]), np.array([0.5, 1.0, 0.0])
